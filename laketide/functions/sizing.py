@@ -1,0 +1,24 @@
+"""Size checks before broadcasting.
+
+A side is broadcast only when a bounded count proves it holds at most
+``max_rows`` rows (the count stops after ``max_rows + 1`` rows, so the check
+costs at most that many rows of reading). Beyond the bound the side is left
+to the planner: AQE still turns the join into a broadcast at runtime when the
+measured shuffle output is below ``spark.sql.autoBroadcastJoinThreshold``,
+otherwise it stays a shuffle join with skew splitting.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_BROADCAST_ROWS = 1_000_000
+
+
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    return F.broadcast(df) if has_at_most(df, max_rows) else df
