@@ -27,6 +27,7 @@ SESSION_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -48,7 +49,7 @@ def build_session(master: str = "local[*]", app_name: str = "laketide",
 def apply_session_conf(spark: SparkSession) -> None:
     """Apply the runtime-settable part of ``SESSION_CONF`` to a given session."""
     for k, v in SESSION_CONF.items():
-        if k == "spark.ui.enabled":
+        if k.startswith("spark.ui."):
             continue
         spark.conf.set(k, v)
 
