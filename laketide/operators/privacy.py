@@ -74,6 +74,13 @@ def reidentify(df: DataFrame, token_col: str, vault: DataFrame,
 
 
 # --------------------------------------------------------------------- P4
+def _occurrences(text: Column, literal: str) -> Column:
+    """Non-overlapping occurrences of an ASCII literal (plain replace, no
+    regex; byte lengths are O(1) on Spark strings)."""
+    return ((F.octet_length(text) - F.octet_length(F.replace(text, F.lit(literal), F.lit(""))))
+            / F.lit(len(literal.encode("utf-8")))).cast("int")
+
+
 def mask_text(df: DataFrame, text_col: str, rules: Iterable[TextRule] = DEFAULT_RULES,
               out_col: str | None = None) -> DataFrame:
     """Blank out direct identifiers in a text column and count hits per kind.
@@ -81,13 +88,33 @@ def mask_text(df: DataFrame, text_col: str, rules: Iterable[TextRule] = DEFAULT_
     Rules apply in order; each counts its hits on the text left by the rules
     before it. Adds ``n_<kind>`` columns; the text column is replaced (or
     written to ``out_col``). Whole texts, JVM-side regex, no shuffle.
+
+    One regex pass per rule: the hit count is the growth in occurrences of
+    the rule's mask literal, which is exact because a mask such as
+    ``[CARD]`` cannot overlap itself. A rule's guard substring skips the
+    regex on texts that cannot match.
     """
     text = F.col(text_col)
     counts: dict[str, Column] = {}
-    for rule in rules:
-        counts[f"n_{rule.kind}"] = F.regexp_count(text, F.lit(rule.pattern))
-        text = F.regexp_replace(text, rule.pattern, rule.mask)
-    return df.withColumns({out_col or text_col: text, **counts})
+    steps: dict[str, Column] = {}
+    for i, rule in enumerate(rules):
+        before = _occurrences(text, rule.mask)
+        replaced = F.regexp_replace(text, rule.pattern, rule.mask)
+        if rule.guard is not None:
+            absent = F.instr(text, rule.guard) == 0
+            replaced = F.when(absent, text).otherwise(replaced)
+        step = f"__mask{i}"
+        steps[step] = replaced
+        hits = _occurrences(F.col(step), rule.mask) - before
+        if rule.guard is not None:
+            hits = F.when(absent, F.lit(0)).otherwise(hits)
+        counts[f"n_{rule.kind}"] = hits
+        text = F.col(step)
+    out = df
+    for step, expr in steps.items():
+        out = out.withColumn(step, expr)
+    return (out.withColumns({out_col or text_col: text, **counts})
+            .drop(*steps))
 
 
 # --------------------------------------------------------------------- P5

@@ -31,8 +31,12 @@ INCREMENT_MARK = "2024-01-15 00:00:00"
 K_SMALL_CELLS = 10
 
 
+# Lookup tables of a fixed size: never spread (see ``session.spread``).
+FIXED_SIZE_TABLES = {"nation", "region"}
+
+
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_table(spark, sf_dir, name)
+    return read_table(spark, sf_dir, name, spread_scan=name not in FIXED_SIZE_TABLES)
 
 
 def _key(spark: SparkSession) -> DataFrame:

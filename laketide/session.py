@@ -83,5 +83,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/laketide/{name}-{uuid.uuid4().hex}"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a share of a scan that yields fewer partitions than
+    the default parallelism (a file with one row group is one task).
+
+    Round-robin, so hot keys cannot unbalance it, and column pruning and
+    filter pushdown still pass below the exchange to the scan. Spark sorts
+    rows before a round-robin repartition (``sortBeforeRepartition``), so a
+    retried task sends the same rows to the same partitions. Scans that
+    already have enough splits -- any table at cluster scale -- are returned
+    unchanged, without a shuffle.
+    """
+    spark = df.sparkSession
+    want = spark.sparkContext.defaultParallelism
+    try:
+        have = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a remote session): keep the scan
+        return df
+    if have >= want:
+        return df
+    return df.repartition(want)
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread_scan: bool = True) -> DataFrame:
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spread(df) if spread_scan else df
