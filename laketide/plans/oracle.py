@@ -293,12 +293,21 @@ WHERE freq >= ceil(0.01 * n)
 
 W4_RULES = f"""
 WITH {_BASKETS},
-fp AS (SELECT s2.* FROM s2, nb WHERE s2.freq >= ceil(0.01 * nb.n)),
-rules AS (SELECT a AS antecedent, c AS consequent, freq FROM fp
-          UNION ALL SELECT c, a, freq FROM fp)
-SELECT r.antecedent, r.consequent, r.freq / s1.freq AS confidence, r.freq / nb.n AS support
-FROM rules r JOIN s1 ON r.antecedent = s1.a, nb
-WHERE r.freq / s1.freq >= 0.1
+fp2 AS (SELECT s2.* FROM s2, nb WHERE s2.freq >= ceil(0.01 * nb.n)),
+fp3 AS (SELECT s3.* FROM s3, nb WHERE s3.freq >= ceil(0.01 * nb.n)),
+rules AS (
+  SELECT fp2.a AS antecedent, fp2.c AS consequent, fp2.freq, s1.freq AS ante_freq
+    FROM fp2 JOIN s1 ON s1.a = fp2.a
+  UNION ALL SELECT fp2.c, fp2.a, fp2.freq, s1.freq FROM fp2 JOIN s1 ON s1.a = fp2.c
+  UNION ALL SELECT fp3.a || ',' || fp3.c, fp3.d, fp3.freq, s2.freq
+    FROM fp3 JOIN s2 ON s2.a = fp3.a AND s2.c = fp3.c
+  UNION ALL SELECT fp3.a || ',' || fp3.d, fp3.c, fp3.freq, s2.freq
+    FROM fp3 JOIN s2 ON s2.a = fp3.a AND s2.c = fp3.d
+  UNION ALL SELECT fp3.c || ',' || fp3.d, fp3.a, fp3.freq, s2.freq
+    FROM fp3 JOIN s2 ON s2.a = fp3.c AND s2.c = fp3.d)
+SELECT antecedent, consequent, freq / ante_freq AS confidence, freq / nb.n AS support
+FROM rules, nb
+WHERE freq / ante_freq >= 0.1
 """
 
 S2 = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"
