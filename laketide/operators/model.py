@@ -87,7 +87,8 @@ def build_fact(facts: DataFrame, dims: Sequence[DimRef],
 
 # --------------------------------------------------------------------- R3
 def history_scd2(df: DataFrame, key: Sequence[str] | str, ts: str,
-                 state_cols: Sequence[str], tie_break: Sequence[str] = ()) -> DataFrame:
+                 state_cols: Sequence[str], tie_break: Sequence[str] = (),
+                 slice_unit: str | None = "month") -> DataFrame:
     """Type-2 history: one row per run of equal state per key.
 
     Output: key, state columns, ``valid_from`` (first time of the run),
@@ -95,20 +96,43 @@ def history_scd2(df: DataFrame, key: Sequence[str] | str, ts: str,
     ``is_current``. Rows at the same time are ordered by ``tie_break`` and
     then by the state itself, so the result is deterministic.
 
-    Plan: one shuffle by key; ``lag`` flags the rows where state changes,
-    only those rows survive, and ``lead`` over them closes each run. Both
-    windows reuse the key partitioning.
+    A key's history is cut into time slices (``slice_unit``: year, month,
+    day, hour; None for one slice per key). Windows run per (key, slice), so
+    a key holding a third of all rows still spreads over as many tasks as it
+    has slices. Slice boundaries are stitched with two small per-slice
+    tables: the last state of the slice before (to decide whether a slice's
+    first row starts a run) and the first run start of the slice after (to
+    close a slice's last run). Both hold one row per (key, slice) and are
+    joined back on (key, slice), which keeps the hot key spread.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    order = [F.col(ts), *[F.col(c) for c in tie_break], *[F.col(c) for c in state_cols]]
-    w = Window.partitionBy(*keys).orderBy(*order)
+    order = [ts, *tie_break, *[c for c in state_cols if c not in tie_break]]
+    cols = list(dict.fromkeys([*keys, *order]))
+    if slice_unit is None:
+        base = df.select(*cols, F.lit(0).alias("__slice"))
+    else:
+        base = df.select(*cols, F.date_trunc(slice_unit, F.col(ts)).alias("__slice"))
+    grp = [*keys, "__slice"]
+    w = Window.partitionBy(*grp).orderBy(*[F.col(c) for c in order])
+    per_key = Window.partitionBy(*keys).orderBy("__slice")
     state = F.struct(*state_cols)
-    starts = (df.select(*keys, ts, *tie_break, *state_cols)
-              .withColumn("__prev", F.lag(state).over(w))
-              .where(F.col("__prev").isNull() | ~state.eqNullSafe(F.col("__prev"))))
-    # Only the first row of a key has a null lag (later lags are non-null structs).
-    return (starts
-            .withColumn("valid_to", F.lead(F.col(ts)).over(w))
+
+    # Last state of each slice, handed to the next slice of the same key.
+    carry = (base.groupBy(*grp)
+             .agg(F.max(F.struct(*[F.col(c) for c in order], state.alias("__s"))).alias("__last"))
+             .select(*grp, F.lag(F.col("__last.__s")).over(per_key).alias("__carry")))
+    flagged = (base.withColumn("__prev", F.lag(state).over(w))
+               .join(carry, grp, "left"))
+    # Only a slice's first row has a null lag; it compares with the carried state.
+    prev = F.coalesce(F.col("__prev"), F.col("__carry"))
+    starts = flagged.where(prev.isNull() | ~state.eqNullSafe(prev)).select(*cols, "__slice")
+
+    # First run start of the next slice that has one, to close the last run of a slice.
+    following = (starts.groupBy(*grp).agg(F.min(ts).alias("__first"))
+                 .select(*grp, F.lead("__first").over(per_key).alias("__next_slice")))
+    return (starts.withColumn("__next", F.lead(F.col(ts)).over(w))
+            .join(following, grp, "left")
+            .withColumn("valid_to", F.coalesce(F.col("__next"), F.col("__next_slice")))
             .select(*keys, *state_cols, F.col(ts).alias("valid_from"), "valid_to",
                     F.col("valid_to").isNull().alias("is_current")))
 

@@ -78,41 +78,52 @@ def sample_cohort(df: DataFrame, id_col: str, salt: str, pct: float,
 
 # --------------------------------------------------------------------- W3
 PROFILE_QUANTILES = (0.25, 0.5, 0.75)
+MAX_EXACT_DISTINCT = 1_000_000
 
 
 def profile(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True,
-            accuracy: int = 10_000) -> DataFrame:
+            accuracy: int = 10_000, max_exact_distinct: int = MAX_EXACT_DISTINCT) -> DataFrame:
     """Per column: count, nulls, distinct, min, max, mean, quartiles.
 
     One wide aggregation pass, then ``stack`` to one row per column.
-    ``exact=True`` uses exact distinct counts and interpolated percentiles
-    (the oracle's definition); ``exact=False`` uses HyperLogLog++ and
-    Greenwald-Khanna sketches whose partial states are fixed-size, the mode
-    for large tables. Non-numeric columns get counts only.
+
+    ``exact=True``: distinct counts are exact (one distributed pass first);
+    quartiles are exact interpolated percentiles (the oracle's definition)
+    for columns whose distinct count is at most ``max_exact_distinct``,
+    because an exact percentile merges a value->count map of the column in
+    one final buffer. Columns above the bound get Greenwald-Khanna sketches
+    (fixed-size partial states). ``exact=False`` uses HyperLogLog++ and
+    sketches throughout, in a single pass. ``quantile_method`` says which
+    applied. Non-numeric columns get counts only.
     """
     cols = list(cols or df.columns)
     numeric = {f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)}
+    distinct: dict[int, int] = {}
+    if exact:
+        first = df.agg(*[F.count_distinct(F.col(c)).alias(f"d{i}") for i, c in enumerate(cols)]).first()
+        distinct = {i: first[f"d{i}"] for i in range(len(cols))}
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c)
-        aggs += [F.count(x).alias(f"n{i}"), F.count_if(x.isNull()).alias(f"z{i}"),
-                 (F.count_distinct(x) if exact else F.approx_count_distinct(x)).alias(f"d{i}")]
+        d = F.lit(distinct[i]).cast("bigint") if exact else F.approx_count_distinct(x)
+        aggs += [F.count(x).alias(f"n{i}"), F.count_if(x.isNull()).alias(f"z{i}"), d.alias(f"d{i}")]
         if c in numeric:
             xd = x.cast("double")
-            q = (F.percentile(xd, list(PROFILE_QUANTILES)) if exact
+            exact_q = exact and distinct[i] <= max_exact_distinct
+            q = (F.percentile(xd, list(PROFILE_QUANTILES)) if exact_q
                  else F.percentile_approx(xd, list(PROFILE_QUANTILES), accuracy))
             aggs += [F.min(xd).alias(f"lo{i}"), F.max(xd).alias(f"hi{i}"),
-                     F.avg(xd).alias(f"m{i}"), q.alias(f"q{i}")]
+                     F.avg(xd).alias(f"m{i}"), q.cast("array<double>").alias(f"q{i}"),
+                     F.lit("exact" if exact_q else "approx").alias(f"qm{i}")]
         else:
             none = F.lit(None).cast("double")
             aggs += [none.alias(f"lo{i}"), none.alias(f"hi{i}"), none.alias(f"m{i}"),
-                     F.lit(None).cast("array<double>").alias(f"q{i}")]
+                     F.lit(None).cast("array<double>").alias(f"q{i}"),
+                     F.lit(None).cast("string").alias(f"qm{i}")]
     wide = df.agg(*aggs)
     rows = ", ".join(
-        f"'{c}', n{i}, z{i}, cast(d{i} as bigint), lo{i}, hi{i}, m{i}, "
-        f"cast(q{i}[0] as double), cast(q{i}[1] as double), cast(q{i}[2] as double)"
+        f"'{c}', n{i}, z{i}, d{i}, lo{i}, hi{i}, m{i}, q{i}[0], q{i}[1], q{i}[2], qm{i}"
         for i, c in enumerate(cols))
     return wide.selectExpr(
         f"stack({len(cols)}, {rows}) as (column_name, n, n_null, n_distinct, "
-        "min, max, mean, p25, p50, p75)")
-
+        "min, max, mean, p25, p50, p75, quantile_method)")

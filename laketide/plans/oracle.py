@@ -261,12 +261,12 @@ def _profile_sql() -> str:
             f"SELECT '{c}' AS column_name, COUNT({c}) AS n, COUNT(*) - COUNT({c}) AS n_null, "
             f"COUNT(DISTINCT {c}) AS n_distinct, MIN({x}) AS min, MAX({x}) AS max, AVG({x}) AS mean, "
             f"quantile_cont({x}, 0.25) AS p25, quantile_cont({x}, 0.5) AS p50, "
-            f"quantile_cont({x}, 0.75) AS p75 FROM lineitem")
+            f"quantile_cont({x}, 0.75) AS p75, 'exact' AS quantile_method FROM lineitem")
     c = "l_returnflag"
     parts.append(
         f"SELECT '{c}', COUNT({c}), COUNT(*) - COUNT({c}), COUNT(DISTINCT {c}), CAST(NULL AS DOUBLE), "
         "CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), "
-        "CAST(NULL AS DOUBLE) FROM lineitem")
+        "CAST(NULL AS DOUBLE), CAST(NULL AS VARCHAR) FROM lineitem")
     return "\nUNION ALL\n".join(parts)
 
 

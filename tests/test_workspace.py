@@ -78,8 +78,13 @@ def test_profile_exact_and_approx(spark):
     assert (x["p25"], x["p50"], x["p75"]) == (1.75, 2.5, 3.25)
     s = got["s"]
     assert (s["n"], s["n_null"], s["n_distinct"], s["min"]) == (4, 1, 3, None)
+    assert x["quantile_method"] == "exact" and s["quantile_method"] is None
     approx = {r["column_name"]: r for r in workspace.profile(df, exact=False).collect()}
     assert approx["x"]["n_distinct"] == 4 and approx["x"]["p50"] in (2.0, 3.0)
+    assert approx["x"]["quantile_method"] == "approx"
+    # above the distinct bound, exact counts stay but quartiles come from sketches
+    capped = {r["column_name"]: r for r in workspace.profile(df, max_exact_distinct=3).collect()}
+    assert capped["x"]["quantile_method"] == "approx" and capped["x"]["n_distinct"] == 4
 
 
 def test_mine_itemsets_baskets(spark):
