@@ -25,8 +25,13 @@ DOMAIN_SEPARATOR = "|"
 
 
 def key_table(spark: SparkSession, key: bytes) -> DataFrame:
-    """One-row table ``key binary``. In production, read it from a protected path."""
-    return spark.createDataFrame([(bytearray(key),)], "key binary")
+    """One-row table ``key binary``. In production, read it from a protected path.
+
+    Cached: the pads subquery then reads executor memory instead of running
+    a job fed from the Python process each time; a lost copy is rebuilt
+    from lineage. The key stays out of every plan either way.
+    """
+    return spark.createDataFrame([(bytearray(key),)], "key binary").cache()
 
 
 def _block_key(key: Column) -> Column:

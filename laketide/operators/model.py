@@ -154,37 +154,49 @@ class Rule:
     measures: Sequence[str] = field(default_factory=list)
 
 
-def _long(table: str, check: str, pairs: Sequence[tuple[str, Column]], df: DataFrame) -> DataFrame:
-    """One aggregation over ``df`` giving one output row per (subject, value)."""
+def _long(pairs: Sequence[tuple[tuple[str, str, str], Column]], df: DataFrame) -> DataFrame:
+    """One aggregation pass over ``df``; one output row per labelled value."""
     agg = df.agg(*[v.cast("double").alias(f"v{i}") for i, (_, v) in enumerate(pairs)])
-    stack = ", ".join(f"'{s}', v{i}" for i, (s, _) in enumerate(pairs))
-    return agg.selectExpr(f"stack({len(pairs)}, {stack}) as (subject, value)").select(
-        F.lit(table).alias("table_name"), F.lit(check).alias("check"), "subject", "value")
+    stack = ", ".join(f"'{t}', '{c}', '{s}', v{i}" for i, ((t, c, s), _) in enumerate(pairs))
+    return agg.selectExpr(f"stack({len(pairs)}, {stack}) as (table_name, check, subject, value)")
 
 
 def quality_report(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> DataFrame:
     """Long table ``table_name, check, subject, value`` with one row per measurement.
 
-    Row and null counts are one aggregation pass per rule; duplicate keys a
-    grouped count; orphans a left anti join; reconciliation sums both sides.
+    Row counts, null counts and reconciliation totals of one table are
+    gathered into a single aggregation, so each table is scanned once for
+    them. Duplicate keys are a grouped count (partial counts before the
+    shuffle), orphans a left anti join against the distinct parent keys.
     Every branch reduces to a few rows before the union.
     """
+    scalar: dict[str, list[tuple[tuple[str, str, str], Column]]] = {}
     parts: list[DataFrame] = []
+
+    def add(on: str, label: tuple[str, str, str], value: Column) -> None:
+        scalar.setdefault(on, []).append((label, value))
+
     for r in rules:
         t = tables[r.table]
         if r.check == "rows":
-            parts.append(_long(r.table, "rows", [("*", F.count(F.lit(1)))], t))
+            add(r.table, (r.table, "rows", "*"), F.count(F.lit(1)))
         elif r.check == "nulls":
-            parts.append(_long(r.table, "nulls",
-                               [(c, F.count_if(F.col(c).isNull())) for c in r.columns], t))
+            for c in r.columns:
+                add(r.table, (r.table, "nulls", c), F.count_if(F.col(c).isNull()))
+        elif r.check == "reconcile":
+            for side, on in (("source", r.ref_table), ("target", r.table)):
+                add(on, (r.table, "reconcile", f"{side}:rows"), F.count(F.lit(1)))
+                for m in r.measures:
+                    add(on, (r.table, "reconcile", f"{side}:sum({m})"),
+                        F.sum(F.col(m).cast("decimal(38,2)")))
         elif r.check == "duplicate_keys":
             dup = (t.groupBy(*r.columns).agg(F.count(F.lit(1)).alias("n"))
                    .where(F.col("n") > 1))
             subject = ",".join(r.columns)
-            parts.append(_long(r.table, "duplicate_keys",
-                               [(subject + ":keys", F.count(F.lit(1))),
-                                (subject + ":extra_rows", F.coalesce(F.sum(F.col("n") - 1), F.lit(0)))],
-                               dup))
+            parts.append(_long(
+                [((r.table, "duplicate_keys", subject + ":keys"), F.count(F.lit(1))),
+                 ((r.table, "duplicate_keys", subject + ":extra_rows"),
+                  F.coalesce(F.sum(F.col("n") - 1), F.lit(0)))], dup))
         elif r.check == "orphans":
             ref = tables[r.ref_table].select(
                 *[F.col(c).alias(f"__r_{c}") for c in r.ref_columns]).distinct()
@@ -194,16 +206,12 @@ def quality_report(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> Da
                           [child[c] == ref[f"__r_{rc}"] for c, rc in zip(r.columns, r.ref_columns)])
             orphans = child.where(not_null).join(ref, cond, "left_anti")
             subject = ",".join(r.columns) + "->" + r.ref_table + "." + ",".join(r.ref_columns)
-            parts.append(_long(r.table, "orphans", [(subject, F.count(F.lit(1)))], orphans))
-            parts.append(_long(r.table, "null_foreign_keys", [(subject, F.count_if(~not_null))], child))
-        elif r.check == "reconcile":
-            src = tables[r.ref_table]
-            for side, d in (("source", src), ("target", t)):
-                pairs = [(f"{side}:rows", F.count(F.lit(1)))]
-                pairs += [(f"{side}:sum({m})", F.sum(F.col(m).cast("decimal(38,2)"))) for m in r.measures]
-                parts.append(_long(r.table, "reconcile", pairs, d))
+            parts.append(_long([((r.table, "orphans", subject), F.count(F.lit(1)))], orphans))
+            add(r.table, (r.table, "null_foreign_keys", subject), F.count_if(~not_null))
         else:
             raise ValueError(f"unknown check {r.check!r}")
+    for on, pairs in scalar.items():
+        parts.append(_long(pairs, tables[on]))
     return reduce(DataFrame.unionByName, parts)
 
 

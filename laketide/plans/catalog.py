@@ -39,8 +39,15 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, sf_dir, name, spread_scan=name not in FIXED_SIZE_TABLES)
 
 
+_KEY_TABLES: dict[str, DataFrame] = {}
+
+
 def _key(spark: SparkSession) -> DataFrame:
-    return keyed.key_table(spark, TEST_KEY)
+    """The test key table, one cached copy per Spark application."""
+    app = spark.sparkContext.applicationId
+    if app not in _KEY_TABLES:
+        _KEY_TABLES[app] = keyed.key_table(spark, TEST_KEY)
+    return _KEY_TABLES[app]
 
 
 def _money(c: str, scale: str = "decimal(12,2)"):
