@@ -12,6 +12,7 @@ from pyspark.sql.types import NumericType
 from laketide.functions import generalise as gen
 from laketide.functions import keyed
 from laketide.operators.privacy import generalise, pseudonymise, suppress_small_cells
+from laketide.sources.storage import publish_workspace_table
 
 
 # --------------------------------------------------------------------- W1
@@ -41,14 +42,17 @@ def workspace_key(key_df: DataFrame, workspace: str) -> DataFrame:
 
 
 def workspace_extract(spark: SparkSession, policy: Policy, workspace: str,
-                      key_df: DataFrame, source: DataFrame | None = None) -> DataFrame:
+                      key_df: DataFrame, source: DataFrame | None = None,
+                      lake_root: str | None = None, partition_by: Sequence[str] = ()) -> DataFrame:
     """Main lake to side lake as one declarative plan:
     row filter -> re-tokenise -> generalise -> small-cell suppression -> columns.
 
     ``source`` defaults to ``spark.table(policy.table)``. The filter and the
     column list reach the scan (pushdown and pruning); tokenising and
     generalising are narrow projections; suppression is one grouped count
-    plus an anti join. Write the result with ``publish_workspace_table``.
+    plus an anti join. With ``lake_root`` the extract is written to the
+    workspace's storage zone, registered in its catalog database, and the
+    registered table is returned.
     """
     df = source if source is not None else spark.table(policy.table)
     needed = list(dict.fromkeys([*policy.columns, *policy.quasi]))
@@ -61,7 +65,10 @@ def workspace_extract(spark: SparkSession, policy: Policy, workspace: str,
         df = generalise(df, policy.generalise)
     if policy.quasi and policy.k > 1:
         df = suppress_small_cells(df, policy.quasi, policy.k)
-    return df.select(*policy.columns)
+    df = df.select(*policy.columns)
+    if lake_root is None:
+        return df
+    return publish_workspace_table(df, workspace, policy.table, partition_by, lake_root)
 
 
 # --------------------------------------------------------------------- W2

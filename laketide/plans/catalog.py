@@ -269,8 +269,11 @@ def w1_policy(spark: SparkSession, sf_dir: str) -> workspace.Policy:
 
 
 def w1_workspace_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The research workspace's governed copy of the customer table, written
+    to its storage zone and read back through its catalog."""
     return workspace.workspace_extract(spark, w1_policy(spark, sf_dir), WORKSPACE, _key(spark),
-                                       source=_t(spark, sf_dir, "customer"))
+                                       source=_t(spark, sf_dir, "customer"),
+                                       lake_root=scratch_path(spark, "lake"))
 
 
 def w2_sample_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -44,6 +44,17 @@ def test_open_and_strict_policy_on_one_table(spark):
     assert not (ta & tb) and not (ta & main) and not (tb & main)
 
 
+def test_extract_published_to_workspace(spark):
+    from laketide.session import scratch_path
+    key = keyed.key_table(spark, b"main key for tests")
+    cust = _customers(spark)
+    p = workspace.Policy("customer", ["c_custkey", "c_mktsegment"], tokenise={"c_custkey": "customer"})
+    lake = scratch_path(spark, "test-ws-lake")
+    out = workspace.workspace_extract(spark, p, "ws_pub", key, source=cust, lake_root=lake)
+    assert out.count() == cust.count()
+    assert spark.table("ws_pub.customer").count() == cust.count()
+
+
 def test_extract_leaks_no_identifiers(spark):
     key = keyed.key_table(spark, b"main key for tests")
     cust = _customers(spark)
