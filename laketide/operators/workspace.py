@@ -11,7 +11,7 @@ from pyspark.sql.types import NumericType
 
 from laketide.functions import generalise as gen
 from laketide.functions import keyed
-from laketide.operators.privacy import generalise, pseudonymise, suppress_small_cells
+from laketide.operators.privacy import generalise, mask_text, pseudonymise, suppress_small_cells
 from laketide.sources.storage import publish_workspace_table
 
 
@@ -24,12 +24,15 @@ class Policy:
     ``row_filter``: SQL predicate on the source rows; ``tokenise``: column ->
     domain, re-tokenised under the workspace's own key; ``generalise``: rules
     of ``privacy.generalise``; ``quasi`` and ``k``: small-cell suppression
-    over the generalised quasi-identifiers.
+    over the generalised quasi-identifiers; ``mask``: free-text columns whose
+    direct identifiers are blanked (``privacy.mask_text`` with the default
+    rules; the hit counts are not carried into the extract).
     """
     table: str
     columns: Sequence[str]
     row_filter: str | None = None
     tokenise: Mapping[str, str] = field(default_factory=dict)
+    mask: Sequence[str] = field(default_factory=list)
     generalise: Mapping[str, tuple] = field(default_factory=dict)
     quasi: Sequence[str] = field(default_factory=list)
     k: int = 1
@@ -45,7 +48,7 @@ def workspace_extract(spark: SparkSession, policy: Policy, workspace: str,
                       key_df: DataFrame, source: DataFrame | None = None,
                       lake_root: str | None = None, partition_by: Sequence[str] = ()) -> DataFrame:
     """Main lake to side lake as one declarative plan:
-    row filter -> re-tokenise -> generalise -> small-cell suppression -> columns.
+    row filter -> re-tokenise -> mask texts -> generalise -> small-cell suppression -> columns.
 
     ``source`` defaults to ``spark.table(policy.table)``. The filter and the
     column list reach the scan (pushdown and pruning); tokenising and
@@ -61,6 +64,8 @@ def workspace_extract(spark: SparkSession, policy: Policy, workspace: str,
     df = df.select(*needed)
     if policy.tokenise:
         df = pseudonymise(df, dict(policy.tokenise), workspace_key(key_df, workspace))
+    for c in policy.mask:
+        df = mask_text(df, c).select(*needed)
     if policy.generalise:
         df = generalise(df, policy.generalise)
     if policy.quasi and policy.k > 1:
