@@ -31,11 +31,38 @@ SESSION_CONF = {
 }
 
 
+# Sizing for a large cluster (~1000 executors, ~100 TB inputs). Shuffles
+# start wide and AQE coalesces them to ~256 MB partitions, so a partition fits
+# an executor's memory at any scale; scans split at 256 MB; skewed shuffle
+# partitions (5x the median and over 256 MB) are split by AQE; runtime
+# broadcasts are allowed up to 64 MB of measured shuffle output.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.autoBroadcastJoinThreshold": "32m",
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.execution.sortBeforeRepartition": "true",
+}
+
+
 def build_session(master: str = "local[*]", app_name: str = "laketide",
                   shuffle_partitions: int | None = None,
-                  extra: dict[str, str] | None = None) -> SparkSession:
+                  extra: dict[str, str] | None = None, profile: str = "local") -> SparkSession:
+    """A session with this library's settings.
+
+    ``profile="cluster"`` adds ``CLUSTER_CONF``. ``spark.checkpoint.dir``
+    must then name a shared folder (see ``shared_dir``).
+    """
     builder = SparkSession.builder.master(master).appName(app_name)
-    for k, v in SESSION_CONF.items():
+    conf = dict(SESSION_CONF)
+    if profile == "cluster":
+        conf.update(CLUSTER_CONF)
+    for k, v in conf.items():
         builder = builder.config(k, v)
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
