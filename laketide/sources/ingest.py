@@ -55,6 +55,9 @@ def land_files(spark: SparkSession, path: str, fmt: str, schema: StructType,
     non-nullable. Never infers a schema. With paths given, good rows are
     written to staging and bad rows to quarantine, and both are read back.
     Works for ``csv``, ``json`` (lines), ``parquet``, ``orc`` and ``text``.
+    Typed files (Parquet, ORC) are conformed with ``try_cast``: a value that
+    does not convert makes the row bad (raw row kept as JSON) instead of
+    failing the job under ANSI mode.
     """
     opts = dict(options or {})
     required = [f.name for f in schema.fields if not f.nullable]
@@ -70,10 +73,15 @@ def land_files(spark: SparkSession, path: str, fmt: str, schema: StructType,
             CORRUPT_COL, F.lit(None).cast("string"))
         corrupt = F.lit(False)
     else:
-        raw = (spark.read.format(fmt).options(**opts).load(path)
-               .select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-               .withColumn(CORRUPT_COL, F.lit(None).cast("string")))
-        corrupt = F.lit(False)
+        src = spark.read.format(fmt).options(**opts).load(path)
+        names = [f.name for f in schema.fields]
+        lost = F.lit(False)
+        for f in schema.fields:
+            lost = lost | (F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull())
+        raw = src.select(
+            *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields],
+            F.when(lost, F.to_json(F.struct(*names))).alias(CORRUPT_COL))
+        corrupt = F.col(CORRUPT_COL).isNotNull()
     missing = F.lit(False)
     for c in required:
         missing = missing | F.col(c).isNull()

@@ -124,3 +124,23 @@ def test_zone_layout():
         except ValueError:
             continue
         raise AssertionError(bad)
+
+
+def test_land_files_typed_and_text(spark):
+    root = scratch_path(spark, "test-land-typed")
+    src = spark.createDataFrame([("1", "a", "2020-01-01", "1.50"), ("x", "b", "2020-01-02", "2.00"),
+                                 ("3", "c", "not a date", "3.00"), (None, "d", "2020-01-04", "4.00")],
+                                "id string, name string, joined string, balance string")
+    for fmt in ("parquet", "orc"):
+        src.write.format(fmt).save(f"{root}/{fmt}")
+        good, bad = ingest.land_files(spark, f"{root}/{fmt}", fmt, RAW_SCHEMA)
+        assert [r["id"] for r in good.collect()] == [1], fmt
+        assert sorted(r["_reason"] for r in bad.collect()) == ["missing_required", "unparsable",
+                                                               "unparsable"], fmt
+        assert any('"id":"x"' in r["raw"] for r in bad.collect())
+    os.makedirs(f"{root}/txt")
+    with open(f"{root}/txt/a.txt", "w") as f:
+        f.write("line one\nline two\n")
+    good, bad = ingest.land_files(spark, f"{root}/txt", "text",
+                                  StructType([StructField("value", StringType(), True)]))
+    assert sorted(r["value"] for r in good.collect()) == ["line one", "line two"] and bad.count() == 0
