@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
+from pyspark.sql.window import Window
 
 from laketide.functions import generalise as gen
 from laketide.functions import keyed
@@ -93,20 +94,74 @@ PROFILE_QUANTILES = (0.25, 0.5, 0.75)
 MAX_EXACT_DISTINCT = 1_000_000
 
 
+def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], buckets: int = 1024) -> DataFrame:
+    """Exact interpolated percentiles of a numeric column, computed without
+    ever holding a column's values in one task.
+
+    One row, column ``q``: array of doubles in the order of ``qs``, equal to
+    Spark's ``percentile`` (position ``q * (n - 1)``, linear between the two
+    nearest ranks). Plan:
+
+    1. value -> count table (partial aggregation: a hot value is one row);
+    2. bucket the distinct values by sketch-estimated quantile edges, so each
+       bucket holds about 1/``buckets`` of them (the edges, ``buckets``
+       numbers, are the only thing the driver sees);
+    3. running counts per bucket (window over one bucket) plus bucket offsets
+       (window over ``buckets`` rows) give every value its rank interval;
+    4. keep the few values whose interval holds a target rank, interpolate.
+    """
+    from pyspark.ml.feature import Bucketizer
+
+    vals = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
+    freq = vals.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
+    probs = [i / buckets for i in range(1, buckets)]
+    edges = freq.agg(F.percentile_approx("v", probs, 20 * buckets).alias("e")).first()["e"] or []
+    splits = [float("-inf"), *sorted({e for e in edges if e == e}), float("inf")]
+    if len(splits) < 3:
+        splits = [float("-inf"), 0.0, float("inf")]
+    binned = Bucketizer(splits=splits, inputCol="v", outputCol="b",
+                        handleInvalid="keep").transform(freq)
+    totals = binned.groupBy("b").agg(F.sum("c").alias("bc"))
+    offsets = totals.select("b", F.coalesce(F.sum("bc").over(
+        Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("off"))
+    n = totals.agg(F.sum("bc")).scalar()
+    upto = F.sum("c").over(Window.partitionBy("b").orderBy("v")
+                           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    # offsets has one row per bucket: a proven bound, broadcast.
+    ranked = (binned.withColumn("hi", upto).join(F.broadcast(offsets), "b")
+              .select("v", (F.col("off") + F.col("hi") - F.col("c")).alias("lo_rank"),
+                      (F.col("off") + F.col("hi")).alias("hi_rank")))
+    pos = [F.lit(q) * (n - F.lit(1)).cast("double") for q in qs]
+    ranks = [r for p in pos for r in (F.floor(p), F.ceil(p))]
+    hit = None
+    for r in ranks:
+        h = (F.col("lo_rank") <= r) & (r < F.col("hi_rank"))
+        hit = h if hit is None else hit | h
+    picked = ranked.where(hit)
+    value_at = {}
+    for i, p in enumerate(pos):
+        lo, hi = F.floor(p), F.ceil(p)
+        v0 = F.max(F.when((F.col("lo_rank") <= lo) & (lo < F.col("hi_rank")), F.col("v")))
+        v1 = F.max(F.when((F.col("lo_rank") <= hi) & (hi < F.col("hi_rank")), F.col("v")))
+        value_at[i] = F.when((lo == hi) | (v0 == v1), v0).otherwise(
+            (hi - p) * v0 + (p - lo) * v1)
+    return picked.agg(F.array(*[value_at[i] for i in range(len(qs))]).alias("q"))
+
+
 def profile(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True,
             accuracy: int = 10_000, max_exact_distinct: int = MAX_EXACT_DISTINCT) -> DataFrame:
     """Per column: count, nulls, distinct, min, max, mean, quartiles.
 
     One wide aggregation pass, then ``stack`` to one row per column.
 
-    ``exact=True``: distinct counts are exact (one distributed pass first);
-    quartiles are exact interpolated percentiles (the oracle's definition)
-    for columns whose distinct count is at most ``max_exact_distinct``,
-    because an exact percentile merges a value->count map of the column in
-    one final buffer. Columns above the bound get Greenwald-Khanna sketches
-    (fixed-size partial states). ``exact=False`` uses HyperLogLog++ and
-    sketches throughout, in a single pass. ``quantile_method`` says which
-    applied. Non-numeric columns get counts only.
+    ``exact=True``: exact distinct counts (one distributed pass first) and
+    exact interpolated quartiles (the oracle's definition). A column with at
+    most ``max_exact_distinct`` distinct values uses Spark's ``percentile``,
+    whose value->count map then stays bounded; a column above it uses
+    ``exact_quantiles``, which never gathers a column in one task. Both are
+    exact (``quantile_method`` = ``exact``). ``exact=False``: HyperLogLog++
+    and Greenwald-Khanna sketches in one pass (``approx``). Non-numeric
+    columns get counts only.
     """
     cols = list(cols or df.columns)
     numeric = {f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)}
@@ -115,24 +170,31 @@ def profile(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True
         first = df.agg(*[F.count_distinct(F.col(c)).alias(f"d{i}") for i, c in enumerate(cols)]).first()
         distinct = {i: first[f"d{i}"] for i in range(len(cols))}
     aggs = []
+    ranked: dict[int, object] = {}
     for i, c in enumerate(cols):
         x = F.col(c)
         d = F.lit(distinct[i]).cast("bigint") if exact else F.approx_count_distinct(x)
         aggs += [F.count(x).alias(f"n{i}"), F.count_if(x.isNull()).alias(f"z{i}"), d.alias(f"d{i}")]
         if c in numeric:
             xd = x.cast("double")
-            exact_q = exact and distinct[i] <= max_exact_distinct
-            q = (F.percentile(xd, list(PROFILE_QUANTILES)) if exact_q
-                 else F.percentile_approx(xd, list(PROFILE_QUANTILES), accuracy))
+            if exact and distinct[i] > max_exact_distinct:
+                ranked[i] = exact_quantiles(df, c, PROFILE_QUANTILES).scalar()
+                q = F.lit(None).cast("array<double>")
+            elif exact:
+                q = F.percentile(xd, list(PROFILE_QUANTILES))
+            else:
+                q = F.percentile_approx(xd, list(PROFILE_QUANTILES), accuracy)
             aggs += [F.min(xd).alias(f"lo{i}"), F.max(xd).alias(f"hi{i}"),
                      F.avg(xd).alias(f"m{i}"), q.cast("array<double>").alias(f"q{i}"),
-                     F.lit("exact" if exact_q else "approx").alias(f"qm{i}")]
+                     F.lit("exact" if exact else "approx").alias(f"qm{i}")]
         else:
             none = F.lit(None).cast("double")
             aggs += [none.alias(f"lo{i}"), none.alias(f"hi{i}"), none.alias(f"m{i}"),
                      F.lit(None).cast("array<double>").alias(f"q{i}"),
                      F.lit(None).cast("string").alias(f"qm{i}")]
     wide = df.agg(*aggs)
+    if ranked:
+        wide = wide.withColumns({f"q{i}": col for i, col in ranked.items()})
     rows = ", ".join(
         f"'{c}', n{i}, z{i}, d{i}, lo{i}, hi{i}, m{i}, q{i}[0], q{i}[1], q{i}[2], qm{i}"
         for i, c in enumerate(cols))

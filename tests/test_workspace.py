@@ -93,9 +93,23 @@ def test_profile_exact_and_approx(spark):
     approx = {r["column_name"]: r for r in workspace.profile(df, exact=False).collect()}
     assert approx["x"]["n_distinct"] == 4 and approx["x"]["p50"] in (2.0, 3.0)
     assert approx["x"]["quantile_method"] == "approx"
-    # above the distinct bound, exact counts stay but quartiles come from sketches
+    # above the distinct bound the distributed exact path gives the same numbers
     capped = {r["column_name"]: r for r in workspace.profile(df, max_exact_distinct=3).collect()}
-    assert capped["x"]["quantile_method"] == "approx" and capped["x"]["n_distinct"] == 4
+    assert capped["x"]["quantile_method"] == "exact" and capped["x"]["n_distinct"] == 4
+    assert (capped["x"]["p25"], capped["x"]["p50"], capped["x"]["p75"]) == (1.75, 2.5, 3.25)
+
+
+def test_exact_quantiles_match_percentile(spark):
+    import random
+    rnd = random.Random(3)
+    # a hot value holding a third of the rows, long tail, duplicates, nulls
+    vals = [7.0] * 400 + [rnd.choice([rnd.random() * 1000, float(rnd.randint(0, 50))]) for _ in range(800)]
+    vals += [None] * 20
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    qs = [0.0, 0.1, 0.25, 0.333, 0.5, 0.9, 0.999, 1.0]
+    got = workspace.exact_quantiles(df, "x", qs, buckets=16).first()["q"]
+    want = df.agg(F.percentile("x", qs)).first()[0]
+    assert got == want
 
 
 def test_mine_itemsets_baskets(spark):
