@@ -6,15 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def to_year(c: Column) -> Column:
-    return F.year(c)
-
-
-def to_month(c: Column) -> Column:
-    """First day of the month, as a date."""
-    return F.trunc(c, "MM")
-
-
 def to_band(c: Column, width: int) -> Column:
     """Lower bound of the band of ``width`` the value falls in, as bigint."""
     return (F.floor(c / F.lit(width)) * F.lit(width)).cast("bigint")

@@ -131,9 +131,9 @@ def generalise(df: DataFrame, rules: Mapping[str, tuple]) -> DataFrame:
     for c, rule in rules.items():
         kind = rule[0]
         if kind == "year":
-            simple[c] = gen.to_year(F.col(c))
+            simple[c] = F.year(F.col(c))
         elif kind == "month":
-            simple[c] = gen.to_month(F.col(c))
+            simple[c] = F.trunc(F.col(c), "MM")  # first day of the month, a date
         elif kind == "band":
             simple[c] = gen.to_band(F.col(c), rule[1])
         elif kind == "lookup":

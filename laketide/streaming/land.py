@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructField, StructType, TimestampNTZType, TimestampType
+from pyspark.sql.types import StructType, TimestampNTZType, TimestampType
 
 
 def stream_land(spark: SparkSession, src: str, schema: StructType, ts_col: str, key: str,
@@ -37,6 +37,3 @@ def stream_land(spark: SparkSession, src: str, schema: StructType, ts_col: str,
     writer = writer.trigger(availableNow=True) if available_now else writer
     return writer.start()
 
-
-def landed_schema(schema: StructType) -> StructType:
-    return StructType([StructField(f.name, f.dataType, True) for f in schema.fields])
