@@ -13,7 +13,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
+# Rows, of the projected lookup (a key and a value or two): ~100k rows stay
+# within a few MB per executor even when copied to a thousand of them.
+DEFAULT_BROADCAST_ROWS = 100_000
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:

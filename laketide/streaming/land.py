@@ -10,7 +10,8 @@ from pyspark.sql.types import StructType, TimestampNTZType, TimestampType
 
 def stream_land(spark: SparkSession, src: str, schema: StructType, ts_col: str, key: str,
                 delay: str, dst: str, checkpoint: str, fmt: str = "parquet",
-                available_now: bool = True) -> StreamingQuery:
+                available_now: bool = True,
+                max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Land new files from ``src`` into ``dst``, each ``key`` once.
 
     ``dropDuplicatesWithinWatermark`` keeps the first row per key; its state
@@ -24,9 +25,16 @@ def stream_land(spark: SparkSession, src: str, schema: StructType, ts_col: str,
     Watermarks need ``timestamp``; a ``timestamp_ntz`` column is read as
     such, converted for the watermark (wall-clock kept, under the session
     time zone) and converted back before writing.
+
+    ``max_files_per_trigger`` bounds each micro-batch, so catching up on a
+    large backlog (``availableNow`` honours it) runs as several bounded
+    batches instead of one.
     """
     ntz = isinstance(schema[ts_col].dataType, TimestampNTZType)
-    stream = spark.readStream.format(fmt).schema(schema).load(src)
+    reader = spark.readStream.format(fmt).schema(schema)
+    if max_files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    stream = reader.load(src)
     if ntz:
         stream = stream.withColumn(ts_col, F.col(ts_col).cast(TimestampType()))
     landed = stream.withWatermark(ts_col, delay).dropDuplicatesWithinWatermark([key])

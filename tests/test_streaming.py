@@ -40,3 +40,17 @@ def test_stream_land_late_events(spark):
     assert (3, "repeat-after-delay") in vs
     # Running again over the same input adds no row.
     assert _land(spark, root) == landed
+
+
+def test_stream_land_bounded_batches(spark):
+    from pyspark.sql.types import _parse_datatype_string
+    root = scratch_path(spark, "test-stream-batches")
+    for b in range(3):
+        rows = [(b * 10 + i, D(1 + b), f"b{b}") for i in range(10)] + [(i, D(1), "repeat") for i in range(5)]
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(f"{root}/src/b{b}")
+    q = stream_land(spark, f"{root}/src/*", _parse_datatype_string(SCHEMA), "ts", "event_id",
+                    "40 days", f"{root}/dst", f"{root}/chk", max_files_per_trigger=1)
+    q.awaitTermination()
+    assert len(q.recentProgress) >= 3  # one micro-batch per file
+    got = sorted(r["event_id"] for r in spark.read.parquet(f"{root}/dst").collect())
+    assert got == list(range(30))
