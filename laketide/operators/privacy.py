@@ -139,8 +139,10 @@ def generalise(df: DataFrame, rules: Mapping[str, tuple]) -> DataFrame:
         elif kind == "lookup":
             _, lookup, key_col, value_col = rule
             tmp = f"__gen_{c}"
-            side = broadcast_if_small(lookup.select(F.col(key_col).alias(tmp),
-                                                    F.col(value_col).alias(f"{tmp}_v")))
+            # One value per key (the greatest), so a duplicated key cannot
+            # multiply rows; a partial aggregation, then the size check.
+            side = broadcast_if_small(lookup.groupBy(F.col(key_col).alias(tmp))
+                                      .agg(F.max(value_col).alias(f"{tmp}_v")))
             out = (out.join(side, out[c] == side[tmp], "left")
                    .withColumn(c, F.col(f"{tmp}_v")).drop(tmp, f"{tmp}_v"))
         else:

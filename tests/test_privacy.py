@@ -76,14 +76,16 @@ def test_generalise_rules(spark):
         [(1, dt.datetime(2021, 3, 17, 10, 0), 1234.5, 7), (2, dt.datetime(1999, 12, 31), -0.5, 8),
          (3, None, None, 99)],
         "id long, d timestamp_ntz, x double, nation int")
-    regions = spark.createDataFrame([(7, "EUROPE"), (8, "ASIA")], "k int, v string")
+    regions = spark.createDataFrame([(7, "EUROPE"), (8, "ASIA"), (8, "ASIA-PACIFIC")], "k int, v string")
     out = privacy.generalise(
         df.withColumn("y", F.col("d")),
         {"d": ("month",), "y": ("year",), "x": ("band", 1000), "nation": ("lookup", regions, "k", "v")})
     got = {r["id"]: r for r in out.collect()}
     assert got[1]["d"] == dt.date(2021, 3, 1) and got[1]["y"] == 2021
     assert got[1]["x"] == 1000 and got[2]["x"] == -1000
+    assert out.count() == 3  # the duplicated lookup key does not multiply rows
     assert got[1]["nation"] == "EUROPE" and got[3]["nation"] is None
+    assert got[2]["nation"] == "ASIA-PACIFIC"
     assert got[3]["d"] is None and got[3]["x"] is None
 
 
