@@ -85,6 +85,32 @@ def a1_management_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         mode="rollup")
 
 
+def _line_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "lineitem").select(
+        "l_returnflag", "l_linestatus", F.year("l_shipdate").alias("ship_year"), "l_quantity",
+        (_money("l_extendedprice") * (F.lit(1) - _money("l_discount", "decimal(4,2)"))).alias("rev"))
+
+
+_LINE_MEASURES = {"sum_qty": lambda: F.sum("l_quantity"),
+                  "revenue": lambda: F.sum("rev").cast("double"),
+                  "n_lines": lambda: F.count(F.lit(1))}
+
+
+def a1_report_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line volume and revenue by return flag, line status and ship year, all subtotals."""
+    return report.management_report(
+        _line_fact(spark, sf_dir), ["l_returnflag", "l_linestatus", "ship_year"],
+        {k: f() for k, f in _LINE_MEASURES.items()}, mode="cube")
+
+
+def a1_report_grouping_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same measures for (flag, status), for ship year alone, and in total."""
+    return report.management_report(
+        _line_fact(spark, sf_dir), ["l_returnflag", "l_linestatus", "ship_year"],
+        {k: f() for k, f in _LINE_MEASURES.items()},
+        mode=[["l_returnflag", "l_linestatus"], ["ship_year"], []])
+
+
 # ------------------------------------------------------------------ P1-P6
 def p1_pseudonymise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return privacy.pseudonymise(
@@ -157,6 +183,12 @@ def p6_suppress_small_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return privacy.suppress_small_cells(cust, ["c_nationkey", "c_mktsegment"], K_SMALL_CELLS)
 
 
+def p6_mask_small_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cust = _t(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    return privacy.suppress_small_cells(cust, ["c_nationkey", "c_mktsegment"], K_SMALL_CELLS,
+                                        mode="mask")
+
+
 # ------------------------------------------------------------------ R1-R5
 def _part_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.build_dimension(
@@ -280,6 +312,11 @@ def w2_sample_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return workspace.sample_cohort(_t(spark, sf_dir, "orders"), "o_custkey", COHORT_SALT, 10.0)
 
 
+def w2_sample_cohort_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same cohort in another table: events of the sampled customers."""
+    return workspace.sample_cohort(_t(spark, sf_dir, "events"), "user_id", COHORT_SALT, 10.0)
+
+
 def w3_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return workspace.profile(_t(spark, sf_dir, "lineitem"),
                              ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
@@ -393,6 +430,8 @@ def s7_publish_workspace_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "a1_management_report": a1_management_report,
+    "a1_report_cube": a1_report_cube,
+    "a1_report_grouping_sets": a1_report_grouping_sets,
     "p1_pseudonymise": p1_pseudonymise,
     "p2_token_vault": p2_token_vault,
     "p3_reidentify": p3_reidentify,
@@ -401,6 +440,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p5_generalise_customers": p5_generalise_customers,
     "p5_generalise_orders": p5_generalise_orders,
     "p6_suppress_small_cells": p6_suppress_small_cells,
+    "p6_mask_small_cells": p6_mask_small_cells,
     "r1_build_dimension": r1_build_dimension,
     "r2_build_fact": r2_build_fact,
     "r3_history_scd2": r3_history_scd2,
@@ -411,6 +451,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "a4_cross_org_link": a4_cross_org_link,
     "w1_workspace_extract": w1_workspace_extract,
     "w2_sample_cohort": w2_sample_cohort,
+    "w2_sample_cohort_events": w2_sample_cohort_events,
     "w3_profile": w3_profile,
     "w4_mine_itemsets": w4_mine_itemsets,
     "w4_association_rules": w4_association_rules,

@@ -48,6 +48,23 @@ SELECT r_name, c_mktsegment, o_year, CAST(SUM(rev) AS DOUBLE) AS revenue, COUNT(
 FROM fact GROUP BY ROLLUP (r_name, c_mktsegment, o_year)
 """
 
+_LINE_FACT = """(SELECT l_returnflag, l_linestatus, CAST(year(l_shipdate) AS INTEGER) AS ship_year, l_quantity,
+         CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS rev
+  FROM lineitem)"""
+_LINE_SELECT = """SELECT l_returnflag, l_linestatus, ship_year, SUM(l_quantity) AS sum_qty,
+       CAST(SUM(rev) AS DOUBLE) AS revenue, COUNT(*) AS n_lines,
+       CAST(GROUPING(l_returnflag, l_linestatus, ship_year) AS BIGINT) AS gid"""
+
+A1_CUBE = f"""
+{_LINE_SELECT}
+FROM {_LINE_FACT} GROUP BY CUBE (l_returnflag, l_linestatus, ship_year)
+"""
+
+A1_SETS = f"""
+{_LINE_SELECT}
+FROM {_LINE_FACT} GROUP BY GROUPING SETS ((l_returnflag, l_linestatus), (ship_year), ())
+"""
+
 P1 = f"""
 SELECT {_tok('c_custkey', 'customer')} AS c_custkey, {_tok('c_name', 'customer_name')} AS c_name,
        c_nationkey, c_acctbal, c_mktsegment
@@ -109,6 +126,14 @@ SELECT c_custkey, c_nationkey, c_mktsegment FROM (
 WHERE n >= {C.K_SMALL_CELLS}
 """
 
+P6_MASK = f"""
+SELECT c_custkey,
+       CASE WHEN n < {C.K_SMALL_CELLS} THEN NULL ELSE c_nationkey END AS c_nationkey,
+       CASE WHEN n < {C.K_SMALL_CELLS} THEN NULL ELSE c_mktsegment END AS c_mktsegment
+FROM (SELECT c_custkey, c_nationkey, c_mktsegment,
+             COUNT(*) OVER (PARTITION BY c_nationkey, c_mktsegment) AS n FROM customer)
+"""
+
 R1 = f"""
 SELECT sha256(CAST(p_partkey AS VARCHAR)) AS part_key, p_partkey, p_name, p_brand, p_type FROM (
   SELECT p_partkey, p_name, p_brand, p_type,
@@ -252,6 +277,11 @@ SELECT * FROM orders
 WHERE CAST(('0x' || substr(md5('{C.COHORT_SALT}|' || CAST(o_custkey AS VARCHAR)), 1, 8)) AS BIGINT) % 10000 < 1000
 """
 
+W2_EVENTS = f"""
+SELECT * FROM events
+WHERE CAST(('0x' || substr(md5('{C.COHORT_SALT}|' || CAST(user_id AS VARCHAR)), 1, 8)) AS BIGINT) % 10000 < 1000
+"""
+
 
 def _profile_sql() -> str:
     parts = []
@@ -351,6 +381,8 @@ S7 = "SELECT s_suppkey, s_name, s_acctbal, s_nationkey FROM supplier"
 
 ORACLE: dict[str, str] = {
     "a1_management_report": A1,
+    "a1_report_cube": A1_CUBE,
+    "a1_report_grouping_sets": A1_SETS,
     "p1_pseudonymise": P1,
     "p2_token_vault": P2,
     "p3_reidentify": P3,
@@ -359,6 +391,7 @@ ORACLE: dict[str, str] = {
     "p5_generalise_customers": P5_CUSTOMERS,
     "p5_generalise_orders": P5_ORDERS,
     "p6_suppress_small_cells": P6,
+    "p6_mask_small_cells": P6_MASK,
     "r1_build_dimension": R1,
     "r2_build_fact": R2,
     "r3_history_scd2": R3,
@@ -369,6 +402,7 @@ ORACLE: dict[str, str] = {
     "a4_cross_org_link": A4,
     "w1_workspace_extract": W1,
     "w2_sample_cohort": W2,
+    "w2_sample_cohort_events": W2_EVENTS,
     "w3_profile": W3,
     "w4_mine_itemsets": W4_ITEMSETS,
     "w4_association_rules": W4_RULES,
