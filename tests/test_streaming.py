@@ -54,3 +54,25 @@ def test_stream_land_bounded_batches(spark):
     assert len(q.recentProgress) >= 3  # one micro-batch per file
     got = sorted(r["event_id"] for r in spark.read.parquet(f"{root}/dst").collect())
     assert got == list(range(30))
+
+
+def test_stream_land_with_rocksdb_state(spark):
+    from pyspark.sql.types import _parse_datatype_string
+    from laketide.session import CLUSTER_CONF
+    key = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, CLUSTER_CONF[key])
+    try:
+        root = scratch_path(spark, "test-stream-rocksdb")
+        rows = [(i % 50, D(1 + i % 5), "x") for i in range(200)]
+        spark.createDataFrame(rows, SCHEMA).write.parquet(f"{root}/src/b0")
+        q = stream_land(spark, f"{root}/src/*", _parse_datatype_string(SCHEMA), "ts", "event_id",
+                        "40 days", f"{root}/dst", f"{root}/chk")
+        q.awaitTermination()
+        got = sorted(r["event_id"] for r in spark.read.parquet(f"{root}/dst").collect())
+        assert got == list(range(50))
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
