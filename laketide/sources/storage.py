@@ -107,12 +107,18 @@ def upsert_storage(base: DataFrame, delta: DataFrame, key: Sequence[str],
 # --------------------------------------------------------------------- S7
 def publish_workspace_table(df: DataFrame, workspace: str, table: str,
                             partition_by: Sequence[str] = (),
-                            lake_root: str | None = None) -> DataFrame:
+                            lake_root: str | None = None,
+                            bucket_by: tuple[int, Sequence[str]] | None = None) -> DataFrame:
     """Register a stored table in the workspace's own catalog database.
 
     The database is created on first use, located in the workspace's
     storage zone when ``lake_root`` is given; the table is written with
     ``saveAsTable`` (overwrite) and read back through the catalog.
+
+    ``bucket_by=(n, cols)`` stores the table hashed into ``n`` buckets on
+    ``cols`` (sorted within buckets): later joins and aggregations on those
+    columns against tables bucketed the same way read co-located buckets
+    without a shuffle.
     """
     spark: SparkSession = df.sparkSession
     check_name(workspace)
@@ -125,5 +131,8 @@ def publish_workspace_table(df: DataFrame, workspace: str, table: str,
     writer = df.write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if bucket_by is not None:
+        n, cols = bucket_by
+        writer = writer.bucketBy(n, *cols).sortBy(*cols)
     writer.saveAsTable(f"`{workspace}`.`{table}`")
     return spark.table(f"`{workspace}`.`{table}`")

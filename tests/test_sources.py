@@ -144,3 +144,22 @@ def test_land_files_typed_and_text(spark):
     good, bad = ingest.land_files(spark, f"{root}/txt", "text",
                                   StructType([StructField("value", StringType(), True)]))
     assert sorted(r["value"] for r in good.collect()) == ["line one", "line two"] and bad.count() == 0
+
+
+def test_bucketed_tables_join_without_shuffle(spark):
+    lake = scratch_path(spark, "test-bucket-lake")
+    orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    cust = spark.read.parquet(f"{SF_SMALL}/customer.parquet")
+    o = storage.publish_workspace_table(orders, "ws_bucket", "orders", lake_root=lake,
+                                        bucket_by=(8, ["o_custkey"]))
+    c = storage.publish_workspace_table(cust, "ws_bucket", "customer", lake_root=lake,
+                                        bucket_by=(8, ["c_custkey"]))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = o.join(c, o.o_custkey == c.c_custkey)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert joined.count() == orders.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
