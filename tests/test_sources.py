@@ -163,3 +163,49 @@ def test_bucketed_tables_join_without_shuffle(spark):
         assert joined.count() == orders.count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+class _RecordingReader:
+    """Stands in for ``spark.read`` (no database here): records the JDBC
+    options and answers from a DataFrame."""
+
+    def __init__(self, spark, calls):
+        from pyspark.sql.readwriter import DataFrameReader
+        self.spark, self.calls, self.opts = spark, calls, {}
+        self.real = DataFrameReader(spark)
+
+    def parquet(self, *paths):
+        return self.real.parquet(*paths)
+
+    def format(self, fmt):
+        self.opts["format"] = fmt
+        return self
+
+    def options(self, **kw):
+        self.opts.update(kw)
+        return self
+
+    def load(self):
+        self.calls.append(dict(self.opts))
+        if "query" in self.opts:
+            return self.spark.createDataFrame([(3, 907)], "lo long, hi long")
+        return self.spark.range(3, 908).withColumnRenamed("id", "cust_id")
+
+
+def test_ingest_table_parallel_ranges(spark, monkeypatch):
+    from pyspark.sql import SparkSession
+    real = SparkSession.read
+    calls = []
+    monkeypatch.setattr(SparkSession, "read", property(lambda self: _RecordingReader(self, calls)))
+    staging = scratch_path(spark, "test-jdbc-staging")
+    opts = {"url": "jdbc:postgresql://db.example/ops", "user": "etl"}
+    out = ingest.ingest_table(spark, opts, "public.customers", "cust_id", 16, staging_path=staging)
+    monkeypatch.setattr(SparkSession, "read", real)
+    bounds_call, read_call = calls
+    assert bounds_call["query"] == "SELECT MIN(cust_id) AS lo, MAX(cust_id) AS hi FROM public.customers"
+    assert "dbtable" not in bounds_call
+    assert read_call["dbtable"] == "public.customers" and read_call["partitionColumn"] == "cust_id"
+    assert (read_call["lowerBound"], read_call["upperBound"], read_call["numPartitions"]) == ("3", "907", "16")
+    assert read_call["url"] == opts["url"] and read_call["format"] == "jdbc"
+    assert out.count() == 905  # written to staging and read back
+    assert spark.read.parquet(staging).count() == 905
