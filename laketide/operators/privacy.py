@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from laketide.functions import generalise as gen
 from laketide.functions import keyed
-from laketide.functions.sizing import broadcast_if_small
+from laketide.functions.sizing import DEFAULT_BROADCAST_ROWS, broadcast_if_small, has_at_most
 from laketide.functions.text_rules import DEFAULT_RULES, TextRule
 
 
@@ -46,13 +46,21 @@ def token_vault(ids: DataFrame, vault: DataFrame | None, vault_path: str,
     None for an empty vault). New rows get ``uuid()`` tokens and are appended
     to ``vault_path`` before anything reads them, so a re-run stage cannot
     hand out a second token. Returns (new rows, whole vault) read back.
+    A batch proven small (bounded count) is broadcast and the vault only
+    streamed past it; a large batch anti-joins the vault by shuffle.
     """
     spark = ids.sparkSession
     batch = uuid.uuid4().hex
     wanted = (ids.select(F.col(id_col).cast("string").alias("id"))
               .where(F.col("id").isNotNull()).distinct())
     if vault is not None:
-        wanted = wanted.join(vault.select("id"), "id", "left_anti")
+        if has_at_most(wanted, DEFAULT_BROADCAST_ROWS):
+            # A small batch against a large vault: stream the vault through a
+            # broadcast of the batch's ids instead of shuffling the vault.
+            known = vault.select("id").join(F.broadcast(wanted), "id", "left_semi")
+            wanted = wanted.join(known, "id", "left_anti")
+        else:
+            wanted = wanted.join(vault.select("id"), "id", "left_anti")
     new = wanted.select("id", F.expr("uuid()").alias("token"), F.lit(batch).alias("batch"))
     new.write.mode("append").parquet(vault_path)
     stored = spark.read.parquet(vault_path)
