@@ -74,10 +74,15 @@ def reidentify(df: DataFrame, token_col: str, vault: DataFrame,
 
     Rows whose token is not approved are not returned. ``vault`` maps
     ``token -> id`` (columns ``token``, ``id``); ``approved`` has ``token``.
-    Both joins are shuffle (or runtime-broadcast) equi joins on the token.
+    The vault is first cut to the approved tokens (a semi join whose build
+    side is the approved list), so the identity lookup is as small as the
+    approved list, not as large as the vault: AQE can broadcast both joins
+    and neither the facts nor the vault need a shuffle.
     """
-    ok = approved.select(F.col("token").alias(token_col)).where(F.col(token_col).isNotNull())
-    lookup = vault.select(F.col("token").alias(token_col), F.col("id").alias(id_col))
+    ok = (approved.select(F.col("token").alias(token_col))
+          .where(F.col(token_col).isNotNull()).distinct())
+    lookup = (vault.select(F.col("token").alias(token_col), F.col("id").alias(id_col))
+              .join(ok, token_col, "left_semi"))
     return df.join(ok, token_col, "left_semi").join(lookup, token_col, "left")
 
 
