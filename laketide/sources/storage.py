@@ -8,8 +8,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Zone layout of the lake: every workspace has storage; only the main lake
-# ingests and therefore has a staging zone.
+# Fixed values of the lake layout: workspaces live under "clusters"; every
+# workspace has a "storage" zone; only the main lake, "maindatalake", ingests
+# and therefore also has a "staging" zone.
+WORKSPACES_FOLDER = "clusters"
 MAIN_WORKSPACE = "maindatalake"
 ZONES = ("storage", "staging")
 _NAME = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
@@ -27,7 +29,7 @@ def zone_path(lake_root: str, workspace: str, zone: str) -> str:
         raise ValueError(f"unknown zone {zone!r}")
     if zone == "staging" and workspace != MAIN_WORKSPACE:
         raise ValueError("only the main lake has a staging zone")
-    return f"{lake_root.rstrip('/')}/clusters/{workspace}/{zone}"
+    return f"{lake_root.rstrip('/')}/{WORKSPACES_FOLDER}/{workspace}/{zone}"
 
 
 def newest_per_key(df: DataFrame, key: Sequence[str], order_by: Sequence[str]) -> DataFrame:
