@@ -189,6 +189,12 @@ def p6_mask_small_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
                                         mode="mask")
 
 
+def p6_k_anonymity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The check half of P6: smallest cell and number of cells."""
+    cust = _t(spark, sf_dir, "customer").select("c_nationkey", "c_mktsegment")
+    return privacy.k_anonymity(cust, ["c_nationkey", "c_mktsegment"])
+
+
 # ------------------------------------------------------------------ R1-R5
 def _part_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.build_dimension(
@@ -264,11 +270,28 @@ def a2_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
                         width=3, period="month")
 
 
+def a2_trend_events_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily event value per event type with a 7-day moving average."""
+    return report.trend(_t(spark, sf_dir, "events"), ["event_type"], "ts", _money("value"),
+                        width=7, period="day")
+
+
 def a3_top_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = _t(spark, sf_dir, "customer").select("c_nationkey", "c_custkey", "c_acctbal")
     return report.top_n(cust, ["c_nationkey"], "c_acctbal", 3, ["c_custkey"])
 
 
+def a3_top_parts_by_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five parts of each brand with the most revenue (ties: lower part key)."""
+    rev = (_t(spark, sf_dir, "lineitem").select(
+               "l_partkey",
+               (_money("l_extendedprice") * (F.lit(1) - _money("l_discount", "decimal(4,2)"))).alias("rev"))
+           .join(_t(spark, sf_dir, "part").select("p_partkey", "p_brand"),
+                 F.col("l_partkey") == F.col("p_partkey"))
+           .groupBy("p_brand", "p_partkey").agg(F.sum("rev").cast("double").alias("revenue")))
+    return report.top_n(rev, ["p_brand"], "revenue", 5, ["p_partkey"])
+
+
 def a4_cross_org_link(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders of one organisation against events of another, linked only on
     customer tokens under a shared key."""
@@ -441,13 +464,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p5_generalise_orders": p5_generalise_orders,
     "p6_suppress_small_cells": p6_suppress_small_cells,
     "p6_mask_small_cells": p6_mask_small_cells,
+    "p6_k_anonymity": p6_k_anonymity,
     "r1_build_dimension": r1_build_dimension,
     "r2_build_fact": r2_build_fact,
     "r3_history_scd2": r3_history_scd2,
     "r4_quality_report": r4_quality_report,
     "r5_flatten_json": r5_flatten_json,
     "a2_trend": a2_trend,
+    "a2_trend_events_daily": a2_trend_events_daily,
     "a3_top_n": a3_top_n,
+    "a3_top_parts_by_revenue": a3_top_parts_by_revenue,
     "a4_cross_org_link": a4_cross_org_link,
     "w1_workspace_extract": w1_workspace_extract,
     "w2_sample_cohort": w2_sample_cohort,

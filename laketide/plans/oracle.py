@@ -134,6 +134,11 @@ FROM (SELECT c_custkey, c_nationkey, c_mktsegment,
              COUNT(*) OVER (PARTITION BY c_nationkey, c_mktsegment) AS n FROM customer)
 """
 
+P6_K = """
+SELECT MIN(n) AS k, COUNT(*) AS n_groups
+FROM (SELECT COUNT(*) AS n FROM customer GROUP BY c_nationkey, c_mktsegment)
+"""
+
 R1 = f"""
 SELECT sha256(CAST(p_partkey AS VARCHAR)) AS part_key, p_partkey, p_name, p_brand, p_type FROM (
   SELECT p_partkey, p_name, p_brand, p_type,
@@ -238,6 +243,31 @@ FROM per
 WINDOW w3 AS (PARTITION BY o_orderpriority ORDER BY period ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)
 """
 
+A2_EVENTS = """
+WITH per AS (
+  SELECT event_type, CAST(date_trunc('day', ts) AS DATE) AS period,
+         SUM(CAST(value AS DECIMAL(12,2))) AS v
+  FROM events GROUP BY 1, 2)
+SELECT event_type, period, CAST(v AS DOUBLE) AS value,
+       CAST(SUM(v) OVER (PARTITION BY event_type ORDER BY period
+            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS running_total,
+       CAST(SUM(v) OVER w7 AS DOUBLE) / COUNT(v) OVER w7 AS moving_avg,
+       CAST(v - lag(v) OVER (PARTITION BY event_type ORDER BY period) AS DOUBLE) AS change
+FROM per
+WINDOW w7 AS (PARTITION BY event_type ORDER BY period ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)
+"""
+
+A3_PARTS = """
+WITH r AS (
+  SELECT p_brand, p_partkey,
+         CAST(SUM(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))))
+              AS DOUBLE) AS revenue
+  FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_brand, p_partkey)
+SELECT p_brand, p_partkey, revenue, CAST(rn AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY revenue DESC, p_partkey ASC) AS rn FROM r)
+WHERE rn <= 5
+"""
+
 A3 = """
 SELECT c_nationkey, c_custkey, c_acctbal, CAST(rn AS INTEGER) AS rank FROM (
   SELECT c_nationkey, c_custkey, c_acctbal,
@@ -392,13 +422,16 @@ ORACLE: dict[str, str] = {
     "p5_generalise_orders": P5_ORDERS,
     "p6_suppress_small_cells": P6,
     "p6_mask_small_cells": P6_MASK,
+    "p6_k_anonymity": P6_K,
     "r1_build_dimension": R1,
     "r2_build_fact": R2,
     "r3_history_scd2": R3,
     "r4_quality_report": R4,
     "r5_flatten_json": R5,
     "a2_trend": A2,
+    "a2_trend_events_daily": A2_EVENTS,
     "a3_top_n": A3,
+    "a3_top_parts_by_revenue": A3_PARTS,
     "a4_cross_org_link": A4,
     "w1_workspace_extract": W1,
     "w2_sample_cohort": W2,
