@@ -25,13 +25,24 @@ DOMAIN_SEPARATOR = "|"
 
 
 def key_table(spark: SparkSession, key: bytes) -> DataFrame:
-    """One-row table ``key binary``. In production, read it from a protected path.
+    """One-row table ``key binary, pads struct<ipad, opad>``. In production,
+    read the key from a protected path and pass it through ``with_pads``.
 
-    Cached: the pads subquery then reads executor memory instead of running
-    a job fed from the Python process each time; a lost copy is rebuilt
-    from lineage. The key stays out of every plan either way.
+    Cached with its pads: the pads subquery then reads executor memory
+    instead of re-deriving them (or running a job fed from the Python
+    process) in every query; a lost copy is rebuilt from lineage. The key
+    stays out of every plan either way.
     """
-    return spark.createDataFrame([(bytearray(key),)], "key binary").cache()
+    return with_pads(spark.createDataFrame([(bytearray(key),)], "key binary"))
+
+
+def with_pads(key_df: DataFrame, key_col: str = "key") -> DataFrame:
+    """The key table with its pads derived once and cached."""
+    block = _block_key(F.col(key_col))
+    return key_df.select(
+        F.col(key_col).alias("key"),
+        F.struct(_xor_block(block, IPAD_BYTE).alias("ipad"),
+                 _xor_block(block, OPAD_BYTE).alias("opad")).alias("pads")).cache()
 
 
 def _block_key(key: Column) -> Column:
@@ -51,7 +62,10 @@ def _xor_block(block: Column, byte: int) -> Column:
 
 
 def pad_table(key_df: DataFrame, key_col: str = "key") -> DataFrame:
-    """One-row table ``pads struct<ipad binary, opad binary>`` from a key table."""
+    """One-row table ``pads struct<ipad binary, opad binary>`` from a key table
+    (taken as is when the table already carries its pads)."""
+    if "pads" in key_df.columns:
+        return key_df.select("pads")
     block = _block_key(F.col(key_col))
     return key_df.select(
         F.struct(_xor_block(block, IPAD_BYTE).alias("ipad"),

@@ -16,6 +16,7 @@ from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType, St
 
 from laketide.functions import keyed
 from laketide.operators import mining, model, privacy, report, workspace
+from laketide.plans.tables import TABLES
 from laketide.session import read_table, scratch_path
 from laketide.sources import ingest, storage
 from laketide.streaming.land import stream_land
@@ -36,7 +37,8 @@ FIXED_SIZE_TABLES = {"nation", "region"}
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_table(spark, sf_dir, name, spread_scan=name not in FIXED_SIZE_TABLES)
+    return read_table(spark, sf_dir, name, spread_scan=name not in FIXED_SIZE_TABLES,
+                      schema=TABLES[name])
 
 
 _KEY_TABLES: dict[str, DataFrame] = {}

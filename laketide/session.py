@@ -14,6 +14,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 # Settings every session of this library relies on. AQE re-plans joins at
 # runtime from measured sizes (broadcast only below the threshold) and splits
@@ -138,6 +139,9 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(want)
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread_scan: bool = True) -> DataFrame:
-    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread_scan: bool = True,
+               schema: StructType | None = None) -> DataFrame:
+    """Read one lake table, under its declared schema when one is given."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    df = reader.parquet(os.path.join(sf_dir, f"{name}.parquet"))
     return spread(df) if spread_scan else df

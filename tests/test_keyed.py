@@ -84,3 +84,14 @@ def test_derived_workspace_key_is_hmac_of_label(spark):
     main = b"main lake key"
     derived = keyed.derive_key_table(keyed.key_table(spark, main), "workspace|ws1").first()["key"]
     assert bytes(derived) == hmac.new(main, b"derive|workspace|ws1", hashlib.sha256).digest()
+
+
+def test_key_read_from_a_table_gets_pads(spark):
+    # a key table without pads (as read from a protected path) works the same
+    key = b"stored key"
+    raw = spark.createDataFrame([(bytearray(key),)], "key binary")
+    a = pseudonymise(spark.range(5).select(F.col("id").alias("c")), ["c"], raw, "customer").collect()
+    b = pseudonymise(spark.range(5).select(F.col("id").alias("c")), ["c"], keyed.with_pads(raw),
+                     "customer").collect()
+    assert a == b
+    assert a[3]["c"] == hmac.new(key, b"customer|3", hashlib.sha256).hexdigest()

@@ -66,3 +66,10 @@ def test_broadcast_only_behind_a_check(spark):
         .analyzed().toString().lower()
     hinted = big.join(broadcast_if_small(big, 10), "id")._jdf.queryExecution().analyzed().toString()
     assert "broadcast" not in hinted.lower()
+
+
+def test_declared_table_schemas_match_files(spark):
+    from laketide.plans.tables import TABLES
+    for name, schema in TABLES.items():
+        inferred = spark.read.parquet(f"{SF}/{name}.parquet").schema
+        assert [(f.name, f.dataType) for f in inferred] == [(f.name, f.dataType) for f in schema], name
