@@ -26,6 +26,8 @@ def management_report(fact: DataFrame, dims: Sequence[str], measures: Mapping[st
         grouped = fact.rollup(*dims)
     elif mode == "cube":
         grouped = fact.cube(*dims)
+    elif isinstance(mode, str):
+        raise ValueError(f"mode must be 'rollup', 'cube' or a list of grouping sets, not {mode!r}")
     else:
         sets = [[F.col(c) for c in s] for s in mode]
         grouped = fact.groupingSets(sets, *dims)

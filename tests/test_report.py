@@ -63,3 +63,15 @@ def test_cross_org_link(spark):
                    "t3": (None, None, 2, "right_only")}
     summ = {r["side"]: r["n_tokens"] for r in report.link_summary(linked, ["n_l"]).collect()}
     assert summ == {"both": 1, "left_only": 1, "right_only": 1}
+
+
+def test_trend_without_partition_and_bad_mode(spark):
+    D = dt.datetime
+    df = spark.createDataFrame([(D(2024, 1, 5), 10), (D(2024, 2, 1), 30)], "ts timestamp_ntz, v int")
+    got = rows(report.trend(df, [], "ts", F.col("v"), width=3))
+    assert got == [(dt.date(2024, 1, 1), 10.0, 10.0, 10.0, None), (dt.date(2024, 2, 1), 30.0, 40.0, 20.0, 20.0)]
+    try:
+        report.management_report(_sales(spark), ["region"], {"t": F.sum("amt")}, "rolup")
+    except ValueError:
+        return
+    raise AssertionError("bad mode accepted")
