@@ -73,3 +73,15 @@ def test_declared_table_schemas_match_files(spark):
     for name, schema in TABLES.items():
         inferred = spark.read.parquet(f"{SF}/{name}.parquet").schema
         assert [(f.name, f.dataType) for f in inferred] == [(f.name, f.dataType) for f in schema], name
+
+
+def test_history_windows_partition_by_key_and_slice(spark):
+    import datetime as dt
+    from laketide.operators.model import history_scd2
+    df = spark.createDataFrame([(1, dt.datetime(2024, 1, d), "A") for d in range(1, 20)],
+                               "key long, ts timestamp_ntz, state string")
+    text = history_scd2(df, "key", "ts", ["state"])._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"Exchange hashpartitioning\(key#\d+L, __slice#\d+", text)
+    # per-key windows only run over the one-row-per-slice summaries
+    for m in re.finditer(r"Window \[.*?windowspecdefinition\(([^)]*)\)", text):
+        assert "__slice" in m.group(1), m.group(1)
