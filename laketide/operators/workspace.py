@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -116,7 +118,7 @@ def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], buckets: int =
     freq = vals.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
     probs = [i / buckets for i in range(1, buckets)]
     edges = freq.agg(F.percentile_approx("v", probs, 20 * buckets).alias("e")).first()["e"] or []
-    splits = [float("-inf"), *sorted({e for e in edges if e == e}), float("inf")]
+    splits = [float("-inf"), *sorted({e for e in edges if math.isfinite(e)}), float("inf")]
     if len(splits) < 3:
         splits = [float("-inf"), 0.0, float("inf")]
     binned = Bucketizer(splits=splits, inputCol="v", outputCol="b",

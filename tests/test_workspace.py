@@ -123,3 +123,12 @@ def test_mine_itemsets_baskets(spark):
                    "bread,milk": (3, 0.6), "bread,butter": (2, 0.4)}
     rl = {(",".join(r["antecedent"]), ",".join(r["consequent"])): r["confidence"] for r in rules.collect()}
     assert rl == {("milk", "bread"): 1.0, ("bread", "milk"): 0.75, ("butter", "bread"): 1.0}
+
+
+def test_exact_quantiles_with_infinities(spark):
+    vals = [float("-inf"), 1.0, 2.0, 2.0, 3.0, float("inf"), float("inf")] * 5
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    qs = [0.1, 0.5, 0.9]
+    got = workspace.exact_quantiles(df, "x", qs, buckets=4).first()["q"]
+    want = df.agg(F.percentile("x", qs)).first()[0]
+    assert got == want
