@@ -84,11 +84,14 @@ def cross_org_link(left: DataFrame, right: DataFrame, token: str,
     full-outer. Output: token, the per-side measures, ``in_left``,
     ``in_right`` and ``side`` (``both``, ``left_only``, ``right_only``).
     """
-    lft = left.where(F.col(token).isNotNull()).groupBy(token).agg(
+    lft = left.groupBy(token).agg(
         *[v.alias(k) for k, v in left_aggs.items()]).withColumn("in_left", F.lit(True))
-    rgt = right.where(F.col(token).isNotNull()).groupBy(token).agg(
+    rgt = right.groupBy(token).agg(
         *[v.alias(k) for k, v in right_aggs.items()]).withColumn("in_right", F.lit(True))
-    linked = lft.join(rgt, token, "full_outer")
+    # Null tokens (unlinkable rows) are dropped after the join: a filter
+    # before the aggregation would be pushed below a computed token and
+    # evaluate it twice; here each side's null group is a single row.
+    linked = lft.join(rgt, token, "full_outer").where(F.col(token).isNotNull())
     in_l = F.coalesce(F.col("in_left"), F.lit(False))
     in_r = F.coalesce(F.col("in_right"), F.lit(False))
     side = (F.when(in_l & in_r, "both").when(in_l, "left_only").otherwise("right_only"))
