@@ -238,6 +238,12 @@ def r3_history_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.history_scd2(daily, "o_custkey", "o_orderdate", ["o_orderstatus"])
 
 
+def r3_history_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each user's runs of the same event type, sliced by day."""
+    events = _t(spark, sf_dir, "events").select("user_id", "ts", "event_type")
+    return model.history_scd2(events, "user_id", "ts", ["event_type"], slice_unit="day")
+
+
 def r4_quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _t(spark, sf_dir, "lineitem")
     tables = {
@@ -475,6 +481,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "r1_build_dimension": r1_build_dimension,
     "r2_build_fact": r2_build_fact,
     "r3_history_scd2": r3_history_scd2,
+    "r3_history_events": r3_history_events,
     "r4_quality_report": r4_quality_report,
     "r5_flatten_json": r5_flatten_json,
     "a2_trend": a2_trend,

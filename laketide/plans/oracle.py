@@ -171,6 +171,16 @@ SELECT o_custkey, o_orderstatus, o_orderdate AS valid_from,
 FROM starts WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderstatus)
 """
 
+R3_EVENTS = """
+WITH flagged AS (
+  SELECT user_id, ts, event_type, lag(event_type) OVER w AS prev, row_number() OVER w AS rn
+  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_type)),
+starts AS (SELECT * FROM flagged WHERE rn = 1 OR prev IS DISTINCT FROM event_type)
+SELECT user_id, event_type, ts AS valid_from,
+       lead(ts) OVER w AS valid_to, (lead(ts) OVER w) IS NULL AS is_current
+FROM starts WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_type)
+"""
+
 _LINEITEM_NEWEST = """
 SELECT * FROM (
   SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
@@ -426,6 +436,7 @@ ORACLE: dict[str, str] = {
     "r1_build_dimension": R1,
     "r2_build_fact": R2,
     "r3_history_scd2": R3,
+    "r3_history_events": R3_EVENTS,
     "r4_quality_report": R4,
     "r5_flatten_json": R5,
     "a2_trend": A2,
