@@ -64,6 +64,9 @@ def build_fact(facts: DataFrame, dims: Sequence[DimRef],
                drop_natural: bool = True) -> DataFrame:
     """Attach dimension keys to fact rows; unmatched rows point to the unknown member.
 
+    Each dimension must be unique on its natural key (``build_dimension``
+    guarantees it); fact rows are never multiplied then.
+
     Each dimension joins by a left equi join on the natural key, projected to
     (natural key, surrogate key) so only two columns travel. A dimension is
     broadcast when ``broadcast_rows`` is given and a bounded count shows it is

@@ -87,16 +87,15 @@ def upsert_storage(base: DataFrame, delta: DataFrame, key: Sequence[str],
     """Apply a batch of changes to a stored table (Parquet has no MERGE).
 
     The delta is first cut to the last change per key (by ``seq_col``, ties
-    by the row itself). Then: base rows whose key is in the delta are
+    by the row itself; without ``seq_col`` the greatest row wins, so a key
+    never ends up twice). Then: base rows whose key is in the delta are
     dropped (left anti join), delta rows that are not deletes (``op_col`` =
     'D') are appended. Deleting an absent key is a no-op; applying the same
     delta twice equals applying it once. Write the result to a new path and
     swap; never overwrite the path being read.
     """
     key = list(key)
-    last = delta
-    if seq_col is not None:
-        last = newest_per_key(delta, key, [seq_col])
+    last = newest_per_key(delta, key, [seq_col] if seq_col is not None else [])
     keys = last.select(*key)
     kept = base.join(keys, key, "left_anti")
     added = last

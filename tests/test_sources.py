@@ -209,3 +209,9 @@ def test_ingest_table_parallel_ranges(spark, monkeypatch):
     assert read_call["url"] == opts["url"] and read_call["format"] == "jdbc"
     assert out.count() == 905  # written to staging and read back
     assert spark.read.parquet(staging).count() == 905
+
+
+def test_upsert_without_sequence_keeps_one_row_per_key(spark):
+    delta = spark.createDataFrame([(2, "x"), (2, "y"), (7, "z")], "c_custkey long, c_name string")
+    out = storage.upsert_storage(_base(spark), delta, ["c_custkey"])
+    assert rows(out) == [(1, "a"), (2, "y"), (3, "c"), (7, "z")]
