@@ -215,3 +215,14 @@ def test_upsert_without_sequence_keeps_one_row_per_key(spark):
     delta = spark.createDataFrame([(2, "x"), (2, "y"), (7, "z")], "c_custkey long, c_name string")
     out = storage.upsert_storage(_base(spark), delta, ["c_custkey"])
     assert rows(out) == [(1, "a"), (2, "y"), (3, "c"), (7, "z")]
+
+
+def test_land_files_csv_extra_field_is_quarantined(spark):
+    root = scratch_path(spark, "test-land-extra")
+    os.makedirs(f"{root}/in")
+    with open(f"{root}/in/a.csv", "w") as f:
+        f.write("id,name\n1,a\n2,b,EXTRA\n")
+    schema = StructType([StructField("id", LongType(), False), StructField("name", StringType(), True)])
+    good, bad = ingest.land_files(spark, f"{root}/in", "csv", schema, options={"header": "true"})
+    assert [tuple(r) for r in good.collect()] == [(1, "a")]
+    assert [tuple(r) for r in bad.collect()] == [("2,b,EXTRA", "unparsable")]
