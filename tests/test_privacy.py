@@ -114,3 +114,9 @@ def test_suppress_small_cells_mask(spark):
     assert len(got) == 1 + (k - 1) + 2 * k
     assert got[1] == (None, None) and got[10] == (None, None)
     assert got[100] == ("east", "c") and got[200] == (None, "c")
+
+
+def test_mask_text_to_other_column_keeps_source(spark):
+    df = spark.createDataFrame([(1, "mail x@example.com")], "id long, text string")
+    r = privacy.mask_text(df, "text", out_col="masked").first()
+    assert r["text"] == "mail x@example.com" and r["masked"] == "mail [EMAIL]" and r["n_email"] == 1

@@ -132,3 +132,9 @@ def test_exact_quantiles_with_infinities(spark):
     got = workspace.exact_quantiles(df, "x", qs, buckets=4).first()["q"]
     want = df.agg(F.percentile("x", qs)).first()[0]
     assert got == want
+
+
+def test_sample_cohort_bounds(spark):
+    cust = _customers(spark)
+    assert workspace.sample_cohort(cust, "c_custkey", "s", 0).count() == 0
+    assert workspace.sample_cohort(cust, "c_custkey", "s", 100).count() == cust.count()
