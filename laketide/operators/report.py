@@ -35,6 +35,10 @@ def management_report(fact: DataFrame, dims: Sequence[str], measures: Mapping[st
 
 
 # --------------------------------------------------------------------- A2
+# Periods ``date_trunc`` understands that still name a calendar date.
+PERIODS = ("year", "quarter", "month", "week", "day")
+
+
 def trend(df: DataFrame, part: Sequence[str], period_col: str, measure: Column,
           width: int = 3, period: str = "month") -> DataFrame:
     """Per partition and period: value, running total, moving average over
@@ -46,6 +50,8 @@ def trend(df: DataFrame, part: Sequence[str], period_col: str, measure: Column,
     running total and change are returned as double, the moving average as
     moving sum / moving count.
     """
+    if period not in PERIODS:
+        raise ValueError(f"period must be one of {PERIODS}, not {period!r}")
     part = list(part)
     per = (df.groupBy(*part, F.date_trunc(period, F.col(period_col)).cast("date").alias("period"))
            .agg(F.sum(measure).alias("__v")))

@@ -75,3 +75,12 @@ def test_trend_without_partition_and_bad_mode(spark):
     except ValueError:
         return
     raise AssertionError("bad mode accepted")
+
+
+def test_trend_rejects_unknown_period(spark):
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 5), 10)], "ts timestamp_ntz, v int")
+    try:
+        report.trend(df, [], "ts", F.col("v"), period="fortnight")
+    except ValueError:
+        return
+    raise AssertionError("unknown period accepted")
