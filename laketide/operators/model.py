@@ -89,6 +89,9 @@ def build_fact(facts: DataFrame, dims: Sequence[DimRef],
 
 
 # --------------------------------------------------------------------- R3
+SLICE_UNITS = (None, "year", "quarter", "month", "week", "day", "hour")
+
+
 def history_scd2(df: DataFrame, key: Sequence[str] | str, ts: str,
                  state_cols: Sequence[str], tie_break: Sequence[str] = (),
                  slice_unit: str | None = "month") -> DataFrame:
@@ -108,6 +111,8 @@ def history_scd2(df: DataFrame, key: Sequence[str] | str, ts: str,
     close a slice's last run). Both hold one row per (key, slice) and are
     joined back on (key, slice), which keeps the hot key spread.
     """
+    if slice_unit not in SLICE_UNITS:
+        raise ValueError(f"slice_unit must be one of {SLICE_UNITS}, not {slice_unit!r}")
     keys = [key] if isinstance(key, str) else list(key)
     order = [ts, *tie_break, *[c for c in state_cols if c not in tie_break]]
     cols = list(dict.fromkeys([*keys, *order]))
