@@ -21,7 +21,7 @@ def _plan(df):
 
 @pytest.fixture(scope="module")
 def plans(spark):
-    return {name: _plan(fn(spark, SF)) for name, fn in E.queries().items()}
+    return {name: _plan(E.queries()[name](spark, SF)) for name in C.QUERIES}
 
 
 def test_no_cross_products_or_python_in_any_plan(plans):
