@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from laketide.llm import decontaminate, exact_dedup
+from laketide.llm import decontaminate, exact_dedup, substring_dedup
 from laketide.session import shared_dir
 
 
@@ -14,6 +14,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents without the 20-word windows that stood earlier."""
+    return substring_dedup.substring_dedup(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact duplicates of all documents."""
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
@@ -25,12 +30,33 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_substring_dedup": op3_substring_dedup,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_decontaminate": op8_decontaminate,
 }
 
 ORACLE: dict[str, str] = {}
 
+ORACLE["op3_substring_dedup"] = r"""
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+win AS (
+  SELECT doc_id, p, array_to_string(w[p:p + 19], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS p FROM d WHERE len(w) >= 20)),
+cut AS (
+  SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY s ORDER BY doc_id, p) AS r FROM win)
+  WHERE r > 1),
+gone AS (SELECT doc_id, list(DISTINCT q) AS q FROM (SELECT doc_id, unnest(range(p, p + 20)) AS q FROM cut) GROUP BY 1),
+kept AS (
+  SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS t, count(*) AS n
+  FROM (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM d)
+  ANTI JOIN (SELECT doc_id, unnest(q) AS i FROM gone) USING (doc_id, i) GROUP BY 1)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(len(gone.q), 0)::BIGINT AS n_removed,
+  sha256(coalesce(kept.t, '')) AS kept_sha256
+FROM d LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
 ORACLE["op6_exact_dedup"] = r"""
 WITH t AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents),
