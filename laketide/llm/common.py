@@ -68,8 +68,8 @@ _BYTE = mix(np.arange(1, 257, dtype=U64) * U64(0xD1342543DE82EF95))
 def text_buffer(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Byte offsets (n + 1, from 0) and UTF-8 bytes of a string column; null is empty."""
     col = col.combine_chunks() if isinstance(col, pa.ChunkedArray) else col
-    col = col.fill_null("")
-    kind = np.int64 if pa.types.is_large_string(col.type) else np.int32
+    col = col.fill_null(b"" if pa.types.is_binary(col.type) or pa.types.is_large_binary(col.type) else "")
+    kind = np.int64 if pa.types.is_large_string(col.type) or pa.types.is_large_binary(col.type) else np.int32
     if len(col) == 0:
         return np.zeros(1, np.int64), np.zeros(0, np.uint8)
     off = np.frombuffer(col.buffers()[1], kind)[col.offset:col.offset + len(col) + 1].astype(np.int64)

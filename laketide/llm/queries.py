@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from laketide.llm import decontaminate, exact_dedup, substring_dedup
+from laketide.llm import decontaminate, exact_dedup, packing, substring_dedup
 from laketide.session import shared_dir
 
 
@@ -19,6 +19,11 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.substring_dedup(table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' tokens packed into sequences of 2048 in the corpus mixture."""
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact duplicates of all documents."""
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
@@ -31,6 +36,7 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_packing": op4_packing,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_decontaminate": op8_decontaminate,
 }
