@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from laketide.llm import decontaminate, exact_dedup, packing, substring_dedup
+from laketide.llm import decontaminate, exact_dedup, language, packing, quality, substring_dedup
 from laketide.session import shared_dir
 
 
@@ -14,6 +14,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents, learned on two thirds of them."""
+    return language.language_id(table(spark, sf_dir, "documents"))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of all documents without the 20-word windows that stood earlier."""
     return substring_dedup.substring_dedup(table(spark, sf_dir, "documents")).drop("spans")
@@ -34,11 +39,18 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of all documents, learned on four fifths of the labels."""
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_language_id": op2_language_id,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_packing": op4_packing,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_decontaminate": op8_decontaminate,
+    "op9_quality": op9_quality,
 }
 
 ORACLE: dict[str, str] = {}
