@@ -121,9 +121,10 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bit
             .withColumn("fp", _fingerprint("text_sha256", bits)), "exact-prints")
     sus = written(suspects(prints, bits), "exact-suspects")
 
-    # Bytes decide: group suspects by the text itself.
+    # Bytes decide: group suspects by the text itself. The join is the same at every size: texts meet
+    # their ids by a shuffle, never by a broadcast of ids that grow with the data.
     ids = sus.select("doc_id").distinct()
-    texts = raw.join(ids, "doc_id", "left_semi").select("doc_id", normal)
+    texts = raw.join(ids.hint("merge"), "doc_id", "left_semi").select("doc_id", normal)
     groups = written(
         texts.withColumn("text_sha256", F.sha2("norm", 256))
              .groupBy("text_sha256", "norm").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("n"))
