@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from laketide.llm import decontaminate, exact_dedup, language, packing, quality, substring_dedup
+from laketide.llm import (decontaminate, exact_dedup, language, license_scan, packing, quality, substring_dedup,
+                          url_filter)
 from laketide.session import shared_dir
 
 
@@ -34,6 +36,20 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+# The URL policy, (verdict, host, path).
+URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
+             ("block", "net", "/es/"), ("block", "net", "/fr/")]
+# Hosts whose pages make up the list of unwanted URLs.
+LISTED_HOSTS = r"(^|\.)(spam-farm|cheap-pills|casino-win|free-bets|ads-track)\."
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on the URL of all pages; the list is every page URL of an unwanted host."""
+    pages = table(spark, sf_dir, "pages")
+    host, _ = url_filter.split_url(F.col("url"))
+    return url_filter.judge_urls(pages, pages.where(host.rlike(LISTED_HOSTS)), URL_RULES)
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows found in all documents."""
     return decontaminate.contaminated_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -44,13 +60,20 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and notices in all documents."""
+    return license_scan.license_scan(table(spark, sf_dir, "documents")).drop("spans")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_packing": op4_packing,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_url_filter": op7_url_filter,
     "op8_decontaminate": op8_decontaminate,
     "op9_quality": op9_quality,
+    "op10_license_scan": op10_license_scan,
 }
 
 ORACLE: dict[str, str] = {}
@@ -83,6 +106,29 @@ SELECT t.doc_id, g.keep_id, g.group_size, t.doc_id = g.keep_id AS kept, sha256(t
 FROM t JOIN g USING (norm)
 """
 
+ORACLE["op7_url_filter"] = r"""
+WITH u AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+h AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1),
+    '^[^?#]*') AS path FROM u),
+c AS (
+  SELECT *, CASE WHEN host <> '' THEN regexp_replace(host, '^(www|m)\.', '') || regexp_replace(path, '/+$', '') END AS canon
+  FROM h),
+rules(verdict, rh, rp) AS (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'),
+  ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+fit AS (
+  SELECT page_id, arg_max(rh || rp, length(rh) + length(rp)) AS rule, arg_max(verdict, length(rh) + length(rp)) AS said
+  FROM h JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY page_id),
+listed AS (
+  SELECT DISTINCT canon FROM c
+  WHERE regexp_matches(host, '(^|\.)(spam-farm|cheap-pills|casino-win|free-bets|ads-track)\.') AND canon IS NOT NULL)
+SELECT page_id, host, path, rule, CASE WHEN said IS NOT NULL THEN said WHEN listed.canon IS NOT NULL THEN 'block'
+  ELSE 'allow' END AS verdict
+FROM c LEFT JOIN fit USING (page_id) LEFT JOIN listed USING (canon)
+"""
+
 ORACLE["op8_decontaminate"] = r"""
 WITH dw AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
