@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laketide.llm import (decontaminate, exact_dedup, language, license_scan, packing, quality, substring_dedup,
-                          url_filter)
+from laketide.llm import (decontaminate, exact_dedup, language, license_scan, packing, pii, quality,
+                          substring_dedup, url_filter)
 from laketide.session import shared_dir
 
 
@@ -16,6 +16,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents."""
+    return pii.find_pii(table(spark, sf_dir, "documents"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of all documents, learned on two thirds of them."""
     return language.language_id(table(spark, sf_dir, "documents"))
@@ -66,6 +71,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": op1_pii,
     "op2_language_id": op2_language_id,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_packing": op4_packing,
