@@ -6,13 +6,13 @@ that length. So:
 
 1. Index and probe. Every document's non-overlapping blocks are the index and
    each of its rolling block-length windows is a probe. Both go to owners
-   (hash ranges) as packed 32-bit keys and positions, about 6 bytes a word.
-   An owner sorts its keys and reports the places of each key that is a block
-   somewhere and occurs again elsewhere. Keys may collide; that only adds
-   places to look at.
-2. Extend. A place is extended to every window around it. These windows, and
-   no others, can be repeated. They go to owners again with 96 bits of hash
-   beyond the owner's share, and each sequence's first place (smallest
+   (hash ranges) as packed 32-bit keys and positions, about 5.5 bytes a word.
+   An owner sorts its keys and reports every block that occurs again elsewhere.
+   Keys may collide; that only adds blocks to look at.
+2. Extend. A window can be repeated only if all whole blocks inside it were
+   reported: the other place's probes meet them. Reported blocks are extended
+   to these windows. They go to owners again with 80 bits of hash beyond the
+   owner's share, and each sequence's first place (smallest
    doc_id, then start) is the one that stays. Neighbouring repeated windows
    join into maximal repeated spans, which are removed.
 
@@ -35,6 +35,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,26 +48,36 @@ SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 SECOND = U64(0x5851F42D4C957F2D)
 
 
-def _split(a: np.ndarray) -> bytes:
-    """Positions as a plane of low and a plane of high halves (the high one packs to nearly nothing)."""
-    return (a & 0xFFFF).astype("<u2").tobytes() + (a >> 16).astype("<u2").tobytes()
+def _planes(a: np.ndarray, width: int = 4) -> bytes:
+    """Numbers byte plane by byte plane: the high planes of small numbers are
+    zeros, which the shuffle's compression takes away."""
+    raw = a.astype(f"<u{width}").view(np.uint8).reshape(len(a), width)
+    return np.ascontiguousarray(raw.T).tobytes()
+
+
+def _unplanes(p: bytes, n: int, at: int, width: int = 4) -> np.ndarray:
+    raw = np.frombuffer(p, np.uint8, n * width, at).reshape(width, n)
+    return np.ascontiguousarray(raw.T).view(f"<u{width}").ravel().astype(np.int64)
 
 
 def pack(owner: np.ndarray, owners: int, doc: np.ndarray, pos: np.ndarray, doc_ids: np.ndarray,
          keys: list[np.ndarray]) -> list[tuple[int, bytes]]:
-    """A payload for each owner that gets entries. ``doc`` (index into ``doc_ids``) must not decrease."""
+    """A payload for each owner that gets entries: ids, counts, steps between
+    positions, keys. Entries must be sorted by ``doc`` (index into ``doc_ids``) and ``pos``."""
     order = np.argsort(owner, kind="stable")
     cuts = np.searchsorted(owner[order], np.arange(owners + 1))
     doc, pos, keys = doc[order], pos[order], [k[order] for k in keys]
     out = []
     for o in np.flatnonzero(np.diff(cuts)):
         a, b = cuts[o], cuts[o + 1]
-        d = doc[a:b]
+        d, steps = doc[a:b], np.diff(pos[a:b], prepend=0)
         heads = np.flatnonzero(np.diff(d, prepend=-1))
+        steps[heads] = pos[a:b][heads]
         counts = np.diff(np.append(heads, b - a))
+        ids = doc_ids[d[heads]]
         out.append((int(o), b"".join([
-            np.array([len(heads), b - a], "<u4").tobytes(), doc_ids[d[heads]].astype("<i8").tobytes(),
-            _split(counts), _split(pos[a:b]), *(k[a:b].tobytes() for k in keys)])))
+            np.array([len(heads), b - a], "<u4").tobytes(), _planes(np.diff(ids, prepend=ids[:1] * 0), 8),
+            _planes(counts), _planes(steps), *(k[a:b].tobytes() for k in keys)])))
     return out
 
 
@@ -76,17 +87,15 @@ def unpack(payloads: list[bytes], kinds: list[str]):
     for p in payloads:
         heads, n = (int(x) for x in np.frombuffer(p, "<u4", 2))
         at = 8
-        ids = np.frombuffer(p, "<i8", heads, at)
+        ids = np.cumsum(_unplanes(p, heads, at, 8))
         at += 8 * heads
-
-        def half(n):
-            nonlocal at
-            lo, hi = np.frombuffer(p, "<u2", n, at), np.frombuffer(p, "<u2", n, at + 2 * n)
-            at += 4 * n
-            return lo.astype(np.int64) | (hi.astype(np.int64) << 16)
-
-        docs.append(np.repeat(ids, half(heads)))
-        poss.append(half(n))
+        counts = _unplanes(p, heads, at)
+        at += 4 * heads
+        sums = np.cumsum(_unplanes(p, n, at))
+        at += 4 * n
+        first = np.cumsum(counts) - counts
+        docs.append(np.repeat(ids, counts))
+        poss.append(sums - np.repeat(np.where(first > 0, sums[first - 1], 0), counts))
         for kind, col in zip(kinds, keys):
             col.append(np.frombuffer(p, kind, n, at))
             at += np.dtype(kind).itemsize * n
@@ -113,7 +122,11 @@ class _Words:
     """Words of a batch's texts and the places where a window may begin."""
 
     def __init__(self, batch: pa.RecordBatch):
-        self.off, self.data = text_buffer(batch.column(1))
+        col = batch.column(1)
+        if pa.types.is_binary(col.type):  # packed on the way through a shuffle
+            grow = zstandard.ZstdDecompressor()
+            col = pa.array([grow.decompress(t).decode() for t in col.to_pylist()], pa.large_string())
+        self.off, self.data = text_buffer(col)
         self.starts, self.ends, self.first = find_words(self.off, self.data, NON_WHITE)
         self.ids = batch.column(0).to_numpy()
 
@@ -157,44 +170,56 @@ def repeated_windows(docs: DataFrame, window: int) -> tuple[DataFrame, DataFrame
         size = np.bincount(group)
         blocks = np.bincount(group, weights=(pos[order] % block == 0))
         keep = order[((size > 1) & (blocks > 0))[group]]
+        keep = keep[pos[keep] % block == 0]
         return _by_doc(doc[keep], pos[keep])
 
+    def shrink(batches):
+        press = zstandard.ZstdCompressor(level=1)
+        for b in batches:
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array([press.compress((t or "").encode()) for t in b.column(1).to_pylist()], pa.binary())],
+                names=["doc_id", "text"])
+
     anchors = (docs.mapInArrow(probe, "owner int, payload binary").groupBy("owner")
                .applyInArrow(hits, "doc_id long, pos binary")
                .groupBy("doc_id").agg(F.collect_list("pos").alias("anchors")))
     # Documents meet their anchors once: those with none are settled there, and
     # only the others' texts are kept for the next step.
-    met = written(docs.join(anchors, "doc_id", "left").select("doc_id", "text", "anchors")
-                  .mapInArrow(_settle, f"{RESULT}, text string, anchors array<binary>"), "substring-anchors")
+    texts = docs.mapInArrow(shrink, "doc_id long, text binary")
+    met = written(texts.join(anchors.hint("merge"), "doc_id", "left").select("doc_id", "text", "anchors")
+                  .mapInArrow(_settle, f"{RESULT}, text binary, anchors array<binary>"), "substring-anchors")
     suspects = met.where("anchors IS NOT NULL").select("doc_id", "text", "anchors")
 
     def extend(batches):
         for whole in batches:
             for batch in slices(whole):
                 w = _Words(batch)
-                marked = np.zeros(len(w.starts) + 1, np.int64)
+                marked = np.zeros(len(w.starts) + 1, bool)
                 n = np.diff(w.first)
                 for d, parts in enumerate(batch.column(2).to_pylist()):
                     p = _positions(parts)
-                    marked[w.first[d] + p[p < n[d]]] = 1
+                    marked[w.first[d] + p[p < n[d]]] = True
                 at, doc, pos = w.valid(window, window)
                 if not len(at):
                     continue
-                seen = np.concatenate([[0], np.cumsum(marked)])
-                near = seen[at + window - block + 1] > seen[at]
+                # Every whole block inside a repeated window is met by the other place's probes.
+                lead = -pos % block
+                near = marked[at + lead]
+                more = lead + 2 * block <= window
+                near[more] &= marked[at[more] + lead[more] + block]
                 at, doc, pos = at[near], doc[near], pos[near]
                 words = w.hashes()
                 h = rolling(words, window)[at]
                 second = rolling(mix(words + SECOND), window, 0xD1B54A32D192ED03)[at]
                 owner = (second >> U64(32)) % U64(owners)
                 rows = pack(owner.astype(np.int64), owners, doc, pos, w.ids,
-                            [h.astype("<u8"), second.astype("<u4")])
+                            [h.astype("<u8"), second.astype("<u2")])
                 yield pa.RecordBatch.from_arrays([pa.array([o for o, _ in rows], pa.int32()),
                                                   pa.array([p for _, p in rows], pa.binary())],
                                                  names=["owner", "payload"])
 
     def later(key, rows):
-        doc, pos, (h, second) = unpack(rows.column("payload").to_pylist(), ["<u8", "<u4"])
+        doc, pos, (h, second) = unpack(rows.column("payload").to_pylist(), ["<u8", "<u2"])
         order = np.lexsort((pos, doc, second, h))
         doc, pos, h, second = doc[order], pos[order], h[order], second[order]
         new = np.ones(len(h), bool)
