@@ -7,7 +7,9 @@ Base spans come from four fixed patterns. They seed the bootstrap:
 * Lexical patterns: the one and the two words to the left of an instance.
 * A graph joins patterns to instance values. In each round a pattern's
   confidence is the share of its instances that are believed to be of its
-  kind (smoothed, and only with enough different seeds), and a value's belief
+  kind (smoothed). It is trusted with enough different seeds, enough
+  confidence, and at least half of what the shape alone leaves open: words
+  that stand before anything teach nothing. A value's belief
   is the chance that one of its trusted patterns is right. Rounds are Spark
   joins and aggregations over (pattern, value) counts, written in between.
 * Unseen identifiers are tokens whose value ends up believed and that stand
@@ -134,16 +136,18 @@ def bootstrap(found: DataFrame, rounds: int = 3, min_seeds: int = 5, trust: floa
     edges = written(_patterns(found).groupBy("kind", "pattern", "value")
                     .agg(F.count(F.lit(1)).alias("n"), F.max(F.col("base").cast("int")).alias("seed")), "pii-edges")
     beliefs = edges.groupBy("kind", "value").agg(F.max("seed").cast("double").alias("belief"))
+    # What a kind's shape says by itself: a pattern must say clearly more (one row per kind).
+    shape = F.broadcast(edges.groupBy("kind").agg(((1 + F.sum(F.col("seed") * F.col("n")) / F.sum("n")) / 2).alias("floor")))
     trusted = None
     for _ in range(rounds):
         scored = (edges.join(beliefs, ["kind", "value"]).groupBy("kind", "pattern")
                   .agg((F.sum(F.col("belief") * F.col("n")) / (F.sum("n") + 1)).alias("confidence"),
                        F.sum("seed").alias("seeds")))
-        trusted = written(scored.where((F.col("seeds") >= min_seeds) & (F.col("confidence") >= trust)), "pii-patterns")
-        miss = F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-9))))
+        trusted = written(scored.join(shape, "kind").where((F.col("seeds") >= min_seeds) & (F.col("confidence") >= trust)
+                                                           & (F.col("confidence") >= F.col("floor"))).drop("floor"), "pii-patterns")
+        miss = F.sum(F.log(F.greatest(1 - F.coalesce("confidence", F.lit(0.0)), F.lit(1e-9))))
         beliefs = written(edges.join(trusted.drop("seeds"), ["kind", "pattern"], "left").groupBy("kind", "value")
-                          .agg(F.greatest(F.max("seed").cast("double"), 1 - F.exp(F.coalesce(miss, F.lit(0.0)))).alias("belief")),
-                          "pii-values")
+                          .agg(F.greatest(F.max("seed").cast("double"), 1 - F.exp(miss)).alias("belief")), "pii-values")
     return trusted, beliefs.where(F.col("belief") >= trust)
 
 
