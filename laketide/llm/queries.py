@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laketide.llm import (decontaminate, exact_dedup, language, license_scan, packing, pii, quality,
+from laketide.llm import (decontaminate, exact_dedup, jaccard_join, language, license_scan, packing, pii, quality,
                           substring_dedup, url_filter)
 from laketide.session import shared_dir
 
@@ -36,6 +36,11 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near duplicates of all documents: five-word shingles, similarity of 0.8 or more."""
+    return jaccard_join.jaccard_join(table(spark, sf_dir, "documents")).drop("class_id")
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact duplicates of all documents."""
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
@@ -75,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_packing": op4_packing,
+    "op5_jaccard_join": op5_jaccard_join,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_url_filter": op7_url_filter,
     "op8_decontaminate": op8_decontaminate,

@@ -35,12 +35,12 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from laketide.llm.common import (NON_WHITE, U64, arrow_conf, documents, find_words, mix, owners_of, real_id,
                                  rolling, slices, text_buffer, word_hashes, written)
+from laketide.llm.exchange import pack, shrink, text_column, unpack
 
 RESULT = ("doc_id long, n_words long, n_removed long, kept_sha256 string, "
           "spans array<struct<start:int,end:int>>")
@@ -48,61 +48,6 @@ SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 SECOND = U64(0x5851F42D4C957F2D)
 
 
-def _planes(a: np.ndarray, width: int = 4) -> bytes:
-    """Numbers byte plane by byte plane: the high planes of small numbers are
-    zeros, which the shuffle's compression takes away."""
-    raw = a.astype(f"<u{width}").view(np.uint8).reshape(len(a), width)
-    return np.ascontiguousarray(raw.T).tobytes()
-
-
-def _unplanes(p: bytes, n: int, at: int, width: int = 4) -> np.ndarray:
-    raw = np.frombuffer(p, np.uint8, n * width, at).reshape(width, n)
-    return np.ascontiguousarray(raw.T).view(f"<u{width}").ravel().astype(np.int64)
-
-
-def pack(owner: np.ndarray, owners: int, doc: np.ndarray, pos: np.ndarray, doc_ids: np.ndarray,
-         keys: list[np.ndarray]) -> list[tuple[int, bytes]]:
-    """A payload for each owner that gets entries: ids, counts, steps between
-    positions, keys. Entries must be sorted by ``doc`` (index into ``doc_ids``) and ``pos``."""
-    order = np.argsort(owner, kind="stable")
-    cuts = np.searchsorted(owner[order], np.arange(owners + 1))
-    doc, pos, keys = doc[order], pos[order], [k[order] for k in keys]
-    out = []
-    for o in np.flatnonzero(np.diff(cuts)):
-        a, b = cuts[o], cuts[o + 1]
-        d, steps = doc[a:b], np.diff(pos[a:b], prepend=0)
-        heads = np.flatnonzero(np.diff(d, prepend=-1))
-        steps[heads] = pos[a:b][heads]
-        counts = np.diff(np.append(heads, b - a))
-        ids = doc_ids[d[heads]]
-        out.append((int(o), b"".join([
-            np.array([len(heads), b - a], "<u4").tobytes(), _planes(np.diff(ids, prepend=ids[:1] * 0), 8),
-            _planes(counts), _planes(steps), *(k[a:b].tobytes() for k in keys)])))
-    return out
-
-
-def unpack(payloads: list[bytes], kinds: list[str]):
-    """All entries of an owner: doc_id, position and the key columns."""
-    docs, poss, keys = [], [], [[] for _ in kinds]
-    for p in payloads:
-        heads, n = (int(x) for x in np.frombuffer(p, "<u4", 2))
-        at = 8
-        ids = np.cumsum(_unplanes(p, heads, at, 8))
-        at += 8 * heads
-        counts = _unplanes(p, heads, at)
-        at += 4 * heads
-        sums = np.cumsum(_unplanes(p, n, at))
-        at += 4 * n
-        first = np.cumsum(counts) - counts
-        docs.append(np.repeat(ids, counts))
-        poss.append(sums - np.repeat(np.where(first > 0, sums[first - 1], 0), counts))
-        for kind, col in zip(kinds, keys):
-            col.append(np.frombuffer(p, kind, n, at))
-            at += np.dtype(kind).itemsize * n
-    cat = lambda x, t: np.concatenate(x) if x else np.zeros(0, t)
-    return cat(docs, np.int64), cat(poss, np.int64), [cat(c, k) for c, k in zip(keys, kinds)]
-
-
 def _by_doc(doc: np.ndarray, pos: np.ndarray) -> pa.Table:
     """(doc_id, packed positions), one row a document."""
     order = np.lexsort((pos, doc))
@@ -122,11 +67,7 @@ class _Words:
     """Words of a batch's texts and the places where a window may begin."""
 
     def __init__(self, batch: pa.RecordBatch):
-        col = batch.column(1)
-        if pa.types.is_binary(col.type):  # packed on the way through a shuffle
-            grow = zstandard.ZstdDecompressor()
-            col = pa.array([grow.decompress(t).decode() for t in col.to_pylist()], pa.large_string())
-        self.off, self.data = text_buffer(col)
+        self.off, self.data = text_buffer(text_column(batch.column(1)))
         self.starts, self.ends, self.first = find_words(self.off, self.data, NON_WHITE)
         self.ids = batch.column(0).to_numpy()
 
@@ -163,7 +104,7 @@ def repeated_windows(docs: DataFrame, window: int) -> tuple[DataFrame, DataFrame
                                                  names=["owner", "payload"])
 
     def hits(key, rows):
-        doc, pos, (keys,) = unpack(rows.column("payload").to_pylist(), ["<u4"])
+        doc, pos, (keys,), _ = unpack(rows.column("payload").to_pylist(), ["<u4"])
         order = np.argsort(keys, kind="stable")
         keys = keys[order]
         group = np.cumsum(np.diff(keys, prepend=keys[:1]) != 0) if len(keys) else keys
@@ -173,13 +114,6 @@ def repeated_windows(docs: DataFrame, window: int) -> tuple[DataFrame, DataFrame
         keep = keep[pos[keep] % block == 0]
         return _by_doc(doc[keep], pos[keep])
 
-    def shrink(batches):
-        press = zstandard.ZstdCompressor(level=1)
-        for b in batches:
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([press.compress((t or "").encode()) for t in b.column(1).to_pylist()], pa.binary())],
-                names=["doc_id", "text"])
-
     anchors = (docs.mapInArrow(probe, "owner int, payload binary").groupBy("owner")
                .applyInArrow(hits, "doc_id long, pos binary")
                .groupBy("doc_id").agg(F.collect_list("pos").alias("anchors")))
@@ -219,7 +153,7 @@ def repeated_windows(docs: DataFrame, window: int) -> tuple[DataFrame, DataFrame
                                                  names=["owner", "payload"])
 
     def later(key, rows):
-        doc, pos, (h, second) = unpack(rows.column("payload").to_pylist(), ["<u8", "<u2"])
+        doc, pos, (h, second), _ = unpack(rows.column("payload").to_pylist(), ["<u8", "<u2"])
         order = np.lexsort((pos, doc, second, h))
         doc, pos, h, second = doc[order], pos[order], h[order], second[order]
         new = np.ones(len(h), bool)
