@@ -26,14 +26,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-from laketide.llm.common import (ALNUM, LOWER, U64, arrow_conf, documents, find_words, real_id, slices,
-                                 text_buffer, word_hashes, written)
+from laketide.llm.common import (ALNUM, LOWER, U64, arrow_conf, find_words, slices, text_buffer, word_hashes,
+                                 written)
 
 BITS = 20          # bits of a word's number: a block has fewer than 2**20 distinct words
 GROUP = 3          # words packed into one 64-bit number
-STATE = ("doc_id long, text string, n_words long, n_hit long, items array<string>, "
-         "runs array<struct<s:int,e:int>>, "
+FOUND = ("items array<string>, runs array<struct<s:int,e:int>>, "
          "matches array<struct<item_id:string,item_start:int,doc_start:int,length:int>>")
 MATCH = pa.struct([("item_id", pa.string()), ("item_start", pa.int32()), ("doc_start", pa.int32()),
                    ("length", pa.int32())])
@@ -209,7 +209,7 @@ def _judge(batch: pa.RecordBatch, block: TestBlock) -> pa.RecordBatch:
         [batch.column(0), batch.column(1), pa.array(n_words.astype(np.int64)), pa.array(hits),
          pa.array([sorted(x) for x in items], pa.list_(pa.string())), runs,
          pa.array(matches, pa.list_(MATCH))],
-        names=["doc_id", "text", "n_words", "n_hit", "items", "runs", "matches"])
+        names=["row", "text", "n_words", "n_hit", "items", "runs", "matches"])
 
 
 def _blocks(bench: DataFrame, item_id: str, text: str, block_words: int) -> Iterator[list[tuple[str, str]]]:
@@ -227,18 +227,19 @@ def _blocks(bench: DataFrame, item_id: str, text: str, block_words: int) -> Iter
     yield block
 
 
-def contamination(docs: DataFrame, bench: DataFrame, doc_id: str = "doc_id", text: str = "text",
-                  item_id: str = "item_id", item_text: str = "text", window: int = 10,
-                  block_words: int = 500_000) -> DataFrame:
-    """Per row: ``doc_id, n_words, n_hit, items`` (ids with an occurring window),
-    ``runs`` (covered word ranges) and ``matches`` (maximal verbatim matches of
-    at least a window, with their places in item and document)."""
+def contamination(docs: DataFrame, bench: DataFrame, text: str = "text", item_id: str = "item_id",
+                  item_text: str = "text", window: int = 10, block_words: int = 500_000) -> DataFrame:
+    """Every row of ``docs`` as it is (struct ``row``) with ``n_words, n_hit,
+    items`` (ids with an occurring window), ``runs`` (covered word ranges) and
+    ``matches`` (maximal verbatim matches of at least a window, with their
+    places in item and document)."""
     spark = docs.sparkSession
     arrow_conf(spark)
-    state = documents(docs, doc_id, text).selectExpr(
-        "doc_id", "text", "0L AS n_words", "0L AS n_hit", "CAST(array() AS array<string>) AS items",
-        "CAST(array() AS array<struct<s:int,e:int>>) AS runs",
-        "CAST(array() AS array<struct<item_id:string,item_start:int,doc_start:int,length:int>>) AS matches")
+    kinds = [k.split(" ", 1) for k in FOUND.split(", ")]
+    state = docs.select(F.struct("*").alias("row"), F.col(text).cast("string").alias("text"),
+                        F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_hit"),
+                        *[F.expr(f"CAST(array() AS {kind})").alias(name) for name, kind in kinds])
+    schema = StructType([StructField("row", docs.schema), *state.drop("row").schema.fields])
     for i, items in enumerate(_blocks(bench, item_id, item_text, block_words)):
         if i:
             state = written(state, "decontaminate")
@@ -249,13 +250,18 @@ def contamination(docs: DataFrame, bench: DataFrame, doc_id: str = "doc_id", tex
                 for part in slices(b):
                     yield _judge(part, block.value)
 
-        state = state.mapInArrow(judge, STATE)
-    return state.select(real_id(), "n_words", "n_hit", "items", "runs", "matches")
+        state = state.mapInArrow(judge, schema)
+    return state.drop("text")
 
 
 def contaminated_report(docs: DataFrame, bench: DataFrame, **kw) -> DataFrame:
-    """``contamination`` with its items as a digest."""
-    return contamination(docs, bench, **kw).select(
-        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+    """Per row: ``contamination`` with its items as a digest."""
+    return contamination(docs.select("doc_id", "text"), bench, **kw).select(
+        "row.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", F.array_sort("items")), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def clean(docs: DataFrame, bench: DataFrame, **kw) -> DataFrame:
+    """The rows of ``docs``, all their columns, that hold no benchmark window."""
+    return contamination(docs, bench, **kw).where("n_hit = 0").select("row.*")

@@ -12,7 +12,8 @@
 
 Defined cases. Null text counts as empty. A null ``doc_id`` sorts last as a
 keeper. Rows that repeat a ``doc_id`` are counted one by one in
-``group_size``, and are kept or dropped together. An empty table gives an
+``group_size``; ``exact_dedup`` marks all rows of the keeping id,
+``first_copies`` keeps one of them. An empty table gives an
 empty result. Other columns are not read.
 """
 
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from laketide.llm.common import U64, documents, owners_of, real_id, written
+from laketide.llm.common import NULL_ID, U64, documents, owners_of, real_id, written
 
 SPACES = r"[\x20\x09-\x0D]+"
 
@@ -141,3 +142,18 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bit
             .select(real_id(), F.nullif(F.coalesce("keep_id", "doc_id"), F.lit((1 << 63) - 1)).alias("keep_id"),
                     F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
                     (F.coalesce("keep_id", "doc_id") == F.col("doc_id")).alias("kept"), "text_sha256"))
+
+
+def first_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs``, all their columns, without later copies: of equal
+    texts the row with the smallest id stays, and one of rows that repeat it."""
+    found = exact_dedup(docs, doc_id, text)
+    keepers = (found.where("kept").groupBy(F.coalesce("doc_id", F.lit(NULL_ID)).alias("k_id"), F.col("text_sha256").alias("k_sha"))
+               .agg(F.count(F.lit(1)).alias("n")))
+    digest = F.sha2(F.regexp_replace(F.coalesce(F.col(text).cast("string"), F.lit("")), SPACES, " "), 256)
+    rows = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL_ID)).alias("id"),
+                       digest.alias("sha"))
+    # The same join at every size; the rows cross it once, for both branches.
+    met = rows.join(keepers.hint("merge"), (F.col("id") == F.col("k_id")) & (F.col("sha") == F.col("k_sha")))
+    once = met.where("n = 1").select("row.*")
+    return once.unionByName(met.where("n > 1").dropDuplicates(["id", "sha"]).select("row.*"))

@@ -389,3 +389,11 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n:
     same = (F.col("n_shingles") == F.col("n")) & (F.col("d1") == F.col("e1")) & (F.col("d2") == F.col("e2"))
     back = lambda c: F.nullif(F.coalesce(c, "doc_id"), F.lit((1 << 63) - 1)).alias(c)
     return (sets.join(named, same, "left").select(real_id(), "n_shingles", back("component_id"), back("class_id")))
+
+
+def representatives(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, all their columns, whose id is the smallest of its component."""
+    stay = (jaccard_join(docs, n=n, percent=percent).where("doc_id <=> component_id")
+            .select(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("k_id")).distinct())
+    rows = docs.select(F.struct("*").alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("id"))
+    return rows.join(stay.hint("merge"), F.col("id") == F.col("k_id"), "left_semi").select("row.*")

@@ -26,8 +26,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from laketide.llm.common import NON_WHITE, arrow_conf, documents, find_words, real_id, slices, text_buffer, word_hashes, written
+from laketide.llm.common import NON_WHITE, arrow_conf, find_words, slices, text_buffer, word_hashes, written
 from laketide.llm.language import fold, sample
 
 # Byte kinds: each printable ASCII sign by itself, letters by case, digits, white space, others.
@@ -133,11 +134,11 @@ def _bags(table: pa.RecordBatch):
     return x, np.concatenate([[0], np.cumsum(n)]), table.column(0).to_numpy().astype(np.float64)
 
 
-def learn(rows: DataFrame, label: str, passage: int = 1024, sample_rows: int = 4000, sample_passages: int = 16,
+def learn(docs: DataFrame, marks: DataFrame, label: str, passage: int = 1024, sample_rows: int = 4000, sample_passages: int = 16,
           steps: int = 60, parts: int = 6) -> Model | None:
-    """A model from ``rows`` (doc_id, text, label); labels are 0 and 1."""
-    spark = rows.sparkSession
-    keys = sample(rows, label, sample_rows)
+    """A model from ``docs`` (doc_id, text) and ``marks`` (doc_id, label of 0 or 1)."""
+    spark = docs.sparkSession
+    keys = sample(marks.join(docs.select("doc_id"), "doc_id", "left_semi"), label, sample_rows)
 
     def features(batches):
         for whole in batches:
@@ -151,7 +152,7 @@ def learn(rows: DataFrame, label: str, passage: int = 1024, sample_rows: int = 4
                      pa.array([x[p].astype("<f4").tobytes() for p in picks], pa.binary())], names=["y", "n", "x"])
 
     # The sample's ids are at most sample_rows x 2 rows.
-    bags = (rows.select("doc_id", "text").join(F.broadcast(keys), "doc_id")
+    bags = (docs.select("doc_id", "text").join(F.broadcast(keys), "doc_id")
             .select(F.col("label").cast("int").alias("y"), "text", "doc_id")
             .repartition(parts, F.pmod(F.xxhash64("doc_id"), F.lit(parts))).select("y", "text"))
     bags = written(bags.mapInArrow(features, "y int, n int, x binary"), "quality-sample")
@@ -190,12 +191,11 @@ def learn(rows: DataFrame, label: str, passage: int = 1024, sample_rows: int = 4
     return model
 
 
-def score(docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text: str = "text", passage: int = 1024,
-          threshold: float = 0.3) -> DataFrame:
-    """Per row: ``doc_id, score, predicted`` and ``top_passage`` (the passage with most attention) of the whole text."""
+def score(docs: DataFrame, model: Model | None, text: str = "text", passage: int = 1024) -> DataFrame:
+    """Every row of ``docs`` as it is (struct ``row``) with ``score`` and
+    ``top_passage`` (the passage with most attention) of its whole text."""
     spark = docs.sparkSession
     arrow_conf(spark)
-    rows = documents(docs, doc_id, text)
     shared = spark.sparkContext.broadcast(model)
 
     def judge(batches):
@@ -211,20 +211,33 @@ def score(docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text: st
                     order = np.lexsort((-weight, bag))
                     top = order[first[:-1]] - first[:-1]
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s), pa.array(top)],
-                                                 names=["doc_id", "score", "top_passage"])
+                                                 names=["row", "score", "top_passage"])
 
-    return (rows.mapInArrow(judge, "doc_id long, score double, top_passage long")
-            .select(real_id(), "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "top_passage"))
+    schema = StructType([StructField("row", docs.schema), StructField("score", DoubleType()),
+                         StructField("top_passage", LongType())])
+    return docs.select(F.struct("*").alias("row"), F.col(text).cast("string").alias("text")).mapInArrow(judge, schema)
 
 
-def quality(docs: DataFrame, labels: DataFrame, label: str = "quality", held_out: int = 0, folds: int = 5,
-            **learning) -> DataFrame:
+def scored(docs: DataFrame, labels: DataFrame, label: str = "quality", held_out: int = 0, folds: int = 5,
+           **learning) -> DataFrame:
     """Learn on all folds but ``held_out`` and score every row (a null id is in no fold: never learned from)."""
     arrow_conf(docs.sparkSession)
     marks = (labels.where(F.col(label).isin(0, 1) & (fold("doc_id", folds) != held_out))
              .groupBy("doc_id").agg(F.min(label).alias("mark")))
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(marks, "doc_id")
-    model = learn(rows, "mark", **learning)
-    return (score(docs, model)
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return score(docs, learn(rows, marks, "mark", **learning))
+
+
+def quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, held_out: int = 0, folds: int = 5,
+            **learning) -> DataFrame:
+    """Per row: ``doc_id, held_out, score, predicted, top_passage``."""
+    own = docs.select("doc_id", "text")
+    return (scored(own, labels, held_out=held_out, folds=folds, **learning)
+            .select("row.doc_id", "score", "top_passage")
             .select("doc_id", F.coalesce(fold("doc_id", folds) == held_out, F.lit(False)).alias("held_out"),
-                    "score", "predicted", "top_passage"))
+                    "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "top_passage"))
+
+
+def accepted(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, **learning) -> DataFrame:
+    """The rows of ``docs``, all their columns, that the classifier does not reject."""
+    return scored(docs, labels, **learning).where(F.col("score") >= threshold).select("row.*")
