@@ -8,7 +8,9 @@ not by the longest text.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -126,8 +128,13 @@ def owners_of(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def arrow_conf(spark: SparkSession) -> None:
-    """Small Arrow batches: a batch of long texts must fit a Python worker."""
+def ready(spark: SparkSession) -> None:
+    """Session settings of the operators: small Arrow batches (a batch of long
+    texts must fit a Python worker), and workers on this machine find the
+    package where the driver found it (a cluster gets it by ``--py-files``)."""
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH")]))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
 

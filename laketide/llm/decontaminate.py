@@ -28,8 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from laketide.llm.common import (ALNUM, LOWER, U64, arrow_conf, find_words, slices, text_buffer, word_hashes,
-                                 written)
+from laketide.llm.common import ALNUM, LOWER, U64, find_words, ready, slices, text_buffer, word_hashes, written
 
 BITS = 20          # bits of a word's number: a block has fewer than 2**20 distinct words
 GROUP = 3          # words packed into one 64-bit number
@@ -234,7 +233,7 @@ def contamination(docs: DataFrame, bench: DataFrame, text: str = "text", item_id
     ``matches`` (maximal verbatim matches of at least a window, with their
     places in item and document)."""
     spark = docs.sparkSession
-    arrow_conf(spark)
+    ready(spark)
     kinds = [k.split(" ", 1) for k in FOUND.split(", ")]
     state = docs.select(F.struct("*").alias("row"), F.col(text).cast("string").alias("text"),
                         F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_hit"),

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from laketide.llm.common import NULL_ID, U64, documents, owners_of, real_id, written
+from laketide.llm.common import NULL_ID, U64, documents, owners_of, ready, real_id, written
 
 SPACES = r"[\x20\x09-\x0D]+"
 
@@ -114,6 +114,7 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bit
     ``bits``: length of the exchanged fingerprint (fewer bits only mean more
     suspects; equality is always decided by bytes).
     """
+    ready(docs.sparkSession)
     raw = documents(docs, doc_id, text)
     normal = F.regexp_replace(F.coalesce("text", F.lit("")), SPACES, " ").alias("norm")
     norm = raw.select("doc_id", normal)

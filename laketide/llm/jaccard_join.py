@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from laketide.llm.common import (LOWER, NON_WHITE, U64, arrow_conf, documents, find_words, mix, owners_of, real_id,
+from laketide.llm.common import (LOWER, NON_WHITE, U64, documents, find_words, mix, owners_of, ready, real_id,
                                  rolling, slices, text_buffer, word_hashes, written)
 from laketide.llm.components import components
 from laketide.llm.exact_dedup import rice_decode, rice_encode
@@ -379,7 +379,7 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n:
     if not 0 < percent <= 100:
         raise ValueError("percent is over 0 and at most 100")
     spark = docs.sparkSession
-    arrow_conf(spark)
+    ready(spark)
     rows = documents(docs, doc_id, text)
     sets = written(describe(rows, n), "jaccard-sets")
     classes = (sets.where("n_shingles > 0").groupBy("n_shingles", "d1", "d2").agg(F.min("doc_id").alias("class_id"))

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from laketide.llm.common import LOWER, arrow_conf, documents, real_id, slices, text_buffer, written
+from laketide.llm.common import LOWER, documents, ready, real_id, slices, text_buffer, written
 
 LETTER = re.compile(r"[^\W\d_]")
 
@@ -160,6 +160,7 @@ class ContextTrees:
 def learn(docs: DataFrame, train: Column, lang: str = "lang", order: int = 4, sample_rows: int = 2000,
           sample_bytes: int = 2 << 20, max_contexts: int = 20_000) -> ContextTrees | None:
     """Trees from the rows of ``docs`` (doc_id, text, lang) where ``train`` holds and the language is known."""
+    ready(docs.sparkSession)
     rows = docs.where(train & F.col(lang).isNotNull() & F.col("text").isNotNull() & (F.length("text") > 0))
     keys = sample(rows, lang, sample_rows)
     labels = keys.select("label").distinct().limit(1001).collect()
@@ -179,7 +180,7 @@ def identify(docs: DataFrame, trees: ContextTrees | None, doc_id: str = "doc_id"
     with code lengths taken per 64 bytes for longer texts.
     """
     spark = docs.sparkSession
-    arrow_conf(spark)
+    ready(spark)
     rows = documents(docs, doc_id, text)
     if trees is None:
         return rows.select(real_id(), F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"),

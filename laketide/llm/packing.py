@@ -38,7 +38,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from laketide.llm import tokens
-from laketide.llm.common import NULL_ID, arrow_conf, real_id, slices, written
+from laketide.llm.common import NULL_ID, ready, real_id, slices, written
 
 END_ID = 1
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
@@ -124,7 +124,7 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: st
     """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset, source, window_id``. ``tokenizer``: path of a
     byte-level BPE vocabulary file on every worker."""
-    arrow_conf(docs.sparkSession)
+    ready(docs.sparkSession)
     table, names = token_table(docs, doc_id, text, source, max_queues, tokenizer)
     parts = table.groupBy("part", "queue").agg(F.sum("n").alias("tokens"))
     order = W.partitionBy("queue").orderBy("part")

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from laketide.llm.common import NON_WHITE, arrow_conf, find_words, slices, text_buffer, word_hashes, written
+from laketide.llm.common import NON_WHITE, find_words, ready, slices, text_buffer, word_hashes, written
 from laketide.llm.language import fold, sample
 
 # Byte kinds: each printable ASCII sign by itself, letters by case, digits, white space, others.
@@ -195,7 +195,7 @@ def score(docs: DataFrame, model: Model | None, text: str = "text", passage: int
     """Every row of ``docs`` as it is (struct ``row``) with ``score`` and
     ``top_passage`` (the passage with most attention) of its whole text."""
     spark = docs.sparkSession
-    arrow_conf(spark)
+    ready(spark)
     shared = spark.sparkContext.broadcast(model)
 
     def judge(batches):
@@ -221,7 +221,7 @@ def score(docs: DataFrame, model: Model | None, text: str = "text", passage: int
 def scored(docs: DataFrame, labels: DataFrame, label: str = "quality", held_out: int = 0, folds: int = 5,
            **learning) -> DataFrame:
     """Learn on all folds but ``held_out`` and score every row (a null id is in no fold: never learned from)."""
-    arrow_conf(docs.sparkSession)
+    ready(docs.sparkSession)
     marks = (labels.where(F.col(label).isin(0, 1) & (fold("doc_id", folds) != held_out))
              .groupBy("doc_id").agg(F.min(label).alias("mark")))
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))

@@ -38,8 +38,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from laketide.llm.common import (NON_WHITE, U64, arrow_conf, documents, find_words, mix, owners_of, real_id,
-                                 rolling, slices, text_buffer, word_hashes, written)
+from laketide.llm.common import (NON_WHITE, U64, documents, find_words, mix, owners_of, ready, real_id, rolling,
+                                 slices, text_buffer, word_hashes, written)
 from laketide.llm.exchange import pack, shrink, text_column, unpack
 
 RESULT = ("doc_id long, n_words long, n_removed long, kept_sha256 string, "
@@ -225,7 +225,7 @@ def substring_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     maximal removed word ranges (end exclusive)."""
     if window < 2:
         raise ValueError("window must be 2 words or more")
-    arrow_conf(docs.sparkSession)
+    ready(docs.sparkSession)
     plain, suspect = repeated_windows(documents(docs, doc_id, text), window)
     return (suspect.select("doc_id", "text", "cut").mapInArrow(_finish(window), RESULT).unionByName(plain)
             .select(real_id(), "n_words", "n_removed", "kept_sha256", "spans"))
