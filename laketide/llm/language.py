@@ -38,12 +38,18 @@ from laketide.llm.common import LOWER, documents, ready, real_id, slices, text_b
 LETTER = re.compile(r"[^\W\d_]")
 
 
+SALTS = 64
+
+
 def sample(rows: DataFrame, label: str, per_label: int) -> DataFrame:
-    """At most ``per_label`` rows of each label, by a hash of the id (bounded, repeatable)."""
-    order = W.partitionBy(label).orderBy(F.xxhash64("doc_id"), "doc_id")
-    keys = (rows.select("doc_id", label).withColumn("rank", F.row_number().over(order))
-            .where(F.col("rank") <= per_label).select("doc_id", "rank", F.col(label).alias("label")))
-    return keys
+    """About ``per_label`` rows of each label at most (``SALTS`` equal shares, by
+    hashes of the id): ``doc_id, label, rank``. Bounded and repeatable. The
+    shares are ranked apart, so a label that holds most rows is not one task."""
+    salt = F.pmod(F.xxhash64("doc_id", F.lit("share")), F.lit(SALTS)).alias("salt")
+    order = W.partitionBy("label", "salt").orderBy(F.xxhash64("doc_id"), "doc_id")
+    return (rows.select("doc_id", F.col(label).alias("label"), salt).withColumn("rank", F.row_number().over(order))
+            .where(F.col("rank") <= -(-per_label // SALTS))
+            .select("doc_id", "label", (F.col("rank") * SALTS + F.col("salt")).alias("rank")))
 
 
 def count_contexts(sampled: DataFrame, order: int, max_contexts: int, sample_bytes: int):
@@ -71,9 +77,10 @@ def count_contexts(sampled: DataFrame, order: int, max_contexts: int, sample_byt
                          pa.array(values.astype(np.int64)), pa.array(counts.astype(np.int64))],
                         names=["label", "k", "gram", "n"])
 
-    used = F.sum(F.octet_length("text")).over(W.partitionBy("label").orderBy("rank"))
-    bounded = (sampled.withColumn("used", used)
-               .where((F.col("used") <= sample_bytes) | (F.col("rank") == 1)).select("label", "text"))
+    used = F.sum(F.octet_length("text")).over(W.partitionBy("label").orderBy("rank", "doc_id"))
+    first = F.row_number().over(W.partitionBy("label").orderBy("rank", "doc_id"))
+    bounded = (sampled.withColumn("used", used).withColumn("first", first)
+               .where((F.col("used") <= sample_bytes) | (F.col("first") == 1)).select("label", "text"))
     counts = written(bounded.mapInArrow(grams, "label string, k int, gram long, n long")
                      .groupBy("label", "k", "gram").agg(F.sum("n").alias("n")), "language-counts")
     contexts = (counts.withColumn("context", F.shiftright("gram", 8)).groupBy("k", "context")
