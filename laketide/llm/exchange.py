@@ -11,6 +11,8 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 
+from laketide.llm.common import mix
+
 
 def _planes(a: np.ndarray, width: int = 4) -> bytes:
     """Numbers byte plane by byte plane: the high planes of small numbers are
@@ -75,6 +77,29 @@ def unpack(payloads: list[bytes], kinds: list[str], about: int = 0):
         [cat(c, np.int64) for c in more]
 
 
+PLACES = "bucket int, payload binary"
+
+
+def deal_places(doc: np.ndarray, pos: np.ndarray, buckets: int) -> pa.Table:
+    """Places (document, position) as one packed row per bucket of documents."""
+    order = np.lexsort((pos, doc))
+    ids, which = np.unique(doc[order], return_inverse=True)
+    bucket = (mix(ids.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+    rows = pack(bucket[which], buckets, which, pos[order], ids, [])
+    return pa.table({"bucket": pa.array([o for o, _ in rows], pa.int32()), "payload": pa.array([p for _, p in rows], pa.binary())})
+
+
+def gather_places(key, rows):
+    """The rows of a bucket as (doc_id, packed positions), one row a document."""
+    doc, pos, _, _ = unpack(rows.column("payload").to_pylist(), [])
+    order = np.lexsort((pos, doc))
+    doc, raw = doc[order], pos[order].astype("<u4").tobytes()
+    heads = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
+    cuts = np.append(heads, len(doc)) * 4
+    return pa.table({"doc_id": pa.array(doc[heads], pa.int64()),
+                     "places": pa.array([raw[a:b] for a, b in zip(cuts[:-1], cuts[1:])], pa.binary())})
+
+
 def shrink(batches):
     """For ``mapInArrow`` over (doc_id, text): the text compressed, null as empty."""
     press = zstandard.ZstdCompressor(level=1)

@@ -7,7 +7,8 @@ that length. So:
 1. Index and probe. Every document's non-overlapping blocks are the index and
    each of its rolling block-length windows is a probe. Both go to owners
    (hash ranges) as packed 32-bit keys and positions, about 5.5 bytes a word.
-   An owner sorts its keys and reports every block that occurs again elsewhere.
+   An owner sorts its keys and reports every block that occurs again elsewhere
+   (packed, to one of as many buckets of documents).
    Keys may collide; that only adds blocks to look at.
 2. Extend. A window can be repeated only if all whole blocks inside it were
    reported: the other place's probes meet them. Reported blocks are extended
@@ -36,11 +37,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from laketide.llm.common import (NON_WHITE, U64, documents, find_words, mix, owners_of, ready, real_id, rolling,
                                  slices, text_buffer, word_hashes, written)
-from laketide.llm.exchange import pack, shrink, text_column, unpack
+from laketide.llm.exchange import PLACES, deal_places, gather_places, pack, shrink, text_column, unpack
 
 RESULT = ("doc_id long, n_words long, n_removed long, kept_sha256 string, "
           "spans array<struct<start:int,end:int>>")
@@ -48,19 +48,8 @@ SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 SECOND = U64(0x5851F42D4C957F2D)
 
 
-def _by_doc(doc: np.ndarray, pos: np.ndarray) -> pa.Table:
-    """(doc_id, packed positions), one row a document."""
-    order = np.lexsort((pos, doc))
-    doc, pos = doc[order], pos[order].astype("<u4")
-    heads = np.flatnonzero(np.diff(doc, prepend=-1)) if len(doc) else np.zeros(0, np.int64)
-    raw = pos.tobytes()
-    cuts = np.append(heads, len(doc)) * 4
-    return pa.table({"doc_id": pa.array(doc[heads], pa.int64()),
-                     "pos": pa.array([raw[a:b] for a, b in zip(cuts[:-1], cuts[1:])], pa.binary())})
-
-
-def _positions(parts) -> np.ndarray:
-    return np.frombuffer(b"".join(parts), "<u4").astype(np.int64) if parts else np.zeros(0, np.int64)
+def _positions(places: bytes | None) -> np.ndarray:
+    return np.frombuffer(places or b"", "<u4").astype(np.int64)
 
 
 class _Words:
@@ -112,16 +101,16 @@ def repeated_windows(docs: DataFrame, window: int) -> tuple[DataFrame, DataFrame
         blocks = np.bincount(group, weights=(pos[order] % block == 0))
         keep = order[((size > 1) & (blocks > 0))[group]]
         keep = keep[pos[keep] % block == 0]
-        return _by_doc(doc[keep], pos[keep])
+        return deal_places(doc[keep], pos[keep], owners)
 
     anchors = (docs.mapInArrow(probe, "owner int, payload binary").groupBy("owner")
-               .applyInArrow(hits, "doc_id long, pos binary")
-               .groupBy("doc_id").agg(F.collect_list("pos").alias("anchors")))
+               .applyInArrow(hits, PLACES).groupBy("bucket").applyInArrow(gather_places, "doc_id long, places binary")
+               .withColumnRenamed("places", "anchors"))
     # Documents meet their anchors once: those with none are settled there, and
     # only the others' texts are kept for the next step.
     texts = docs.mapInArrow(shrink, "doc_id long, text binary")
     met = written(texts.join(anchors.hint("merge"), "doc_id", "left").select("doc_id", "text", "anchors")
-                  .mapInArrow(_settle, f"{RESULT}, text binary, anchors array<binary>"), "substring-anchors")
+                  .mapInArrow(_settle, f"{RESULT}, text binary, anchors binary"), "substring-anchors")
     suspects = met.where("anchors IS NOT NULL").select("doc_id", "text", "anchors")
 
     def extend(batches):
@@ -160,11 +149,11 @@ def repeated_windows(docs: DataFrame, window: int) -> tuple[DataFrame, DataFrame
         new[1:] = (h[1:] != h[:-1]) | (second[1:] != second[:-1])
         head = np.flatnonzero(new)[np.cumsum(new) - 1]
         cut = (doc != doc[head]) | (pos != pos[head])
-        return _by_doc(doc[cut], pos[cut])
+        return deal_places(doc[cut], pos[cut], owners)
 
     cuts = (suspects.mapInArrow(extend, "owner int, payload binary").groupBy("owner")
-            .applyInArrow(later, "doc_id long, pos binary")
-            .groupBy("doc_id").agg(F.collect_list("pos").alias("cut")))
+            .applyInArrow(later, PLACES).groupBy("bucket").applyInArrow(gather_places, "doc_id long, places binary")
+            .withColumnRenamed("places", "cut"))
     plain = met.where("anchors IS NULL").select("doc_id", "n_words", "n_removed", "kept_sha256", "spans")
     return plain, suspects.select("doc_id", "text").join(cuts, "doc_id", "left")
 
