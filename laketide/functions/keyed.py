@@ -7,9 +7,12 @@ show the subquery, not key bytes.
 
     token = hex(sha256(opad || sha256(ipad || message)))
 
-with ``message`` the UTF-8 bytes of ``domain + "|" + cast(value as string)``.
-The domain keeps equal numbers of different kinds apart (customer 7 and
-supplier 7 get different tokens); a null value stays null.
+with ``message`` the UTF-8 bytes of ``"token:" + length of domain + ":" +
+domain + ":" + cast(value as string)``. The domain keeps equal numbers of
+different kinds apart (customer 7 and supplier 7 get different tokens), and
+its length keeps domain and value apart whatever they hold. Keys are derived
+from messages that begin with ``"derive:"``, so no token can equal a key. A
+null value stays null.
 """
 
 from __future__ import annotations
@@ -21,7 +24,9 @@ from pyspark.sql import functions as F
 BLOCK_BYTES = 64
 IPAD_BYTE = 0x36
 OPAD_BYTE = 0x5C
-DOMAIN_SEPARATOR = "|"
+# Fixed beginnings of the two kinds of messages.
+TOKEN_PREFIX = "token:"
+DERIVE_PREFIX = "derive:"
 
 
 def key_table(spark: SparkSession, key: bytes) -> DataFrame:
@@ -84,7 +89,7 @@ def hmac_hex(message: Column, pads: Column) -> Column:
 
 
 def message(value: Column, domain: str) -> Column:
-    return F.encode(F.concat(F.lit(domain + DOMAIN_SEPARATOR), value.cast("string")), "UTF-8")
+    return F.encode(F.concat(F.lit(f"{TOKEN_PREFIX}{len(domain)}:{domain}:"), value.cast("string")), "UTF-8")
 
 
 def token(value: Column, domain: str, pads: Column) -> Column:
@@ -94,9 +99,9 @@ def token(value: Column, domain: str, pads: Column) -> Column:
 def derive_key_table(key_df: DataFrame, label: str, key_col: str = "key") -> DataFrame:
     """One-row table with a key derived from ``key_df`` for ``label``.
 
-    ``derived = HMAC(key, "derive|" + label)`` (32 bytes). Used to give each
+    ``derived = HMAC(key, "derive:" + label)`` (32 bytes). Used to give each
     side lake its own key, so two workspaces' tokens cannot be joined.
     """
     pads = pad_table(key_df, key_col).select("pads")
-    msg = F.encode(F.lit("derive" + DOMAIN_SEPARATOR + label), "UTF-8")
+    msg = F.encode(F.lit(DERIVE_PREFIX + label), "UTF-8")
     return pads.select(F.unhex(hmac_hex(msg, F.col("pads"))).alias("key"))

@@ -8,6 +8,11 @@ would otherwise eat a card number, and later rules see earlier masks.
 ``guard`` is a plain substring every match contains; texts without it skip
 the regex (a match is impossible there), which saves the scan of the
 backtracking-heavy rules on most texts.
+
+``java`` is the same rule for Java's engine, where it needs to say that a
+match only starts where a run starts (or where the last match ended) and never
+gives characters back: time then grows with the text, not with its square.
+No rule repeats a group, so none recurses.
 """
 
 from __future__ import annotations
@@ -20,15 +25,18 @@ class TextRule(NamedTuple):
     pattern: str
     mask: str
     guard: str | None = None
+    java: str | None = None
 
 
 # Fixed rule set, applied in this order.
 _OCTET = r"(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 CARD = TextRule("card", r"[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}", "[CARD]")
-PHONE = TextRule("phone", r"\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{3,4}",
-                 "[PHONE]", "+")
+# International numbers (+ and country), and national ones: an area code in
+# brackets, or beginning with 0 and set off from the number.
+PHONE = TextRule("phone", r"(\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?|\(0?[0-9]{2,4}\)|0[0-9]{1,3}[ ./-])"
+                          r"[ .-]?[0-9]{3}[ .-]?[0-9]{3,4}", "[PHONE]")
 IPV4 = TextRule("ip", rf"{_OCTET}\.{_OCTET}\.{_OCTET}\.{_OCTET}", "[IP]", ".")
-EMAIL = TextRule("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
-                 "[EMAIL]", "@")
+EMAIL = TextRule("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "[EMAIL]", "@",
+                 r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9.-]+\.[A-Za-z]{2,}")
 
 DEFAULT_RULES: tuple[TextRule, ...] = (CARD, PHONE, IPV4, EMAIL)

@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
-from laketide.functions.sizing import broadcast_if_small
-
 # Fixed surrogate key of the "unknown" member of every dimension.
 UNKNOWN_KEY = "0" * 64
 
@@ -57,7 +55,6 @@ class DimRef:
     fact_cols: Sequence[str]
     dim_cols: Sequence[str]
     key_name: str = "dim_key"
-    broadcast_rows: int | None = None
 
 
 def build_fact(facts: DataFrame, dims: Sequence[DimRef],
@@ -68,16 +65,13 @@ def build_fact(facts: DataFrame, dims: Sequence[DimRef],
     guarantees it); fact rows are never multiplied then.
 
     Each dimension joins by a left equi join on the natural key, projected to
-    (natural key, surrogate key) so only two columns travel. A dimension is
-    broadcast when ``broadcast_rows`` is given and a bounded count shows it is
-    within it; otherwise AQE decides from runtime sizes.
+    (natural key, surrogate key) so only two columns travel. File statistics
+    and AQE decide by bytes which side, if any, is broadcast.
     """
     out = facts
     for ref in dims:
         side = ref.dim.where(F.col(ref.key_name) != F.lit(UNKNOWN_KEY)).select(
             *[F.col(d).alias(f"__d_{d}") for d in ref.dim_cols], F.col(ref.key_name))
-        if ref.broadcast_rows is not None:
-            side = broadcast_if_small(side, ref.broadcast_rows)
         cond = reduce(lambda a, b: a & b,
                       [out[f] == side[f"__d_{d}"] for f, d in zip(ref.fact_cols, ref.dim_cols)])
         out = (out.join(side, cond, "left")

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from laketide.functions import generalise as gen
 from laketide.functions import keyed
-from laketide.functions.sizing import DEFAULT_BROADCAST_ROWS, broadcast_if_small, has_at_most
 from laketide.functions.text_rules import DEFAULT_RULES, TextRule
+from laketide.session import scratch_path
 
 
 # --------------------------------------------------------------------- P1
@@ -38,52 +38,51 @@ def pseudonymise(df: DataFrame, cols: Sequence[str] | Mapping[str, str],
 
 
 # --------------------------------------------------------------------- P2
-def token_vault(ids: DataFrame, vault: DataFrame | None, vault_path: str,
-                id_col: str = "id") -> tuple[DataFrame, DataFrame]:
-    """Give random tokens to identifiers not yet in the vault.
+def token_vault(ids: DataFrame, vault: DataFrame | None, vault_path: str, key_df: DataFrame,
+                id_col: str = "id", key_col: str = "key") -> tuple[DataFrame, DataFrame]:
+    """Give tokens to identifiers not yet in the vault.
 
     ``vault`` has columns ``id string, token string, batch string`` (or is
-    None for an empty vault). New rows get ``uuid()`` tokens and are appended
-    to ``vault_path`` before anything reads them, so a re-run stage cannot
-    hand out a second token. Returns (new rows, whole vault) read back.
-    A batch proven small (bounded count) is broadcast and the vault only
-    streamed past it; a large batch anti-joins the vault by shuffle.
+    None for an empty vault). A new identifier's token is the HMAC of the
+    batch's own random name and the identifier under the vault's key (a
+    one-row table, as in ``pseudonymise``): without the key it cannot be
+    rebuilt from a plan or an event log, and a retried task gives the same
+    token. New rows are written, one folder a batch, before anything reads
+    them. Returns (new rows, whole vault) read back; the new rows' read is
+    cut to their batch's folder.
     """
     spark = ids.sparkSession
     batch = uuid.uuid4().hex
     wanted = (ids.select(F.col(id_col).cast("string").alias("id"))
               .where(F.col("id").isNotNull()).distinct())
     if vault is not None:
-        if has_at_most(wanted, DEFAULT_BROADCAST_ROWS):
-            # A small batch against a large vault: stream the vault through a
-            # broadcast of the batch's ids instead of shuffling the vault.
-            known = vault.select("id").join(F.broadcast(wanted), "id", "left_semi")
-            wanted = wanted.join(known, "id", "left_anti")
-        else:
-            wanted = wanted.join(vault.select("id"), "id", "left_anti")
-    new = wanted.select("id", F.expr("uuid()").alias("token"), F.lit(batch).alias("batch"))
-    new.write.mode("append").parquet(vault_path)
-    stored = spark.read.parquet(vault_path)
+        wanted = wanted.join(vault.select("id"), "id", "left_anti")
+    token = keyed.token(F.col("id"), f"vault:{batch}", keyed.pads_of(key_df, key_col))
+    new = wanted.select("id", token.alias("token"), F.lit(batch).alias("batch"))
+    new.write.mode("append").partitionBy("batch").parquet(vault_path)
+    stored = spark.read.schema("id string, token string, batch string").parquet(vault_path)
     return stored.where(F.col("batch") == batch), stored
 
 
 # --------------------------------------------------------------------- P3
-def reidentify(df: DataFrame, token_col: str, vault: DataFrame,
-               approved: DataFrame, id_col: str = "id") -> DataFrame:
+def reidentify(df: DataFrame, token_col: str, vault: DataFrame, approved: DataFrame,
+               id_col: str = "id") -> DataFrame:
     """Tokens back to identifiers, only for tokens on the approved list.
 
     Rows whose token is not approved are not returned. ``vault`` maps
     ``token -> id`` (columns ``token``, ``id``); ``approved`` has ``token``.
-    The vault is first cut to the approved tokens (a semi join whose build
-    side is the approved list), so the identity lookup is as small as the
-    approved list, not as large as the vault: AQE can broadcast both joins
-    and neither the facts nor the vault need a shuffle.
+    The vault's approved part is written to the shared folder first; the facts
+    then meet it in one join. That join stands between two plain shuffles, so
+    a token that holds a third of the rows is split by AQE (two joins on one
+    shuffle would not be).
     """
+    spark = df.sparkSession
     ok = (approved.select(F.col("token").alias(token_col))
           .where(F.col(token_col).isNotNull()).distinct())
-    lookup = (vault.select(F.col("token").alias(token_col), F.col("id").alias(id_col))
-              .join(ok, token_col, "left_semi"))
-    return df.join(ok, token_col, "left_semi").join(lookup, token_col, "left")
+    lookup = ok.join(vault.select(F.col("token").alias(token_col), F.col("id").alias(id_col)), token_col, "left")
+    path = scratch_path(spark, "approved")
+    lookup.write.parquet(path)
+    return df.join(spark.read.schema(lookup.schema).parquet(path), token_col)
 
 
 # --------------------------------------------------------------------- P4
@@ -112,7 +111,7 @@ def mask_text(df: DataFrame, text_col: str, rules: Iterable[TextRule] = DEFAULT_
     steps: dict[str, Column] = {}
     for i, rule in enumerate(rules):
         before = _occurrences(text, rule.mask)
-        replaced = F.regexp_replace(text, rule.pattern, rule.mask)
+        replaced = F.regexp_replace(text, rule.java or rule.pattern, rule.mask)
         if rule.guard is not None:
             absent = F.instr(text, rule.guard) == 0
             replaced = F.when(absent, text).otherwise(replaced)
@@ -136,8 +135,7 @@ def generalise(df: DataFrame, rules: Mapping[str, tuple]) -> DataFrame:
 
     ``("year",)``, ``("month",)``, ``("band", width)``, and
     ``("lookup", lookup_df, key_col, value_col)`` which replaces the column by
-    the looked-up value (e.g. nation to region). Lookups are broadcast only
-    when a bounded count shows they are small.
+    the looked-up value (e.g. nation to region).
     """
     out = df
     simple: dict[str, Column] = {}
@@ -153,9 +151,8 @@ def generalise(df: DataFrame, rules: Mapping[str, tuple]) -> DataFrame:
             _, lookup, key_col, value_col = rule
             tmp = f"__gen_{c}"
             # One value per key (the greatest), so a duplicated key cannot
-            # multiply rows; a partial aggregation, then the size check.
-            side = broadcast_if_small(lookup.groupBy(F.col(key_col).alias(tmp))
-                                      .agg(F.max(value_col).alias(f"{tmp}_v")))
+            # multiply rows. AQE broadcasts it by its measured bytes.
+            side = lookup.groupBy(F.col(key_col).alias(tmp)).agg(F.max(value_col).alias(f"{tmp}_v"))
             out = (out.join(side, out[c] == side[tmp], "left")
                    .withColumn(c, F.col(f"{tmp}_v")).drop(tmp, f"{tmp}_v"))
         else:
@@ -164,27 +161,34 @@ def generalise(df: DataFrame, rules: Mapping[str, tuple]) -> DataFrame:
 
 
 # --------------------------------------------------------------------- P6
-def group_sizes(df: DataFrame, quasi: Sequence[str]) -> DataFrame:
-    """Size of every quasi-identifier group (null is a group of its own)."""
-    return df.groupBy(*quasi).agg(F.count(F.lit(1)).alias("group_size"))
+def group_sizes(df: DataFrame, quasi: Sequence[str], unit: str | None = None) -> DataFrame:
+    """Size of every quasi-identifier group (null is a group of its own):
+    rows, or different values of ``unit`` (a person's identifier)."""
+    size = F.count(F.lit(1)) if unit is None else F.count_distinct(F.col(unit))
+    return df.groupBy(*quasi).agg(size.alias("group_size"))
 
 
-def k_anonymity(df: DataFrame, quasi: Sequence[str]) -> DataFrame:
+def k_anonymity(df: DataFrame, quasi: Sequence[str], unit: str | None = None) -> DataFrame:
     """One row: smallest group size (the k the data meets) and group count."""
-    return group_sizes(df, quasi).agg(F.min("group_size").alias("k"),
-                                      F.count(F.lit(1)).alias("n_groups"))
+    return group_sizes(df, quasi, unit).agg(F.min("group_size").alias("k"),
+                                            F.count(F.lit(1)).alias("n_groups"))
 
 
 def suppress_small_cells(df: DataFrame, quasi: Sequence[str], k: int,
-                         mode: str = "drop") -> DataFrame:
+                         mode: str = "drop", unit: str | None = None) -> DataFrame:
     """Remove (``drop``) or blank (``mask``) rows whose quasi group is below k.
 
+    ``unit`` counts persons instead of rows: one person with many rows does
+    not make a group safe. Masked rows form a group of their own (with rows
+    that were blank before); when that group is below k, its masked rows are
+    dropped, so the output meets k in both modes.
+
     Group sizes come from an aggregation with map-side partial counts, so a
     hot group never lands whole in one task; the small groups are then joined
     back null-safely (left anti / left outer). AQE broadcasts that side when
     it is small at runtime, else splits skewed partitions of the large side.
     """
-    small = group_sizes(df, quasi).where(F.col("group_size") < k).select(
+    small = group_sizes(df, quasi, unit).where(F.col("group_size") < k).select(
         *[F.col(q).alias(f"__q_{q}") for q in quasi])
     cond = None
     for q in quasi:
@@ -193,8 +197,13 @@ def suppress_small_cells(df: DataFrame, quasi: Sequence[str], k: int,
     if mode == "drop":
         return df.join(small, cond, "left_anti")
     if mode == "mask":
-        flagged = df.join(small.withColumn("__small", F.lit(True)), cond, "left")
+        flagged = df.join(small.withColumn("__small", F.lit(True)), cond, "left").drop(*[f"__q_{q}" for q in quasi])
         masked = {q: F.when(F.col("__small"), F.lit(None)).otherwise(F.col(q)) for q in quasi}
-        return flagged.withColumns(masked).drop("__small", *[f"__q_{q}" for q in quasi])
+        flagged = flagged.withColumns(masked)
+        blank = F.lit(True)
+        for q in quasi:
+            blank = blank & F.col(q).isNull()
+        together = F.count(F.lit(1)) if unit is None else F.count_distinct(F.col(unit))
+        size = flagged.where(blank).agg(together).scalar()
+        return flagged.where(F.col("__small").isNull() | (size >= k)).drop("__small")
     raise ValueError(f"unknown mode {mode!r}")
-

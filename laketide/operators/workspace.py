@@ -26,8 +26,10 @@ class Policy:
     ``columns``: columns kept (after tokenising and generalising);
     ``row_filter``: SQL predicate on the source rows; ``tokenise``: column ->
     domain, re-tokenised under the workspace's own key; ``generalise``: rules
-    of ``privacy.generalise``; ``quasi`` and ``k``: small-cell suppression
-    over the generalised quasi-identifiers; ``mask``: free-text columns whose
+    of ``privacy.generalise``; ``quasi``, ``k`` and ``unit``: small-cell
+    suppression over the generalised quasi-identifiers, counting different
+    values of ``unit`` (the person's identifier in the source; required with
+    ``k`` over 1, because rows are not persons); ``mask``: free-text columns whose
     direct identifiers are blanked (``privacy.mask_text`` with the default
     rules; the hit counts are not carried into the extract).
     """
@@ -39,12 +41,13 @@ class Policy:
     generalise: Mapping[str, tuple] = field(default_factory=dict)
     quasi: Sequence[str] = field(default_factory=list)
     k: int = 1
+    unit: str | None = None
 
 
 def workspace_key(key_df: DataFrame, workspace: str) -> DataFrame:
     """The workspace's own key, derived from the main key: two side lakes'
     tokens cannot be joined with each other or with the main lake."""
-    return keyed.derive_key_table(key_df, "workspace|" + workspace)
+    return keyed.derive_key_table(key_df, "workspace:" + workspace)
 
 
 def workspace_extract(spark: SparkSession, policy: Policy, workspace: str,
@@ -60,8 +63,11 @@ def workspace_extract(spark: SparkSession, policy: Policy, workspace: str,
     workspace's storage zone, registered in its catalog database, and the
     registered table is returned.
     """
+    suppress = bool(policy.quasi) and policy.k > 1
+    if suppress and policy.unit is None:
+        raise ValueError("a policy with k over 1 must name the unit that k counts")
     df = source if source is not None else spark.table(policy.table)
-    needed = list(dict.fromkeys([*policy.columns, *policy.quasi]))
+    needed = list(dict.fromkeys([*policy.columns, *policy.quasi, *([policy.unit] if suppress else [])]))
     if policy.row_filter:
         df = df.where(F.expr(policy.row_filter))
     df = df.select(*needed)
@@ -71,8 +77,8 @@ def workspace_extract(spark: SparkSession, policy: Policy, workspace: str,
         df = mask_text(df, c).select(*needed)
     if policy.generalise:
         df = generalise(df, policy.generalise)
-    if policy.quasi and policy.k > 1:
-        df = suppress_small_cells(df, policy.quasi, policy.k)
+    if suppress:
+        df = suppress_small_cells(df, policy.quasi, policy.k, unit=policy.unit)
     df = df.select(*policy.columns)
     if lake_root is None:
         return df
@@ -80,15 +86,21 @@ def workspace_extract(spark: SparkSession, policy: Policy, workspace: str,
 
 
 # --------------------------------------------------------------------- W2
-def sample_cohort(df: DataFrame, id_col: str, salt: str, pct: float,
-                  buckets: int = 10_000) -> DataFrame:
+BUCKETS = 1 << 32
+
+
+def sample_cohort(df: DataFrame, id_col: str, salt: str, pct: float) -> DataFrame:
     """Repeatable sample of ``pct`` percent of identifiers.
 
     The bucket is a function of (salt, id) only, so the same people are
     picked in every table that carries the id; a narrow filter, no shuffle.
+    Buckets are the full 32 bits of the hash: ``pct`` is met to a part in four
+    billion, and a smaller one is refused rather than rounded to nobody.
     """
-    cutoff = int(round(pct * buckets / 100.0))
-    return df.where(gen.hash_bucket(F.col(id_col), salt, buckets) < F.lit(cutoff))
+    cutoff = int(round(pct * BUCKETS / 100.0))
+    if not 0 <= pct <= 100 or (pct > 0 and cutoff == 0):
+        raise ValueError(f"pct must be 0, or between {100 / BUCKETS} and 100, not {pct}")
+    return df.where(gen.hash_bucket(F.col(id_col), salt, BUCKETS) < F.lit(cutoff))
 
 
 # --------------------------------------------------------------------- W3

@@ -32,13 +32,8 @@ INCREMENT_MARK = "2024-01-15 00:00:00"
 K_SMALL_CELLS = 10
 
 
-# Lookup tables of a fixed size: never spread (see ``session.spread``).
-FIXED_SIZE_TABLES = {"nation", "region"}
-
-
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_table(spark, sf_dir, name, spread_scan=name not in FIXED_SIZE_TABLES,
-                      schema=TABLES[name])
+    return read_table(spark, sf_dir, name, schema=TABLES[name])
 
 
 _KEY_TABLES: dict[str, DataFrame] = {}
@@ -130,9 +125,9 @@ def p2_token_vault(spark: SparkSession, sf_dir: str) -> DataFrame:
     Tokens are random, so the result is the vault's counts."""
     path = scratch_path(spark, "vault")
     users = _t(spark, sf_dir, "events").select(F.col("user_id").alias("id"))
-    first, vault = privacy.token_vault(users, None, path)
+    first, vault = privacy.token_vault(users, None, path, _key(spark))
     buyers = _t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("id"))
-    new, vault = privacy.token_vault(buyers, vault, path)
+    new, vault = privacy.token_vault(buyers, vault, path, _key(spark))
     parts = [
         first.agg(F.count(F.lit(1)).alias("value")).withColumn("measure", F.lit("first_batch_ids")),
         new.agg(F.count(F.lit(1)).alias("value")).withColumn("measure", F.lit("second_batch_ids")),
@@ -333,7 +328,15 @@ def w1_policy(spark: SparkSession, sf_dir: str) -> workspace.Policy:
         generalise={"c_nationkey": ("lookup", _geo(spark, sf_dir), "n_nationkey", "r_name"),
                     "c_acctbal": ("band", 2500)},
         quasi=["c_nationkey", "c_mktsegment", "c_acctbal"],
-        k=K_SMALL_CELLS)
+        k=K_SMALL_CELLS, unit="c_custkey")
+
+
+_LAKES: dict[str, str] = {}
+
+
+def _lake(spark: SparkSession) -> str:
+    """The lake's root folder, one per Spark application (a workspace keeps its place)."""
+    return _LAKES.setdefault(spark.sparkContext.applicationId, scratch_path(spark, "lake"))
 
 
 def w1_workspace_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -341,7 +344,18 @@ def w1_workspace_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     to its storage zone and read back through its catalog."""
     return workspace.workspace_extract(spark, w1_policy(spark, sf_dir), WORKSPACE, _key(spark),
                                        source=_t(spark, sf_dir, "customer"),
-                                       lake_root=scratch_path(spark, "lake"))
+                                       lake_root=_lake(spark))
+
+
+def w1_orders_per_person(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An extract of orders whose cells hold at least k different customers."""
+    policy = workspace.Policy(
+        table="orders", columns=["o_custkey", "o_orderdate", "o_totalprice", "o_orderpriority"],
+        tokenise={"o_custkey": CUSTOMER_DOMAIN},
+        generalise={"o_orderdate": ("month",), "o_totalprice": ("band", 100_000)},
+        quasi=["o_orderdate", "o_totalprice", "o_orderpriority"], k=K_SMALL_CELLS, unit="o_custkey")
+    return workspace.workspace_extract(spark, policy, WORKSPACE, _key(spark), source=_t(spark, sf_dir, "orders"),
+                                       lake_root=_lake(spark))
 
 
 def w2_sample_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -459,9 +473,8 @@ def s6_upsert_storage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def s7_publish_workspace_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lake = scratch_path(spark, "lake")
     return storage.publish_workspace_table(_t(spark, sf_dir, "supplier"), WORKSPACE, "supplier",
-                                           partition_by=["s_nationkey"], lake_root=lake)
+                                           partition_by=["s_nationkey"], lake_root=_lake(spark))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -490,6 +503,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "a3_top_parts_by_revenue": a3_top_parts_by_revenue,
     "a4_cross_org_link": a4_cross_org_link,
     "w1_workspace_extract": w1_workspace_extract,
+    "w1_orders_per_person": w1_orders_per_person,
     "w2_sample_cohort": w2_sample_cohort,
     "w2_sample_cohort_events": w2_sample_cohort_events,
     "w3_profile": w3_profile,

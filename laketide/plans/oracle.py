@@ -22,7 +22,7 @@ def _pads(key: bytes) -> tuple[str, str]:
 
 
 MAIN_PADS = _pads(C.TEST_KEY)
-WORKSPACE_KEY = hmac.new(C.TEST_KEY, f"derive|workspace|{C.WORKSPACE}".encode(), hashlib.sha256).digest()
+WORKSPACE_KEY = hmac.new(C.TEST_KEY, f"derive:workspace:{C.WORKSPACE}".encode(), hashlib.sha256).digest()
 WORKSPACE_PADS = _pads(WORKSPACE_KEY)
 UNKNOWN = "repeat('0', 64)"
 
@@ -30,7 +30,7 @@ UNKNOWN = "repeat('0', 64)"
 def _tok(expr: str, domain: str, pads: tuple[str, str] = MAIN_PADS) -> str:
     ipad, opad = pads
     return (f"CASE WHEN {expr} IS NULL THEN NULL ELSE sha256(unhex('{opad}') || unhex(sha256("
-            f"unhex('{ipad}') || encode('{domain}|' || CAST({expr} AS VARCHAR))))) END")
+            f"unhex('{ipad}') || encode('token:{len(domain)}:{domain}:' || CAST({expr} AS VARCHAR))))) END")
 
 
 GEO = "(SELECT n_nationkey, r_name FROM nation JOIN region ON n_regionkey = r_regionkey)"
@@ -130,8 +130,11 @@ P6_MASK = f"""
 SELECT c_custkey,
        CASE WHEN n < {C.K_SMALL_CELLS} THEN NULL ELSE c_nationkey END AS c_nationkey,
        CASE WHEN n < {C.K_SMALL_CELLS} THEN NULL ELSE c_mktsegment END AS c_mktsegment
-FROM (SELECT c_custkey, c_nationkey, c_mktsegment,
-             COUNT(*) OVER (PARTITION BY c_nationkey, c_mktsegment) AS n FROM customer)
+FROM (SELECT *, COUNT(*) FILTER (WHERE n < {C.K_SMALL_CELLS} OR (c_nationkey IS NULL AND c_mktsegment IS NULL))
+             OVER () AS blank
+      FROM (SELECT c_custkey, c_nationkey, c_mktsegment,
+                   COUNT(*) OVER (PARTITION BY c_nationkey, c_mktsegment) AS n FROM customer))
+WHERE n >= {C.K_SMALL_CELLS} OR blank >= {C.K_SMALL_CELLS}
 """
 
 P6_K = """
@@ -312,14 +315,27 @@ SELECT c_custkey, c_nationkey, c_mktsegment, c_acctbal FROM (
 WHERE n >= {C.K_SMALL_CELLS}
 """
 
+W1_ORDERS = f"""
+WITH g AS (
+  SELECT {_tok('o_custkey', 'customer', WORKSPACE_PADS)} AS o_custkey,
+         CAST(date_trunc('month', o_orderdate) AS DATE) AS o_orderdate,
+         CAST(floor(o_totalprice / 100000) * 100000 AS BIGINT) AS o_totalprice, o_orderpriority
+  FROM orders),
+safe AS (SELECT o_orderdate, o_totalprice, o_orderpriority FROM g GROUP BY ALL
+         HAVING COUNT(DISTINCT o_custkey) >= {C.K_SMALL_CELLS})
+SELECT g.o_custkey, g.o_orderdate, g.o_totalprice, g.o_orderpriority FROM g JOIN safe s
+  ON g.o_orderdate IS NOT DISTINCT FROM s.o_orderdate AND g.o_totalprice IS NOT DISTINCT FROM s.o_totalprice
+ AND g.o_orderpriority IS NOT DISTINCT FROM s.o_orderpriority
+"""
+
 W2 = f"""
 SELECT * FROM orders
-WHERE CAST(('0x' || substr(md5('{C.COHORT_SALT}|' || CAST(o_custkey AS VARCHAR)), 1, 8)) AS BIGINT) % 10000 < 1000
+WHERE CAST(('0x' || substr(md5('{C.COHORT_SALT}|' || CAST(o_custkey AS VARCHAR)), 1, 8)) AS BIGINT) < 429496730
 """
 
 W2_EVENTS = f"""
 SELECT * FROM events
-WHERE CAST(('0x' || substr(md5('{C.COHORT_SALT}|' || CAST(user_id AS VARCHAR)), 1, 8)) AS BIGINT) % 10000 < 1000
+WHERE CAST(('0x' || substr(md5('{C.COHORT_SALT}|' || CAST(user_id AS VARCHAR)), 1, 8)) AS BIGINT) < 429496730
 """
 
 
@@ -445,6 +461,7 @@ ORACLE: dict[str, str] = {
     "a3_top_parts_by_revenue": A3_PARTS,
     "a4_cross_org_link": A4,
     "w1_workspace_extract": W1,
+    "w1_orders_per_person": W1_ORDERS,
     "w2_sample_cohort": W2,
     "w2_sample_cohort_events": W2_EVENTS,
     "w3_profile": W3,

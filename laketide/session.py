@@ -9,7 +9,6 @@ absent and Spark runs in local mode (tests, the bench).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -32,43 +31,47 @@ SESSION_CONF = {
 }
 
 
-# Sizing for a large cluster (~1000 executors, ~100 TB inputs). Shuffles
-# start wide and AQE coalesces them to ~256 MB partitions, so a partition fits
-# an executor's memory at any scale; scans split at 256 MB; skewed shuffle
-# partitions (5x the median and over 256 MB) are split by AQE; runtime
-# broadcasts are allowed up to 64 MB of measured shuffle output.
-CLUSTER_CONF = {
-    "spark.sql.shuffle.partitions": "8000",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16m",
-    "spark.sql.files.maxPartitionBytes": "256m",
-    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
-    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
-    "spark.sql.autoBroadcastJoinThreshold": "32m",
-    "spark.sql.parquet.filterPushdown": "true",
-    "spark.sql.execution.sortBeforeRepartition": "true",
-    # Streaming state (S4's per-key dedupe within the delay) grows with the
-    # keys seen in the delay: keep it in RocksDB, off the JVM heap, with
-    # changelog checkpoints to the checkpoint location.
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-}
+PARTITION_BYTES = 256 << 20
+
+
+def cluster_conf(input_bytes: int) -> dict[str, str]:
+    """Settings for a large cluster, sized from the bytes a job reads.
+
+    AQE merges small shuffle partitions but only splits those of skewed
+    joins, so the number to start from must follow the input: one partition
+    per 256 MB (100 TB: about 400,000). Scans split at 256 MB as well; runtime
+    broadcasts go by measured bytes.
+    """
+    return {
+        "spark.sql.shuffle.partitions": str(max(200, -(-input_bytes // PARTITION_BYTES))),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16m",
+        "spark.sql.files.maxPartitionBytes": str(PARTITION_BYTES),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(PARTITION_BYTES),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.autoBroadcastJoinThreshold": "32m",
+        # Streaming state (S4's per-key dedupe within the delay) grows with the
+        # keys seen in the delay: keep it in RocksDB, off the JVM heap, with
+        # changelog checkpoints to the checkpoint location.
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    }
 
 
 def build_session(master: str = "local[*]", app_name: str = "laketide",
                   shuffle_partitions: int | None = None,
-                  extra: dict[str, str] | None = None, profile: str = "local") -> SparkSession:
+                  extra: dict[str, str] | None = None, input_bytes: int | None = None) -> SparkSession:
     """A session with this library's settings.
 
-    ``profile="cluster"`` adds ``CLUSTER_CONF``. ``spark.checkpoint.dir``
-    must then name a shared folder (see ``shared_dir``).
+    ``input_bytes`` (of a cluster job) adds ``cluster_conf``.
+    ``spark.checkpoint.dir`` must then name a shared folder (see ``shared_dir``).
     """
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(SESSION_CONF)
-    if profile == "cluster":
-        conf.update(CLUSTER_CONF)
+    if input_bytes is not None:
+        conf.update(cluster_conf(input_bytes))
     for k, v in conf.items():
         builder = builder.config(k, v)
     if shuffle_partitions is not None:
@@ -93,17 +96,19 @@ def shared_dir(spark: SparkSession) -> str:
 
     Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir). Only
     when neither is set and the master is local, a folder is created and set;
-    on a cluster a missing setting is an error, never a local temp folder.
+    on a cluster a missing setting, or a ``file:`` folder, is an error.
     """
+    local = spark.sparkContext.master.startswith("local")
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if path:
+        if path.startswith("file:") and not local:
+            raise RuntimeError("spark.checkpoint.dir names a machine's own folder; name a shared one")
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(path)
         return path.rstrip("/")
-    master = spark.sparkContext.master
-    if not master.startswith("local"):
+    if not local:
         raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for the cluster")
     path = tempfile.mkdtemp(prefix="laketide-")
     spark.sparkContext.setCheckpointDir(path)
@@ -117,31 +122,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/laketide/{name}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give every core a share of a scan that yields fewer partitions than
-    the default parallelism (a file with one row group is one task).
-
-    Round-robin, so hot keys cannot unbalance it, and column pruning and
-    filter pushdown still pass below the exchange to the scan. Spark sorts
-    rows before a round-robin repartition (``sortBeforeRepartition``), so a
-    retried task sends the same rows to the same partitions. Scans that
-    already have enough splits -- any table at cluster scale -- are returned
-    unchanged, without a shuffle.
-    """
-    spark = df.sparkSession
-    want = spark.sparkContext.defaultParallelism
-    try:
-        have = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a remote session): keep the scan
-        return df
-    if have >= want:
-        return df
-    return df.repartition(want)
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread_scan: bool = True,
-               schema: StructType | None = None) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str, schema: StructType | None = None) -> DataFrame:
     """Read one lake table, under its declared schema when one is given."""
     reader = spark.read if schema is None else spark.read.schema(schema)
-    df = reader.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    return spread(df) if spread_scan else df
+    return reader.parquet(f"{sf_dir}/{name}.parquet")

@@ -52,7 +52,7 @@ def test_tokens_equal_python_hmac_and_are_stable(spark):
     b = pseudonymise(df, ["c"], keyed.key_table(spark, key), "customer").collect()
     assert a == b
     for i, r in enumerate(a):
-        assert r["c"] == hmac.new(key, f"customer|{i}".encode(), hashlib.sha256).hexdigest()
+        assert r["c"] == hmac.new(key, f"token:8:customer:{i}".encode(), hashlib.sha256).hexdigest()
     assert len({r["c"] for r in a}) == 200  # injective on the data
 
 
@@ -82,8 +82,8 @@ def test_key_bytes_never_in_plan(spark):
 
 def test_derived_workspace_key_is_hmac_of_label(spark):
     main = b"main lake key"
-    derived = keyed.derive_key_table(keyed.key_table(spark, main), "workspace|ws1").first()["key"]
-    assert bytes(derived) == hmac.new(main, b"derive|workspace|ws1", hashlib.sha256).digest()
+    derived = keyed.derive_key_table(keyed.key_table(spark, main), "workspace:ws1").first()["key"]
+    assert bytes(derived) == hmac.new(main, b"derive:workspace:ws1", hashlib.sha256).digest()
 
 
 def test_key_read_from_a_table_gets_pads(spark):
@@ -94,4 +94,17 @@ def test_key_read_from_a_table_gets_pads(spark):
     b = pseudonymise(spark.range(5).select(F.col("id").alias("c")), ["c"], keyed.with_pads(raw),
                      "customer").collect()
     assert a == b
-    assert a[3]["c"] == hmac.new(key, b"customer|3", hashlib.sha256).hexdigest()
+    assert a[3]["c"] == hmac.new(key, b"token:8:customer:3", hashlib.sha256).hexdigest()
+
+
+def test_message_spaces_do_not_meet(spark):
+    """No token equals a derived key, and a domain cannot run into its value."""
+    key = keyed.key_table(spark, b"main lake key")
+    df = spark.createDataFrame([("workspace:research", "b|c")], "a string, b string")
+    derived = bytes(keyed.derive_key_table(key, "workspace:research").first()["key"]).hex()
+    for domain in ("derive", "", "derive:"):
+        assert pseudonymise(df, ["a"], key, domain).first()["a"] != derived
+    one = df.select(keyed.token(F.lit("b|c"), "a", keyed.pads_of(key)).alias("t")).first()["t"]
+    two = df.select(keyed.token(F.lit("c"), "a|b", keyed.pads_of(key)).alias("t")).first()["t"]
+    three = df.select(keyed.token(F.lit("c"), "a:b", keyed.pads_of(key)).alias("t")).first()["t"]
+    assert len({one, two, three}) == 3

@@ -58,14 +58,19 @@ def test_scans_read_only_needed_columns(spark):
     assert line == "struct<l_orderkey:bigint,l_extendedprice:double,l_discount:double>"
 
 
-def test_broadcast_only_behind_a_check(spark):
-    from laketide.functions.sizing import broadcast_if_small
-    small = spark.range(10)
-    big = spark.range(100)
-    assert "broadcast" in small.join(broadcast_if_small(small, 10), "id")._jdf.queryExecution() \
-        .analyzed().toString().lower()
-    hinted = big.join(broadcast_if_small(big, 10), "id")._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" not in hinted.lower()
+def test_no_round_robin_and_no_broadcast_hint(spark, plans):
+    """Bytes decide broadcasts (only one-row sides may be hinted); scans are not dealt anew."""
+    for name, text in plans.items():
+        assert "RoundRobinPartitioning" not in text, name
+    for name in ("p5_generalise_customers", "r2_build_fact", "p3_reidentify"):
+        analyzed = E.queries()[name](spark, SF)._jdf.queryExecution().analyzed().toString()
+        assert "strategy=broadcast" not in analyzed, name
+
+
+def test_cluster_settings_follow_the_input():
+    from laketide.session import cluster_conf
+    assert cluster_conf(100 * 10**12)["spark.sql.shuffle.partitions"] == "372530"
+    assert cluster_conf(1)["spark.sql.shuffle.partitions"] == "200"
 
 
 def test_declared_table_schemas_match_files(spark):

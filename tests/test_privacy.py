@@ -12,19 +12,20 @@ from conftest import rows
 
 def test_token_vault_gives_tokens_once(spark):
     path = scratch_path(spark, "test-vault")
+    key = keyed.key_table(spark, b"vault key")
     first = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "id string")
-    new1, vault1 = privacy.token_vault(first, None, path)
+    new1, vault1 = privacy.token_vault(first, None, path, key)
     assert sorted(r["id"] for r in new1.collect()) == ["a", "b"]
     known = {r["id"]: r["token"] for r in vault1.collect()}
     # Two new identifiers; known ones keep their token.
     second = spark.createDataFrame([("a",), ("c",), ("d",)], "id string")
-    new2, vault2 = privacy.token_vault(second, vault1, path)
+    new2, vault2 = privacy.token_vault(second, vault1, path, key)
     assert sorted(r["id"] for r in new2.collect()) == ["c", "d"]
     allv = {r["id"]: r["token"] for r in vault2.collect()}
     assert allv["a"] == known["a"] and allv["b"] == known["b"]
     assert len(set(allv.values())) == 4
     # Re-running gives nothing new and tokens do not change on re-read.
-    new3, vault3 = privacy.token_vault(second, vault2, path)
+    new3, vault3 = privacy.token_vault(second, vault2, path, key)
     assert new3.count() == 0
     assert {r["id"]: r["token"] for r in vault3.collect()} == allv
 
@@ -57,6 +58,7 @@ TEXTS = [
     (4, "build 2.10.3.4 released", "build [IP] released", (0, 0, 1, 0)),
     (5, "nothing here", "nothing here", (0, 0, 0, 0)),
     (6, None, None, (None, None, None, None)),
+    (8, "call (0555) 123-4567 or 030 123 4567, not 12 34", "call [PHONE] or [PHONE], not 12 34", (0, 2, 0, 0)),
     (7, "already [CARD] masked, new 4111-1111-1111-1111", "already [CARD] masked, new [CARD]",
      (1, 0, 0, 0)),
 ]
@@ -120,3 +122,39 @@ def test_mask_text_to_other_column_keeps_source(spark):
     df = spark.createDataFrame([(1, "mail x@example.com")], "id long, text string")
     r = privacy.mask_text(df, "text", out_col="masked").first()
     assert r["text"] == "mail x@example.com" and r["masked"] == "mail [EMAIL]" and r["n_email"] == 1
+
+
+def test_mask_text_bears_long_runs(spark):
+    """A 100 KB host, a long run without blanks and many dots neither crash nor take quadratic time."""
+    host, run = "x@" + "a." * 50_000 + "com", "y" * 200_000
+    texts = [(1, f"see {host} end"), (2, f"{run} and a@b.co"), (3, f"{run}@"), (4, "a@b.c_d@e.fg"), (5, "p@q@r.st")]
+    got = dict(privacy.mask_text(spark.createDataFrame(texts, "id long, text string"), "text").select("id", "text").collect())
+    assert got == {1: "see [EMAIL] end", 2: f"{run} and [EMAIL]", 3: f"{run}@", 4: "a@[EMAIL]", 5: "p@[EMAIL]"}
+
+
+def test_java_rules_find_what_the_plain_rules_find(spark):
+    import random
+    import re
+    from laketide.functions.text_rules import EMAIL
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("ab.@_-% 1") for _ in range(60)) + ".com" for _ in range(400)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, text string")
+    got = dict(df.select("id", F.regexp_replace("text", EMAIL.java, "#")).collect())
+    assert got == {i: re.sub(EMAIL.pattern, "#", t) for i, t in enumerate(texts)}
+
+
+def test_vault_tokens_cannot_be_rebuilt_from_the_plan(spark):
+    path = scratch_path(spark, "test-vault-plan")
+    new, _ = privacy.token_vault(spark.createDataFrame([("a",)], "id string"), None, path, keyed.key_table(spark, b"k2"))
+    plan = new._jdf.queryExecution().executedPlan().toString()
+    assert "uuid" not in plan and "PartitionFilters: [isnotnull(batch" in plan
+    assert len(new.first()["token"]) == 64
+
+
+def test_masked_group_below_k_is_dropped_and_units_count(spark):
+    df = spark.createDataFrame([(1, "a", 1), (2, "b", 2)] + [(10 + i, "c", 10 + i) for i in range(5)], "id long, q string, p long")
+    assert sorted(r["id"] for r in privacy.suppress_small_cells(df, ["q"], 5, "mask").collect()) == [10, 11, 12, 13, 14]
+    one = spark.createDataFrame([(i, "x", 7) for i in range(10)] + [(20 + i, "y", i) for i in range(5)], "id long, q string, p long")
+    assert {r["q"] for r in privacy.suppress_small_cells(one, ["q"], 5, unit="p").collect()} == {"y"}
+    assert {r["q"] for r in privacy.suppress_small_cells(one, ["q"], 5).collect()} == {"x", "y"}
+    assert privacy.k_anonymity(one, ["q"], "p").first()["k"] == 1

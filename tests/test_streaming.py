@@ -58,10 +58,10 @@ def test_stream_land_bounded_batches(spark):
 
 def test_stream_land_with_rocksdb_state(spark):
     from pyspark.sql.types import _parse_datatype_string
-    from laketide.session import CLUSTER_CONF
+    from laketide.session import cluster_conf
     key = "spark.sql.streaming.stateStore.providerClass"
     old = spark.conf.get(key, None)
-    spark.conf.set(key, CLUSTER_CONF[key])
+    spark.conf.set(key, cluster_conf(0)[key])
     try:
         root = scratch_path(spark, "test-stream-rocksdb")
         rows = [(i % 50, D(1 + i % 5), "x") for i in range(200)]

@@ -2,6 +2,7 @@
 
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from laketide.functions import keyed
@@ -29,7 +30,7 @@ def test_open_and_strict_policy_on_one_table(spark):
         "customer", ["c_custkey", "c_nationkey", "c_mktsegment"], row_filter="c_acctbal > 0",
         tokenise={"c_custkey": "customer"},
         generalise={"c_nationkey": ("lookup", _geo(spark), "n_nationkey", "r_name")},
-        quasi=["c_nationkey", "c_mktsegment"], k=3)
+        quasi=["c_nationkey", "c_mktsegment"], k=3, unit="c_custkey")
     a = workspace.workspace_extract(spark, open_p, "open_ws", key, source=cust)
     b = workspace.workspace_extract(spark, strict_p, "strict_ws", key, source=cust)
     assert a.count() == cust.count() and a.columns == ["c_custkey", "c_mktsegment", "c_acctbal"]
@@ -134,6 +135,21 @@ def test_exact_quantiles_with_infinities(spark):
     assert got == want
 
 
+def test_policy_with_k_needs_a_unit(spark):
+    p = workspace.Policy("customer", ["c_mktsegment"], quasi=["c_mktsegment"], k=3)
+    with pytest.raises(ValueError):
+        workspace.workspace_extract(spark, p, "ws", keyed.key_table(spark, b"k"), source=_customers(spark))
+
+
+def test_small_cohorts_are_not_rounded_away(spark):
+    ids = spark.range(1_000_000)
+    n = workspace.sample_cohort(ids, "id", "s", 0.004).count()
+    assert 15 <= n <= 75
+    for pct in (1e-12, -1, 101):
+        with pytest.raises(ValueError):
+            workspace.sample_cohort(ids, "id", "s", pct)
+
+
 def test_sample_cohort_bounds(spark):
     cust = _customers(spark)
     assert workspace.sample_cohort(cust, "c_custkey", "s", 0).count() == 0
