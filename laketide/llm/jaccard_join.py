@@ -13,9 +13,10 @@ between classes are found exactly, by prefix lists:
    their owners with position and set size. Copies fold there, and lists of
    one class are dropped.
 3. Skipping in lists. Within a list entries are in blocks by set size; blocks
-   out of reach and positions that leave too little are skipped. First every
-   set is only compared with the one earlier set that it shares most grams
-   with (its hub).
+   out of reach, positions that leave too little and prefixes that differ in
+   too much (by a 256-bit picture of each) are skipped. First every set is
+   only compared with the one earlier set that it shares most grams with (its
+   hub).
 4. Skipping by relations. Once linked, sets are one component; a list only
    yields pairs between different components, and per pair the number of
    shared prefix grams bounds the overlap. A pair is also settled without
@@ -152,7 +153,9 @@ def _level(levels: list[np.ndarray], h: np.ndarray) -> np.ndarray:
 
 
 def prefix_lists(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """Entries of all lists with two classes or more: ``owner, gram, doc_id, size, pos``."""
+    """Entries of all lists with two classes or more: ``owner, gram, doc_id, size,
+    pos``, and of each set the number ``sent`` of its prefix grams that occur
+    again and a 256-bit picture of them (``s0..s3``)."""
     spark = docs.sparkSession
     owners = owners_of(spark)
     shared = spark.sparkContext.broadcast(frequency_levels(docs, n))
@@ -173,26 +176,32 @@ def prefix_lists(docs: DataFrame, n: int, percent: int) -> DataFrame:
                 prefix = size - -(-percent * size // 100) + 1
                 keep = (pos < prefix[doc]) & (level[order] > 0)
                 d, p, g = doc[keep], pos[keep], h[order][keep]
+                sent = np.bincount(d, minlength=b.num_rows)
+                picture = np.zeros((4, b.num_rows), U64)
+                bit = (g >> U64(8)) & U64(255)
+                np.bitwise_or.at(picture, ((bit >> U64(6)).astype(np.int64), d), U64(1) << (bit & U64(63)))
                 owner = ((g >> U64(20)) % U64(owners)).astype(np.int64)
-                rows = pack(owner, owners, d, p, b.column(0).to_numpy(), [g.astype("<u8")], (size, digest))
+                rows = pack(owner, owners, d, p, b.column(0).to_numpy(), [g.astype("<u8")],
+                            (size + (sent << 32), digest, *picture.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([pa.array([o for o, _ in rows], pa.int32()),
                                                   pa.array([x for _, x in rows], pa.binary())], names=["owner", "payload"])
 
     def fold(key, rows):
-        doc, pos, (gram,), (size, digest) = unpack(rows.column("payload").to_pylist(), ["<u8"], 2)
+        doc, pos, (gram,), (size, digest, *picture) = unpack(rows.column("payload").to_pylist(), ["<u8"], 6)
         order = np.lexsort((doc, digest, size, gram))
-        doc, pos, gram, size, digest = (x[order] for x in (doc, pos, gram, size, digest))
+        doc, pos, gram, size, digest, *picture = (x[order] for x in (doc, pos, gram, size, digest, *picture))
         fresh = np.ones(len(gram), bool)   # the smallest id of each class in each list
         fresh[1:] = (gram[1:] != gram[:-1]) | (size[1:] != size[:-1]) | (digest[1:] != digest[:-1])
-        doc, pos, gram, size = doc[fresh], pos[fresh], gram[fresh], size[fresh]
-        _, where, count = np.unique(gram, return_inverse=True, return_counts=True)
-        many = count[where] > 1
-        return pa.table({"owner": pa.array(np.full(many.sum(), key[0].as_py(), np.int32)),
-                         "gram": pa.array(gram[many].view(np.int64)), "doc_id": pa.array(doc[many]),
-                         "size": pa.array(size[many].astype(np.int32)), "pos": pa.array(pos[many].astype(np.int32))})
+        _, where, count = np.unique(gram[fresh], return_inverse=True, return_counts=True)
+        many = np.flatnonzero(fresh)[count[where] > 1]
+        cols = {"owner": np.full(len(many), key[0].as_py(), np.int32), "gram": gram[many].view(np.int64), "doc_id": doc[many],
+                "size": (size[many] & 0xFFFFFFFF).astype(np.int32), "pos": pos[many].astype(np.int32),
+                "sent": (size[many] >> 32).astype(np.int32), **{f"s{i}": x[many] for i, x in enumerate(picture)}}
+        return pa.table({c: pa.array(v) for c, v in cols.items()})
 
     return written(docs.mapInArrow(send, "owner int, payload binary").groupBy("owner")
-                   .applyInArrow(fold, "owner int, gram long, doc_id long, size int, pos int"), "jaccard-lists")
+                   .applyInArrow(fold, "owner int, gram long, doc_id long, size int, pos int, sent int, "
+                                        "s0 long, s1 long, s2 long, s3 long"), "jaccard-lists")
 
 
 def _needed(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
@@ -200,11 +209,30 @@ def _needed(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     return -(-percent * (a + b) // (100 + percent))
 
 
-def _reachable(size, pos, i, j, percent):
-    """Sizes near enough, and enough grams left behind the shared one."""
-    a, b = size[i], size[j]
-    left = 1 + np.minimum(a - pos[i] - 1, b - pos[j] - 1) + np.minimum(pos[i], pos[j])
-    return (100 * np.minimum(a, b) >= percent * np.maximum(a, b)) & (left >= _needed(a, b, percent))
+class _Lists:
+    """An owner's entries, sorted by list and the columns given."""
+
+    def __init__(self, rows: pa.Table, *by: str):
+        col = {c: rows.column(c).to_numpy() for c in rows.column_names if c != "owner"}
+        order = np.lexsort(tuple(col[c] for c in (*reversed(by), "gram")))
+        for c, v in col.items():
+            setattr(self, c, v[order].astype(np.int64))
+        self.picture = np.stack([getattr(self, f"s{i}").view(np.uint64) for i in range(4)])
+        self.head = np.flatnonzero(np.concatenate([[True], self.gram[1:] != self.gram[:-1]]))
+        self.tail = np.append(self.head[1:], len(self.gram))
+
+    def reachable(self, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
+        """Sizes near enough, enough grams left behind the shared one, and prefixes
+        alike enough: a bit that only one picture has is a gram they do not share,
+        and what the prefixes share and all behind them must reach the least overlap."""
+        a, b, p, q = self.size[i], self.size[j], self.pos[i], self.pos[j]
+        need = _needed(a, b, percent)
+        left = 1 + np.minimum(a - p - 1, b - q - 1) + np.minimum(p, q)
+        x, y = self.picture[:, i], self.picture[:, j]
+        shared = np.minimum(self.sent[i] - np.bitwise_count(x & ~y).sum(axis=0, dtype=np.int64),
+                            self.sent[j] - np.bitwise_count(y & ~x).sum(axis=0, dtype=np.int64))
+        behind = np.maximum(-(-percent * a // 100), -(-percent * b // 100)) - 1
+        return (100 * np.minimum(a, b) >= percent * np.maximum(a, b)) & (left >= need) & (shared + behind >= need)
 
 
 def _pairs_table(owner, a, b, size_a, size_b) -> pa.Table:
@@ -227,16 +255,14 @@ def hub_pairs(lists: DataFrame, percent: int) -> DataFrame:
     """For every class the earlier class it shares most prefix grams with."""
 
     def near(key, rows):
-        gram, doc, size, pos = (rows.column(c).to_numpy() for c in ("gram", "doc_id", "size", "pos"))
-        order = np.lexsort((doc, gram))
-        gram, doc, size, pos = gram[order], doc[order], size[order].astype(np.int64), pos[order].astype(np.int64)
-        head = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
-        hub = np.repeat(head, np.diff(np.append(head, len(gram))))
-        at = np.arange(len(gram))
+        e = _Lists(rows, "doc_id")
+        doc, size = e.doc_id, e.size
+        hub = np.repeat(e.head, e.tail - e.head)
+        at = np.arange(len(doc))
         # The list's smallest id, and the entry just before.
         i = np.concatenate([at, at])
         j = np.concatenate([hub, np.maximum(at - 1, hub)])
-        ok = (doc[i] != doc[j]) & _reachable(size, pos, i, j, percent)
+        ok = (doc[i] != doc[j]) & e.reachable(i, j, percent)
         ok[len(at):] &= j[len(at):] != hub
         i, j = i[ok], j[ok]
         return _pairs_table(None, doc[i], doc[j], size[i], size[j])
@@ -244,7 +270,7 @@ def hub_pairs(lists: DataFrame, percent: int) -> DataFrame:
     pairs = (lists.groupBy("owner").applyInArrow(near, PAIRS).groupBy("a", "b", "size_a", "size_b")
              .agg(F.sum("shared").cast("int").alias("shared")))
     best = F.max_by(F.struct("b", "size_a", "size_b", "shared"), F.struct("shared", -F.col("b"), "size_b", "size_a"))
-    return pairs.where(_enough(percent)).groupBy("a").agg(best.alias("x")).select("a", "x.*")
+    return pairs.groupBy("a").agg(best.alias("x")).select("a", "x.*")
 
 
 def _enough(percent: int) -> Column:
@@ -257,14 +283,11 @@ def cross_pairs(lists: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
     """Pairs of list members of different components that may still be linked."""
 
     def cross(key, rows):
-        gram, doc, size, pos, c = (rows.column(x).to_numpy() for x in ("gram", "doc_id", "size", "pos", "component_id"))
-        order = np.lexsort((doc, size, gram))
-        gram, doc, size, pos, c = (x[order] for x in (gram, doc, size.astype(np.int64), pos.astype(np.int64), c))
-        head = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
-        tail = np.append(head[1:], len(gram))
+        e = _Lists(rows, "size", "doc_id")
+        doc, size, c = e.doc_id, e.size, e.component_id
+        mixed = np.minimum.reduceat(c, e.head) != np.maximum.reduceat(c, e.head)
         out_i, out_j = [], []
-        for a, z in zip(head[np.minimum.reduceat(c, head) != np.maximum.reduceat(c, head)].tolist(),
-                        tail[np.minimum.reduceat(c, head) != np.maximum.reduceat(c, head)].tolist()):
+        for a, z in zip(e.head[mixed].tolist(), e.tail[mixed].tolist()):
             # All pairs with a member outside the largest component, sizes in reach only.
             own, s = c[a:z], size[a:z]
             names, counts = np.unique(own, return_counts=True)
@@ -275,7 +298,7 @@ def cross_pairs(lists: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
                 j = np.arange(lo, hi)
                 j = j[(own[j] != own[i]) & ((own[j] == main) | (j > i))] + a
                 ii = np.full(len(j), i + a)
-                ok = _reachable(size, pos, ii, j, percent)
+                ok = e.reachable(ii, j, percent)
                 out_i.append(ii[ok])
                 out_j.append(j[ok])
         i = np.concatenate(out_i) if out_i else np.zeros(0, np.int64)
