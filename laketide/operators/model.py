@@ -16,8 +16,10 @@ UNKNOWN_KEY = "0" * 64
 
 
 def surrogate_key(cols: Sequence[str]) -> Column:
-    """Stable hashed key: sha256 hex of the natural key parts joined by '|'."""
-    return F.sha2(F.concat_ws("|", *[F.col(c).cast("string") for c in cols]), 256)
+    """Stable hashed key: sha256 hex of the natural key parts, each with its
+    length in front, so that no two keys run together to the same text."""
+    parts = [F.col(c).cast("string") for c in cols]
+    return F.sha2(F.concat(*[F.concat(F.length(p).cast("string"), F.lit(":"), p) for p in parts]), 256)
 
 
 # --------------------------------------------------------------------- R1
@@ -83,7 +85,14 @@ def build_fact(facts: DataFrame, dims: Sequence[DimRef],
 
 
 # --------------------------------------------------------------------- R3
-SLICE_UNITS = (None, "year", "quarter", "month", "week", "day", "hour")
+SLICE_UNITS = (None, "year", "quarter", "month", "week", "day", "hour", "minute", "second")
+
+
+def _left_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join on equal or both-null keys."""
+    side = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
+    cond = reduce(lambda a, b: a & b, [left[k].eqNullSafe(side[f"__r_{k}"]) for k in keys])
+    return left.join(side, cond, "left").drop(*[f"__r_{k}" for k in keys])
 
 
 def history_scd2(df: DataFrame, key: Sequence[str] | str, ts: str,
@@ -96,14 +105,15 @@ def history_scd2(df: DataFrame, key: Sequence[str] | str, ts: str,
     ``is_current``. Rows at the same time are ordered by ``tie_break`` and
     then by the state itself, so the result is deterministic.
 
-    A key's history is cut into time slices (``slice_unit``: year, month,
-    day, hour; None for one slice per key). Windows run per (key, slice), so
+    A key's history is cut into time slices (``slice_unit``, from year down to
+    second; None for one slice per key). Windows run per (key, slice), so
     a key holding a third of all rows still spreads over as many tasks as it
-    has slices. Slice boundaries are stitched with two small per-slice
+    has slices: choose the unit so that the busiest key's slice fits a task. Slice boundaries are stitched with two small per-slice
     tables: the last state of the slice before (to decide whether a slice's
     first row starts a run) and the first run start of the slice after (to
     close a slice's last run). Both hold one row per (key, slice) and are
-    joined back on (key, slice), which keeps the hot key spread.
+    joined back on (key, slice), which keeps the hot key spread. Null keys and
+    null times are a key and a slice like others: all stitching is null-safe.
     """
     if slice_unit not in SLICE_UNITS:
         raise ValueError(f"slice_unit must be one of {SLICE_UNITS}, not {slice_unit!r}")
@@ -123,20 +133,19 @@ def history_scd2(df: DataFrame, key: Sequence[str] | str, ts: str,
     carry = (base.groupBy(*grp)
              .agg(F.max(F.struct(*[F.col(c) for c in order], state.alias("__s"))).alias("__last"))
              .select(*grp, F.lag(F.col("__last.__s")).over(per_key).alias("__carry")))
-    flagged = (base.withColumn("__prev", F.lag(state).over(w))
-               .join(carry, grp, "left"))
+    flagged = _left_null_safe(base.withColumn("__prev", F.lag(state).over(w)), carry, grp)
     # Only a slice's first row has a null lag; it compares with the carried state.
     prev = F.coalesce(F.col("__prev"), F.col("__carry"))
     starts = flagged.where(prev.isNull() | ~state.eqNullSafe(prev)).select(*cols, "__slice")
 
     # First run start of the next slice that has one, to close the last run of a slice.
-    following = (starts.groupBy(*grp).agg(F.min(ts).alias("__first"))
+    following = (starts.groupBy(*grp).agg(F.min(F.struct(ts)).alias("__first"))
                  .select(*grp, F.lead("__first").over(per_key).alias("__next_slice")))
-    return (starts.withColumn("__next", F.lead(F.col(ts)).over(w))
-            .join(following, grp, "left")
-            .withColumn("valid_to", F.coalesce(F.col("__next"), F.col("__next_slice")))
-            .select(*keys, *state_cols, F.col(ts).alias("valid_from"), "valid_to",
-                    F.col("valid_to").isNull().alias("is_current")))
+    # The last run of a key is known by having no later run, not by a null time.
+    closed = _left_null_safe(starts.withColumn("__next", F.lead(F.struct(ts)).over(w)), following, grp)
+    after = F.coalesce(F.col("__next"), F.col("__next_slice"))
+    return closed.select(*keys, *state_cols, F.col(ts).alias("valid_from"), after.getField(ts).alias("valid_to"),
+                         after.isNull().alias("is_current"))
 
 
 # --------------------------------------------------------------------- R4
@@ -156,9 +165,13 @@ class Rule:
     measures: Sequence[str] = field(default_factory=list)
 
 
+# Counts and totals to the cent, at any size a table can have.
+EXACT = "decimal(38,2)"
+
+
 def _long(pairs: Sequence[tuple[tuple[str, str, str], Column]], df: DataFrame) -> DataFrame:
     """One aggregation pass over ``df``; one output row per labelled value."""
-    agg = df.agg(*[v.cast("double").alias(f"v{i}") for i, (_, v) in enumerate(pairs)])
+    agg = df.agg(*[v.cast(EXACT).alias(f"v{i}") for i, (_, v) in enumerate(pairs)])
     stack = ", ".join(f"'{t}', '{c}', '{s}', v{i}" for i, ((t, c, s), _) in enumerate(pairs))
     return agg.selectExpr(f"stack({len(pairs)}, {stack}) as (table_name, check, subject, value)")
 
@@ -166,10 +179,13 @@ def _long(pairs: Sequence[tuple[tuple[str, str, str], Column]], df: DataFrame) -
 def quality_report(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> DataFrame:
     """Long table ``table_name, check, subject, value`` with one row per measurement.
 
+    Values are decimals, so totals stay exact to the cent. Every
+    reconciliation also has ``difference:`` rows (target less source).
+
     Row counts, null counts and reconciliation totals of one table are
     gathered into a single aggregation, so each table is scanned once for
     them. Duplicate keys are a grouped count (partial counts before the
-    shuffle), orphans a left anti join against the distinct parent keys.
+    shuffle), orphans a left anti join against the parent keys.
     Every branch reduces to a few rows before the union.
     """
     scalar: dict[str, list[tuple[tuple[str, str, str], Column]]] = {}
@@ -201,7 +217,7 @@ def quality_report(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> Da
                   F.coalesce(F.sum(F.col("n") - 1), F.lit(0)))], dup))
         elif r.check == "orphans":
             ref = tables[r.ref_table].select(
-                *[F.col(c).alias(f"__r_{c}") for c in r.ref_columns]).distinct()
+                *[F.col(c).alias(f"__r_{c}") for c in r.ref_columns])
             child = t.select(*r.columns)
             not_null = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in r.columns])
             cond = reduce(lambda a, b: a & b,
@@ -214,7 +230,15 @@ def quality_report(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> Da
             raise ValueError(f"unknown check {r.check!r}")
     for on, pairs in scalar.items():
         parts.append(_long(pairs, tables[on]))
-    return reduce(DataFrame.unionByName, parts)
+    out = reduce(DataFrame.unionByName, parts)
+    if not any(r.check == "reconcile" for r in rules):
+        return out
+    side = F.substring_index("subject", ":", 1)
+    signed = F.when(side == "target", F.col("value")).otherwise(-F.col("value"))
+    of = F.expr("substring(subject, instr(subject, ':'))")
+    gaps = (out.where(F.col("check") == "reconcile").groupBy("table_name", "check", F.concat(F.lit("difference"), of).alias("subject"))
+            .agg(F.sum(signed).cast(EXACT).alias("value")))
+    return out.unionByName(gaps)
 
 
 # --------------------------------------------------------------------- R5

@@ -12,16 +12,20 @@ from pyspark.sql.window import Window
 # --------------------------------------------------------------------- A1
 def management_report(fact: DataFrame, dims: Sequence[str], measures: Mapping[str, Column],
                       mode: str | Sequence[Sequence[str]] = "rollup",
-                      gid_col: str = "gid") -> DataFrame:
+                      gid_col: str = "gid", grain: Mapping[str, Column] | None = None) -> DataFrame:
     """Measures with subtotals over ``dims``.
 
     ``mode`` is ``rollup``, ``cube`` or an explicit list of grouping sets.
     ``gid_col`` is Spark's ``grouping_id()`` (bit set = dimension rolled up).
-    One Expand + partial aggregation: each map task pre-aggregates before the
-    single shuffle on the grouping keys.
+    With ``grain`` (name -> aggregate) the fact is first summed once at its
+    finest grain, and ``measures`` aggregate those few rows: the Expand that
+    makes the subtotals then multiplies groups, not facts. Without it the
+    Expand sits on the fact rows (needed for measures that do not add up).
     """
     aggs = [m.alias(n) for n, m in measures.items()] + [F.grouping_id().alias(gid_col)]
     dims = list(dims)
+    if grain is not None:
+        fact = fact.groupBy(*dims).agg(*[m.alias(n) for n, m in grain.items()])
     if mode == "rollup":
         grouped = fact.rollup(*dims)
     elif mode == "cube":
@@ -39,10 +43,26 @@ def management_report(fact: DataFrame, dims: Sequence[str], measures: Mapping[st
 PERIODS = ("year", "quarter", "month", "week", "day")
 
 
+def _period_number(period: str, c: Column) -> Column:
+    """Consecutive numbers of calendar periods."""
+    if period == "week":
+        return F.floor(F.datediff(c, F.lit("1970-01-05").cast("date")) / 7)
+    if period == "day":
+        return F.datediff(c, F.lit("1970-01-01").cast("date"))
+    per_year = {"year": 1, "quarter": 4, "month": 12}[period]
+    return F.year(c) * per_year + {"year": F.lit(0), "quarter": F.quarter(c), "month": F.month(c)}[period]
+
+
 def trend(df: DataFrame, part: Sequence[str], period_col: str, measure: Column,
           width: int = 3, period: str = "month") -> DataFrame:
     """Per partition and period: value, running total, moving average over
-    ``width`` periods, and change on the period before.
+    the last ``width`` calendar periods, and change on the calendar period before.
+
+    Periods are counted by the calendar, not by rows: a period without rows
+    is no row, but it is not stepped over either. The moving average is the
+    mean over those of the last ``width`` periods that have rows; the change
+    is null when the period before has none. Rows without a time form a
+    period of their own, with neither.
 
     Rows are first summed per (part, period) with map-side partial sums; the
     windows then run over one row per period, never over raw rows.
@@ -54,16 +74,18 @@ def trend(df: DataFrame, part: Sequence[str], period_col: str, measure: Column,
         raise ValueError(f"period must be one of {PERIODS}, not {period!r}")
     part = list(part)
     per = (df.groupBy(*part, F.date_trunc(period, F.col(period_col)).cast("date").alias("period"))
-           .agg(F.sum(measure).alias("__v")))
-    w = Window.partitionBy(*part).orderBy("period")
-    moving = w.rowsBetween(-(width - 1), Window.currentRow)
+           .agg(F.sum(measure).alias("__v"))
+           .withColumn("__n", _period_number(period, F.col("period")).cast("long")))
+    w = Window.partitionBy(*part).orderBy("__n")
+    moving, before = w.rangeBetween(-(width - 1), Window.currentRow), w.rangeBetween(-1, -1)
+    known = F.col("__n").isNotNull()
     return per.select(
         *part, "period",
         F.col("__v").cast("double").alias("value"),
         F.sum("__v").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
         .cast("double").alias("running_total"),
-        (F.sum("__v").over(moving).cast("double") / F.count("__v").over(moving)).alias("moving_avg"),
-        (F.col("__v") - F.lag("__v").over(w)).cast("double").alias("change"))
+        F.when(known, F.sum("__v").over(moving).cast("double") / F.count("__v").over(moving)).alias("moving_avg"),
+        F.when(known, F.col("__v") - F.max("__v").over(before)).cast("double").alias("change"))
 
 
 # --------------------------------------------------------------------- A3

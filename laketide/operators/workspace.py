@@ -15,6 +15,7 @@ from pyspark.sql.window import Window
 from laketide.functions import generalise as gen
 from laketide.functions import keyed
 from laketide.operators.privacy import generalise, mask_text, pseudonymise, suppress_small_cells
+from laketide.session import scratch_path
 from laketide.sources.storage import publish_workspace_table
 
 
@@ -105,113 +106,152 @@ def sample_cohort(df: DataFrame, id_col: str, salt: str, pct: float) -> DataFram
 
 # --------------------------------------------------------------------- W3
 PROFILE_QUANTILES = (0.25, 0.5, 0.75)
-MAX_EXACT_DISTINCT = 1_000_000
+FINAL_VALUES = 100_000   # distinct values that are ranked in one task
+EDGES = 64               # parts that a longer stretch of values is cut into at a time
 
 
-def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], buckets: int = 1024) -> DataFrame:
-    """Exact interpolated percentiles of a numeric column, computed without
-    ever holding a column's values in one task.
+def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``i, d, s, c``: every column's different values (numbers as double in
+    ``d``, others as text in ``s``) and their counts, written once.
+
+    Partial counts shrink repeated and hot values before the shuffle.
+    """
+    numeric = {f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)}
+    none = {"d": F.lit(None).cast("double"), "s": F.lit(None).cast("string")}
+    cells = [F.struct(F.lit(i).alias("i"),
+                      *[(v if n == ("d" if c in numeric else "s") else none[n]).alias(n) for n, v in
+                        (("d", F.col(c).try_cast("double")), ("s", F.col(c).cast("string")))])
+             for i, c in enumerate(cols)]
+    long = df.select(F.explode(F.array(*cells)).alias("x")).select("x.*")
+    freq = long.groupBy("i", "d", "s").agg(F.count(F.lit(1)).alias("c"))
+    path = scratch_path(df.sparkSession, "profile")
+    freq.write.parquet(path)
+    return df.sparkSession.read.schema(freq.schema).parquet(path)
 
-    One row, column ``q``: array of doubles in the order of ``qs``, equal to
-    Spark's ``percentile`` (position ``q * (n - 1)``, linear between the two
-    nearest ranks). Plan:
 
-    1. value -> count table (partial aggregation: a hot value is one row);
-    2. bucket the distinct values by sketch-estimated quantile edges, so each
-       bucket holds about 1/``buckets`` of them (the edges, ``buckets``
-       numbers, are the only thing the driver sees);
-    3. running counts per bucket (window over one bucket) plus bucket offsets
-       (window over ``buckets`` rows) give every value its rank interval;
-    4. keep the few values whose interval holds a target rank, interpolate.
+def exact_quantiles(freq: DataFrame, totals: Mapping[int, int], qs: Sequence[float],
+                    final_values: int = FINAL_VALUES) -> dict[int, list[float]]:
+    """Exact interpolated percentiles of many columns at once: column number -> values.
+
+    ``freq`` has ``i, d, c`` (see ``value_counts``), ``totals`` the number of
+    values of each column. Equal to Spark's ``percentile`` (position
+    ``q * (n - 1)``, linear between the two nearest ranks).
+
+    Every (column, q) looks for two neighbouring ranks in a stretch of values.
+    A stretch of more than ``final_values`` different values is cut at ``EDGES``
+    sketched quantiles of its values, the parts are counted, and the parts with
+    the two ranks are the next stretch: about ``EDGES`` times shorter. The
+    steps are the same at every size, only their number grows (with the
+    logarithm of the distinct count). All columns share each step; a step
+    sends the driver a few numbers per (column, q), and only a stretch of at
+    most ``final_values`` values is ever sorted in one task.
     """
-    from pyspark.ml.feature import Bucketizer
-
-    vals = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
-    freq = vals.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
-    probs = [i / buckets for i in range(1, buckets)]
-    edges = freq.agg(F.percentile_approx("v", probs, 20 * buckets).alias("e")).first()["e"] or []
-    splits = [float("-inf"), *sorted({e for e in edges if math.isfinite(e)}), float("inf")]
-    if len(splits) < 3:
-        splits = [float("-inf"), 0.0, float("inf")]
-    binned = Bucketizer(splits=splits, inputCol="v", outputCol="b",
-                        handleInvalid="keep").transform(freq)
-    totals = binned.groupBy("b").agg(F.sum("c").alias("bc"))
-    offsets = totals.select("b", F.coalesce(F.sum("bc").over(
-        Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("off"))
-    n = totals.agg(F.sum("bc")).scalar()
-    upto = F.sum("c").over(Window.partitionBy("b").orderBy("v")
-                           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    # offsets has one row per bucket: a proven bound, broadcast.
-    ranked = (binned.withColumn("hi", upto).join(F.broadcast(offsets), "b")
-              .select("v", (F.col("off") + F.col("hi") - F.col("c")).alias("lo_rank"),
-                      (F.col("off") + F.col("hi")).alias("hi_rank")))
-    pos = [F.lit(q) * (n - F.lit(1)).cast("double") for q in qs]
-    ranks = [r for p in pos for r in (F.floor(p), F.ceil(p))]
-    hit = None
-    for r in ranks:
-        h = (F.col("lo_rank") <= r) & (r < F.col("hi_rank"))
-        hit = h if hit is None else hit | h
-    picked = ranked.where(hit)
-    value_at = {}
-    for i, p in enumerate(pos):
-        lo, hi = F.floor(p), F.ceil(p)
-        v0 = F.max(F.when((F.col("lo_rank") <= lo) & (lo < F.col("hi_rank")), F.col("v")))
-        v1 = F.max(F.when((F.col("lo_rank") <= hi) & (hi < F.col("hi_rank")), F.col("v")))
-        value_at[i] = F.when((lo == hi) | (v0 == v1), v0).otherwise(
-            (hi - p) * v0 + (p - lo) * v1)
-    return picked.agg(F.array(*[value_at[i] for i in range(len(qs))]).alias("q"))
+    spark = freq.sparkSession
+    targets = {(i, j): (math.floor(q * (n - 1)), math.ceil(q * (n - 1)), q * (n - 1))
+               for i, n in totals.items() if n for j, q in enumerate(qs)}
+    stretch = {t: (float("-inf"), float("inf"), 0) for t in targets}  # low, high, values below
+    # NaN sorts above infinity: the first stretch is unbounded above.
+    top = float("nan")
+    stretch = {t: (lo, top, below) for t, (lo, _, below) in stretch.items()}
+
+    def inside(open_: dict) -> DataFrame:
+        rows = [(i, j, lo, hi) for (i, j), (lo, hi, _) in open_.items()]
+        side = spark.createDataFrame(rows, "ti int, j int, lo double, hi double")
+        # A row for each (column, q): few and bounded.
+        return freq.where(F.col("d").isNotNull()).join(
+            F.broadcast(side), (F.col("i") == F.col("ti")) & (F.col("d") >= F.col("lo")) & (F.col("d") <= F.col("hi")))
+
+    done: dict[tuple[int, int], tuple[float, float, int]] = {}
+    probs = [k / EDGES for k in range(1, EDGES)]
+    while stretch:
+        looks = inside(stretch).groupBy("i", "j").agg(
+            F.count(F.lit(1)).alias("values"), F.percentile_approx("d", probs, 10_000).alias("edges")).collect()
+        edges = {(r["i"], r["j"]): sorted(set(r["edges"]), key=_order) for r in looks}
+        small = {(r["i"], r["j"]) for r in looks if r["values"] <= final_values}
+        done.update({t: stretch[t] for t in small})
+        stretch = {t: s for t, s in stretch.items() if t not in small}
+        if not stretch:
+            break
+        cut = spark.createDataFrame([(*t, edges[t]) for t in stretch], "ci int, cj int, edges array<double>")
+        part = F.size(F.filter("edges", lambda e: e < F.col("d")))
+        counts = (inside(stretch).join(F.broadcast(cut), (F.col("i") == F.col("ci")) & (F.col("j") == F.col("cj")))
+                  .groupBy("i", "j", part.alias("part")).agg(F.sum("c").alias("c"), F.min("d").alias("lo"), F.max("d").alias("hi"))
+                  .collect())
+        for t in list(stretch):
+            below, first, last = stretch[t][2], None, None
+            for r in sorted((r for r in counts if (r["i"], r["j"]) == t), key=lambda r: r["part"]):
+                if first is None and targets[t][0] < below + r["c"]:
+                    first = (r["lo"], below)
+                if last is None and targets[t][1] < below + r["c"]:
+                    last = r["hi"]
+                below += r["c"]
+            new = (first[0], last, first[1])
+            if new[:2] == stretch[t][:2]:
+                done[t] = stretch.pop(t)  # edges no longer part it: nearly one value
+            else:
+                stretch[t] = new
+    if not done:
+        return {}
+    upto = F.sum("c").over(Window.partitionBy("i", "j").orderBy("d").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    side = spark.createDataFrame([(*t, below, *targets[t][:2]) for t, (_, _, below) in done.items()],
+                                 "ki int, kj int, below long, r0 long, r1 long")
+    ranked = (inside(done).withColumn("upto", upto)
+              .join(F.broadcast(side), (F.col("i") == F.col("ki")) & (F.col("j") == F.col("kj")))
+              .withColumn("hi_rank", F.col("below") + F.col("upto")).withColumn("lo_rank", F.col("hi_rank") - F.col("c")))
+    at = lambda r: F.max(F.when((F.col("lo_rank") <= F.col(r)) & (F.col(r) < F.col("hi_rank")), F.col("d")))
+    out: dict[int, list[float]] = {i: [None] * len(qs) for i in totals}
+    for r in ranked.groupBy("i", "j").agg(at("r0").alias("v0"), at("r1").alias("v1")).collect():
+        lo, hi, p = targets[r["i"], r["j"]]
+        v0, v1 = r["v0"], r["v1"]
+        out[r["i"]][r["j"]] = v0 if lo == hi or v0 == v1 else (hi - p) * v0 + (p - lo) * v1
+    return out
+
+
+def _order(v: float) -> tuple[bool, float]:
+    return (math.isnan(v), v)
 
 
 def profile(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True,
-            accuracy: int = 10_000, max_exact_distinct: int = MAX_EXACT_DISTINCT) -> DataFrame:
+            accuracy: int = 10_000, final_values: int = FINAL_VALUES) -> DataFrame:
     """Per column: count, nulls, distinct, min, max, mean, quartiles.
 
-    One wide aggregation pass, then ``stack`` to one row per column.
-
-    ``exact=True``: exact distinct counts (one distributed pass first) and
-    exact interpolated quartiles (the oracle's definition). A column with at
-    most ``max_exact_distinct`` distinct values uses Spark's ``percentile``,
-    whose value->count map then stays bounded; a column above it uses
-    ``exact_quantiles``, which never gathers a column in one task. Both are
-    exact (``quantile_method`` = ``exact``). ``exact=False``: HyperLogLog++
-    and Greenwald-Khanna sketches in one pass (``approx``). Non-numeric
-    columns get counts only.
+    ``exact=True``: one pass counts every column's different values
+    (``value_counts``, written once); all figures come from that table, the
+    quartiles by ``exact_quantiles``: one way at every size
+    (``quantile_method`` = ``exact``). ``exact=False``: HyperLogLog++ and
+    Greenwald-Khanna sketches in one pass (``approx``). Non-numeric columns
+    get counts only.
     """
     cols = list(cols or df.columns)
+    spark = df.sparkSession
     numeric = {f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)}
-    distinct: dict[int, int] = {}
     if exact:
-        first = df.agg(*[F.count_distinct(F.col(c)).alias(f"d{i}") for i, c in enumerate(cols)]).first()
-        distinct = {i: first[f"d{i}"] for i in range(len(cols))}
+        freq = value_counts(df, cols)
+        value = F.coalesce(F.col("d").isNotNull() | F.col("s").isNotNull(), F.lit(False))
+        n = F.sum(F.when(value, F.col("c")).otherwise(0))
+        total = freq.groupBy("i").agg(
+            n.alias("n"), (F.sum("c") - n).alias("n_null"), F.count_if(value).alias("n_distinct"), F.min("d").alias("min"),
+            F.max("d").alias("max"), (F.sum(F.col("d") * F.col("c")) / n).alias("mean"))
+        seen = {r["i"]: r for r in total.collect()}  # one row a column
+        q = exact_quantiles(freq, {i: seen[i]["n"] for i, c in enumerate(cols) if c in numeric and i in seen},
+                            PROFILE_QUANTILES, final_values)
+        rows = []
+        for i, c in enumerate(cols):
+            r = seen[i].asDict() if i in seen else dict.fromkeys(("n", "n_null", "n_distinct"), 0)
+            rows.append((c, r["n"], r["n_null"], r["n_distinct"], *(r.get(k) if c in numeric else None for k in ("min", "max", "mean")),
+                         *(q.get(i, [None] * 3)), "exact" if c in numeric else None))
+        return spark.createDataFrame(rows, "column_name string, n long, n_null long, n_distinct long, min double, max double, "
+                                           "mean double, p25 double, p50 double, p75 double, quantile_method string")
     aggs = []
-    ranked: dict[int, object] = {}
     for i, c in enumerate(cols):
-        x = F.col(c)
-        d = F.lit(distinct[i]).cast("bigint") if exact else F.approx_count_distinct(x)
-        aggs += [F.count(x).alias(f"n{i}"), F.count_if(x.isNull()).alias(f"z{i}"), d.alias(f"d{i}")]
-        if c in numeric:
-            xd = x.cast("double")
-            if exact and distinct[i] > max_exact_distinct:
-                ranked[i] = exact_quantiles(df, c, PROFILE_QUANTILES).scalar()
-                q = F.lit(None).cast("array<double>")
-            elif exact:
-                q = F.percentile(xd, list(PROFILE_QUANTILES))
-            else:
-                q = F.percentile_approx(xd, list(PROFILE_QUANTILES), accuracy)
-            aggs += [F.min(xd).alias(f"lo{i}"), F.max(xd).alias(f"hi{i}"),
-                     F.avg(xd).alias(f"m{i}"), q.cast("array<double>").alias(f"q{i}"),
-                     F.lit("exact" if exact else "approx").alias(f"qm{i}")]
-        else:
-            none = F.lit(None).cast("double")
-            aggs += [none.alias(f"lo{i}"), none.alias(f"hi{i}"), none.alias(f"m{i}"),
-                     F.lit(None).cast("array<double>").alias(f"q{i}"),
-                     F.lit(None).cast("string").alias(f"qm{i}")]
-    wide = df.agg(*aggs)
-    if ranked:
-        wide = wide.withColumns({f"q{i}": col for i, col in ranked.items()})
-    rows = ", ".join(
-        f"'{c}', n{i}, z{i}, d{i}, lo{i}, hi{i}, m{i}, q{i}[0], q{i}[1], q{i}[2], qm{i}"
-        for i, c in enumerate(cols))
-    return wide.selectExpr(
-        f"stack({len(cols)}, {rows}) as (column_name, n, n_null, n_distinct, "
-        "min, max, mean, p25, p50, p75, quantile_method)")
+        x, none = F.col(c), F.lit(None).cast("double")
+        xd = x.cast("double") if c in numeric else None
+        aggs += [F.count(x).alias(f"n{i}"), F.count_if(x.isNull()).alias(f"z{i}"), F.approx_count_distinct(x).alias(f"d{i}")]
+        aggs += ([F.min(xd).alias(f"lo{i}"), F.max(xd).alias(f"hi{i}"), F.avg(xd).alias(f"m{i}"),
+                  F.percentile_approx(xd, list(PROFILE_QUANTILES), accuracy).alias(f"q{i}"), F.lit("approx").alias(f"qm{i}")]
+                 if c in numeric else
+                 [none.alias(f"lo{i}"), none.alias(f"hi{i}"), none.alias(f"m{i}"), F.lit(None).cast("array<double>").alias(f"q{i}"),
+                  F.lit(None).cast("string").alias(f"qm{i}")])
+    rows = ", ".join(f"'{c}', n{i}, z{i}, d{i}, lo{i}, hi{i}, m{i}, q{i}[0], q{i}[1], q{i}[2], qm{i}" for i, c in enumerate(cols))
+    return df.agg(*aggs).selectExpr(f"stack({len(cols)}, {rows}) as (column_name, n, n_null, n_distinct, "
+                                    "min, max, mean, p25, p50, p75, quantile_method)")

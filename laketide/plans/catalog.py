@@ -30,6 +30,7 @@ WORKSPACE = "research"
 COHORT_SALT = "cohort-2024"
 INCREMENT_MARK = "2024-01-15 00:00:00"
 K_SMALL_CELLS = 10
+SHIP_MARK = "1996-06-30 00:00:00"
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,7 +85,7 @@ def a1_management_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.management_report(
         fact, ["r_name", "c_mktsegment", "o_year"],
         {"revenue": F.sum("rev").cast("double"), "n_lines": F.sum("lines")},
-        mode="rollup")
+        mode="rollup", grain={"rev": F.sum("rev"), "lines": F.sum("lines")})
 
 
 def _line_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,24 +94,22 @@ def _line_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
         (_money("l_extendedprice") * (F.lit(1) - _money("l_discount", "decimal(4,2)"))).alias("rev"))
 
 
-_LINE_MEASURES = {"sum_qty": lambda: F.sum("l_quantity"),
-                  "revenue": lambda: F.sum("rev").cast("double"),
-                  "n_lines": lambda: F.count(F.lit(1))}
+def _line_report(spark: SparkSession, sf_dir: str, mode) -> DataFrame:
+    """Line volume, revenue and count, summed at the finest grain first."""
+    return report.management_report(
+        _line_fact(spark, sf_dir), ["l_returnflag", "l_linestatus", "ship_year"],
+        {"sum_qty": F.sum("qty"), "revenue": F.sum("rev").cast("double"), "n_lines": F.sum("lines")}, mode=mode,
+        grain={"qty": F.sum("l_quantity"), "rev": F.sum("rev"), "lines": F.count(F.lit(1))})
 
 
 def a1_report_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line volume and revenue by return flag, line status and ship year, all subtotals."""
-    return report.management_report(
-        _line_fact(spark, sf_dir), ["l_returnflag", "l_linestatus", "ship_year"],
-        {k: f() for k, f in _LINE_MEASURES.items()}, mode="cube")
+    return _line_report(spark, sf_dir, "cube")
 
 
 def a1_report_grouping_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same measures for (flag, status), for ship year alone, and in total."""
-    return report.management_report(
-        _line_fact(spark, sf_dir), ["l_returnflag", "l_linestatus", "ship_year"],
-        {k: f() for k, f in _LINE_MEASURES.items()},
-        mode=[["l_returnflag", "l_linestatus"], ["ship_year"], []])
+    return _line_report(spark, sf_dir, [["l_returnflag", "l_linestatus"], ["ship_year"], []])
 
 
 # ------------------------------------------------------------------ P1-P6
@@ -239,6 +238,16 @@ def r3_history_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.history_scd2(events, "user_id", "ts", ["event_type"], slice_unit="day")
 
 
+def r3_history_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of the event type over all users' events of no known user: where the
+    user id is a multiple of seven it is unknown, and those rows share one null key.
+    That key is hot, so slices are minutes."""
+    events = _t(spark, sf_dir, "events").select(
+        F.when(F.col("user_id") % 7 != 0, F.col("user_id")).alias("user_id"),
+        F.when(F.col("event_id") % 11 != 0, F.col("ts")).alias("ts"), "event_type")
+    return model.history_scd2(events, "user_id", "ts", ["event_type"], slice_unit="minute")
+
+
 def r4_quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _t(spark, sf_dir, "lineitem")
     tables = {
@@ -284,6 +293,12 @@ def a2_trend_events_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
                         width=7, period="day")
 
 
+def a2_trend_large_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days with orders of over 400,000 per priority: a calendar with gaps."""
+    large = _t(spark, sf_dir, "orders").where(F.col("o_totalprice") > 400_000)
+    return report.trend(large, ["o_orderpriority"], "o_orderdate", _money("o_totalprice"), width=7, period="day")
+
+
 def a3_top_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = _t(spark, sf_dir, "customer").select("c_nationkey", "c_custkey", "c_acctbal")
     return report.top_n(cust, ["c_nationkey"], "c_acctbal", 3, ["c_custkey"])
@@ -291,12 +306,11 @@ def a3_top_n(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def a3_top_parts_by_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five parts of each brand with the most revenue (ties: lower part key)."""
-    rev = (_t(spark, sf_dir, "lineitem").select(
-               "l_partkey",
-               (_money("l_extendedprice") * (F.lit(1) - _money("l_discount", "decimal(4,2)"))).alias("rev"))
-           .join(_t(spark, sf_dir, "part").select("p_partkey", "p_brand"),
-                 F.col("l_partkey") == F.col("p_partkey"))
-           .groupBy("p_brand", "p_partkey").agg(F.sum("rev").cast("double").alias("revenue")))
+    # Lines are summed per part before the join: the part table meets one row a part.
+    per_part = (_t(spark, sf_dir, "lineitem").groupBy("l_partkey")
+                .agg(F.sum(_money("l_extendedprice") * (F.lit(1) - _money("l_discount", "decimal(4,2)"))).alias("rev")))
+    rev = (per_part.join(_t(spark, sf_dir, "part").select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
+           .select("p_brand", "p_partkey", F.col("rev").cast("double").alias("revenue")))
     return report.top_n(rev, ["p_brand"], "revenue", 5, ["p_partkey"])
 
 
@@ -444,6 +458,26 @@ def s5_promote_to_storage(spark: SparkSession, sf_dir: str) -> DataFrame:
         {"ship_year": F.year("l_shipdate")}, path)
 
 
+def s5_second_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads of order lines into one stored table, fed by increments (S3): the first holds
+    lines shipped up to a mark; the second all later ones and a correction of every seventh
+    order's lines, shipped 400 days later, so their keys move to another year. The
+    sequence arrives as text and is conformed before the newest line is chosen."""
+    path = scratch_path(spark, "storage") + "/lineitem"
+    lines = _t(spark, sf_dir, "lineitem").withColumn("seq", F.lit("9"))
+    mark = F.lit(SHIP_MARK).cast("timestamp_ntz")
+    first = lines.where(F.col("l_shipdate") <= mark)
+    second = ingest.with_mark(lines, "l_shipdate", mark).drop("new_mark")
+    moved = (lines.where(F.col("l_orderkey") % 7 == 0).withColumn("seq", F.lit("10"))
+             .withColumn("l_shipdate", F.col("l_shipdate") + F.expr("INTERVAL 400 DAYS")))
+    stored = None
+    for batch in (first, second.unionByName(moved)):
+        stored = storage.promote_to_storage(batch, ["l_orderkey", "l_linenumber"], ["seq", "l_shipdate"],
+                                            {"ship_year": F.year("l_shipdate")}, path, conform={"seq": "int"},
+                                            quarantine_path=path + "-quarantine")
+    return stored
+
+
 def _customer_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Changes a source system sends for the customer table: renames of
     customers in debt, deletes of household customers of nation 0, a second
@@ -472,6 +506,21 @@ def s6_upsert_storage(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   ["c_custkey"], op_col="op", seq_col="seq")
 
 
+def s6_stored_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored customer table takes the same changes twice, some without an operation and
+    some without a key; the second time changes nothing."""
+    path = scratch_path(spark, "storage") + "/customer"
+    customer = _t(spark, sf_dir, "customer")
+    customer.write.parquet(path)
+    stored = spark.read.schema(customer.schema).parquet(path)
+    delta = _customer_delta(spark, sf_dir).withColumns({
+        "op": F.when(F.col("c_nationkey") != 4, F.col("op")),
+        "c_custkey": F.when(F.col("c_custkey") < 10_000_000_000, F.col("c_custkey"))})
+    for _ in range(2):
+        stored = storage.upsert_storage(stored, delta, ["c_custkey"], op_col="op", seq_col="seq", path=path)
+    return stored
+
+
 def s7_publish_workspace_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return storage.publish_workspace_table(_t(spark, sf_dir, "supplier"), WORKSPACE, "supplier",
                                            partition_by=["s_nationkey"], lake_root=_lake(spark))
@@ -495,10 +544,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "r2_build_fact": r2_build_fact,
     "r3_history_scd2": r3_history_scd2,
     "r3_history_events": r3_history_events,
+    "r3_history_null_keys": r3_history_null_keys,
     "r4_quality_report": r4_quality_report,
     "r5_flatten_json": r5_flatten_json,
     "a2_trend": a2_trend,
     "a2_trend_events_daily": a2_trend_events_daily,
+    "a2_trend_large_orders": a2_trend_large_orders,
     "a3_top_n": a3_top_n,
     "a3_top_parts_by_revenue": a3_top_parts_by_revenue,
     "a4_cross_org_link": a4_cross_org_link,
@@ -513,6 +564,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "s3_ingest_incremental": s3_ingest_incremental,
     "s4_stream_land": s4_stream_land,
     "s5_promote_to_storage": s5_promote_to_storage,
+    "s5_second_batch": s5_second_batch,
+    "s6_stored_upsert": s6_stored_upsert,
     "s6_upsert_storage": s6_upsert_storage,
     "s7_publish_workspace_table": s7_publish_workspace_table,
 }

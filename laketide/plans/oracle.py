@@ -143,7 +143,7 @@ FROM (SELECT COUNT(*) AS n FROM customer GROUP BY c_nationkey, c_mktsegment)
 """
 
 R1 = f"""
-SELECT sha256(CAST(p_partkey AS VARCHAR)) AS part_key, p_partkey, p_name, p_brand, p_type FROM (
+SELECT sha256(length(CAST(p_partkey AS VARCHAR)) || ':' || CAST(p_partkey AS VARCHAR)) AS part_key, p_partkey, p_name, p_brand, p_type FROM (
   SELECT p_partkey, p_name, p_brand, p_type,
          row_number() OVER (PARTITION BY p_partkey ORDER BY p_name DESC, p_brand DESC, p_type DESC) AS rn
   FROM part WHERE p_partkey IS NOT NULL)
@@ -152,9 +152,9 @@ UNION ALL SELECT {UNKNOWN}, NULL, 'Unknown', 'Unknown', 'Unknown'
 """
 
 R2 = f"""
-WITH pd AS (SELECT DISTINCT p_partkey, sha256(CAST(p_partkey AS VARCHAR)) AS part_key FROM part
+WITH pd AS (SELECT DISTINCT p_partkey, sha256(length(CAST(p_partkey AS VARCHAR)) || ':' || CAST(p_partkey AS VARCHAR)) AS part_key FROM part
             WHERE p_partkey IS NOT NULL),
-sd AS (SELECT DISTINCT s_suppkey, sha256(CAST(s_suppkey AS VARCHAR)) AS supp_key FROM supplier
+sd AS (SELECT DISTINCT s_suppkey, sha256(length(CAST(s_suppkey AS VARCHAR)) || ':' || CAST(s_suppkey AS VARCHAR)) AS supp_key FROM supplier
        WHERE s_acctbal > 0 AND s_suppkey IS NOT NULL)
 SELECT l_orderkey, l_linenumber, l_quantity,
        coalesce(pd.part_key, {UNKNOWN}) AS part_key, coalesce(sd.supp_key, {UNKNOWN}) AS supp_key
@@ -184,6 +184,19 @@ SELECT user_id, event_type, ts AS valid_from,
 FROM starts WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_type)
 """
 
+R3_NULLS = """
+WITH e AS (
+  SELECT CASE WHEN user_id % 7 <> 0 THEN user_id END AS user_id, CASE WHEN event_id % 11 <> 0 THEN ts END AS ts, event_type
+  FROM events),
+flagged AS (
+  SELECT user_id, ts, event_type, lag(event_type) OVER w AS prev, row_number() OVER w AS rn
+  FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ts NULLS FIRST, event_type)),
+starts AS (SELECT * FROM flagged WHERE rn = 1 OR prev IS DISTINCT FROM event_type)
+SELECT user_id, event_type, ts AS valid_from, lead(ts) OVER w AS valid_to,
+       row_number() OVER w = count(*) OVER (PARTITION BY user_id) AS is_current
+FROM starts WINDOW w AS (PARTITION BY user_id ORDER BY ts NULLS FIRST, event_type)
+"""
+
 _LINEITEM_NEWEST = """
 SELECT * FROM (
   SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
@@ -197,39 +210,48 @@ def _orphans(table: str, col: str, ref: str, ref_col: str, ref_where: str = "TRU
              ref_name: str | None = None) -> str:
     subject = f"{col}->{ref_name or ref}.{ref_col}"
     return f"""
-SELECT '{table}', 'orphans', '{subject}', CAST(COUNT(*) AS DOUBLE) FROM {table}
+SELECT '{table}', 'orphans', '{subject}', CAST(COUNT(*) AS DECIMAL(38,2)) FROM {table}
  WHERE {col} IS NOT NULL AND {col} NOT IN (SELECT {ref_col} FROM {ref} WHERE {ref_where} AND {ref_col} IS NOT NULL)
 UNION ALL
-SELECT '{table}', 'null_foreign_keys', '{subject}', CAST(COUNT(*) FILTER (WHERE {col} IS NULL) AS DOUBLE) FROM {table}"""
+SELECT '{table}', 'null_foreign_keys', '{subject}', CAST(COUNT(*) FILTER (WHERE {col} IS NULL) AS DECIMAL(38,2)) FROM {table}"""
 
 
 def _dups(table: str, cols: str) -> str:
     return f"""
-SELECT '{table}', 'duplicate_keys', '{cols}:keys', CAST(COUNT(*) AS DOUBLE)
+SELECT '{table}', 'duplicate_keys', '{cols}:keys', CAST(COUNT(*) AS DECIMAL(38,2))
   FROM (SELECT {cols} FROM {table} GROUP BY {cols} HAVING COUNT(*) > 1)
 UNION ALL
-SELECT '{table}', 'duplicate_keys', '{cols}:extra_rows', CAST(coalesce(SUM(n - 1), 0) AS DOUBLE)
+SELECT '{table}', 'duplicate_keys', '{cols}:extra_rows', CAST(coalesce(SUM(n - 1), 0) AS DECIMAL(38,2))
   FROM (SELECT COUNT(*) AS n FROM {table} GROUP BY {cols} HAVING COUNT(*) > 1)"""
 
 
 def _sums(side: str, src: str) -> str:
     return f"""
-SELECT 'lineitem_storage', 'reconcile', '{side}:rows', CAST(COUNT(*) AS DOUBLE) FROM {src}
+SELECT 'lineitem_storage', 'reconcile', '{side}:rows', CAST(COUNT(*) AS DECIMAL(38,2)) FROM {src}
 UNION ALL SELECT 'lineitem_storage', 'reconcile', '{side}:sum(l_quantity)',
-  CAST(SUM(CAST(l_quantity AS DECIMAL(38,2))) AS DOUBLE) FROM {src}
+  CAST(SUM(CAST(l_quantity AS DECIMAL(38,2))) AS DECIMAL(38,2)) FROM {src}
 UNION ALL SELECT 'lineitem_storage', 'reconcile', '{side}:sum(l_extendedprice)',
-  CAST(SUM(CAST(l_extendedprice AS DECIMAL(38,2))) AS DOUBLE) FROM {src}"""
+  CAST(SUM(CAST(l_extendedprice AS DECIMAL(38,2))) AS DECIMAL(38,2)) FROM {src}"""
+
+
+def _differences(source: str, target: str) -> str:
+    q, e = (f"SUM(CAST({c} AS DECIMAL(38,2)))" for c in ("l_quantity", "l_extendedprice"))
+    parts = []
+    for name, v in (("rows", "COUNT(*)"), ("sum(l_quantity)", q), ("sum(l_extendedprice)", e)):
+        parts.append(f"SELECT 'lineitem_storage', 'reconcile', 'difference:{name}', CAST((SELECT {v} FROM {target}) "
+                     f"- (SELECT {v} FROM {source}) AS DECIMAL(38,2))")
+    return " UNION ALL ".join(parts)
 
 
 R4 = "SELECT * FROM (" + " UNION ALL ".join([
-    "SELECT 'lineitem' AS table_name, 'rows' AS \"check\", '*' AS subject, CAST(COUNT(*) AS DOUBLE) AS value FROM lineitem",
-    "SELECT 'orders', 'rows', '*', CAST(COUNT(*) AS DOUBLE) FROM orders",
-    "SELECT 'customer', 'rows', '*', CAST(COUNT(*) AS DOUBLE) FROM customer",
-    "SELECT 'orders', 'nulls', 'o_custkey', CAST(COUNT(*) FILTER (WHERE o_custkey IS NULL) AS DOUBLE) FROM orders",
-    "SELECT 'orders', 'nulls', 'o_orderdate', CAST(COUNT(*) FILTER (WHERE o_orderdate IS NULL) AS DOUBLE) FROM orders",
-    "SELECT 'lineitem', 'nulls', 'l_orderkey', CAST(COUNT(*) FILTER (WHERE l_orderkey IS NULL) AS DOUBLE) FROM lineitem",
-    "SELECT 'lineitem', 'nulls', 'l_partkey', CAST(COUNT(*) FILTER (WHERE l_partkey IS NULL) AS DOUBLE) FROM lineitem",
-    "SELECT 'lineitem', 'nulls', 'l_suppkey', CAST(COUNT(*) FILTER (WHERE l_suppkey IS NULL) AS DOUBLE) FROM lineitem",
+    "SELECT 'lineitem' AS table_name, 'rows' AS \"check\", '*' AS subject, CAST(COUNT(*) AS DECIMAL(38,2)) AS value FROM lineitem",
+    "SELECT 'orders', 'rows', '*', CAST(COUNT(*) AS DECIMAL(38,2)) FROM orders",
+    "SELECT 'customer', 'rows', '*', CAST(COUNT(*) AS DECIMAL(38,2)) FROM customer",
+    "SELECT 'orders', 'nulls', 'o_custkey', CAST(COUNT(*) FILTER (WHERE o_custkey IS NULL) AS DECIMAL(38,2)) FROM orders",
+    "SELECT 'orders', 'nulls', 'o_orderdate', CAST(COUNT(*) FILTER (WHERE o_orderdate IS NULL) AS DECIMAL(38,2)) FROM orders",
+    "SELECT 'lineitem', 'nulls', 'l_orderkey', CAST(COUNT(*) FILTER (WHERE l_orderkey IS NULL) AS DECIMAL(38,2)) FROM lineitem",
+    "SELECT 'lineitem', 'nulls', 'l_partkey', CAST(COUNT(*) FILTER (WHERE l_partkey IS NULL) AS DECIMAL(38,2)) FROM lineitem",
+    "SELECT 'lineitem', 'nulls', 'l_suppkey', CAST(COUNT(*) FILTER (WHERE l_suppkey IS NULL) AS DECIMAL(38,2)) FROM lineitem",
     _dups("lineitem", "l_orderkey,l_linenumber"),
     _dups("orders", "o_custkey,o_orderdate"),
     _orphans("lineitem", "l_orderkey", "orders", "o_orderkey"),
@@ -238,38 +260,31 @@ R4 = "SELECT * FROM (" + " UNION ALL ".join([
     _orphans("lineitem", "l_suppkey", "supplier", "s_suppkey", "s_acctbal > 0", "active_supplier"),
     _sums("source", "lineitem"),
     _sums("target", f"({_LINEITEM_NEWEST})"),
+    _differences("lineitem", f"({_LINEITEM_NEWEST})"),
 ]) + ")"
 
 R5 = "SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events"
 
-A2 = """
-WITH per AS (
-  SELECT o_orderpriority, CAST(date_trunc('month', o_orderdate) AS DATE) AS period,
-         SUM(CAST(o_totalprice AS DECIMAL(12,2))) AS v
-  FROM orders GROUP BY 1, 2)
-SELECT o_orderpriority, period, CAST(v AS DOUBLE) AS value,
-       CAST(SUM(v) OVER (PARTITION BY o_orderpriority ORDER BY period
-            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS running_total,
-       CAST(SUM(v) OVER w3 AS DOUBLE) / COUNT(v) OVER w3 AS moving_avg,
-       CAST(v - lag(v) OVER (PARTITION BY o_orderpriority ORDER BY period) AS DOUBLE) AS change
-FROM per
-WINDOW w3 AS (PARTITION BY o_orderpriority ORDER BY period ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)
-"""
-
-A2_EVENTS = """
+def _trend_sql(src: str, part: str, ts: str, measure: str, unit: str, width: int) -> str:
+    """By the calendar: a spine of all periods, a self-join for the one before."""
+    return f"""
 WITH per AS (
-  SELECT event_type, CAST(date_trunc('day', ts) AS DATE) AS period,
-         SUM(CAST(value AS DECIMAL(12,2))) AS v
-  FROM events GROUP BY 1, 2)
-SELECT event_type, period, CAST(v AS DOUBLE) AS value,
-       CAST(SUM(v) OVER (PARTITION BY event_type ORDER BY period
-            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS running_total,
-       CAST(SUM(v) OVER w7 AS DOUBLE) / COUNT(v) OVER w7 AS moving_avg,
-       CAST(v - lag(v) OVER (PARTITION BY event_type ORDER BY period) AS DOUBLE) AS change
-FROM per
-WINDOW w7 AS (PARTITION BY event_type ORDER BY period ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)
+  SELECT {part}, CAST(date_trunc('{unit}', {ts}) AS DATE) AS period, SUM(CAST({measure} AS DECIMAL(12,2))) AS v
+  FROM {src} GROUP BY 1, 2)
+SELECT p.{part}, p.period, CAST(p.v AS DOUBLE) AS value,
+       CAST((SELECT SUM(x.v) FROM per x WHERE x.{part} = p.{part} AND x.period <= p.period) AS DOUBLE) AS running_total,
+       (SELECT CAST(SUM(x.v) AS DOUBLE) / COUNT(*) FROM per x WHERE x.{part} = p.{part} AND x.period <= p.period
+          AND x.period > p.period - INTERVAL {width} {unit}) AS moving_avg,
+       CAST(p.v - b.v AS DOUBLE) AS change
+FROM per p LEFT JOIN per b ON b.{part} = p.{part} AND b.period = p.period - INTERVAL 1 {unit}
 """
 
+
+A2 = _trend_sql("orders", "o_orderpriority", "o_orderdate", "o_totalprice", "month", 3)
+A2_EVENTS = _trend_sql("events", "event_type", "ts", "value", "day", 7)
+A2_LARGE = _trend_sql("(SELECT * FROM orders WHERE o_totalprice > 400000)", "o_orderpriority", "o_orderdate",
+                      "o_totalprice", "day", 7)
+
 A3_PARTS = """
 WITH r AS (
   SELECT p_brand, p_partkey,
@@ -433,6 +448,40 @@ UNION ALL
 SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM last WHERE op <> 'D'
 """
 
+S5_SECOND = f"""
+WITH every AS (
+  SELECT *, 9 AS seq FROM lineitem
+  UNION ALL
+  SELECT * REPLACE (l_shipdate + INTERVAL 400 DAYS AS l_shipdate), 10 AS seq FROM lineitem WHERE l_orderkey % 7 = 0),
+one AS (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+      ORDER BY seq DESC, l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC,
+               l_discount DESC, l_tax DESC, l_returnflag DESC, l_linestatus DESC) AS rn
+  FROM every)
+SELECT * EXCLUDE (rn), CAST(year(l_shipdate) AS INTEGER) AS ship_year FROM one WHERE rn = 1
+"""
+
+S6_STORED = """
+WITH delta AS (
+  SELECT c_custkey, c_name || ' (revised)' AS c_name, c_nationkey, c_acctbal, c_mktsegment, 'U' AS op, 1 AS seq
+    FROM customer WHERE c_acctbal < 0
+  UNION ALL SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, 'D', 1
+    FROM customer WHERE c_mktsegment = 'HOUSEHOLD' AND c_nationkey = 0
+  UNION ALL SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, 'D', 2
+    FROM customer WHERE c_acctbal < 0 AND c_nationkey = 1
+  UNION ALL SELECT -c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, 'D', 1
+    FROM customer WHERE c_nationkey = 2
+  UNION ALL SELECT NULL, c_name, c_nationkey, c_acctbal, c_mktsegment, 'I', 1 FROM customer WHERE c_nationkey = 3),
+last AS (
+  SELECT * FROM (SELECT * REPLACE (CASE WHEN c_nationkey <> 4 THEN op END AS op), row_number() OVER (PARTITION BY c_custkey
+      ORDER BY seq DESC, c_name DESC, c_nationkey DESC, c_acctbal DESC, c_mktsegment DESC, op DESC) AS rn
+    FROM delta) WHERE rn = 1)
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer
+ WHERE NOT EXISTS (SELECT 1 FROM last WHERE last.c_custkey IS NOT DISTINCT FROM customer.c_custkey)
+UNION ALL
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM last WHERE op IS DISTINCT FROM 'D'
+"""
+
 S7 = "SELECT s_suppkey, s_name, s_acctbal, s_nationkey FROM supplier"
 
 ORACLE: dict[str, str] = {
@@ -453,10 +502,12 @@ ORACLE: dict[str, str] = {
     "r2_build_fact": R2,
     "r3_history_scd2": R3,
     "r3_history_events": R3_EVENTS,
+    "r3_history_null_keys": R3_NULLS,
     "r4_quality_report": R4,
     "r5_flatten_json": R5,
     "a2_trend": A2,
     "a2_trend_events_daily": A2_EVENTS,
+    "a2_trend_large_orders": A2_LARGE,
     "a3_top_n": A3,
     "a3_top_parts_by_revenue": A3_PARTS,
     "a4_cross_org_link": A4,
@@ -471,6 +522,8 @@ ORACLE: dict[str, str] = {
     "s3_ingest_incremental": S3,
     "s4_stream_land": S4,
     "s5_promote_to_storage": S5,
+    "s5_second_batch": S5_SECOND,
+    "s6_stored_upsert": S6_STORED,
     "s6_upsert_storage": S6,
     "s7_publish_workspace_table": S7,
 }

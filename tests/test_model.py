@@ -17,7 +17,7 @@ def test_build_dimension_unknown_member_and_duplicates(spark):
     assert got[1]["name"] == "b"  # greatest attribute tuple wins, deterministically
     assert got[None]["dim_key"] == model.UNKNOWN_KEY and got[None]["name"] == "Unknown"
     import hashlib
-    assert got[2]["dim_key"] == hashlib.sha256(b"2").hexdigest()
+    assert got[2]["dim_key"] == hashlib.sha256(b"1:2").hexdigest()
 
 
 def test_build_fact_orphans(spark):
@@ -29,8 +29,8 @@ def test_build_fact_orphans(spark):
     got = {r["fact_id"]: r["dim_key"] for r in out.collect()}
     assert len(got) == 4 and out.count() == 4  # no fan-out from the duplicated key
     import hashlib
-    assert got[10] == hashlib.sha256(b"1").hexdigest()
-    assert got[13] == hashlib.sha256(b"2").hexdigest()
+    assert got[10] == hashlib.sha256(b"1:1").hexdigest()
+    assert got[13] == hashlib.sha256(b"1:2").hexdigest()
     assert got[11] == model.UNKNOWN_KEY and got[12] == model.UNKNOWN_KEY
 
 
@@ -75,6 +75,7 @@ def test_quality_report_fixture(spark):
     assert got[("facts", "reconcile", "target:rows")] == 4
     assert got[("facts", "reconcile", "source:sum(fact_id)")] == 6
     assert got[("facts", "reconcile", "target:sum(fact_id)")] == 9
+    assert got[("facts", "reconcile", "difference:sum(fact_id)")] == 3 and got[("facts", "reconcile", "difference:rows")] == 1
 
 
 def test_flatten_json_props(spark):
@@ -105,3 +106,25 @@ def test_history_scd2_slices_match_single_slice(spark):
     runs = [(t, s) for i, (t, s) in enumerate(hot) if i == 0 or hot[i - 1][1] != s]
     got = [(r[2], r[1]) for r in sliced if r[0] == 0]
     assert sorted(got) == runs
+
+
+def test_composite_keys_do_not_run_together(spark):
+    df = spark.createDataFrame([("a|b", "c", 1), ("a", "b|c", 2), ("a:b", "c", 3), ("", "1:x", 4)], "k string, l string, v int")
+    dim = model.build_dimension(df, ["k", "l"], ["v"])
+    assert len({r["dim_key"] for r in dim.collect()}) == 5
+
+
+def test_history_of_null_keys_and_times(spark):
+    data = [(None, T(2024, 1, d), "A") for d in (1, 2, 3)] + [(None, T(2024, 1, 4), "B"), (None, None, "A"), (1, None, "A"), (1, T(2024, 1, 1), "A")]
+    df = spark.createDataFrame(data, "key long, ts timestamp_ntz, state string")
+    got = rows(model.history_scd2(df, "key", "ts", ["state"], slice_unit="day"))
+    assert got == rows(model.history_scd2(df, "key", "ts", ["state"], slice_unit=None))
+    assert got == [(1, "A", None, None, True), (None, "A", None, T(2024, 1, 4), False), (None, "B", T(2024, 1, 4), None, True)]
+
+
+def test_totals_keep_their_cents(spark):
+    a = spark.createDataFrame([("9999999999999999.01",), ("9999999999999999.01",)], "v string").selectExpr("CAST(v AS decimal(30,2)) AS v")
+    b = spark.createDataFrame([("9999999999999999.01",), ("9999999999999999.02",)], "v string").selectExpr("CAST(v AS decimal(30,2)) AS v")
+    rep = model.quality_report({"a": a, "b": b}, [model.Rule("b", "reconcile", ref_table="a", measures=["v"])])
+    got = {r["subject"]: str(r["value"]) for r in rep.collect()}
+    assert got["difference:sum(v)"] == "0.01" and got["source:sum(v)"] == "19999999999999998.02"

@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from laketide.operators import report
-from conftest import rows
+from conftest import SF_SMALL, rows
 
 
 def _sales(spark):
@@ -84,3 +84,23 @@ def test_trend_rejects_unknown_period(spark):
     except ValueError:
         return
     raise AssertionError("unknown period accepted")
+
+
+def test_trend_goes_by_the_calendar(spark):
+    D = dt.datetime
+    df = spark.createDataFrame([(D(2024, 1, 5), 10), (D(2024, 2, 1), 30), (D(2024, 9, 1), 6), (None, 1)], "ts timestamp_ntz, v int")
+    got = {r[0]: tuple(r)[1:] for r in report.trend(df, [], "ts", F.col("v"), width=3).collect()}
+    assert got[dt.date(2024, 9, 1)][2:] == (6.0, None) and got[dt.date(2024, 2, 1)][2:] == (20.0, 20.0)
+    assert got[None][2:] == (None, None)
+    for period, n in (("year", 1), ("quarter", 2), ("week", 3), ("day", 3)):
+        assert report.trend(df.where("ts IS NOT NULL"), [], "ts", F.col("v"), period=period).count() == n
+
+
+def test_subtotals_expand_groups_not_facts(spark):
+    import __spark_entry__ as E
+    for name in ("a1_management_report", "a1_report_cube", "a1_report_grouping_sets"):
+        plan = E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+        below = plan[plan.index("Expand"):]
+        assert "Aggregate" in below[:below.index("Relation")], name
+    plan = E.queries()["a3_top_parts_by_revenue"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [l_partkey" in plan[plan.index("Join"):]
