@@ -1,8 +1,9 @@
 """N-gram Jaccard join by set-relation skipping.
 
-A document's set holds the hashes of its distinct word n-grams. Documents
-with equal sets are one class (its smallest id speaks for it). The links
-between classes are found exactly, by prefix lists:
+A document's set holds the hashes of its distinct word n-grams. Rows are
+numbered in a written table. Rows with equal sets are one class; the row of its
+smallest id speaks for it, and its number is the class's key from the lists to
+the components. The links between classes are found exactly, by prefix lists:
 
 1. Frequency levels. Partitions send owners their sets' 32-bit keys,
    Golomb-Rice coded; owners count them and answer with one bitmap per level
@@ -10,8 +11,7 @@ between classes are found exactly, by prefix lists:
    all grams, rare ones first; a wrong bit only moves a gram in the order.
 2. Index lists. Two linked sets share a gram among the first
    ``n - ceil(t n) + 1`` of each. Those of them that occur again are sent to
-   their owners with position and set size. Copies fold there, and lists of
-   one class are dropped.
+   their owners with position and set size. Lists of one class are dropped.
 3. Skipping in lists. Within a list entries are in blocks by set size; blocks
    out of reach, positions that leave too little and prefixes that differ in
    too much (by a 256-bit picture of each) are skipped. First every set is
@@ -31,9 +31,8 @@ several tasks. Components come from Spark joins over the links (see
 
 Defined cases. Null and empty texts, and texts without words, have an empty
 set and no links. Fewer than n words make one gram of their own. A null
-``doc_id`` sorts last. Rows that repeat a ``doc_id`` are one document: it has
-the links of its rows, and one of its texts (the smallest) is compared. An
-empty table gives an empty result. Other columns are not read.
+``doc_id`` sorts last. Null and repeated ids are judged row by row, each by its
+own text. An empty table gives an empty result. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -44,7 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from laketide.llm.common import (LOWER, NON_WHITE, U64, documents, find_words, mix, owners_of, ready, real_id,
+from laketide.llm.common import (LOWER, NON_WHITE, NULL_ID, U64, documents, find_words, mix, owners_of, ready, real_id,
                                  rolling, slices, text_buffer, word_hashes, written)
 from laketide.llm.components import components
 from laketide.llm.exact_dedup import rice_decode, rice_encode
@@ -80,22 +79,23 @@ def gram_sets(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def describe(docs: DataFrame, n: int) -> DataFrame:
-    """``doc_id, n_shingles`` and a 128-bit digest of the set (d1, d2)."""
+    """``row_id, doc_id, n_shingles`` and a 128-bit digest of the set (d1, d2) of
+    rows (row_id, doc_id, text)."""
 
     def digest(batches):
         for whole in batches:
             for b in slices(whole):
-                doc, h = gram_sets(b.column(1), n)
+                doc, h = gram_sets(b.column(2), n)
                 size = np.bincount(doc, minlength=b.num_rows)
                 sums = []
                 for salt in (U64(0), ANSWER):
                     total = np.concatenate([[U64(0)], np.cumsum(mix(h + salt), dtype=U64)])
                     cut = np.concatenate([[0], np.cumsum(size)])
                     sums.append(mix(total[cut[1:]] - total[cut[:-1]] + size.astype(U64)).view(np.int64))
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size.astype(np.int64)), *map(pa.array, sums)],
-                                                 names=["doc_id", "n_shingles", "d1", "d2"])
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(size.astype(np.int64)), *map(pa.array, sums)],
+                                                 names=["row_id", "doc_id", "n_shingles", "d1", "d2"])
 
-    return docs.mapInArrow(digest, "doc_id long, n_shingles long, d1 long, d2 long")
+    return docs.mapInArrow(digest, "row_id long, doc_id long, n_shingles long, d1 long, d2 long")
 
 
 def frequency_levels(docs: DataFrame, n: int) -> list[np.ndarray]:
@@ -169,8 +169,6 @@ def prefix_lists(docs: DataFrame, n: int, percent: int) -> DataFrame:
                 level = _level(shared.value, h)
                 size = np.bincount(doc, minlength=b.num_rows)
                 cut = np.concatenate([[0], np.cumsum(size)])
-                total = np.concatenate([[U64(0)], np.cumsum(mix(h + ANSWER), dtype=U64)])
-                digest = mix(total[cut[1:]] - total[cut[:-1]] + size.astype(U64)).view(np.int64)
                 order = np.lexsort((h, level, doc))
                 pos = np.arange(len(h)) - cut[doc]
                 prefix = size - -(-percent * size // 100) + 1
@@ -182,18 +180,14 @@ def prefix_lists(docs: DataFrame, n: int, percent: int) -> DataFrame:
                 np.bitwise_or.at(picture, ((bit >> U64(6)).astype(np.int64), d), U64(1) << (bit & U64(63)))
                 owner = ((g >> U64(20)) % U64(owners)).astype(np.int64)
                 rows = pack(owner, owners, d, p, b.column(0).to_numpy(), [g.astype("<u8")],
-                            (size + (sent << 32), digest, *picture.view(np.int64)))
+                            (size + (sent << 32), *picture.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([pa.array([o for o, _ in rows], pa.int32()),
                                                   pa.array([x for _, x in rows], pa.binary())], names=["owner", "payload"])
 
     def fold(key, rows):
-        doc, pos, (gram,), (size, digest, *picture) = unpack(rows.column("payload").to_pylist(), ["<u8"], 6)
-        order = np.lexsort((doc, digest, size, gram))
-        doc, pos, gram, size, digest, *picture = (x[order] for x in (doc, pos, gram, size, digest, *picture))
-        fresh = np.ones(len(gram), bool)   # the smallest id of each class in each list
-        fresh[1:] = (gram[1:] != gram[:-1]) | (size[1:] != size[:-1]) | (digest[1:] != digest[:-1])
-        _, where, count = np.unique(gram[fresh], return_inverse=True, return_counts=True)
-        many = np.flatnonzero(fresh)[count[where] > 1]
+        doc, pos, (gram,), (size, *picture) = unpack(rows.column("payload").to_pylist(), ["<u8"], 5)
+        _, where, count = np.unique(gram, return_inverse=True, return_counts=True)
+        many = np.flatnonzero(count[where] > 1)
         cols = {"owner": np.full(len(many), key[0].as_py(), np.int32), "gram": gram[many].view(np.int64), "doc_id": doc[many],
                 "size": (size[many] & 0xFFFFFFFF).astype(np.int32), "pos": pos[many].astype(np.int32),
                 "sent": (size[many] >> 32).astype(np.int32), **{f"s{i}": x[many] for i, x in enumerate(picture)}}
@@ -325,8 +319,7 @@ def compare(pairs: DataFrame, texts: DataFrame, n: int) -> DataFrame:
 
     def overlap(key, rows):
         out = [[] for _ in range(5)]
-        rows = rows.sort_by([("hub", "ascending"), ("salt", "ascending"), ("is_hub", "descending"), ("doc_id", "ascending"),
-                             ("text", "ascending")])
+        rows = rows.sort_by([("hub", "ascending"), ("salt", "ascending"), ("is_hub", "descending"), ("doc_id", "ascending")])
         hub, salt = rows.column("hub").to_numpy(), rows.column("salt").to_numpy()
         is_hub, ids = rows.column("is_hub").to_numpy(zero_copy_only=False), rows.column("doc_id").to_numpy()
         current, now = None, None
@@ -338,10 +331,9 @@ def compare(pairs: DataFrame, texts: DataFrame, n: int) -> DataFrame:
                 for i in range(part.num_rows):
                     s, r = h[cut[i]:cut[i + 1]], at + i
                     if is_hub[r]:
-                        if current != (hub[r], salt[r]):
-                            current, now = (hub[r], salt[r]), s
+                        current, now = (hub[r], salt[r]), s
                         continue
-                    if current != (hub[r], salt[r]) or (out[0] and out[0][-1] == ids[r] and out[1][-1] == hub[r]):
+                    if current != (hub[r], salt[r]):
                         continue
                     both = len(s) + len(now) - len(np.unique(np.concatenate([s, now])))
                     for col, v in zip(out, (ids[r], hub[r], len(s), len(now), both)):
@@ -358,11 +350,11 @@ def _linked(percent: int) -> Column:
 
 
 def class_links(docs: DataFrame, n: int, percent: int, first_pairs: int = 4) -> DataFrame:
-    """Links (a, b) that connect exactly the classes that are connected."""
+    """Links (a, b) that connect exactly the classes that are connected. ``docs``
+    is one row a class: its key as ``doc_id``, and its text as ``shrink`` makes it."""
     lists = prefix_lists(docs, n, percent)
     members = lists.select("doc_id").distinct()
-    texts = written(docs.mapInArrow(shrink, "doc_id long, text binary").join(members.hint("merge"), "doc_id", "left_semi"),
-                    "jaccard-texts")
+    texts = written(docs.join(members.hint("merge"), "doc_id", "left_semi"), "jaccard-texts")
     known = written(compare(hub_pairs(lists, percent), texts, n), "jaccard-hubs")
     links = known.where(_linked(percent)).select("a", "b")
     comp = components(links)
@@ -397,26 +389,42 @@ def class_links(docs: DataFrame, n: int, percent: int, first_pairs: int = 4) ->
     return links
 
 
-def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
-    """Per row: ``doc_id, n_shingles, component_id, class_id`` (smallest id with an equal set)."""
+def named_sets(rows: DataFrame, n: int, percent: int) -> DataFrame:
+    """``row_id, doc_id, n_shingles, component_id, class_id`` (``NULL_ID`` for null) and
+    ``first``, the row that speaks for the component, of written rows (row_id, doc_id, text)."""
     if not 0 < percent <= 100:
         raise ValueError("percent is over 0 and at most 100")
-    spark = docs.sparkSession
-    ready(spark)
-    rows = documents(docs, doc_id, text)
     sets = written(describe(rows, n), "jaccard-sets")
-    classes = (sets.where("n_shingles > 0").groupBy("n_shingles", "d1", "d2").agg(F.min("doc_id").alias("class_id"))
-               .select(F.col("n_shingles").alias("n"), F.col("d1").alias("e1"), F.col("d2").alias("e2"), "class_id"))
-    comp = components(class_links(rows, n, percent)).select(F.col("doc_id").alias("class_id"), "component_id")
-    named = classes.join(comp, "class_id", "left").withColumn("component_id", F.coalesce("component_id", "class_id"))
+    classes = written(sets.where("n_shingles > 0").groupBy("n_shingles", "d1", "d2").agg(F.min(F.struct("doc_id", "row_id")).alias("x"))
+                      .select(F.col("n_shingles").alias("n"), F.col("d1").alias("e1"), F.col("d2").alias("e2"),
+                              F.col("x.doc_id").alias("class_id"), F.col("x.row_id").alias("key")), "jaccard-classes")
+    speakers = written(rows.select(F.col("row_id").alias("doc_id"), "text").mapInArrow(shrink, "doc_id long, text binary")
+                       .join(classes.select(F.col("key").alias("doc_id")).hint("merge"), "doc_id", "left_semi"), "jaccard-speakers")
+    comp = written(components(class_links(speakers, n, percent)).select(F.col("doc_id").alias("key"), F.col("component_id").alias("c"))
+                   .join(classes.select("key", "class_id"), "key"), "jaccard-components")
+    least = comp.groupBy("c").agg(F.min(F.struct("class_id", "key")).alias("x"))
+    named = (classes.join(comp.join(least, "c").select("key", "x"), "key", "left")
+             .select("n", "e1", "e2", "class_id", F.coalesce("x.class_id", "class_id").alias("component_id"),
+                     F.coalesce("x.key", "key").alias("first")))
     same = (F.col("n_shingles") == F.col("n")) & (F.col("d1") == F.col("e1")) & (F.col("d2") == F.col("e2"))
-    back = lambda c: F.nullif(F.coalesce(c, "doc_id"), F.lit((1 << 63) - 1)).alias(c)
-    return (sets.join(named, same, "left").select(real_id(), "n_shingles", back("component_id"), back("class_id")))
+    return sets.join(named, same, "left").select(
+        "row_id", "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
+        F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("first", "row_id").alias("first"))
+
+
+def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
+    """Per row: ``doc_id, n_shingles, component_id, class_id`` (smallest id with an equal set)."""
+    ready(docs.sparkSession)
+    rows = written(documents(docs, doc_id, text).select(F.monotonically_increasing_id().alias("row_id"), "doc_id", "text"),
+                   "jaccard-rows")
+    return named_sets(rows, n, percent).select(real_id(), "n_shingles", real_id("component_id"), real_id("class_id"))
 
 
 def representatives(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs``, all their columns, whose id is the smallest of its component."""
-    stay = (jaccard_join(docs, n=n, percent=percent).where("doc_id <=> component_id")
-            .select(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("k_id")).distinct())
-    rows = docs.select(F.struct("*").alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("id"))
-    return rows.join(stay.hint("merge"), F.col("id") == F.col("k_id"), "left_semi").select("row.*")
+    """One row of ``docs``, all its columns, of each component: the smallest id's."""
+    ready(docs.sparkSession)
+    whole = written(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("row_id")), "jaccard-rows")
+    rows = whole.select("row_id", F.coalesce(F.col("row.doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_id"),
+                        F.col("row.text").cast("string").alias("text"))
+    stay = named_sets(rows, n, percent).where("row_id = first").select(F.col("row_id").alias("k_id"))
+    return whole.join(stay.hint("merge"), F.col("row_id") == F.col("k_id"), "left_semi").select("row.*")

@@ -71,6 +71,21 @@ def test_nasty_rows(nasty, nasty_rows, brute):
     assert kept.columns == nasty.columns and {r.doc_id for r in kept.collect()} & {7, 8, 9, 10} == {7}
 
 
+def test_null_and_repeated_ids_are_rows_of_their_own(spark):
+    """Unrelated texts without an id, one of them a near copy of document 5; a repeated id with a link of its larger text."""
+    text = lambda name, n=60: " ".join(f"{name}{j}" for j in range(n))
+    rows = [(5, text("a")), (None, text("a") + " end"), (None, text("b")), (None, text("c")), (None, text("c") + " end"),
+            (8, text("d")), (8, text("z")), (9, text("z") + " end"), (3, text("z", 61)), (None, ""), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in J.jaccard_join(df).collect()), key=str)
+    assert got == sorted([(5, 56, 5), (None, 57, 5), (None, 56, None), (None, 56, None), (None, 57, None), (8, 56, 8), (8, 56, 3),
+                          (9, 57, 3), (3, 57, 3), (None, 0, None), (None, 0, None)], key=str)
+    kept = [(r.doc_id, r.text) for r in J.representatives(df).collect()]
+    assert len([t for i, t in kept if i is None and (t or "").startswith("c")]) == 1
+    rest = [(i, t) for i, t in kept if not (t or "").startswith("c")]
+    assert sorted(rest, key=str) == sorted([rows[0], rows[2], rows[5], rows[8], rows[9], rows[10]], key=str)
+
+
 def test_empty(nothing):
     assert J.jaccard_join(nothing).count() == 0
 
