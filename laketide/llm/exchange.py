@@ -101,12 +101,12 @@ def gather_places(key, rows):
 
 
 def shrink(batches):
-    """For ``mapInArrow`` over (doc_id, text): the text compressed, null as empty."""
+    """For ``mapInArrow`` over an id, the text and more columns: the text compressed, null as empty."""
     press = zstandard.ZstdCompressor(level=1)
     for b in batches:
         yield pa.RecordBatch.from_arrays(
-            [b.column(0), pa.array([press.compress((t or "").encode()) for t in b.column(1).to_pylist()], pa.binary())],
-            names=["doc_id", "text"])
+            [b.column(0), pa.array([press.compress((t or "").encode()) for t in b.column(1).to_pylist()], pa.binary()),
+             *b.columns[2:]], names=b.schema.names)
 
 
 def text_column(col: pa.Array) -> pa.Array:

@@ -9,10 +9,12 @@ that length. So:
    (hash ranges) as packed 32-bit keys and positions, about 5.5 bytes a word.
    An owner sorts its keys and reports every block that occurs again elsewhere
    (packed, to one of as many buckets of documents).
-   Keys may collide; that only adds blocks to look at.
+   Keys may collide; that only adds blocks to look at. So do the ids used here:
+   rows that repeat an id look at each other's blocks, and a null id is replaced
+   by a hash of its text.
 2. Extend. A window can be repeated only if all whole blocks inside it were
-   reported: the other place's probes meet them. Reported blocks are extended
-   to these windows. They go to owners again with 80 bits of hash beyond the
+   reported: the other place's probes meet them. Rows with reported blocks
+   are written with a row number, and the blocks extended to these windows. They go to owners again with 80 bits of hash beyond the
    owner's share, and each sequence's first place (smallest
    doc_id, then start) is the one that stays. Neighbouring repeated windows
    join into maximal repeated spans, which are removed.
@@ -23,10 +25,10 @@ sorted and passed once. Nothing compares pairs of places. Owners are as many
 as ``spark.sql.shuffle.partitions``.
 
 Defined cases. Null text has no words. Documents shorter than a window stay
-whole. A null ``doc_id`` sorts last. Rows that repeat a ``doc_id`` are one
-document: equal places are not earlier than each other, and a span found at a
-place is removed from each of its rows. An empty table gives an empty result.
-Other columns are not read.
+whole. A null ``doc_id`` sorts last; such rows are documents of their own, one
+before the other. Rows that repeat a ``doc_id`` are one document: equal places
+are not earlier than each other, and each row loses the words of its own text
+only. An empty table gives an empty result. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -37,9 +39,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from laketide.llm.common import (NON_WHITE, U64, documents, find_words, mix, owners_of, ready, real_id, rolling,
-                                 slices, text_buffer, word_hashes, written)
+from laketide.llm.common import (NON_WHITE, NULL_ID, U64, documents, find_words, mix, owners_of, ready, real_id,
+                                 rolling, slices, text_buffer, word_hashes, written)
 from laketide.llm.exchange import PLACES, deal_places, gather_places, pack, shrink, text_column, unpack
 
 RESULT = ("doc_id long, n_words long, n_removed long, kept_sha256 string, "
@@ -77,6 +80,9 @@ def repeated_windows(docs: DataFrame, window: int) -> tuple[DataFrame, DataFrame
     the others with their removable window starts in ``cut`` (packed positions)."""
     spark = docs.sparkSession
     owners, block = owners_of(spark), window // 2
+    # The id that blocks meet by: shared by rows of one id, and of null ids by equal texts.
+    docs = docs.select(F.when(F.col("doc_id") == NULL_ID, F.xxhash64("text")).otherwise(F.col("doc_id")).alias("block_id"),
+                       "text", "doc_id")
 
     def probe(batches):
         for whole in batches:
@@ -103,15 +109,16 @@ def repeated_windows(docs: DataFrame, window: int) -> tuple[DataFrame, DataFrame
         keep = keep[pos[keep] % block == 0]
         return deal_places(doc[keep], pos[keep], owners)
 
-    anchors = (docs.mapInArrow(probe, "owner int, payload binary").groupBy("owner")
+    anchors = (docs.select("block_id", "text").mapInArrow(probe, "owner int, payload binary").groupBy("owner")
                .applyInArrow(hits, PLACES).groupBy("bucket").applyInArrow(gather_places, "doc_id long, places binary")
-               .withColumnRenamed("places", "anchors"))
+               .select(F.col("doc_id").alias("block_id"), F.col("places").alias("anchors")))
     # Documents meet their anchors once: those with none are settled there, and
     # only the others' texts are kept for the next step.
-    texts = docs.mapInArrow(shrink, "doc_id long, text binary")
-    met = written(texts.join(anchors.hint("merge"), "doc_id", "left").select("doc_id", "text", "anchors")
-                  .mapInArrow(_settle, f"{RESULT}, text binary, anchors binary"), "substring-anchors")
-    suspects = met.where("anchors IS NOT NULL").select("doc_id", "text", "anchors")
+    texts = docs.mapInArrow(shrink, "block_id long, text binary, doc_id long")
+    met = written(texts.join(anchors.hint("merge"), "block_id", "left").select("doc_id", "text", "anchors")
+                  .mapInArrow(_settle, f"{RESULT}, text binary, anchors binary")
+                  .select("*", F.monotonically_increasing_id().alias("row_id")), "substring-anchors")
+    suspects = met.where("anchors IS NOT NULL").select("row_id", "text", "anchors", "doc_id")
 
     def extend(batches):
         for whole in batches:
@@ -136,26 +143,27 @@ def repeated_windows(docs: DataFrame, window: int) -> tuple[DataFrame, DataFrame
                 second = rolling(mix(words + SECOND), window, 0xD1B54A32D192ED03)[at]
                 owner = (second >> U64(32)) % U64(owners)
                 rows = pack(owner.astype(np.int64), owners, doc, pos, w.ids,
-                            [h.astype("<u8"), second.astype("<u2")])
+                            [h.astype("<u8"), second.astype("<u2")], (batch.column(3).to_numpy(),))
                 yield pa.RecordBatch.from_arrays([pa.array([o for o, _ in rows], pa.int32()),
                                                   pa.array([p for _, p in rows], pa.binary())],
                                                  names=["owner", "payload"])
 
     def later(key, rows):
-        doc, pos, (h, second), _ = unpack(rows.column("payload").to_pylist(), ["<u8", "<u2"])
-        order = np.lexsort((pos, doc, second, h))
-        doc, pos, h, second = doc[order], pos[order], h[order], second[order]
+        row, pos, (h, second), (doc,) = unpack(rows.column("payload").to_pylist(), ["<u8", "<u2"], 1)
+        own = np.where(doc == NULL_ID, row, 0)     # rows without an id are documents of their own
+        order = np.lexsort((pos, own, doc, second, h))
+        row, doc, own, pos, h, second = (x[order] for x in (row, doc, own, pos, h, second))
         new = np.ones(len(h), bool)
         new[1:] = (h[1:] != h[:-1]) | (second[1:] != second[:-1])
         head = np.flatnonzero(new)[np.cumsum(new) - 1]
-        cut = (doc != doc[head]) | (pos != pos[head])
-        return deal_places(doc[cut], pos[cut], owners)
+        cut = (doc != doc[head]) | (own != own[head]) | (pos != pos[head])
+        return deal_places(row[cut], pos[cut], owners)
 
     cuts = (suspects.mapInArrow(extend, "owner int, payload binary").groupBy("owner")
             .applyInArrow(later, PLACES).groupBy("bucket").applyInArrow(gather_places, "doc_id long, places binary")
-            .withColumnRenamed("places", "cut"))
+            .select(F.col("doc_id").alias("row_id"), F.col("places").alias("cut")))
     plain = met.where("anchors IS NULL").select("doc_id", "n_words", "n_removed", "kept_sha256", "spans")
-    return plain, suspects.select("doc_id", "text").join(cuts, "doc_id", "left")
+    return plain, suspects.select("row_id", "text", "doc_id").join(cuts, "row_id", "left")
 
 
 def _settle(batches):

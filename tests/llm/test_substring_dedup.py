@@ -43,6 +43,19 @@ def test_nasty_rows(nasty, nasty_rows, brute):
     assert got == expected([(big if r[0] is None else r[0], r[1]) for r in nasty_rows], brute["ws"], 20)
 
 
+def test_null_and_repeated_ids_are_rows_of_their_own(spark, brute):
+    """Places of one row without an id (or of a repeated id) cut no other row, and are seen as repeated in it."""
+    text = lambda name, n=40: " ".join(f"{name}{j}" for j in range(n))
+    rows = [(1, text("a")), (2, text("b")), (2, text("c")), (2, text("a")), (9, text("e")), (9, text("e"))]
+    none = [text("a"), text("d"), text("f") + " x", text("f") + " y", text("g"), text("g"), text("h", 15), text("h", 15)]
+    df = spark.createDataFrame(rows + [(None, t) for t in none], "doc_id long, text string").repartition(3)
+    got = S.substring_dedup(df).collect()
+    assert sorted(tuple(r)[:4] for r in got if r.doc_id is not None) == expected(rows, brute["ws"], 20)
+    # Without ids: a copy of document 1 goes, one of two repeated texts stays, the others are untouched.
+    assert sorted((r.n_words, r.n_removed) for r in got if r.doc_id is None) == \
+        [(15, 0), (15, 0), (40, 0), (40, 0), (40, 40), (40, 40), (41, 0), (41, 40)]
+
+
 def test_empty(nothing):
     assert S.substring_dedup(nothing).count() == 0
 
