@@ -3,8 +3,9 @@
 Templates (short phrases that prove a licence, and licence notices) are cut
 into rolling word k-grams with their positions. All rolling k-grams of all
 documents are joined to them by hash, their words compared in the same join.
-A hit votes for a diagonal, document position minus template position; votes
-are summed per diagonal. A phrase stands wherever one diagonal has all its
+A hit votes for a diagonal, document position minus template position; a
+diagonal's votes are the template positions found on it, each once however
+often the row is repeated. A phrase stands wherever one diagonal has all its
 votes. A notice may have words added or left out, which shifts the diagonal:
 neighbouring diagonals (at most ``shift`` apart) are merged, and the merged
 span is verified by the share of the notice's k-grams found in it.
@@ -74,8 +75,7 @@ def diagonals(rows: DataFrame, templates: DataFrame, k: int) -> DataFrame:
     return (own.join(F.broadcast(templates), same)
             .groupBy("doc_id", "text_key", "template", "label", "phrase", "need",
                      (F.col("pos") - F.col("t_pos")).alias("diagonal"))
-            .agg(F.count(F.lit(1)).alias("votes"), F.collect_set("t_pos").alias("found"),
-                 F.min("pos").alias("first"), F.max("pos").alias("last")))
+            .agg(F.collect_set("t_pos").alias("found"), F.min("pos").alias("first"), F.max("pos").alias("last")))
 
 
 def license_scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", phrases=None, notices=None, k: int = 3,
@@ -101,7 +101,7 @@ def license_scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ph
              .where(~F.col("phrase") & (F.col("share") >= coverage))
              .select(*row, "label", F.lit(False).alias("base"), F.col("first").cast("long").alias("start"),
                      (F.col("last") - F.col("first") + k).cast("long").alias("words"), "share"))
-    places = (votes.where("phrase AND votes = need")
+    places = (votes.where("phrase AND size(found) = need")
               .select(*row, "label", F.lit(True).alias("base"), F.col("diagonal").cast("long").alias("start"),
                       (F.col("need") + k - 1).cast("long").alias("words"), F.lit(1.0).alias("share")))
     found = (places.unionByName(spans).groupBy(*row)

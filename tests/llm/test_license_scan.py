@@ -50,6 +50,12 @@ def test_nasty_rows(nasty, nasty_rows, brute):
     assert got == sorted((expected(*r[:2], brute["alnum"]) for r in nasty_rows), key=str)
 
 
+def test_repeated_rows_vote_once(spark, brute):
+    rows = [(1, "under the MIT license"), (2, "under the mit"), (None, "cc by nc and cc by")] * 2 + [(None, "cc by")] * 3
+    got = sorted((tuple(r)[:6] for r in S.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+    assert got == sorted((expected(*r, brute["alnum"]) for r in rows), key=str)
+
+
 def test_no_python_and_empty(mixed, nothing):
     plan = S.license_scan(mixed)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan)
