@@ -3,8 +3,10 @@
 Base spans come from four fixed patterns. They seed the bootstrap:
 
 * Instances: every base span, and every other identifier-shaped token (digits
-  or an ``@``, outside base spans) with the kind its shape could be.
-* Lexical patterns: the one and the two words to the left of an instance.
+  or an ``@``, outside base spans) or run of digit groups joined by separators,
+  with the kind its shape could be.
+* Lexical patterns: the one and the two words before an instance's first
+  character, whatever they are.
 * A graph joins patterns to instance values. In each round a pattern's
   confidence is the share of its instances that are believed to be of its
   kind (smoothed). It is trusted with enough different seeds, enough
@@ -12,8 +14,8 @@ Base spans come from four fixed patterns. They seed the bootstrap:
   that stand before anything teach nothing. A value's belief
   is the chance that one of its trusted patterns is right. Rounds are Spark
   joins and aggregations over (pattern, value) counts, written in between.
-* Unseen identifiers are tokens whose value ends up believed and that stand
-  in a trusted pattern.
+* Unseen identifiers are tokens and runs whose value ends up believed and that
+  stand in a trusted pattern; of overlapping ones the first and longest counts.
 
 The patterns are made of possessive quantifiers and start only where a match
 can start, so they need neither recursion nor a second look at a character,
@@ -43,8 +45,11 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     # Any token with a digit or an at sign.
     "token": r"(?<!\S)(?=[^\s0-9@]*+[0-9@])\S++",
+    # Digit groups, brackets and one blank, dot or hyphen between them; letters behind them spoil the shape.
+    "run": r"(?<![A-Za-z0-9@])\(?\+?\(?[0-9]++(?:\)?[\x20.-]?\(?[0-9]++)*+(?:[A-Za-z@]\S*+)?+",
 }
-GUARDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9]", "phone": r"\+[0-9]", "token": "[0-9@]"}
+GUARDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9]", "phone": r"\+[0-9]", "token": "[0-9@]", "run": "[0-9]"}
+CONTEXT = 80  # code points before an instance whose last words are its pattern
 PART = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 
 
@@ -71,21 +76,21 @@ def _valid(kind: str, match: Column) -> Column:
 
 
 def _matches(text: Column, kind: str) -> Column:
-    """Array of (kind, i, gap, size, value, left): the i-th match, the code
-    points before it since the last one, and the words on its left."""
+    """Array of (kind, i, gap, size, value, left, tail): the i-th match, the code
+    points before it since the last one, the end of them, and the end of both."""
     rx = PATTERNS[kind]
     pieces = F.split(text, rx, -1)
-    left = lambda p: F.trim(F.regexp_replace(F.lower(F.substring(p, -80, 80)), r"[0-9]+", "0"))
+    end = lambda c: F.substring(c, -CONTEXT, CONTEXT)
     pairs = F.arrays_zip(pieces.alias("p"), F.regexp_extract_all(text, F.lit(rx), F.lit(0)).alias("m"))
     rows = F.transform(pairs, lambda x, i: F.struct(
         F.lit(kind).alias("kind"), i.alias("i"), F.length(x["p"]).alias("gap"), F.length(x["m"]).alias("size"),
-        x["m"].alias("value"), left(x["p"]).alias("left")))
+        x["m"].alias("value"), end(x["p"]).alias("left"), end(F.concat(x["p"], x["m"])).alias("tail")))
     found = F.filter(rows, lambda x: x["value"].isNotNull())  # the last piece has no match
     return F.when(text.rlike(GUARDS[kind]), found).otherwise(F.filter(rows, lambda x: F.lit(False)))
 
 
 def instances(rows: DataFrame) -> DataFrame:
-    """All base spans and all identifier-shaped tokens outside them, with
+    """All base spans and all identifier-shaped tokens and runs outside them, with
     offsets (code points, end exclusive): doc_id, text_key, kind, base, start, end, value, left."""
     text = F.col("text")
     key = ["doc_id", "text_key"]
@@ -94,10 +99,13 @@ def instances(rows: DataFrame) -> DataFrame:
     before = W.partitionBy(*key, "kind").orderBy("i")
     spans = found.withColumn("end", F.sum(F.col("gap") + F.col("size")).over(before)) \
                  .withColumn("start", F.col("end") - F.col("size"))
+    # The text before a match, across earlier matches: each has two code points or more with its gap.
+    earlier = F.array_join(F.collect_list("tail").over(before.rowsBetween(-CONTEXT // 2, -1)), "")
+    spans = spans.withColumn("left", F.when(F.col("gap") < CONTEXT, F.concat(earlier, "left")).otherwise(F.col("left"))).drop("tail")
     ok = F.lit(False)
     for k in KINDS:
         ok = ok | ((F.col("kind") == k) & _valid(k, F.col("value")))
-    base = F.col("kind") != "token"
+    base = F.col("kind").isin(KINDS)
     spans = spans.where(~base | ok).withColumn("base", base)
     # A token that touches a base span is part of it.
     place = W.partitionBy(*key).orderBy("start")
@@ -106,20 +114,24 @@ def instances(rows: DataFrame) -> DataFrame:
     spans = (spans.withColumn("back", back).withColumn("ahead", ahead)
              .where(F.col("base") | ((F.coalesce("back", F.lit(-1)) <= F.col("start"))
                                      & (F.coalesce("ahead", F.col("end")) >= F.col("end")))))
-    # The kind a token could be, by its shape.
+    # The kind a token or run could be, by its shape.
     bare = F.regexp_replace("value", r"^[^A-Za-z0-9+(@]+|[^A-Za-z0-9)]+$", "")
+    bare = F.when(F.contains(bare, F.lit(")")), bare).otherwise(F.regexp_replace(bare, r"^\(+", ""))
     n = F.length(_digits(bare))
     shape = (F.when(bare.rlike("^[^@]+@[^@]+$"), "email")
              .when(bare.rlike(r"^[0-9]{1,3}(?:\.[0-9]{1,3}){3}$"), "ip")
              .when(bare.rlike(r"^[0-9 -]+$") & n.between(13, 19), "card")
-             .when(bare.rlike(r"^[+(0-9][0-9().-]+$") & n.between(7, 15), "phone"))
+             .when(bare.rlike(r"^[+(0-9][0-9().\x20-]+$") & n.between(7, 15), "phone"))
     skipped = F.instr("value", bare) - 1
     token = spans.withColumns({"bare": bare, "shape": shape, "skipped": skipped})
+    left = F.concat("left", F.when(F.col("base"), "").otherwise(F.substring("value", F.lit(1), F.col("skipped"))))
+    left = F.trim(F.regexp_replace(F.lower(F.substring(left, -CONTEXT, CONTEXT)), r"[0-9]+", "0"))
     return token.where("base OR shape IS NOT NULL").select(
         *key, F.when(F.col("base"), F.col("kind")).otherwise(F.col("shape")).alias("kind"), "base",
         F.when(F.col("base"), F.col("start")).otherwise(F.col("start") + F.col("skipped")).alias("start"),
         F.when(F.col("base"), F.col("end")).otherwise(F.col("start") + F.col("skipped") + F.length("bare")).alias("end"),
-        F.when(F.col("base"), F.col("value")).otherwise(F.col("bare")).alias("value"), "left")
+        F.when(F.col("base"), F.col("value")).otherwise(F.col("bare")).alias("value"), left.alias("left")) \
+        .dropDuplicates([*key, "kind", "start", "end"])  # a token may be a run
 
 
 def _patterns(found: DataFrame) -> DataFrame:
@@ -163,6 +175,9 @@ def find_pii(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds
     unseen = (tokens.join(trusted.select("kind", "pattern"), ["kind", "pattern"], "left_semi")
               .join(believed.select("kind", "value"), ["kind", "value"], "left_semi")
               .select(*key, "kind", "base", "start", "end").distinct())
+    sooner = W.partitionBy(*key).orderBy("start", F.desc("end"), "kind").rowsBetween(W.unboundedPreceding, -1)
+    unseen = (unseen.withColumn("reach", F.coalesce(F.max("end").over(sooner), F.lit(0)))
+              .where(F.col("reach") <= F.col("start")).drop("reach"))
     spans = found.where("base").select(*key, "kind", "base", "start", "end").unionByName(unseen)
     rank = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind"))
     item = F.struct("start", rank.alias("o"), "end", "kind")

@@ -74,6 +74,22 @@ def test_bootstrap_finds_unseen_identifiers_in_trusted_contexts(spark):
     assert got[901].spans == "" and sum(r.n_found for r in got.values()) == 1
 
 
+def test_identifiers_with_spaces_and_after_other_numbers_are_found(spark):
+    """Runs of digit groups are candidates; their left words reach across earlier tokens, as those of base spans do."""
+    rng = random.Random(6)
+    rows = []
+    for i in range(40):
+        d = next(x for x in iter(lambda: "".join(rng.choice("0123456789") for _ in range(16)), None) if luhn(x))
+        spaced = " ".join(d[j:j + 4] for j in range(0, 16, 4))
+        rows += [(i, f"pay by card no {spaced} today"), (100 + i, f"in line {i % 9}: {d} stands"),
+                 (200 + i, f"my phone +1 (212) 555-01{i + 10} rings")]
+    rows += [(300 + i, f"a 4000 0000 0000 {1000 + i} b and c 212 555 0{100 + i} d") for i in range(150)]
+    rows += [(900, "pay by card no 4111 1111 1111 1112 now"), (901, "in line 2: 4111111111111112 it is"),
+             (902, "my phone (212) 555-0199 rings"), (903, "some 4111 1111 1111 1113 things")]
+    got = {r.doc_id: r.spans for r in P.find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[i] for i in (900, 901, 902, 903)] == ["card:15:34", "card:11:27", "phone:9:23", ""]
+
+
 def test_no_python_on_the_main_path(mixed):
     plan = P.find_pii(mixed)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
