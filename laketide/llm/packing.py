@@ -17,8 +17,11 @@ queues end together and every window has the corpus mixture. With ``targets``
 remaining ones share the window by their weights. Every token is packed once.
 All sequences are full but the last.
 
-The ``max_queues`` sources with most documents have queues of their own; all smaller ones
-share one more queue. That bounds what is collected and broadcast: a row per queue.
+Every source named in ``targets`` has a queue of its own, and so have the ``max_queues``
+sources with most text (bytes and end ids; their tokens are not known before they are packed).
+All smaller ones share one more queue, in table order: the windows hold the share of all of
+them, not of each. That bounds what is collected and broadcast: a row per queue. A target for
+a source without documents is an error.
 
 Defined cases. Null and empty texts are documents of one token, the end id. A
 null source is a source of its own. Null and repeated ids and repeated rows are
@@ -46,13 +49,18 @@ PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
 
 
 def token_table(docs: DataFrame, doc_id: str, text: str, source: str, max_queues: int,
-                tokenizer: str | None) -> tuple[DataFrame, list[str]]:
+                tokenizer: str | None, named: list[str | None]) -> tuple[DataFrame, list[str]]:
     """Token ids of every row, written once. ``part``, ``queue`` and ``ahead``
     (tokens of the queue before the row within its part) fix the order."""
     rows = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL_ID)).alias("doc_id"),
                        F.col(text).cast("string").alias("text"), F.col(source).cast("string").alias("source"))
-    largest = [r["source"] for r in rows.groupBy("source").count()
-               .orderBy(F.desc("count"), F.asc_nulls_first("source")).limit(max_queues).collect()]
+    size = F.sum(1 + F.coalesce(F.octet_length("text"), F.lit(0))).alias("bytes")
+    asked = F.exists(F.array(*[F.lit(n).cast("string") for n in named]), lambda n: n.eqNullSafe(F.col("source"))) if named else F.lit(False)
+    sources = rows.groupBy("source").agg(size).withColumn("asked", asked)
+    order = F.desc("bytes"), F.asc_nulls_first("source")
+    largest = [r["source"] for r in sources.orderBy(F.desc("asked"), *order).limit(max(max_queues, len(named))).collect()]
+    if largest and (missing := [n for n in named if n not in largest]):
+        raise ValueError(f"targets of sources without documents: {missing}")
     lookup = docs.sparkSession.createDataFrame([(n, i) for i, n in enumerate(largest)], "q_source string, q int")
     rows = (rows.join(F.broadcast(lookup), F.col("source").eqNullSafe(F.col("q_source")), "left")
             .select("doc_id", "text", "source", F.coalesce("q", F.lit(len(largest))).alias("queue")))
@@ -125,7 +133,7 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: st
     sequence_id, offset, source, window_id``. ``tokenizer``: path of a
     byte-level BPE vocabulary file on every worker."""
     ready(docs.sparkSession)
-    table, names = token_table(docs, doc_id, text, source, max_queues, tokenizer)
+    table, names = token_table(docs, doc_id, text, source, max_queues, tokenizer, list(targets or {}))
     parts = table.groupBy("part", "queue").agg(F.sum("n").alias("tokens"))
     order = W.partitionBy("queue").orderBy("part")
     before = written(parts.select("part", "queue", "tokens",

@@ -75,6 +75,22 @@ def test_targets_and_shared_queue(mixed, tokenizer):
     assert abs(first["hot"] - first["s0"]) <= 1
 
 
+def test_queues_go_to_sources_with_most_text_and_to_targets(spark, mixed):
+    """A source of two long documents and a named one of one short document, among sources with more documents."""
+    rows = [(i, "few words here", f"m{i % 40}") for i in range(400)] + [(1000 + i, "many words " * 900, "long") for i in range(2)]
+    df = spark.createDataFrame([*rows, (2000, "just one text of some words", "rare")], "doc_id long, text string, source string")
+    windows = defaultdict(Counter)
+    for p in P.pack(df, size=64, window_sequences=4, max_queues=3).collect():
+        windows[p.window_id][p.source] += p.length
+    total = sum(w["long"] for w in windows.values())
+    assert len(windows) > 5 and all(abs(w["long"] - total / len(windows)) < 1 + 1e-9 for w in windows.values())
+    pieces = P.pack(df, size=8, window_sequences=1, max_queues=2, targets={"rare": 0.5, "m1": 0.5}).collect()
+    first = Counter(p.source for p in pieces if p.window_id == 0 for _ in range(p.length))
+    assert first["rare"] and abs(first["rare"] - first["m1"]) <= 1
+    with pytest.raises(ValueError, match="nowhere"):
+        P.pack(df, targets={"nowhere": 1.0})
+
+
 def test_rounds_agree_with_a_plain_round_robin():
     totals, weights, window = [1000, 37, 0, 411], [Fraction(1, 2), Fraction(1, 10), Fraction(1), Fraction(2, 5)], 50
     r = P.Rounds(totals, weights, window)
