@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laketide.llm import (decontaminate, exact_dedup, jaccard_join, language, license_scan, packing, pii, quality,
-                          substring_dedup, url_filter)
+from laketide.llm import (centroid_clustering, decontaminate, exact_dedup, filter_audit, jaccard_join, language, license_scan,
+                          neighbours, packing, pii, quality, substring_dedup, url_filter)
 from laketide.session import shared_dir
 
 
@@ -75,6 +75,21 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove from all documents, per language and in every order of the filters."""
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of all vectors for every twentieth id."""
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three rounds of 16 centroids over all vectors of 64 components."""
+    return centroid_clustering.cluster(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_language_id": op2_language_id,
@@ -86,6 +101,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_quality": op9_quality,
     "op10_license_scan": op10_license_scan,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_nearest_neighbours": op12_nearest_neighbours,
+    "op13_centroid_clustering": op13_centroid_clustering,
 }
 
 ORACLE: dict[str, str] = {}
@@ -165,6 +183,68 @@ FROM dw LEFT JOIN n USING (doc_id) LEFT JOIN it USING (doc_id)
 """
 
 
+ORACLE["op11_filter_audit"] = r"""
+WITH RECURSIVE first AS (SELECT coalesce(text, '') AS t, min(doc_id) AS first_id FROM documents GROUP BY 1),
+w AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY 1),
+m AS (
+  SELECT part, (len(w) < 100)::INT + 2 * (100 * len(list_distinct(w)) < 80 * len(w))::INT
+    + 4 * (100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 10 * length(t))::INT
+    + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * coalesce(doc_id > first_id, false)::INT AS mask,
+    count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+  FROM w JOIN first USING (t) LEFT JOIN l USING (doc_id) GROUP BY 1, 2),
+p AS (
+  SELECT '' AS o, 0 AS used UNION ALL
+  SELECT o || substr('ABCDE', i + 1, 1), used + (1 << i)::INT FROM p, range(5) r(i) WHERE used & (1 << i)::INT = 0),
+s AS (
+  SELECT o AS filter_order, k::INT AS step, 1 << (ascii(substr(o, k::INT, 1)) - 65) AS f,
+    coalesce(list_sum(list_transform(range(1, k), lambda j: 1 << (ascii(substr(o, j::INT, 1)) - 65))), 0)::INT AS before
+  FROM p, range(1, 6) r(k) WHERE length(o) = 5),
+x AS (
+  SELECT part, filter_order, step, f,
+    coalesce(sum(n) FILTER (mask & (before | f) = 0), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (mask & f <> 0 AND mask & before = 0), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (mask & f <> 0 AND mask & before <> 0), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (mask = f), 0)::BIGINT AS unique_fails,
+    coalesce(sum(good) FILTER (mask & f <> 0 AND mask & before = 0), 0)::BIGINT AS good_lost,
+    coalesce(sum(toxic) FILTER (mask & f <> 0 AND mask & before = 0), 0)::BIGINT AS toxic_lost
+  FROM m, s GROUP BY ALL)
+SELECT * EXCLUDE (f), (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley FROM x
+"""
+
+
+def _clusters_sql(rounds: int = 3) -> str:
+    """DuckDB SQL of the clustering: each round's centroids and assignment as a step of its own."""
+    steps = [r"""
+WITH v AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS x FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+c0 AS MATERIALIZED (
+  SELECT (row_number() OVER (ORDER BY h) - 1)::INT AS cluster, x
+  FROM (SELECT sha256('1:' || vec_id) AS h, x FROM v ORDER BY h LIMIT 16))"""]
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (
+  SELECT vec_id, x, cluster, distance FROM (
+    SELECT vec_id, v.x, cluster, list_sum(list_transform(list_zip(v.x, c{r}.x), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT
+      AS distance, row_number() OVER (PARTITION BY vec_id ORDER BY distance, cluster) AS place FROM v, c{r}) WHERE place = 1)""")
+        if r < rounds:
+            steps.append(f"""c{r + 1} AS MATERIALIZED (
+  SELECT cluster, coalesce(m.x, c{r}.x) AS x FROM c{r} LEFT JOIN (
+    SELECT cluster, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS x FROM (
+      SELECT cluster, i, sum(e)::HUGEINT AS s, count(*) AS n FROM (
+        SELECT cluster, unnest(x) AS e, unnest(range(64)) AS i FROM a{r}) GROUP BY ALL) GROUP BY cluster) m USING (cluster))""")
+    return ",\n".join(steps) + f"""
+SELECT vec_id, cluster, distance, (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia,
+  (sum(distance) OVER ())::BIGINT AS inertia, sha256(array_to_string(c{rounds}.x, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} USING (cluster)
+"""
+
+
+ORACLE["op13_centroid_clustering"] = _clusters_sql()
+
+
 def with_shared_folder(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     """Names the shared folder (``spark.checkpoint.dir``) before a query runs."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
