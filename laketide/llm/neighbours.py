@@ -46,7 +46,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType
 
-from laketide.llm.common import NULL_ID, U64, mix, ready, written
+from laketide.llm.common import NULL_ID, U64, mix, owners_of, ready, written
 
 MAX_CENTROIDS = 1024
 ITERATIONS = 8
@@ -277,7 +277,7 @@ def search(df: DataFrame, query: Column, vec_id: str = "vec_id", vector: str = "
         if ids:
             yield sent(ids, vecs)
 
-    probes = (once.repartitionByRange("cell").sortWithinPartitions("cell", "class").select("class", "vec")
+    probes = (once.repartitionByRange(owners_of(spark), "cell").sortWithinPartitions("cell", "class").select("class", "vec")
               .mapInArrow(probe, "shard long, asks binary, limits binary, queries binary"))
 
     def deal(batches):
