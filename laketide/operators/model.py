@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DecimalType, DoubleType, FloatType, StructType
 from pyspark.sql.window import Window
 
 # Fixed surrogate key of the "unknown" member of every dimension.
@@ -113,17 +113,22 @@ def history_scd2(df: DataFrame, key: Sequence[str] | str, ts: str,
     first row starts a run) and the first run start of the slice after (to
     close a slice's last run). Both hold one row per (key, slice) and are
     joined back on (key, slice), which keeps the hot key spread. Null keys and
-    null times are a key and a slice like others: all stitching is null-safe.
+    null times are a key and a slice like others: all stitching is null-safe. Rows
+    of a key without a time are all equal in time and differ only in ``tie_break`` and state:
+    they are reduced to their distinct values before they meet in that one slice.
     """
     if slice_unit not in SLICE_UNITS:
         raise ValueError(f"slice_unit must be one of {SLICE_UNITS}, not {slice_unit!r}")
     keys = [key] if isinstance(key, str) else list(key)
     order = [ts, *tie_break, *[c for c in state_cols if c not in tie_break]]
     cols = list(dict.fromkeys([*keys, *order]))
+    rows = df.select(*cols)
+    if df.schema[ts].nullable:  # one slice a key, however many rows: equal ones say nothing twice
+        rows = rows.where(F.col(ts).isNotNull()).unionByName(rows.where(F.col(ts).isNull()).distinct())
     if slice_unit is None:
-        base = df.select(*cols, F.lit(0).alias("__slice"))
+        base = rows.withColumn("__slice", F.lit(0))
     else:
-        base = df.select(*cols, F.date_trunc(slice_unit, F.col(ts)).alias("__slice"))
+        base = rows.withColumn("__slice", F.date_trunc(slice_unit, F.col(ts)))
     grp = [*keys, "__slice"]
     w = Window.partitionBy(*grp).orderBy(*[F.col(c) for c in order])
     per_key = Window.partitionBy(*keys).orderBy("__slice")
@@ -167,11 +172,21 @@ class Rule:
 
 # Counts and totals to the cent, at any size a table can have.
 EXACT = "decimal(38,2)"
+UNROUNDED = "decimal(38,12)"
+
+
+def _exact(df: DataFrame, measure: str) -> Column:
+    """A measure whose sum does not depend on the order of rows, with all its digits: integers and
+    decimals as they are, floating numbers to twelve places (rows are never rounded to the cent)."""
+    kind = df.schema[measure].dataType
+    if isinstance(kind, DecimalType):
+        return F.col(measure)
+    return F.col(measure).cast(UNROUNDED if isinstance(kind, (DoubleType, FloatType)) else "decimal(38,0)")
 
 
 def _long(pairs: Sequence[tuple[tuple[str, str, str], Column]], df: DataFrame) -> DataFrame:
     """One aggregation pass over ``df``; one output row per labelled value."""
-    agg = df.agg(*[v.cast(EXACT).alias(f"v{i}") for i, (_, v) in enumerate(pairs)])
+    agg = df.agg(*[v.cast(UNROUNDED).alias(f"v{i}") for i, (_, v) in enumerate(pairs)])
     stack = ", ".join(f"'{t}', '{c}', '{s}', v{i}" for i, ((t, c, s), _) in enumerate(pairs))
     return agg.selectExpr(f"stack({len(pairs)}, {stack}) as (table_name, check, subject, value)")
 
@@ -179,8 +194,10 @@ def _long(pairs: Sequence[tuple[tuple[str, str, str], Column]], df: DataFrame) -
 def quality_report(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> DataFrame:
     """Long table ``table_name, check, subject, value`` with one row per measurement.
 
-    Values are decimals, so totals stay exact to the cent. Every
-    reconciliation also has ``difference:`` rows (target less source).
+    Sums are taken in the measure's own type (floating numbers to twelve places)
+    and only the total is rounded to the cent. Every reconciliation also has
+    ``difference:`` rows (target less source), taken before that and rounded away
+    from zero, so that no difference disappears.
 
     Row counts, null counts and reconciliation totals of one table are
     gathered into a single aggregation, so each table is scanned once for
@@ -206,7 +223,7 @@ def quality_report(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> Da
                 add(on, (r.table, "reconcile", f"{side}:rows"), F.count(F.lit(1)))
                 for m in r.measures:
                     add(on, (r.table, "reconcile", f"{side}:sum({m})"),
-                        F.sum(F.col(m).cast("decimal(38,2)")))
+                        F.sum(_exact(tables[on], m)))
         elif r.check == "duplicate_keys":
             dup = (t.groupBy(*r.columns).agg(F.count(F.lit(1)).alias("n"))
                    .where(F.col("n") > 1))
@@ -231,14 +248,16 @@ def quality_report(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> Da
     for on, pairs in scalar.items():
         parts.append(_long(pairs, tables[on]))
     out = reduce(DataFrame.unionByName, parts)
+    report = out.withColumn("value", F.col("value").cast(EXACT))
     if not any(r.check == "reconcile" for r in rules):
-        return out
+        return report
     side = F.substring_index("subject", ":", 1)
-    signed = F.when(side == "target", F.col("value")).otherwise(-F.col("value"))
+    signed = F.sum(F.when(side == "target", F.col("value")).otherwise(-F.col("value")))
     of = F.expr("substring(subject, instr(subject, ':'))")
+    whole = F.when(signed < 0, F.floor(signed * 100)).otherwise(F.ceil(signed * 100))
     gaps = (out.where(F.col("check") == "reconcile").groupBy("table_name", "check", F.concat(F.lit("difference"), of).alias("subject"))
-            .agg(F.sum(signed).cast(EXACT).alias("value")))
-    return out.unionByName(gaps)
+            .agg((whole / 100).cast(EXACT).alias("value")))
+    return report.unionByName(gaps)
 
 
 # --------------------------------------------------------------------- R5

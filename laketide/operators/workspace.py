@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import math
-
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from decimal import Context, Decimal
+from fractions import Fraction
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import DecimalType, IntegralType, NumericType
 from pyspark.sql.window import Window
 
 from laketide.functions import generalise as gen
@@ -110,32 +111,52 @@ FINAL_VALUES = 100_000   # distinct values that are ranked in one task
 EDGES = 64               # parts that a longer stretch of values is cut into at a time
 
 
+def exact_scale(df: DataFrame, cols: Sequence[str]) -> int:
+    """Places after the point that the exact columns need together."""
+    return max((f.dataType.scale for f in df.schema.fields if f.name in cols and isinstance(f.dataType, DecimalType)), default=0)
+
+
+def value_kinds(df: DataFrame, cols: Sequence[str]) -> dict[str, str]:
+    """How each column's values are held: ``x`` (exact), ``d`` (double) or ``s`` (text). A decimal that
+    does not fit beside the others' places after the point is held as a double."""
+    scale, out = exact_scale(df, cols), {}
+    for c in cols:
+        kind = df.schema[c].dataType
+        if isinstance(kind, DecimalType):
+            out[c] = "x" if kind.precision - kind.scale + scale <= 38 else "d"
+        elif isinstance(kind, IntegralType):
+            out[c] = "x" if 19 + scale <= 38 else "d"
+        else:
+            out[c] = "d" if isinstance(kind, NumericType) else "s"
+    return out
+
+
 def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """``i, d, s, c``: every column's different values (numbers as double in
-    ``d``, others as text in ``s``) and their counts, written once.
+    """``i, d, x, s, c``: every column's different values (integers and decimals as
+    decimals in ``x``, with all their digits; floating numbers in ``d``; others as text in
+    ``s``) and their counts, written once.
 
     Partial counts shrink repeated and hot values before the shuffle.
     """
-    numeric = {f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)}
-    none = {"d": F.lit(None).cast("double"), "s": F.lit(None).cast("string")}
-    cells = [F.struct(F.lit(i).alias("i"),
-                      *[(v if n == ("d" if c in numeric else "s") else none[n]).alias(n) for n, v in
-                        (("d", F.col(c).try_cast("double")), ("s", F.col(c).cast("string")))])
+    kinds = value_kinds(df, cols)
+    types = {"d": "double", "x": f"decimal(38,{exact_scale(df, cols)})", "s": "string"}
+    cells = [F.struct(F.lit(i).alias("i"), *[(F.col(c) if n == kinds[c] else F.lit(None)).cast(t).alias(n) for n, t in types.items()])
              for i, c in enumerate(cols)]
-    long = df.select(F.explode(F.array(*cells)).alias("x")).select("x.*")
-    freq = long.groupBy("i", "d", "s").agg(F.count(F.lit(1)).alias("c"))
+    long = df.select(F.explode(F.array(*cells)).alias("v")).select("v.*")
+    freq = long.groupBy("i", "d", "x", "s").agg(F.count(F.lit(1)).alias("c"))
     path = scratch_path(df.sparkSession, "profile")
     freq.write.parquet(path)
     return df.sparkSession.read.schema(freq.schema).parquet(path)
 
 
-def exact_quantiles(freq: DataFrame, totals: Mapping[int, int], qs: Sequence[float],
-                    final_values: int = FINAL_VALUES) -> dict[int, list[float]]:
+def exact_quantiles(freq: DataFrame, totals: Mapping[int, int], qs: Sequence[float], final_values: int = FINAL_VALUES,
+                    value: str = "d") -> dict[int, list]:
     """Exact interpolated percentiles of many columns at once: column number -> values.
 
-    ``freq`` has ``i, d, c`` (see ``value_counts``), ``totals`` the number of
+    ``freq`` has ``i, c`` and the column ``value`` (see ``value_counts``), ``totals`` the number of
     values of each column. Equal to Spark's ``percentile`` (position
-    ``q * (n - 1)``, linear between the two nearest ranks).
+    ``q * (n - 1)``, linear between the two nearest ranks), but that values keep their
+    type: doubles, or decimals with all their digits.
 
     Every (column, q) looks for two neighbouring ranks in a stretch of values.
     A stretch of more than ``final_values`` different values is cut at ``EDGES``
@@ -149,14 +170,18 @@ def exact_quantiles(freq: DataFrame, totals: Mapping[int, int], qs: Sequence[flo
     spark = freq.sparkSession
     targets = {(i, j): (math.floor(q * (n - 1)), math.ceil(q * (n - 1)), q * (n - 1))
                for i, n in totals.items() if n for j, q in enumerate(qs)}
-    stretch = {t: (float("-inf"), float("inf"), 0) for t in targets}  # low, high, values below
-    # NaN sorts above infinity: the first stretch is unbounded above.
-    top = float("nan")
-    stretch = {t: (lo, top, below) for t, (lo, _, below) in stretch.items()}
+    freq = freq.select("i", "c", F.col(value).alias("d"))
+    kind = freq.schema["d"].dataType
+    if isinstance(kind, DecimalType):
+        end = Decimal(10 ** 38 - 1).scaleb(-kind.scale, Context(prec=60))
+        ends, number = (end.copy_negate(), end), Fraction
+    else:  # NaN sorts above infinity: the first stretch is unbounded above
+        ends, number = (float("-inf"), float("nan")), float
+    stretch = {t: (*ends, 0) for t in targets}  # low, high, values below
 
     def inside(open_: dict) -> DataFrame:
         rows = [(i, j, lo, hi) for (i, j), (lo, hi, _) in open_.items()]
-        side = spark.createDataFrame(rows, "ti int, j int, lo double, hi double")
+        side = spark.createDataFrame(rows, f"ti int, j int, lo {kind.simpleString()}, hi {kind.simpleString()}")
         # A row for each (column, q): few and bounded.
         return freq.where(F.col("d").isNotNull()).join(
             F.broadcast(side), (F.col("i") == F.col("ti")) & (F.col("d") >= F.col("lo")) & (F.col("d") <= F.col("hi")))
@@ -166,13 +191,13 @@ def exact_quantiles(freq: DataFrame, totals: Mapping[int, int], qs: Sequence[flo
     while stretch:
         looks = inside(stretch).groupBy("i", "j").agg(
             F.count(F.lit(1)).alias("values"), F.percentile_approx("d", probs, 10_000).alias("edges")).collect()
-        edges = {(r["i"], r["j"]): sorted(set(r["edges"]), key=_order) for r in looks}
+        edges = {(r["i"], r["j"]): sorted({e for e in r["edges"] if e is not None}, key=_order) for r in looks}
         small = {(r["i"], r["j"]) for r in looks if r["values"] <= final_values}
         done.update({t: stretch[t] for t in small})
         stretch = {t: s for t, s in stretch.items() if t not in small}
         if not stretch:
             break
-        cut = spark.createDataFrame([(*t, edges[t]) for t in stretch], "ci int, cj int, edges array<double>")
+        cut = spark.createDataFrame([(*t, edges[t]) for t in stretch], f"ci int, cj int, edges array<{kind.simpleString()}>")
         part = F.size(F.filter("edges", lambda e: e < F.col("d")))
         counts = (inside(stretch).join(F.broadcast(cut), (F.col("i") == F.col("ci")) & (F.col("j") == F.col("cj")))
                   .groupBy("i", "j", part.alias("part")).agg(F.sum("c").alias("c"), F.min("d").alias("lo"), F.max("d").alias("hi"))
@@ -186,7 +211,7 @@ def exact_quantiles(freq: DataFrame, totals: Mapping[int, int], qs: Sequence[flo
                     last = r["hi"]
                 below += r["c"]
             new = (first[0], last, first[1])
-            if new[:2] == stretch[t][:2]:
+            if [_same(v) for v in new[:2]] == [_same(v) for v in stretch[t][:2]]:
                 done[t] = stretch.pop(t)  # edges no longer part it: nearly one value
             else:
                 stretch[t] = new
@@ -203,7 +228,7 @@ def exact_quantiles(freq: DataFrame, totals: Mapping[int, int], qs: Sequence[flo
     for r in ranked.groupBy("i", "j").agg(at("r0").alias("v0"), at("r1").alias("v1")).collect():
         lo, hi, p = targets[r["i"], r["j"]]
         v0, v1 = r["v0"], r["v1"]
-        out[r["i"]][r["j"]] = v0 if lo == hi or v0 == v1 else (hi - p) * v0 + (p - lo) * v1
+        out[r["i"]][r["j"]] = v0 if lo == hi or v0 == v1 else number(hi - p) * number(v0) + number(p - lo) * number(v1)
     return out
 
 
@@ -211,10 +236,28 @@ def _order(v: float) -> tuple[bool, float]:
     return (math.isnan(v), v)
 
 
+def _same(v: float) -> float | None:
+    """A value that equals itself: NaN does not."""
+    return None if math.isnan(v) else v
+
+
+def _figure(v: object, decimal_scale: int | None) -> object:
+    """A figure as a double, or as a decimal of so many places (None: it has none there)."""
+    if v is None or decimal_scale is None:
+        return None if v is None else float(v)
+    if isinstance(v, float):
+        v = Fraction(v) if math.isfinite(v) else None
+    return None if v is None else Decimal(round(Fraction(v) * 10 ** decimal_scale)).scaleb(-decimal_scale, Context(prec=60))
+
+
 def profile(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True,
-            accuracy: int = 10_000, final_values: int = FINAL_VALUES) -> DataFrame:
+            accuracy: int = 10_000, final_values: int = FINAL_VALUES, decimal_scale: int | None = None) -> DataFrame:
     """Per column: count, nulls, distinct, min, max, mean, quartiles.
 
+    Integers and decimals are counted and ranked with all their digits. ``min`` to
+    ``p75`` are doubles, or decimals of ``decimal_scale`` places (half to even) where keys beyond a
+    double's 53 bits are to be shown as they are.
+
     ``exact=True``: one pass counts every column's different values
     (``value_counts``, written once); all figures come from that table, the
     quartiles by ``exact_quantiles``: one way at every size
@@ -227,21 +270,36 @@ def profile(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True
     numeric = {f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)}
     if exact:
         freq = value_counts(df, cols)
-        value = F.coalesce(F.col("d").isNotNull() | F.col("s").isNotNull(), F.lit(False))
+        kinds = value_kinds(df, cols)
+        value = F.col("d").isNotNull() | F.col("x").isNotNull() | F.col("s").isNotNull()
         n = F.sum(F.when(value, F.col("c")).otherwise(0))
+        # A total beyond 38 digits is taken again in doubles.
+        whole = F.try_sum(F.try_multiply("x", F.col("c").cast("decimal(19,0)")))
         total = freq.groupBy("i").agg(
-            n.alias("n"), (F.sum("c") - n).alias("n_null"), F.count_if(value).alias("n_distinct"), F.min("d").alias("min"),
-            F.max("d").alias("max"), (F.sum(F.col("d") * F.col("c")) / n).alias("mean"))
+            n.alias("n"), (F.sum("c") - n).alias("n_null"), F.count_if(value).alias("n_distinct"),
+            *[f(k).alias(f"{name}_{k}") for k in ("d", "x") for name, f in (("min", F.min), ("max", F.max))],
+            F.sum(F.col("d") * F.col("c")).alias("sum_d"), whole.alias("sum_x"),
+            F.sum(F.col("x").cast("double") * F.col("c")).alias("rough_x"))
         seen = {r["i"]: r for r in total.collect()}  # one row a column
-        q = exact_quantiles(freq, {i: seen[i]["n"] for i, c in enumerate(cols) if c in numeric and i in seen},
-                            PROFILE_QUANTILES, final_values)
+        q = {}
+        for kind in ("d", "x"):
+            q |= exact_quantiles(freq, {i: seen[i]["n"] for i, c in enumerate(cols) if kinds[c] == kind and i in seen},
+                                 PROFILE_QUANTILES, final_values, kind)
         rows = []
         for i, c in enumerate(cols):
             r = seen[i].asDict() if i in seen else dict.fromkeys(("n", "n_null", "n_distinct"), 0)
-            rows.append((c, r["n"], r["n_null"], r["n_distinct"], *(r.get(k) if c in numeric else None for k in ("min", "max", "mean")),
-                         *(q.get(i, [None] * 3)), "exact" if c in numeric else None))
-        return spark.createDataFrame(rows, "column_name string, n long, n_null long, n_distinct long, min double, max double, "
-                                           "mean double, p25 double, p50 double, p75 double, quantile_method string")
+            k, figures = kinds[c], [None] * 6
+            if k != "s" and r["n"]:
+                exact_sum = r["sum_d"] if k == "d" else r["sum_x"]
+                mean = (Fraction(exact_sum) / r["n"] if k == "x" and exact_sum is not None
+                        else (r["sum_d"] if k == "d" else r["rough_x"]) / r["n"])
+                figures = [r[f"min_{k}"], r[f"max_{k}"], mean, *q[i]]
+            rows.append((c, r["n"], r["n_null"], r["n_distinct"], *(_figure(v, decimal_scale) for v in figures),
+                         "exact" if c in numeric else None))
+        shown = "double" if decimal_scale is None else f"decimal(38,{decimal_scale})"
+        return spark.createDataFrame(rows, "column_name string, n long, n_null long, n_distinct long, "
+                                     + "".join(f"{f} {shown}, " for f in ("min", "max", "mean", "p25", "p50", "p75"))
+                                     + "quantile_method string")
     aggs = []
     for i, c in enumerate(cols):
         x, none = F.col(c), F.lit(None).cast("double")

@@ -15,11 +15,11 @@ from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType, St
                                StructType)
 
 from laketide.functions import keyed
-from laketide.operators import mining, model, privacy, report, workspace
+from laketide.operators import history, mining, model, privacy, report, workspace
 from laketide.plans.tables import TABLES
 from laketide.session import read_table, scratch_path
-from laketide.sources import ingest, storage
-from laketide.streaming.land import stream_land
+from laketide.sources import ingest, storage, versions
+from laketide.streaming.land import late_rows, stream_land, stream_store
 
 # Fixed, public test key of the registered queries and their SQL oracle.
 # It protects nothing: real keys come from a protected one-row table.
@@ -31,6 +31,7 @@ COHORT_SALT = "cohort-2024"
 INCREMENT_MARK = "2024-01-15 00:00:00"
 K_SMALL_CELLS = 10
 SHIP_MARK = "1996-06-30 00:00:00"
+LATE_DELAY = "2 days"
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -248,6 +249,18 @@ def r3_history_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.history_scd2(events, "user_id", "ts", ["event_type"], slice_unit="minute")
 
 
+def r3_history_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order-status history per customer, stored and merged from three batches of orders that
+    arrive in no order of time; one of them is loaded twice."""
+    path = scratch_path(spark, "history") + "/order_status"
+    orders = _t(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderkey", "o_orderstatus")
+    deal = F.pmod(F.xxhash64("o_orderkey"), F.lit(3))
+    for n in (0, 1, 2, 1):
+        merged = history.merge_history(orders.where(deal == n), "o_custkey", "o_orderdate", ["o_orderstatus"], path, f"batch {n}",
+                                       tie_break=["o_orderkey"], slice_unit="year", buckets=2)
+    return merged
+
+
 def r4_quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _t(spark, sf_dir, "lineitem")
     tables = {
@@ -387,6 +400,14 @@ def w3_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
                               "l_quantity", "l_returnflag"])
 
 
+def w3_profile_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profile of keys that a double cannot tell apart and of money, every digit kept."""
+    lines = _t(spark, sf_dir, "lineitem").select(
+        (F.lit(1 << 53) + F.col("l_orderkey") * 2 + F.col("l_linenumber") % 2).alias("line_key"),
+        _money("l_extendedprice").alias("price"), F.when(F.col("l_linenumber") < 3, F.col("l_linenumber")).alias("low_number"))
+    return workspace.profile(lines, decimal_scale=4)
+
+
 def _brand_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (_t(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
             .join(_t(spark, sf_dir, "part").select("p_partkey", "p_brand"),
@@ -478,6 +499,57 @@ def s5_second_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored
 
 
+def s5_versioned_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads of order lines as atomic versions, the second one sent twice: the rows of
+    both versions, and those that quarantine holds. The first load holds lines shipped up to a mark;
+    the second all later ones, and every seventh order's lines again, shipped 400 days later. Lines of every
+    101st order also come with a sequence that is no number."""
+    path = scratch_path(spark, "versions") + "/lineitem"
+    lines = _t(spark, sf_dir, "lineitem").withColumn("seq", F.lit("9"))
+    early = F.col("l_shipdate") <= F.lit(SHIP_MARK).cast("timestamp_ntz")
+    bad = lines.where(F.col("l_orderkey") % 101 == 0).withColumn("seq", F.lit("nine"))
+    moved = (lines.where(F.col("l_orderkey") % 7 == 0).withColumn("seq", F.lit("10"))
+             .withColumn("l_shipdate", F.col("l_shipdate") + F.expr("INTERVAL 400 DAYS")))
+    loads = {"first": lines.where(early).unionByName(bad.where(early)),
+             "second": lines.where(~early).unionByName(bad.where(~early)).unionByName(moved)}
+    for load_id in ("first", "second", "second"):
+        versions.promote_version(loads[load_id], ["l_orderkey", "l_linenumber"], ["seq", "l_shipdate"], path, load_id,
+                                 {"ship_year": F.year("l_shipdate")}, conform={"seq": "int"})
+    held = [versions.read(spark, path, n).withColumn("state", F.lit(f"version {n}")) for n in (0, 1)]
+    quarantine = (versions.side(spark, path, "quarantine").drop("load")
+                  .withColumns({"seq": F.lit(None).cast("int"), "ship_year": F.lit(None).cast("int"), "state": F.lit("quarantine")}))
+    return held[0].unionByName(held[1]).unionByName(quarantine)
+
+
+def s3_stored_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events taken in three increments through marks that are stored with the loads: the source grows between
+    them, the second is run twice, and rows with the mark's own time arrive after it."""
+    path = scratch_path(spark, "versions") + "/events"
+    events = _t(spark, sf_dir, "events")
+    day = F.date_trunc("day", "ts").cast("timestamp_ntz")
+    mark = F.lit(INCREMENT_MARK).cast("timestamp_ntz")
+    # By days, so that many rows tie with each mark; every third of the last day's comes late.
+    grown = events.withColumn("ts", day)
+    seen = [grown.where(day < mark), grown.where((day < mark) | ((day == mark) & (F.col("event_id") % 3 != 0))), grown]
+    for n in (0, 1, 1, 2):
+        stored = versions.load_increment(seen[n], "events", "ts", ["event_id"], path, f"increment {n}", partition_by=["event_type"])
+    return stored
+
+
+def s4_stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events arrive in three exports, every tenth only in the last: what the stream landed, and
+    what came behind its watermark, side by side."""
+    root = scratch_path(spark, "stream")
+    events = _t(spark, sf_dir, "events")
+    early, tenth = F.col("ts") < F.lit(INCREMENT_MARK).cast("timestamp_ntz"), F.col("event_id") % 10 == 0
+    for n, part in enumerate((early & ~tenth, ~early & ~tenth, tenth)):
+        events.where(part).write.parquet(f"{root}/src/export={n}")
+        stream_store(spark, f"{root}/src/*", events.schema, "ts", ["event_id"], LATE_DELAY, f"{root}/table", f"{root}/checkpoint",
+                     partition_by=["event_type"]).awaitTermination()
+    landed = versions.read(spark, f"{root}/table").withColumn("late", F.lit(False))
+    return landed.unionByName(late_rows(spark, f"{root}/table", "ts", ["event_id"]).withColumn("late", F.lit(True)))
+
+
 def _customer_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Changes a source system sends for the customer table: renames of
     customers in debt, deletes of household customers of nation 0, a second
@@ -521,6 +593,19 @@ def s6_stored_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored
 
 
+def s6_versioned_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customer table, stored by nation, takes the changes of four nations twice: its rows, and
+    whether their nation's partition was written by the change."""
+    path = scratch_path(spark, "versions") + "/customer"
+    versions.promote_version(_t(spark, sf_dir, "customer"), ["c_custkey"], [], path, "first", ["c_nationkey"])
+    delta = _customer_delta(spark, sf_dir).where(F.col("c_nationkey") < 4)
+    for _ in range(2):
+        stored = versions.upsert_version(delta, ["c_custkey"], path, "changes", "op", "seq", ["c_nationkey"])
+    now = versions.version(spark, path)
+    written = versions.manifest(spark, now).select(F.col("c_nationkey").alias("n"), F.col("folder").startswith(f"load={now.load}").alias("rewritten"))
+    return stored.join(written, stored["c_nationkey"].eqNullSafe(written["n"])).drop("n")
+
+
 def s7_publish_workspace_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return storage.publish_workspace_table(_t(spark, sf_dir, "supplier"), WORKSPACE, "supplier",
                                            partition_by=["s_nationkey"], lake_root=_lake(spark))
@@ -545,6 +630,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "r3_history_scd2": r3_history_scd2,
     "r3_history_events": r3_history_events,
     "r3_history_null_keys": r3_history_null_keys,
+    "r3_history_batches": r3_history_batches,
     "r4_quality_report": r4_quality_report,
     "r5_flatten_json": r5_flatten_json,
     "a2_trend": a2_trend,
@@ -558,14 +644,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "w2_sample_cohort": w2_sample_cohort,
     "w2_sample_cohort_events": w2_sample_cohort_events,
     "w3_profile": w3_profile,
+    "w3_profile_exact": w3_profile_exact,
     "w4_mine_itemsets": w4_mine_itemsets,
     "w4_association_rules": w4_association_rules,
     "s2_land_files": s2_land_files,
     "s3_ingest_incremental": s3_ingest_incremental,
+    "s3_stored_marks": s3_stored_marks,
     "s4_stream_land": s4_stream_land,
+    "s4_stream_late": s4_stream_late,
     "s5_promote_to_storage": s5_promote_to_storage,
     "s5_second_batch": s5_second_batch,
+    "s5_versioned_loads": s5_versioned_loads,
     "s6_stored_upsert": s6_stored_upsert,
     "s6_upsert_storage": s6_upsert_storage,
+    "s6_versioned_upsert": s6_versioned_upsert,
     "s7_publish_workspace_table": s7_publish_workspace_table,
 }

@@ -197,6 +197,16 @@ SELECT user_id, event_type, ts AS valid_from, lead(ts) OVER w AS valid_to,
 FROM starts WINDOW w AS (PARTITION BY user_id ORDER BY ts NULLS FIRST, event_type)
 """
 
+R3_BATCHES = """
+WITH flagged AS (
+  SELECT o_custkey, o_orderdate, o_orderkey, o_orderstatus, lag(o_orderstatus) OVER w AS prev, row_number() OVER w AS rn
+  FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey, o_orderstatus)),
+starts AS (SELECT * FROM flagged WHERE rn = 1 OR prev IS DISTINCT FROM o_orderstatus)
+SELECT o_custkey, o_orderstatus, o_orderdate AS valid_from,
+       lead(o_orderdate) OVER w AS valid_to, row_number() OVER w = count(*) OVER (PARTITION BY o_custkey) AS is_current
+FROM starts WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey, o_orderstatus)
+"""
+
 _LINEITEM_NEWEST = """
 SELECT * FROM (
   SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
@@ -426,6 +436,30 @@ SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedpri
 FROM ({_LINEITEM_NEWEST})
 """
 
+S5_VERSIONED = f"""
+WITH lines AS (SELECT *, l_shipdate <= TIMESTAMP '{C.SHIP_MARK}' AS early FROM lineitem),
+every AS (
+  SELECT * EXCLUDE (early), 9 AS seq, CASE WHEN early THEN 0 ELSE 1 END AS load FROM lines
+  UNION ALL
+  SELECT * EXCLUDE (early) REPLACE (l_shipdate + INTERVAL 400 DAYS AS l_shipdate), 10, 1 FROM lines WHERE l_orderkey % 7 = 0),
+held AS (SELECT v, every.* FROM (VALUES (0), (1)) t(v) JOIN every ON load <= v),
+one AS (
+  SELECT *, row_number() OVER (PARTITION BY v, l_orderkey, l_linenumber
+      ORDER BY seq DESC, l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC,
+               l_discount DESC, l_tax DESC, l_returnflag DESC, l_linestatus DESC) AS rn FROM held)
+SELECT * EXCLUDE (rn, v, load), CAST(year(l_shipdate) AS INTEGER) AS ship_year, 'version ' || v AS state FROM one WHERE rn = 1
+UNION ALL
+SELECT * EXCLUDE (early), NULL, NULL, 'quarantine' FROM lines WHERE l_orderkey % 101 = 0
+"""
+
+S3_STORED = "SELECT * REPLACE (date_trunc('day', ts) AS ts) FROM events"
+
+S4_LATE = f"""
+WITH arrived AS (
+  SELECT max(ts) - INTERVAL {C.LATE_DELAY} AS watermark FROM events WHERE event_id % 10 <> 0)
+SELECT events.*, event_id % 10 = 0 AND ts < watermark AS late FROM events, arrived
+"""
+
 S6 = """
 WITH delta AS (
   SELECT c_custkey, c_name || ' (revised)' AS c_name, c_nationkey, c_acctbal, c_mktsegment, 'U' AS op, 1 AS seq
@@ -482,6 +516,43 @@ UNION ALL
 SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM last WHERE op IS DISTINCT FROM 'D'
 """
 
+S6_VERSIONED = f"""
+WITH delta AS ({S6.split("WITH delta AS (", 1)[1].split("),", 1)[0]}),
+few AS (SELECT * FROM delta WHERE c_nationkey < 4),
+last AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY c_custkey
+      ORDER BY seq DESC, c_name DESC, c_nationkey DESC, c_acctbal DESC, c_mktsegment DESC, op DESC) AS rn
+    FROM few) WHERE rn = 1),
+touched AS (
+  SELECT c_nationkey FROM last UNION SELECT customer.c_nationkey FROM customer SEMI JOIN last USING (c_custkey))
+SELECT x.*, x.c_nationkey IN (SELECT c_nationkey FROM touched) AS rewritten FROM (
+  SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer WHERE c_custkey NOT IN (SELECT c_custkey FROM last)
+  UNION ALL SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM last WHERE op <> 'D') x
+"""
+
+W3_EXACT = """
+WITH v AS (
+  SELECT 'line_key' AS column_name, (9007199254740992 + l_orderkey * 2 + l_linenumber % 2)::DECIMAL(38,4) AS x FROM lineitem
+  UNION ALL SELECT 'price', l_extendedprice::DECIMAL(12,2) FROM lineitem
+  UNION ALL SELECT 'low_number', CASE WHEN l_linenumber < 3 THEN l_linenumber END FROM lineitem),
+r AS (
+  SELECT column_name, x, row_number() OVER (PARTITION BY column_name ORDER BY x) - 1 AS place, count(*) OVER (PARTITION BY column_name) AS n
+  FROM v WHERE x IS NOT NULL),
+q AS (
+  SELECT column_name, k, max(x) FILTER (place = k * (n - 1) // 4) AS lo, max(x) FILTER (place = (k * (n - 1) + 3) // 4) AS hi,
+    max(k * (n - 1) % 4) AS quarters
+  FROM r, range(1, 4) t(k) GROUP BY ALL),
+p AS (SELECT column_name, k, (lo + (hi - lo)::DECIMAL(16,4) * quarters::DECIMAL(2,0) / 4)::DECIMAL(38,4) AS e FROM q),
+c AS (
+  SELECT column_name, count(x) AS n, count(*) - count(x) AS n_null, count(DISTINCT x) AS n_distinct, min(x) AS min, max(x) AS max,
+    sum((x * 10000)::HUGEINT) AS s FROM v GROUP BY 1)
+SELECT column_name, n, n_null, n_distinct, min, max, (((2 * s + n) // (2 * n))::HUGEINT::DECIMAL(38,0) * 0.0001)::DECIMAL(38,4) AS mean,
+  (SELECT e FROM p WHERE p.column_name = c.column_name AND k = 1) AS p25,
+  (SELECT e FROM p WHERE p.column_name = c.column_name AND k = 2) AS p50,
+  (SELECT e FROM p WHERE p.column_name = c.column_name AND k = 3) AS p75, 'exact' AS quantile_method
+FROM c
+"""
+
 S7 = "SELECT s_suppkey, s_name, s_acctbal, s_nationkey FROM supplier"
 
 ORACLE: dict[str, str] = {
@@ -503,6 +574,7 @@ ORACLE: dict[str, str] = {
     "r3_history_scd2": R3,
     "r3_history_events": R3_EVENTS,
     "r3_history_null_keys": R3_NULLS,
+    "r3_history_batches": R3_BATCHES,
     "r4_quality_report": R4,
     "r5_flatten_json": R5,
     "a2_trend": A2,
@@ -516,14 +588,19 @@ ORACLE: dict[str, str] = {
     "w2_sample_cohort": W2,
     "w2_sample_cohort_events": W2_EVENTS,
     "w3_profile": W3,
+    "w3_profile_exact": W3_EXACT,
     "w4_mine_itemsets": W4_ITEMSETS,
     "w4_association_rules": W4_RULES,
     "s2_land_files": S2,
     "s3_ingest_incremental": S3,
+    "s3_stored_marks": S3_STORED,
     "s4_stream_land": S4,
+    "s4_stream_late": S4_LATE,
     "s5_promote_to_storage": S5,
     "s5_second_batch": S5_SECOND,
+    "s5_versioned_loads": S5_VERSIONED,
     "s6_stored_upsert": S6_STORED,
     "s6_upsert_storage": S6,
+    "s6_versioned_upsert": S6_VERSIONED,
     "s7_publish_workspace_table": S7,
 }

@@ -96,14 +96,15 @@ def land_files(spark: SparkSession, path: str, fmt: str, schema: StructType,
               .when(missing, F.lit("missing_required")).otherwise(F.lit(None)))
     tagged = raw.withColumn("_reason", reason)
     cols = [f.name for f in schema.fields]
+    is_bad = F.col("_reason").isNotNull()
     if staging_path is not None or quarantine_path is not None:
         # The source is parsed once; both outcomes are then read from that.
         once = scratch_path(spark, "landed")
         tagged.withColumn("__bad", F.col("_reason").isNotNull()).write.partitionBy("__bad").parquet(once)
-        tagged = spark.read.schema(StructType([*tagged.schema.fields, StructField("__bad", BooleanType())])).parquet(once) \
-            .where(F.col("__bad") == F.col("_reason").isNotNull())
-    good = tagged.where(F.col("_reason").isNull()).select(*cols)
-    bad = tagged.where(F.col("_reason").isNotNull()).select(
+        tagged = spark.read.schema(StructType([*tagged.schema.fields, StructField("__bad", BooleanType())])).parquet(once)
+        is_bad = F.col("__bad")
+    good = tagged.where(~is_bad).select(*cols)
+    bad = tagged.where(is_bad).select(
         F.coalesce(F.col(CORRUPT_COL), F.to_json(F.struct(*cols))).alias("raw"), "_reason")
     if staging_path is not None:
         good.write.mode("overwrite").parquet(staging_path)
@@ -116,8 +117,9 @@ def land_files(spark: SparkSession, path: str, fmt: str, schema: StructType,
 
 
 # --------------------------------------------------------------------- S3
-def _past(df: DataFrame, mark_col: str, last_mark: Any, key: Sequence[str], taken: DataFrame | None) -> DataFrame:
-    """Rows that may be new: past the mark, at the mark but not taken, or without one."""
+def past_mark(df: DataFrame, mark_col: str, last_mark: Any, key: Sequence[str], taken: DataFrame | None) -> DataFrame:
+    """Rows that may be new: past the mark, at the mark but not taken, or without one. A taken
+    key that comes again with a later mark is a change, and new."""
     if last_mark is None:
         return df
     mark = F.col(mark_col)
@@ -126,7 +128,7 @@ def _past(df: DataFrame, mark_col: str, last_mark: Any, key: Sequence[str], take
     rows = df.where((mark >= F.lit(last_mark)) | mark.isNull())
     side = taken.select(*[F.col(k).alias(f"__t_{k}") for k in key]).distinct()
     same = reduce(lambda a, b: a & b, [rows[k].eqNullSafe(side[f"__t_{k}"]) for k in key])
-    return rows.join(side, same, "left_anti")
+    return rows.join(side, same & F.coalesce(mark <= F.lit(last_mark), F.lit(True)), "left_anti")
 
 
 def ingest_incremental(df: DataFrame, mark_col: str, last_mark: Any = None, key: Sequence[str] = (),
@@ -141,7 +143,7 @@ def ingest_incremental(df: DataFrame, mark_col: str, last_mark: Any = None, key:
     mark come with every increment; ``promote_to_storage`` keeps one per key.
     The filter is pushed to the source (Parquet row groups / a JDBC WHERE).
     """
-    new = _past(df, mark_col, last_mark, key, taken)
+    new = past_mark(df, mark_col, last_mark, key, taken)
     row = new.agg(F.max(mark_col).alias("m")).first()
     mark = row["m"] if row is not None and row["m"] is not None else last_mark
     if mark is not None:
@@ -161,6 +163,6 @@ def with_mark(df: DataFrame, mark_col: str, last_mark: Any = None, mark_name: st
     The mark is a scalar subquery (one aggregate row), not a join; one query
     reads the source once for it and once for the rows, under one snapshot.
     """
-    new = _past(df, mark_col, last_mark, key, taken)
+    new = past_mark(df, mark_col, last_mark, key, taken)
     mark = new.agg(F.max(mark_col)).scalar()
     return new.withColumn(mark_name, mark)

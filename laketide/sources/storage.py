@@ -153,7 +153,8 @@ def promote_to_storage(df: DataFrame, key: Sequence[str], order_by: Sequence[str
 
 # --------------------------------------------------------------------- S6
 def upsert_storage(base: DataFrame, delta: DataFrame, key: Sequence[str],
-                   op_col: str | None = None, seq_col: str | None = None, path: str | None = None) -> DataFrame:
+                   op_col: str | None = None, seq_col: str | None = None, path: str | None = None,
+                   partition_by: Sequence[str] | None = None) -> DataFrame:
     """Apply a batch of changes to a stored table (Parquet has no MERGE).
 
     The delta is first cut to the last change per key (by ``seq_col``, ties
@@ -165,19 +166,41 @@ def upsert_storage(base: DataFrame, delta: DataFrame, key: Sequence[str],
     key is a no-op; applying the same delta twice equals applying it once.
 
     With ``path`` the result is staged in the shared folder and then stored
-    there (``base`` may be that same table), and read back.
+    there (``base`` may be that same table), and read back. A table stored by
+    partitions (``partition_by``; by default as it lies at ``path``) stays so, and
+    only partitions that hold a changed key, before or after, are rewritten.
+    ``versions.upsert_version`` does the same as one atomic version.
     """
     key = list(key)
     last = newest_per_key(delta, key, [seq_col] if seq_col is not None else [])
-    kept = _matched(base, last, key, "left_anti")
-    added = last
-    if op_col is not None:
-        added = added.where(~F.col(op_col).eqNullSafe(F.lit("D")))
-    out = kept.unionByName(added.select(*base.columns))
+    stay = ~F.col(op_col).eqNullSafe(F.lit("D")) if op_col is not None else F.lit(True)
     if path is None:
-        return out
-    _staged(out, "upsert").write.mode("overwrite").parquet(path)
-    return out.sparkSession.read.schema(out.schema).parquet(path)
+        return _matched(base, last, key, "left_anti").unionByName(last.where(stay).select(*base.columns))
+    spark = base.sparkSession
+    parts = _stored_parts(base, path) if partition_by is None else list(partition_by)
+    schema = base.select(*[c for c in base.columns if c not in parts], *parts).schema
+    old = _stored(spark, path, schema)
+    last = _staged(last, "upsert-changes")
+    added = last.where(stay).select(*schema.fieldNames())
+    touched, near = None, base.select(*schema.fieldNames())
+    if parts and old is not None:
+        touched = _staged(_matched(near, last, key, "left_semi").select(*parts).unionByName(added.select(*parts)).distinct(),
+                          "upsert-partitions")
+        near = _matched(near, touched, parts, "left_semi")
+    merged = _staged(_matched(near, last, key, "left_anti").unionByName(added), "upsert")
+    _replace(merged, old, touched, parts, path)
+    return spark.read.schema(schema).parquet(path)
+
+
+def _stored_parts(base: DataFrame, path: str) -> list[str]:
+    """The columns of ``base`` that the table stored at ``path`` is partitioned by."""
+    stored = _stored(base.sparkSession, path, base.schema)
+    first = stored.select("_metadata.file_path").limit(1).collect() if stored is not None else []
+    folders = first[0][0].split("/")[:-1] if first else []
+    names = []
+    while folders and "=" in folders[-1]:
+        names.insert(0, folders.pop().split("=", 1)[0])
+    return [n for n in names if n in base.columns]
 
 
 # --------------------------------------------------------------------- S7

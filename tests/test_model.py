@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from laketide.operators import model
 from conftest import rows
 
@@ -128,3 +130,28 @@ def test_totals_keep_their_cents(spark):
     rep = model.quality_report({"a": a, "b": b}, [model.Rule("b", "reconcile", ref_table="a", measures=["v"])])
     got = {r["subject"]: str(r["value"]) for r in rep.collect()}
     assert got["difference:sum(v)"] == "0.01" and got["source:sum(v)"] == "19999999999999998.02"
+
+
+def test_reconciliation_does_not_round_rows(spark):
+    from decimal import Decimal as D
+    schema = "x double, m decimal(10,4), n long"
+    source = spark.createDataFrame([(0.004, D("0.0040"), 9_000_000_000_000_000_000)] * 1000, schema)
+    target = spark.createDataFrame([(0.0, D("0.0000"), 9_000_000_000_000_000_000)] * 999 + [(0.0, D("0.0000"), 8_999_999_999_999_999_999)], schema)
+    report = model.quality_report({"s": source, "t": target}, [model.Rule("t", "reconcile", ref_table="s", measures=["x", "m", "n"])])
+    value = {r["subject"]: r["value"] for r in report.collect()}
+    assert value["source:sum(x)"] == value["source:sum(m)"] == D("4.00")
+    assert value["difference:sum(x)"] == value["difference:sum(m)"] == D("-4.00")
+    assert value["difference:sum(n)"] == D("-1.00") and value["difference:rows"] == D("0.00")
+    # A difference below a cent is still one.
+    few = spark.createDataFrame([(0.004, D("0.0040"), 1)], schema)
+    value = {r["subject"]: r["value"] for r in model.quality_report(
+        {"s": few, "t": few.withColumn("x", F.lit(0.003))}, [model.Rule("t", "reconcile", ref_table="s", measures=["x", "m"])]).collect()}
+    assert value["difference:sum(x)"] == D("-0.01") and value["difference:sum(m)"] == D("0.00")
+
+
+def test_rows_without_a_time_are_reduced_before_they_meet(spark):
+    data = [(1, None, "b")] * 500 + [(1, None, "a")] * 500 + [(1, None, None)] * 500
+    df = spark.createDataFrame(data, "k long, ts timestamp_ntz, s string")
+    out = model.history_scd2(df, "k", "ts", ["s"])
+    assert sorted((r["s"] or "", r["is_current"]) for r in out.collect()) == [("", False), ("a", False), ("b", True)]
+    assert "Aggregate" in out._jdf.queryExecution().optimizedPlan().toString()

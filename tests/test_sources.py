@@ -287,3 +287,42 @@ def test_text_lands_under_the_declared_name(spark):
     good, _ = ingest.land_files(spark, f"{root}/a.txt", "text", StructType([StructField("line", StringType(), True)]),
                                 staging_path=f"{root}/staging", quarantine_path=f"{root}/bad")
     assert rows(good) == [("one",), ("two",)]
+
+
+def test_stored_upsert_keeps_partitions(spark):
+    path = scratch_path(spark, "upsert") + "/t"
+    schema = "id long, y int, v string"
+    spark.createDataFrame([(i, 2020 + i % 3, "old") for i in range(9)], schema).write.partitionBy("y").parquet(path)
+    untouched = sorted(os.listdir(f"{path}/y=2022"))
+    delta = spark.createDataFrame([(0, 2021, "moved", "U"), (3, 2020, "x", "D"), (6, 2020, "x", "D"), (50, 2023, "new", "I")], schema + ", op string")
+    for _ in range(2):
+        base = spark.read.schema(schema).parquet(path)
+        out = storage.upsert_storage(base, delta, ["id"], op_col="op", path=path)
+        assert {(r.id, r.y, r.v) for r in out.collect()} == {(0, 2021, "moved"), (1, 2021, "old"), (2, 2022, "old"), (4, 2021, "old"),
+                                                              (5, 2022, "old"), (7, 2021, "old"), (8, 2022, "old"), (50, 2023, "new")}
+        assert {d for d in os.listdir(path) if "=" in d} >= {"y=2021", "y=2022", "y=2023"}
+        assert not [f for f in os.listdir(path) if f.startswith("part-")]
+        assert sorted(os.listdir(f"{path}/y=2022")) == untouched
+    # A table without partitions stays without.
+    flat = scratch_path(spark, "upsert") + "/flat"
+    spark.createDataFrame([(1, 2020, "a")], schema).write.parquet(flat)
+    storage.upsert_storage(spark.read.schema(schema).parquet(flat), delta, ["id"], op_col="op", path=flat)
+    assert not [d for d in os.listdir(flat) if "=" in d]
+
+
+def test_landed_outcomes_are_read_by_partition(spark):
+    root = scratch_path(spark, "test-land-prune")
+    os.makedirs(f"{root}/in")
+    with open(f"{root}/in/a.csv", "w") as f:
+        f.write(RAW_CSV)
+    good, _ = ingest.land_files(spark, f"{root}/in", "csv", RAW_SCHEMA, quarantine_path=f"{root}/quarantine", options={"header": "true"})
+    plan = good._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "NOT __bad" in filters
+
+
+def test_a_taken_key_with_a_later_mark_is_new(spark):
+    df = spark.createDataFrame([(1, 5, "old"), (1, 9, "changed"), (2, 5, "tie")], "id long, m int, v string")
+    taken = spark.createDataFrame([(1,)], "id long")
+    new, mark = ingest.ingest_incremental(df, "m", 5, ["id"], taken)
+    assert sorted((r["id"], r["v"]) for r in new.collect()) == [(1, "changed"), (2, "tie")] and mark == 9

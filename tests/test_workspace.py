@@ -160,3 +160,24 @@ def test_sample_cohort_bounds(spark):
     cust = _customers(spark)
     assert workspace.sample_cohort(cust, "c_custkey", "s", 0).count() == 0
     assert workspace.sample_cohort(cust, "c_custkey", "s", 100).count() == cust.count()
+
+
+def test_profile_keeps_every_digit(spark):
+    from decimal import Decimal as D
+    big = 1 << 53
+    rows_ = [(big + i, D("12345678901234567.25") + i, float(i), None) for i in (0, 1, 2)] + [(None, None, float("nan"), None)]
+    df = spark.createDataFrame(rows_, "k long, m decimal(20,2), f double, none int")
+    for cut in (workspace.FINAL_VALUES, 1):
+        got = {r["column_name"]: r for r in workspace.profile(df, decimal_scale=2, final_values=cut).collect()}
+        k, m = got["k"], got["m"]
+        assert (k["n"], k["n_null"], k["n_distinct"], k["min"], k["max"], k["mean"]) == (3, 1, 3, big, big + 2, big + 1)
+        assert (k["p25"], k["p50"], k["p75"]) == (big + D("0.5"), big + 1, big + D("1.5"))
+        assert (m["min"], m["mean"], m["p75"]) == (D("12345678901234567.25"), D("12345678901234568.25"), D("12345678901234568.75"))
+        assert got["f"]["max"] is None and got["f"]["p50"] == D("1.50")  # NaN has no decimal
+        assert (got["none"]["n"], got["none"]["min"]) == (0, None)
+    # Longs at both ends do not overflow the total; places that do not fit beside wide decimals fall back to doubles.
+    ends = spark.createDataFrame([((1 << 63) - 1, D("9" * 37 + ".5"))] * 3 + [(-(1 << 63), D("1.5"))], "k long, w decimal(38,1)")
+    got = {r["column_name"]: r for r in workspace.profile(ends).collect()}
+    assert got["k"]["max"] == float((1 << 63) - 1) and got["w"]["n_distinct"] == 2 and got["w"]["mean"] == 7.5e36
+    assert workspace.value_kinds(spark.createDataFrame([], "a decimal(38,0), b decimal(38,30), c long"), ["a", "b", "c"]) == \
+        {"a": "d", "b": "x", "c": "d"}
