@@ -274,7 +274,8 @@ def profile(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True
         value = F.col("d").isNotNull() | F.col("x").isNotNull() | F.col("s").isNotNull()
         n = F.sum(F.when(value, F.col("c")).otherwise(0))
         # A total beyond 38 digits is taken again in doubles.
-        whole = F.try_sum(F.try_multiply("x", F.col("c").cast("decimal(19,0)")))
+        times = F.try_multiply("x", F.col("c").cast("decimal(19,0)"))
+        whole = F.when(F.count_if(F.col("x").isNotNull() & times.isNull()) == 0, F.try_sum(times))
         total = freq.groupBy("i").agg(
             n.alias("n"), (F.sum("c") - n).alias("n_null"), F.count_if(value).alias("n_distinct"),
             *[f(k).alias(f"{name}_{k}") for k in ("d", "x") for name, f in (("min", F.min), ("max", F.max))],
