@@ -111,7 +111,7 @@ def mask_text(df: DataFrame, text_col: str, rules: Iterable[TextRule] = DEFAULT_
     steps: dict[str, Column] = {}
     for i, rule in enumerate(rules):
         before = _occurrences(text, rule.mask)
-        replaced = F.regexp_replace(text, rule.java or rule.pattern, rule.mask)
+        replaced = F.regexp_replace(text, rule.engine_pattern, rule.mask)
         if rule.guard is not None:
             absent = F.instr(text, rule.guard) == 0
             replaced = F.when(absent, text).otherwise(replaced)

@@ -95,12 +95,26 @@ WHERE o.o_custkey IN (SELECT token FROM approved WHERE token IS NOT NULL)
 
 
 def _mask_sql(table: str, id_col: str, text_col: str) -> str:
-    text = text_col
-    counts = []
-    for rule in DEFAULT_RULES:
-        counts.append(f"len(regexp_extract_all({text}, '{rule.pattern}')) AS n_{rule.kind}")
-        text = f"regexp_replace({text}, '{rule.pattern}', '{rule.mask}', 'g')"
-    return f"SELECT {id_col}, {text} AS {text_col}, {', '.join(counts)} FROM {table}"
+    """One step a rule. RE2 cannot look around: what must not stand beside a match is told by matching what may, and
+    putting it back. Two passes, for a neighbour shared by two matches."""
+    steps, src, counts = [], table, []
+    for i, rule in enumerate(DEFAULT_RULES):
+        text = "t" if i else text_col
+        if rule.before:
+            ends = {"[0-9]": r"$|[^0-9]", r"[0-9]|\.[0-9]": r"$|[^0-9.]|\.$|\.[^0-9]"}[rule.after]
+            bounded = f"(^|[^{rule.before[1:]})({rule.pattern})({ends})"
+            last = bounded.count("(")
+            once = f"regexp_replace({text}, '{bounded}', '\\1{rule.mask}\\{last}', 'g')"
+            new = f"regexp_replace({once}, '{bounded}', '\\1{rule.mask}\\{last}', 'g')"
+        else:
+            new = f"regexp_replace({text}, '{rule.pattern}', '{rule.mask}', 'g')"
+        size = len(rule.mask)
+        of = lambda x: f"((length({x}) - length(replace({x}, '{rule.mask}', ''))) // {size})"
+        counts.append(f"n_{rule.kind}")
+        kept = "".join(f", {c}" for c in counts[:-1])
+        src = f"(SELECT {id_col}, n AS t, (CAST({of('n')} - {of('o')} AS INTEGER)) AS n_{rule.kind}{kept} FROM " \
+              f"(SELECT {id_col}, {text} AS o, {new} AS n{kept} FROM {src}))"
+    return f"SELECT {id_col}, t AS {text_col}, {', '.join(counts)} FROM {src}"
 
 
 P4_DOCS = _mask_sql("documents", "doc_id", "text")

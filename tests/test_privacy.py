@@ -64,6 +64,29 @@ TEXTS = [
 ]
 
 
+BOUNDED = [
+    ("12345678901234567890", "12345678901234567890", (0, 0)),          # a longer run is no card
+    ("id 1.2.3.456 and 1.2.3.4.5, 21.2.3.4.", "id 1.2.3.456 and 1.2.3.4.5, [IP].", (0, 1)),
+    ("amex 378282246310005 3782 822463 10005", "amex [CARD] [CARD]", (2, 0)),
+    ("4222222222222/30569309025904/6011000990139424", "[CARD]/[CARD]/[CARD]", (3, 0)),
+    ("4111111111111111 12/25", "[CARD] 12/25", (1, 0)),
+    ("1234567890123", "1234567890123", (0, 0)),                         # 13 digits of no issuer
+    ("10.0.0.1 10.0.0.2 10.0.0.3,255.255.255.256", "[IP] [IP] [IP],255.255.255.256", (0, 3)),
+]
+
+
+def test_masks_leave_no_parts_of_numbers(spark):
+    from laketide.plans.oracle import _mask_sql
+    df = spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(BOUNDED)], "id long, text string")
+    got = {r["id"]: (r["text"], (r["n_card"], r["n_ip"])) for r in privacy.mask_text(df, "text").collect()}
+    assert got == {i: (m, n) for i, (_, m, n) in enumerate(BOUNDED)}
+    import duckdb
+    con = duckdb.connect()
+    con.execute("CREATE TABLE b AS SELECT * FROM (VALUES " + ", ".join(f"({i}, '{t}')" for i, (t, _, _) in enumerate(BOUNDED)) + ") v(id, text)")
+    sql = {r[0]: (r[1], (r[2], r[4])) for r in con.execute(_mask_sql("b", "id", "text")).fetchall()}
+    assert sql == got  # the oracle's engine finds the same
+
+
 def test_mask_text_fixture(spark):
     df = spark.createDataFrame([(i, t) for i, t, _, _ in TEXTS], "id long, text string")
     got = {r["id"]: r for r in privacy.mask_text(df, "text").collect()}
