@@ -15,7 +15,7 @@ from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType, St
                                StructType)
 
 from laketide.functions import keyed
-from laketide.operators import history, mining, model, privacy, report, workspace
+from laketide.operators import history, mining, model, privacy, reconcile, report, workspace
 from laketide.plans.tables import TABLES
 from laketide.session import read_table, scratch_path
 from laketide.sources import ingest, storage, versions
@@ -288,6 +288,20 @@ def r4_quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.quality_report(tables, rules)
 
 
+def r4_reconcile_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines against a stored copy that lost, changed and doubled lines in some stretches of orders:
+    the lines that differ, found through fingerprints of order-key ranges."""
+    lines = _t(spark, sf_dir, "lineitem")
+    band, at = F.floor(F.col("l_orderkey") / 250) % 23, F.col("l_orderkey") % 7
+    path = scratch_path(spark, "copy") + "/lineitem"
+    copy = (lines.where(~((band == 4) & (at == 1)))
+            .withColumn("l_quantity", F.when((band == 9) & (at == 2), F.col("l_quantity") + 1).otherwise(F.col("l_quantity"))))
+    copy = copy.unionByName(lines.where((band == 16) & (at == 3)))
+    copy.repartitionByRange("l_orderkey").write.parquet(path)
+    stored = spark.read.schema(lines.schema).parquet(path)
+    return reconcile.reconcile_rows(lines, stored, ["l_orderkey", "l_linenumber"], leaf_rows=2000)
+
+
 def r5_flatten_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _t(spark, sf_dir, "events").select("event_id", "props")
     return model.flatten_json(events, "props", "k int")
@@ -632,6 +646,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "r3_history_null_keys": r3_history_null_keys,
     "r3_history_batches": r3_history_batches,
     "r4_quality_report": r4_quality_report,
+    "r4_reconcile_rows": r4_reconcile_rows,
     "r5_flatten_json": r5_flatten_json,
     "a2_trend": a2_trend,
     "a2_trend_events_daily": a2_trend_events_daily,

@@ -287,6 +287,19 @@ R4 = "SELECT * FROM (" + " UNION ALL ".join([
     _differences("lineitem", f"({_LINEITEM_NEWEST})"),
 ]) + ")"
 
+R4_ROWS = """
+WITH a AS (SELECT *, (l_orderkey // 250) % 23 AS band, l_orderkey % 7 AS place FROM lineitem),
+b AS (
+  SELECT * REPLACE (CASE WHEN band = 9 AND place = 2 THEN l_quantity + 1 ELSE l_quantity END AS l_quantity) FROM a
+  WHERE NOT (band = 4 AND place = 1)
+  UNION ALL SELECT * FROM a WHERE band = 16 AND place = 3),
+x AS (SELECT l_orderkey, l_linenumber, count(*) AS n, list_sort(list(a::VARCHAR)) AS r FROM a GROUP BY ALL),
+y AS (SELECT l_orderkey, l_linenumber, count(*) AS n, list_sort(list(b::VARCHAR)) AS r FROM b GROUP BY ALL)
+SELECT l_orderkey, l_linenumber, CASE WHEN y.n IS NULL THEN 'lost' WHEN x.n IS NULL THEN 'added' WHEN y.n > x.n THEN 'doubled'
+  WHEN y.n < x.n THEN 'thinned' ELSE 'changed' END AS status, coalesce(x.n, 0) AS n_source, coalesce(y.n, 0) AS n_target
+FROM x FULL JOIN y USING (l_orderkey, l_linenumber) WHERE x.r IS DISTINCT FROM y.r
+"""
+
 R5 = "SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events"
 
 def _trend_sql(src: str, part: str, ts: str, measure: str, unit: str, width: int) -> str:
@@ -590,6 +603,7 @@ ORACLE: dict[str, str] = {
     "r3_history_null_keys": R3_NULLS,
     "r3_history_batches": R3_BATCHES,
     "r4_quality_report": R4,
+    "r4_reconcile_rows": R4_ROWS,
     "r5_flatten_json": R5,
     "a2_trend": A2,
     "a2_trend_events_daily": A2_EVENTS,
