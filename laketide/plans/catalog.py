@@ -15,7 +15,7 @@ from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType, St
                                StructType)
 
 from laketide.functions import keyed
-from laketide.operators import history, mining, model, privacy, reconcile, report, workspace
+from laketide.operators import history, lattice, mining, model, privacy, reconcile, report, workspace
 from laketide.plans.tables import TABLES
 from laketide.session import read_table, scratch_path
 from laketide.sources import ingest, storage, versions
@@ -197,6 +197,26 @@ def p6_k_anonymity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return privacy.k_anonymity(cust, ["c_nationkey", "c_mktsegment"])
 
 
+K_LATTICE = 15
+
+
+def p6_least_generalisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customers' table at the levels of nation, balance and segment that lose least while every group
+    has at least 15 customers, found by a search over the lattice of levels."""
+    cust = _t(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
+    placed = cust.join(_geo(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    band = lambda w: (F.floor(F.col("c_acctbal") / w) * w).cast("long")
+    every = F.lit("*")
+    levels = {"c_nationkey": [F.col("c_nationkey"), F.col("r_name"), every],
+              "c_acctbal": [band(500), band(1000), band(2000), band(4000), every],
+              "c_mktsegment": [F.col("c_mktsegment"), every]}
+    best = lattice.search_generalisation(placed, levels, K_LATTICE, unit="c_custkey")
+    if best is None:
+        return cust.limit(0).withColumn("loss", F.lit(None).cast("double"))
+    shown = lattice.at_levels(placed, levels, best).select(*cust.columns)
+    return shown.withColumn("loss", F.lit(round(best.loss, 12)))
+
+
 # ------------------------------------------------------------------ R1-R5
 def _part_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.build_dimension(
@@ -639,6 +659,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p6_suppress_small_cells": p6_suppress_small_cells,
     "p6_mask_small_cells": p6_mask_small_cells,
     "p6_k_anonymity": p6_k_anonymity,
+    "p6_least_generalisation": p6_least_generalisation,
     "r1_build_dimension": r1_build_dimension,
     "r2_build_fact": r2_build_fact,
     "r3_history_scd2": r3_history_scd2,

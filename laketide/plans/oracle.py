@@ -287,6 +287,23 @@ R4 = "SELECT * FROM (" + " UNION ALL ".join([
     _differences("lineitem", f"({_LINEITEM_NEWEST})"),
 ]) + ")"
 
+P6_LATTICE = f"""
+WITH p AS (
+  SELECT c_custkey, c_nationkey, r_name, c_acctbal, c_mktsegment FROM customer
+  LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey),
+nodes AS (SELECT a.a, b.b, c.c, (a.a / 2.0 + b.b / 4.0 + c.c) / 3 AS loss FROM range(3) a(a), range(5) b(b), range(2) c(c)),
+shown AS (
+  SELECT nodes.*, c_custkey, CASE a WHEN 0 THEN c_nationkey::VARCHAR WHEN 1 THEN r_name ELSE '*' END AS q1,
+    CASE b WHEN 0 THEN (floor(c_acctbal / 500) * 500)::BIGINT::VARCHAR WHEN 1 THEN (floor(c_acctbal / 1000) * 1000)::BIGINT::VARCHAR
+      WHEN 2 THEN (floor(c_acctbal / 2000) * 2000)::BIGINT::VARCHAR WHEN 3 THEN (floor(c_acctbal / 4000) * 4000)::BIGINT::VARCHAR
+      ELSE '*' END AS q2,
+    CASE c WHEN 0 THEN c_mktsegment ELSE '*' END AS q3
+  FROM p, nodes),
+sizes AS (SELECT a, b, c, loss, q1, q2, q3, count(DISTINCT c_custkey) AS n FROM shown GROUP BY ALL),
+best AS (SELECT a, b, c FROM sizes GROUP BY a, b, c, loss HAVING min(n) >= {C.K_LATTICE} ORDER BY round(loss, 9), a, b, c LIMIT 1)
+SELECT c_custkey, q1 AS c_nationkey, q2 AS c_acctbal, q3 AS c_mktsegment, round(loss, 12) AS loss FROM shown SEMI JOIN best USING (a, b, c)
+"""
+
 R4_ROWS = """
 WITH a AS (SELECT *, (l_orderkey // 250) % 23 AS band, l_orderkey % 7 AS place FROM lineitem),
 b AS (
@@ -596,6 +613,7 @@ ORACLE: dict[str, str] = {
     "p6_suppress_small_cells": P6,
     "p6_mask_small_cells": P6_MASK,
     "p6_k_anonymity": P6_K,
+    "p6_least_generalisation": P6_LATTICE,
     "r1_build_dimension": R1,
     "r2_build_fact": R2,
     "r3_history_scd2": R3,
