@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from laketide.sources.storage import _staged
+
 
 # --------------------------------------------------------------------- A1
 def management_report(fact: DataFrame, dims: Sequence[str], measures: Mapping[str, Column],
@@ -38,6 +41,43 @@ def management_report(fact: DataFrame, dims: Sequence[str], measures: Mapping[st
     return grouped.agg(*aggs)
 
 
+def protect_subtotals(report: DataFrame, dims: Sequence[str], count_col: str, k: int, measures: Sequence[str] = (),
+                      gid_col: str = "gid") -> DataFrame:
+    """A report with subtotals in which no hidden cell follows from the others by subtraction (A1 with P6).
+
+    Cells of fewer than ``k`` (but some) persons are hidden as ``small``. Every margin is then looked
+    at: the cells along one dimension, all other dimensions fixed, and their total. Where exactly one of
+    them is hidden, its figure is the total less the rest; so the smallest shown one (ties: a cell before
+    the total, then the smaller value) is hidden as well, as ``margin``. That can leave single
+    hidden cells on other margins, so it is done until there are none. Margins without their total in the report
+    (of a rollup or of chosen grouping sets) give nothing away.
+
+    Adds ``hidden`` (null, ``small`` or ``margin``); ``count_col`` and ``measures`` of hidden
+    cells are null. A null count or one of nobody is not small. All steps work on cells, after aggregation.
+    """
+    dims = list(dims)
+    n, gid = F.col(count_col), F.col(gid_col)
+    cells = _staged(report.withColumn("hidden", F.when((n > 0) & (n < k), "small")), "cells")
+    while True:
+        picks = []
+        for i, d in enumerate(dims):
+            bit = 1 << (len(dims) - 1 - i)
+            others, total = [c for c in dims if c != d], gid.bitwiseAND(bit) > 0
+            shown = F.when(F.col("hidden").isNull(), F.struct(n.alias("n"), total.alias("t"), F.col(d).alias("d"), gid.alias("g")))
+            lines = (cells.groupBy(*others, gid.bitwiseAND(~bit).alias("__line"))
+                     .agg(F.count("hidden").alias("__hidden"), F.max(total).alias("__total"), F.min(shown).alias("__pick"))
+                     .where("__hidden = 1 AND __total AND __pick IS NOT NULL"))
+            picks.append(lines.select(*[(F.col("__pick.d") if c == d else F.col(c)).alias(f"__{c}") for c in dims],
+                                      F.col("__pick.g").alias("__gid")))
+        more = _staged(reduce(DataFrame.unionByName, picks).distinct().withColumn("__more", F.lit(True)), "cells-more")
+        if more.isEmpty():
+            break
+        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in dims], gid == F.col("__gid"))
+        cells = _staged(cells.join(more, same, "left").withColumn("hidden", F.coalesce("hidden", F.when(F.col("__more"), "margin")))
+                        .select(*cells.columns), "cells")
+    return cells.withColumns({c: F.when(F.col("hidden").isNull(), F.col(c)) for c in (count_col, *measures)})
+
+
 # --------------------------------------------------------------------- A2
 # Periods ``date_trunc`` understands that still name a calendar date.
 PERIODS = ("year", "quarter", "month", "week", "day")

@@ -113,6 +113,20 @@ def a1_report_grouping_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _line_report(spark, sf_dir, [["l_returnflag", "l_linestatus"], ["ship_year"], []])
 
 
+K_CUBE = 15
+
+
+def a1_protected_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers and their balances by region, segment and balance band with all subtotals, where cells
+    of fewer than 15 customers are hidden and no margin gives one back."""
+    cust = _t(spark, sf_dir, "customer").join(_geo(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"))
+    cube = report.management_report(
+        cust.select("r_name", "c_mktsegment", F.floor(F.col("c_acctbal") / 2500).alias("band"), _money("c_acctbal").alias("balance")),
+        ["r_name", "c_mktsegment", "band"], {"customers": F.sum("n"), "balance": F.sum("balance").cast("double")}, mode="cube",
+        grain={"n": F.count(F.lit(1)), "balance": F.sum("balance")})
+    return report.protect_subtotals(cube, ["r_name", "c_mktsegment", "band"], "customers", K_CUBE, ["balance"])
+
+
 # ------------------------------------------------------------------ P1-P6
 def p1_pseudonymise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return privacy.pseudonymise(
@@ -648,6 +662,7 @@ def s7_publish_workspace_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "a1_management_report": a1_management_report,
     "a1_report_cube": a1_report_cube,
+    "a1_protected_cube": a1_protected_cube,
     "a1_report_grouping_sets": a1_report_grouping_sets,
     "p1_pseudonymise": p1_pseudonymise,
     "p2_token_vault": p2_token_vault,

@@ -304,6 +304,34 @@ best AS (SELECT a, b, c FROM sizes GROUP BY a, b, c, loss HAVING min(n) >= {C.K_
 SELECT c_custkey, q1 AS c_nationkey, q2 AS c_acctbal, q3 AS c_mktsegment, round(loss, 12) AS loss FROM shown SEMI JOIN best USING (a, b, c)
 """
 
+def _protected_sql(rounds: int = 12) -> str:
+    """The cube, then round by round one more cell on every margin with a single hidden one; more
+    rounds than needed change nothing, and the last step fails the comparison if they did not suffice."""
+    dims = ["r_name", "c_mktsegment", "band"]
+    steps = [f"""WITH cube AS MATERIALIZED (
+  SELECT r_name, c_mktsegment, floor(c_acctbal / 2500)::BIGINT AS band, count(*) AS customers,
+    sum(c_acctbal::DECIMAL(12,2))::DOUBLE AS balance, grouping(r_name, c_mktsegment, band) AS gid
+  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+  GROUP BY CUBE (r_name, c_mktsegment, band)),
+h0 AS MATERIALIZED (
+  SELECT *, row_number() OVER () AS id, CASE WHEN customers < {C.K_CUBE} THEN 'small' END AS hidden FROM cube)"""]
+    for r in range(rounds):
+        picks = []
+        for i, d in enumerate(dims):
+            bit = 1 << (2 - i)
+            line = ", ".join([c for c in dims if c != d] + [f"gid & {7 - bit}"])
+            picks.append(f"SELECT first(id ORDER BY customers, gid & {bit}, {d} NULLS FIRST) FILTER (hidden IS NULL) AS id FROM h{r} "
+                         f"GROUP BY {line} HAVING count(hidden) = 1 AND max(gid & {bit}) > 0")
+        steps.append(f"h{r + 1} AS MATERIALIZED (SELECT * REPLACE (CASE WHEN hidden IS NOT NULL THEN hidden "
+                     f"WHEN id IN ({' UNION '.join(picks)}) THEN 'margin' END AS hidden) FROM h{r})")
+    return ",\n".join(steps) + f"""
+SELECT r_name, c_mktsegment, band, CASE WHEN hidden IS NULL THEN customers END AS customers,
+  CASE WHEN hidden IS NULL THEN balance END AS balance, gid, hidden FROM h{rounds}
+"""
+
+
+A1_PROTECTED = _protected_sql()
+
 R4_ROWS = """
 WITH a AS (SELECT *, (l_orderkey // 250) % 23 AS band, l_orderkey % 7 AS place FROM lineitem),
 b AS (
@@ -602,6 +630,7 @@ S7 = "SELECT s_suppkey, s_name, s_acctbal, s_nationkey FROM supplier"
 ORACLE: dict[str, str] = {
     "a1_management_report": A1,
     "a1_report_cube": A1_CUBE,
+    "a1_protected_cube": A1_PROTECTED,
     "a1_report_grouping_sets": A1_SETS,
     "p1_pseudonymise": P1,
     "p2_token_vault": P2,

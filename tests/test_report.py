@@ -104,3 +104,32 @@ def test_subtotals_expand_groups_not_facts(spark):
         assert "Aggregate" in below[:below.index("Relation")], name
     plan = E.queries()["a3_top_parts_by_revenue"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
     assert "Aggregate [l_partkey" in plan[plan.index("Join"):]
+
+
+def test_no_margin_gives_a_hidden_cell_back(spark):
+    import random
+    rng = random.Random(8)
+    data = [(rng.choice("abc"), rng.choice(["x", "y", None]), rng.choice([1, 2, 2, 3, 3, 3])) for _ in range(260)] + [("d", "x", 1)] * 2
+    dims = ["p", "q", "r"]
+    cube = report.management_report(spark.createDataFrame(data, "p string, q string, r int"), dims,
+                                    {"n": F.count(F.lit(1)), "total": F.sum("r")}, "cube")
+    out = report.protect_subtotals(cube, dims, "n", 8, ["total"]).collect()
+    whole = {(r["p"], r["q"], r["r"], r["gid"]): r["n"] for r in cube.collect()}
+    assert len(out) == len(whole)
+    hidden = {}
+    for r in out:
+        at = (r["p"], r["q"], r["r"], r["gid"])
+        hidden[at] = r["hidden"]
+        assert (r["n"], r["total"] is None) == ((None, True) if r["hidden"] else (whole[at], False))
+        assert (r["hidden"] == "small") == (whole[at] < 8)
+    assert "margin" in hidden.values() and None in hidden.values()
+    for i in range(3):
+        bit, lines = 4 >> i, {}
+        for at, h in hidden.items():
+            lines.setdefault((*[v for j, v in enumerate(at[:3]) if j != i], at[3] & ~bit), []).append(h)
+        assert all(sum(h is not None for h in line) != 1 for line in lines.values())
+    # Nothing to hide, and a report without totals: nothing more is hidden.
+    assert not [r for r in report.protect_subtotals(cube, dims, "n", 1).collect() if r["hidden"]]
+    fine = cube.where("gid = 0")
+    assert {r["hidden"] for r in report.protect_subtotals(fine, dims, "n", 8).collect()} <= {None, "small"}
+    assert report.protect_subtotals(cube.limit(0), dims, "n", 8).count() == 0
