@@ -12,8 +12,10 @@ broadcast by itself; between blocks the documents' state is written to the
 shared folder. A document never leaves its task, so nothing is shuffled and a
 passage that many documents share costs only its own occurrences.
 
-Defined cases. Null or empty text has no words. Null items and items without
-words match nothing. Rows are judged one by one, repeated ids included. Empty
+Defined cases. Null or empty text has no words. An item without text or
+words matches nothing. An item without an id counts like others (in ``n_hit`` and ``n_items``); all of
+them are one, and a list of ids does not show it. Ties: every item whose window stands at a place
+is listed there. Rows are judged one by one, repeated ids included. Empty
 tables: no documents give no rows, no benchmark gives clean rows. Other
 columns are not read.
 """
@@ -206,16 +208,16 @@ def _judge(batch: pa.RecordBatch, block: TestBlock) -> pa.RecordBatch:
     np.add.at(hits, run_doc, e - s)
     return pa.RecordBatch.from_arrays(
         [batch.column(0), batch.column(1), pa.array(n_words.astype(np.int64)), pa.array(hits),
-         pa.array([sorted(x) for x in items], pa.list_(pa.string())), runs,
+         pa.array([sorted(x, key=lambda i: (i is None, i)) for x in items], pa.list_(pa.string())), runs,
          pa.array(matches, pa.list_(MATCH))],
         names=["row", "text", "n_words", "n_hit", "items", "runs", "matches"])
 
 
-def _blocks(bench: DataFrame, item_id: str, text: str, block_words: int) -> Iterator[list[tuple[str, str]]]:
+def _blocks(bench: DataFrame, item_id: str, text: str, block_words: int) -> Iterator[list[tuple[str | None, str]]]:
     """The benchmark's items, streamed to the driver one bounded block at a time."""
     block, words = [], 0
     rows = bench.select(F.col(item_id).cast("string").alias("i"), F.col(text).cast("string").alias("t")) \
-        .where("i IS NOT NULL AND t IS NOT NULL")
+        .where("t IS NOT NULL")
     for r in rows.toLocalIterator():
         n = len(r.t) // 2 + 1                      # no text has more words
         if block and words + n > block_words:

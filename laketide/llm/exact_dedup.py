@@ -12,8 +12,7 @@
 
 Defined cases. Null text counts as empty. A null ``doc_id`` sorts last as a
 keeper. Rows that repeat a ``doc_id`` are counted one by one in
-``group_size``; ``exact_dedup`` marks all rows of the keeping id,
-``first_copies`` keeps one of them. An empty table gives an
+``group_size``; of rows that repeat the keeping id one stays. An empty table gives an
 empty result. Other columns are not read.
 """
 
@@ -62,7 +61,7 @@ def _fingerprint(digest: str, bits: int):
 
 
 def suspects(prints: DataFrame, bits: int) -> DataFrame:
-    """Rows of ``prints`` (part, doc_id, text_sha256, fp) whose fingerprint occurs more than once."""
+    """Rows of ``prints`` (part, row, doc_id, text_sha256, fp) whose fingerprint occurs more than once."""
     owners = owners_of(prints.sparkSession)
     span = -(-(1 << bits) // owners)
 
@@ -95,13 +94,13 @@ def suspects(prints: DataFrame, bits: int) -> DataFrame:
         bits_ = [np.unpackbits(np.frombuffer(b, np.uint8), count=n) for _, n, b in got]
         flag = np.zeros(len(fp), bool)
         flag[order] = np.concatenate(bits_).astype(bool)  # owners in order hold the sorted list
-        return rows.filter(pa.array(flag)).select(["doc_id", "text_sha256"])
+        return rows.filter(pa.array(flag)).select(["doc_id", "text_sha256", "row"])
 
     sent = prints.select("part", "fp").groupBy("part").applyInArrow(
         send, "owner int, part int, n int, k int, code binary")
     answers = sent.groupBy("owner").applyInArrow(answer, "owner int, part int, n int, bitmap binary")
     return (prints.groupBy("part").cogroup(answers.groupBy("part"))
-            .applyInArrow(receive, "doc_id long, text_sha256 string"))
+            .applyInArrow(receive, "doc_id long, text_sha256 string, row long"))
 
 
 SENT = pa.schema([("owner", pa.int32()), ("part", pa.int32()), ("n", pa.int32()), ("k", pa.int32()),
@@ -119,7 +118,7 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bit
     normal = F.regexp_replace(F.coalesce("text", F.lit("")), SPACES, " ").alias("norm")
     norm = raw.select("doc_id", normal)
     prints = written(
-        norm.select(F.spark_partition_id().alias("part"), "doc_id", F.sha2("norm", 256).alias("text_sha256"))
+        norm.select(F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("row"), "doc_id", F.sha2("norm", 256).alias("text_sha256"))
             .withColumn("fp", _fingerprint("text_sha256", bits)), "exact-prints")
     sus = written(suspects(prints, bits), "exact-suspects")
 
@@ -139,17 +138,20 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bit
         "text_sha256", "group_size",
         F.when(F.col("texts") == 1, F.col("keep_id"))
          .otherwise(F.raise_error(F.lit("two texts share a SHA-256 digest")).cast("long")).alias("keep_id"))
-    return (prints.select("doc_id", "text_sha256").join(one, "text_sha256", "left")
+    # One row stays, also where several repeat the keeping id.
+    stays = sus.groupBy("text_sha256").agg(F.min(F.struct("doc_id", "row")).alias("first"))
+    one = one.join(stays, "text_sha256").select("text_sha256", "group_size", "keep_id", F.col("first.row").alias("first_row"))
+    return (prints.select("row", "doc_id", "text_sha256").join(one, "text_sha256", "left")
             .select(real_id(), F.nullif(F.coalesce("keep_id", "doc_id"), F.lit((1 << 63) - 1)).alias("keep_id"),
                     F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
-                    (F.coalesce("keep_id", "doc_id") == F.col("doc_id")).alias("kept"), "text_sha256"))
+                    (F.coalesce("first_row", "row") == F.col("row")).alias("kept"), "text_sha256"))
 
 
 def first_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs``, all their columns, without later copies: of equal
     texts the row with the smallest id stays, and one of rows that repeat it."""
     found = exact_dedup(docs, doc_id, text)
-    keepers = (found.where("kept").groupBy(F.coalesce("doc_id", F.lit(NULL_ID)).alias("k_id"), F.col("text_sha256").alias("k_sha"))
+    keepers = (found.where("doc_id <=> keep_id").groupBy(F.coalesce("doc_id", F.lit(NULL_ID)).alias("k_id"), F.col("text_sha256").alias("k_sha"))
                .agg(F.count(F.lit(1)).alias("n")))
     digest = F.sha2(F.regexp_replace(F.coalesce(F.col(text).cast("string"), F.lit("")), SPACES, " "), 256)
     rows = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL_ID)).alias("id"),

@@ -25,7 +25,6 @@ are read.
 
 from __future__ import annotations
 
-import re
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +34,11 @@ from pyspark.sql import functions as F
 
 from laketide.llm.common import LOWER, documents, ready, real_id, slices, text_buffer, written
 
-LETTER = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str | None) -> bool:
+    """A character of Unicode's category L: no digit, mark, fraction or letter-like number."""
+    return text is not None and next(filter(str.isalpha, text), None) is not None
 
 
 SALTS = 64
@@ -205,7 +208,7 @@ def identify(docs: DataFrame, trees: ContextTrees | None, doc_id: str = "doc_id"
                 best = bits.argmin(axis=1)
                 each = bits * (np.minimum(size, 64) / size)[:, None]
                 score = 1 / np.exp2(each.min(axis=1, keepdims=True) - each).sum(axis=1)
-                words = np.array([x is not None and LETTER.search(x) is not None for x in b.column(1).to_pylist()])
+                words = np.array([has_letter(x) for x in b.column(1).to_pylist()], bool)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0), pa.array(np.where(words, labels[best], "und"), pa.string()),
                      pa.array(np.where(words, score, 0.0)),

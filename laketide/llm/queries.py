@@ -132,7 +132,8 @@ ORACLE["op6_exact_dedup"] = r"""
 WITH t AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents),
 g AS (SELECT norm, min(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY norm)
-SELECT t.doc_id, g.keep_id, g.group_size, t.doc_id = g.keep_id AS kept, sha256(t.norm) AS text_sha256
+SELECT t.doc_id, g.keep_id, g.group_size, row_number() OVER (PARTITION BY t.norm ORDER BY t.doc_id) = 1 AS kept,
+  sha256(t.norm) AS text_sha256
 FROM t JOIN g USING (norm)
 """
 

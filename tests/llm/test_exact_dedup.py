@@ -14,7 +14,12 @@ def expected(rows):
     for i, t in norm:
         size[t] = size.get(t, 0) + 1
         keep[t] = i if t not in keep else min(keep[t], i, key=order)
-    return sorted(((i, keep[t], size[t], i == keep[t], hashlib.sha256(t.encode()).hexdigest()) for i, t in norm), key=str)
+    out, stays = [], set()
+    for i, t in norm:  # one row of each text stays, also where several repeat the keeping id
+        out.append((i, keep[t], size[t], i == keep[t] and t not in stays, hashlib.sha256(t.encode()).hexdigest()))
+        if i == keep[t]:
+            stays.add(t)
+    return sorted(out, key=str)
 
 
 def got(df):

@@ -105,3 +105,9 @@ def test_empty_and_unlabelled(nothing, mixed):
     assert L.language_id(nothing).count() == 0
     blind = mixed.withColumn("lang", L.F.lit(None).cast("string"))
     assert {r.lang_pred for r in L.language_id(blind).collect()} == {"und"}
+
+
+def test_numbers_marks_and_signs_are_no_letters():
+    from laketide.llm.language import has_letter
+    assert not any(has_letter(t) for t in (None, "", " 12 ²½Ⅷ_-! ٣ ́ €"))
+    assert all(has_letter(t) for t in ("²a", "中", "12 ñ", "ª", "ǅ"))
