@@ -11,13 +11,13 @@ import corpus_pipeline as C
 from laketide.llm import decontaminate, exact_dedup, jaccard_join, packing, quality, queries
 
 SF = "/root/testdata/sf0.001"
-TABLES = ("documents", "benchmark", "labels", "pages")
+TABLES = ("documents", "benchmark", "labels", "pages", "embeddings")
 
 
 def test_registered():
     names = set(E.queries())
     assert {*queries.QUERIES, "pipeline"} <= names and set(queries.ORACLE) <= set(E.oracle_sql())
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names if re.match(r"op\d+_", n)) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names if re.match(r"op\d+_", n)) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
