@@ -173,7 +173,7 @@ def learn(docs: DataFrame, marks: DataFrame, label: str, passage: int = 1024, sa
     m = total(bags.mapInArrow(moments, "v binary"))
     model.mean = m[1:1 + FEATURES] / m[0]
     model.scale = 1 / np.sqrt(np.maximum(m[1 + FEATURES:] / m[0] - model.mean ** 2, 1e-6))
-    # Both classes weigh the same; then the output's offset is moved back to the sampled shares.
+    # Both classes weigh the same.
     weight = np.array([0.5 / sizes[0], 0.5 / sizes[1]])
     for n in range(1, steps + 1):
         now = spark.sparkContext.broadcast(model)
