@@ -16,10 +16,10 @@ def _stars(links: DataFrame) -> DataFrame:
     """One large-star and one small-star step over links (a > b)."""
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    large = (both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    large = (both.where("b > a").join(least.hint("merge"), "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
              .unionByName(least.where("m < a").select("a", F.col("m").alias("b")))).distinct()
     least = large.groupBy("a").agg(F.min("b").alias("m"))
-    return (large.join(least, "a").where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return (large.join(least.hint("merge"), "a").where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
             .unionByName(least.select("a", F.col("m").alias("b")))).distinct()
 
 

@@ -25,6 +25,12 @@ the components. The links between classes are found exactly, by prefix lists:
 5. What is left is compared exactly, a few pairs of each pair of components
    first, because one link makes all others between them needless.
 
+Between 3 and 4 components meet in rounds: in each of its lists a set is only
+paired with one set of the largest component and one of the next component in
+an order that changes with the round, at most two rows an entry. The pair met
+most often is compared. Families of copies near the threshold become one
+component this way before step 4 looks at all pairs that are left.
+
 Comparisons are dealt by hub and salt: a hub with many members is sent to
 several tasks. Components come from Spark joins over the links (see
 ``components``); nothing grows on the driver.
@@ -158,7 +164,7 @@ def prefix_lists(docs: DataFrame, n: int, percent: int) -> DataFrame:
     again and a 256-bit picture of them (``s0..s3``)."""
     spark = docs.sparkSession
     owners = owners_of(spark)
-    shared = spark.sparkContext.broadcast(frequency_levels(docs, n))
+    shared = spark.sparkContext.broadcast(frequency_levels(docs, n))  # fixed size
 
     def send(batches):
         for whole in batches:
@@ -193,9 +199,11 @@ def prefix_lists(docs: DataFrame, n: int, percent: int) -> DataFrame:
                 "sent": (size[many] >> 32).astype(np.int32), **{f"s{i}": x[many] for i, x in enumerate(picture)}}
         return pa.table({c: pa.array(v) for c, v in cols.items()})
 
-    return written(docs.mapInArrow(send, "owner int, payload binary").groupBy("owner")
-                   .applyInArrow(fold, "owner int, gram long, doc_id long, size int, pos int, sent int, "
-                                        "s0 long, s1 long, s2 long, s3 long"), "jaccard-lists")
+    lists = written(docs.mapInArrow(send, "owner int, payload binary").groupBy("owner")
+                    .applyInArrow(fold, "owner int, gram long, doc_id long, size int, pos int, sent int, "
+                                         "s0 long, s1 long, s2 long, s3 long"), "jaccard-lists")
+    shared.destroy()  # the lists are stored
+    return lists
 
 
 def _needed(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
@@ -267,6 +275,48 @@ def hub_pairs(lists: DataFrame, percent: int) -> DataFrame:
     return pairs.groupBy("a").agg(best.alias("x")).select("a", "x.*")
 
 
+def near_pairs(lists: DataFrame, comp: DataFrame, percent: int, turn: int) -> DataFrame:
+    """For every class the set of another component it meets most often, when each list
+    pairs an entry with one set of the list's largest component and one of the next
+    component; ``turn`` changes these sets and the order of components."""
+
+    def near(key, rows):
+        salt = U64(turn) * ANSWER
+        rows = rows.append_column("turn", pa.array((mix(rows.column("component_id").to_numpy().view(U64) + salt) >> U64(1)).view(np.int64)))
+        rows = rows.append_column("place", pa.array((mix(rows.column("doc_id").to_numpy().view(U64) + salt) >> U64(1)).view(np.int64)))
+        e = _Lists(rows, "turn", "component_id", "place", "doc_id")
+        n = len(e.gram)
+        list_of = np.repeat(np.arange(len(e.head)), e.tail - e.head)
+        new = np.ones(n, bool)
+        new[1:] = (list_of[1:] != list_of[:-1]) | (e.component_id[1:] != e.component_id[:-1])
+        run_head = np.flatnonzero(new)  # the members of one component in one list, and the set that stands for them
+        run_of, run_size, run_list = np.cumsum(new) - 1, np.diff(np.append(run_head, n)), list_of[run_head]
+        first_run = run_of[e.head]
+        last_run = np.append(first_run[1:], len(run_head)) - 1
+        after = np.arange(len(run_head)) + 1
+        after = np.where(after > last_run[run_list], first_run[run_list], after)
+        by_size = np.lexsort((run_size, run_list))
+        main = by_size[last_run]  # the runs of a list are together in both orders
+        at = np.arange(n)
+        i = np.concatenate([at, at])
+        j = run_head[np.concatenate([after[run_of], main[list_of]])]
+        double = np.zeros(2 * n, bool)
+        double[n:] = j[n:] == j[:n]
+        ok = (e.component_id[i] != e.component_id[j]) & ~double
+        i, j = i[ok], j[ok]
+        ok = e.reachable(i, j, percent)
+        i, j = i[ok], j[ok]
+        return _pairs_table(None, e.doc_id[i], e.doc_id[j], e.size[i], e.size[j])
+
+    pairs = (_placed(lists, comp).groupBy("owner").applyInArrow(near, PAIRS).groupBy("a", "b", "size_a", "size_b")
+             .agg(F.sum("shared").alias("shared")))
+    return pairs.groupBy("a").agg(F.max_by("b", F.struct("shared", -F.col("b"))).alias("b"))
+
+
+def _placed(lists: DataFrame, comp: DataFrame) -> DataFrame:
+    return lists.join(comp, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
+
+
 def _enough(percent: int) -> Column:
     """Shared prefix grams plus all that can lie behind the prefixes reach the least overlap."""
     behind = F.greatest(F.ceil(F.col("size_a") * percent / 100), F.ceil(F.col("size_b") * percent / 100)) - 1
@@ -301,8 +351,7 @@ def cross_pairs(lists: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
         i, j = np.where(swap, j, i), np.where(swap, i, j)
         return _pairs_table(None, doc[i], doc[j], size[i], size[j])
 
-    placed = lists.join(comp, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
-    return (placed.groupBy("owner").applyInArrow(cross, PAIRS).groupBy("a", "b", "size_a", "size_b")
+    return (_placed(lists, comp).groupBy("owner").applyInArrow(cross, PAIRS).groupBy("a", "b", "size_a", "size_b")
             .agg(F.sum("shared").cast("int").alias("shared")).where(_enough(percent)))
 
 
@@ -358,6 +407,17 @@ def class_links(docs: DataFrame, n: int, percent: int, first_pairs: int = 4) ->
     known = written(compare(hub_pairs(lists, percent), texts, n), "jaccard-hubs")
     links = known.where(_linked(percent)).select("a", "b")
     comp = components(links)
+    seen, found, tried, turn = known.select("a", "b"), 1, 1, 0
+    while 8 * found > tried:  # a round costs less than all pairs as long as it links enough
+        turn += 1
+        chosen = near_pairs(lists, comp, percent, turn).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+        met = written(compare(chosen.distinct().join(seen.hint("merge"), ["a", "b"], "left_anti"), texts, n), "jaccard-met")
+        new = met.where(_linked(percent)).select("a", "b")
+        tried, found = met.agg(F.count(F.lit(1)), F.coalesce(F.sum(_linked(percent).cast("long")), F.lit(0))).first()
+        seen, links = seen.unionByName(met.select("a", "b")), links.unionByName(new)
+        if found:
+            comp = components(new.unionByName(comp.where("doc_id != component_id")
+                                              .select(F.col("doc_id").alias("a"), F.col("component_id").alias("b"))))
 
     # Answers of a common hub bound the pair: |x & y| <= |h & y| + |x - h|.
     left = cross_pairs(lists, comp, percent).alias("p")
@@ -368,7 +428,7 @@ def class_links(docs: DataFrame, n: int, percent: int, first_pairs: int = 4) ->
     pairs = (left.join(hx, F.col("p.a") == F.col("hx.k"), "left").join(hy, F.col("p.b") == F.col("hy.k"), "left")
              .where(~F.coalesce((F.col("hx.hub") == F.col("hy.hub")) & (bound < need), F.lit(False)))
              .select("p.*"))
-    pairs = written(pairs.join(known.select("a", "b"), ["a", "b"], "left_anti"), "jaccard-pairs")
+    pairs = written(pairs.join(seen.hint("merge"), ["a", "b"], "left_anti"), "jaccard-pairs")
     for few in (first_pairs, None):
         placed = pairs
         for side in ("a", "b"):
