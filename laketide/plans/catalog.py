@@ -15,7 +15,7 @@ from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType, St
                                StructType)
 
 from laketide.functions import keyed
-from laketide.operators import history, lattice, mining, model, privacy, reconcile, report, workspace
+from laketide.operators import history, lattice, mining, model, privacy, reconcile, report, sequences, workspace
 from laketide.plans.tables import TABLES
 from laketide.session import read_table, scratch_path
 from laketide.sources import ingest, storage, versions
@@ -490,6 +490,12 @@ CUSTOMER_SCHEMA = StructType([
 ])
 
 
+def w4_sequential_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of up to three event types that half of all users' weeks hold."""
+    found = sequences.sequential_patterns(_t(spark, sf_dir, "events"), "user_id", "event_type", "ts", ["event_id"], 0.5, 3, "week")
+    return found.select(F.array_join("pattern", ">").alias("pattern"), "length", "sessions", "support")
+
+
 def s2_land_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The customer table exported as CSV by a source system, landed back
     under its declared schema; good rows go to staging."""
@@ -698,6 +704,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "w3_profile_exact": w3_profile_exact,
     "w4_mine_itemsets": w4_mine_itemsets,
     "w4_association_rules": w4_association_rules,
+    "w4_sequential_patterns": w4_sequential_patterns,
     "s2_land_files": s2_land_files,
     "s3_ingest_incremental": s3_ingest_incremental,
     "s3_stored_marks": s3_stored_marks,

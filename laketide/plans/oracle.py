@@ -679,3 +679,19 @@ ORACLE: dict[str, str] = {
     "s6_versioned_upsert": S6_VERSIONED,
     "s7_publish_workspace_table": S7,
 }
+
+ORACLE["w4_sequential_patterns"] = """
+WITH e AS (SELECT user_id AS u, date_trunc('week', ts) AS s, event_type AS i,
+                  row_number() OVER (PARTITION BY user_id, date_trunc('week', ts) ORDER BY ts, event_id) AS p
+           FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL AND event_type IS NOT NULL),
+     held AS (SELECT DISTINCT u, s, i AS pattern, 1 AS length FROM e
+              UNION ALL
+              SELECT DISTINCT a.u, a.s, a.i || '>' || b.i, 2 FROM e a JOIN e b ON a.u = b.u AND a.s = b.s AND a.p < b.p
+              UNION ALL
+              SELECT DISTINCT a.u, a.s, a.i || '>' || b.i || '>' || c.i, 3
+              FROM e a JOIN e b ON a.u = b.u AND a.s = b.s AND a.p < b.p
+                       JOIN e c ON b.u = c.u AND b.s = c.s AND b.p < c.p),
+     n AS (SELECT count(*) AS total FROM (SELECT DISTINCT u, s FROM e))
+SELECT pattern, length, count(*) AS sessions, count(*) / (SELECT total FROM n) AS support
+FROM held GROUP BY pattern, length HAVING count(*) / (SELECT total FROM n) >= 0.5
+"""
