@@ -15,7 +15,7 @@ from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType, St
                                StructType)
 
 from laketide.functions import keyed
-from laketide.operators import history, lattice, mining, model, privacy, reconcile, report, sequences, workspace
+from laketide.operators import history, lattice, mining, model, privacy, reconcile, report, sequences, sketches, workspace
 from laketide.plans.tables import TABLES
 from laketide.session import read_table, scratch_path
 from laketide.sources import ingest, storage, versions
@@ -456,6 +456,21 @@ def w3_profile_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return workspace.profile(lines, decimal_scale=4)
 
 
+def w3_stored_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines sketched by ship month, in two loads that share all months, the second one sent twice; the
+    sketches merged by year and held against the exact figures of the lines: the exact figures, and
+    whether the merged ones keep their bounds."""
+    lines = _t(spark, sf_dir, "lineitem").withColumn("low_number", F.when(F.col("l_linenumber") < 3, F.col("l_linenumber")))
+    columns = ["l_partkey", "l_extendedprice", "l_returnflag", "l_discount", "low_number"]
+    path = scratch_path(spark, "sketches") + "/lineitem"
+    late = F.col("l_orderkey") % 5 == 0
+    for load_id, rows in (("first", lines.where(~late)), ("late", lines.where(late)), ("late", lines.where(late))):
+        stored = sketches.store_sketches(rows, {"ship_month": F.trunc("l_shipdate", "month")}, columns, path, load_id,
+                                         {"ship_year": F.year("ship_month")})
+    figures = sketches.merged_figures(stored, {"ship_year": F.year("ship_month")})
+    return sketches.audit_figures(lines, figures, {"ship_year": F.year("l_shipdate")}, columns)
+
+
 def _brand_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (_t(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
             .join(_t(spark, sf_dir, "part").select("p_partkey", "p_brand"),
@@ -702,6 +717,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "w2_sample_cohort_events": w2_sample_cohort_events,
     "w3_profile": w3_profile,
     "w3_profile_exact": w3_profile_exact,
+    "w3_stored_sketches": w3_stored_sketches,
     "w4_mine_itemsets": w4_mine_itemsets,
     "w4_association_rules": w4_association_rules,
     "w4_sequential_patterns": w4_sequential_patterns,

@@ -695,3 +695,18 @@ WITH e AS (SELECT user_id AS u, date_trunc('week', ts) AS s, event_type AS i,
 SELECT pattern, length, count(*) AS sessions, count(*) / (SELECT total FROM n) AS support
 FROM held GROUP BY pattern, length HAVING count(*) / (SELECT total FROM n) >= 0.5
 """
+
+ORACLE["w3_stored_sketches"] = """
+WITH v AS (
+  SELECT year(l_shipdate) AS ship_year, 'l_partkey' AS column_name, l_partkey::VARCHAR AS x FROM lineitem
+  UNION ALL SELECT year(l_shipdate), 'l_extendedprice', l_extendedprice::VARCHAR FROM lineitem
+  UNION ALL SELECT year(l_shipdate), 'l_returnflag', l_returnflag FROM lineitem
+  UNION ALL SELECT year(l_shipdate), 'l_discount', l_discount::VARCHAR FROM lineitem
+  UNION ALL SELECT year(l_shipdate), 'low_number', CASE WHEN l_linenumber < 3 THEN l_linenumber::VARCHAR END FROM lineitem),
+n AS (SELECT ship_year, column_name, count(x) AS n, count(*) - count(x) AS n_null, count(DISTINCT x) AS n_distinct FROM v GROUP BY ALL),
+h AS (SELECT ship_year, column_name, count(*) AS n_heavy FROM
+        (SELECT ship_year, column_name, x, count(*) AS k FROM v WHERE x IS NOT NULL GROUP BY ALL) JOIN n USING (ship_year, column_name)
+      WHERE k >= 0.05 * n GROUP BY ALL)
+SELECT n.*, coalesce(n_heavy, 0) AS n_heavy, true AS counts_equal, true AS distinct_within, true AS ranks_within, true AS heavy_within
+FROM n LEFT JOIN h USING (ship_year, column_name)
+"""
