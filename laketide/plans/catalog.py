@@ -15,7 +15,7 @@ from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType, St
                                StructType)
 
 from laketide.functions import keyed
-from laketide.operators import history, lattice, mining, model, privacy, reconcile, report, sequences, sketches, workspace
+from laketide.operators import history, lattice, linkage, mining, model, privacy, reconcile, report, sequences, sketches, workspace
 from laketide.plans.tables import TABLES
 from laketide.session import read_table, scratch_path
 from laketide.sources import ingest, storage, versions
@@ -393,6 +393,30 @@ def a4_cross_org_link(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("order_value", F.col("order_value").cast("double")))
 
 
+def a4_linkage_without_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers against another organisation's copy with typing errors and keys of its own, linked on encodings of their
+    fields: per segment the customers, and whether nine in ten are linked with their own copy and nine in ten
+    links are right. Of four customers' copies one is as it was; one lacks a character of the name, one
+    has two swapped, one has a digit of the balance mistyped."""
+    customers = _t(spark, sf_dir, "customer").withColumn("balance", F.format_string("%.2f", "c_acctbal"))
+    kind, at = F.col("c_custkey") % 4, (F.length("c_name") - F.col("c_custkey") % 7).cast("int")
+    one = F.lit(1)
+    head, first, second = F.substring("c_name", one, at - 2), F.substring("c_name", at - 1, one), F.substring("c_name", at, one)
+    tail = F.substring("c_name", at + 1, F.length("c_name"))
+    copies = customers.withColumns({
+        "c_name": F.when(kind == 1, F.concat(head, first, tail)).when(kind == 2, F.concat(head, second, first, tail)).otherwise(F.col("c_name")),
+        "balance": F.when(kind == 3, F.concat(F.lit("7"), F.substring("balance", F.lit(2), F.length("balance")))).otherwise(F.col("balance")),
+        "c_custkey": F.col("c_custkey") + F.lit(10_000_000_000)})
+    fields = {"c_name": 4, "balance": 8, "c_nationkey": 4, "c_mktsegment": 1}
+    coded = [linkage.encode_records(t.select("c_custkey", *fields), fields, _key(spark)) for t in (customers, copies)]
+    links = linkage.mutual_best(linkage.link_encodings(*coded, "c_custkey", "c_custkey", 0.8))
+    right = F.col("right_id") - F.lit(10_000_000_000) == F.col("left_id")
+    told = customers.select("c_custkey", "c_mktsegment").join(links, F.col("c_custkey") == F.col("left_id"), "left")
+    n, linked, true = F.count(F.lit(1)), F.count("right_id"), F.count_if(right)
+    return told.groupBy("c_mktsegment").agg(n.alias("n_customers"), (true >= 0.9 * n).alias("recall_reached"),
+                                            (true >= 0.9 * linked).alias("precision_reached"))
+
+
 # ------------------------------------------------------------------ W1-W4
 def w1_policy(spark: SparkSession, sf_dir: str) -> workspace.Policy:
     return workspace.Policy(
@@ -711,6 +735,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "a3_top_n": a3_top_n,
     "a3_top_parts_by_revenue": a3_top_parts_by_revenue,
     "a4_cross_org_link": a4_cross_org_link,
+    "a4_linkage_without_key": a4_linkage_without_key,
     "w1_workspace_extract": w1_workspace_extract,
     "w1_orders_per_person": w1_orders_per_person,
     "w2_sample_cohort": w2_sample_cohort,

@@ -710,3 +710,7 @@ h AS (SELECT ship_year, column_name, count(*) AS n_heavy FROM
 SELECT n.*, coalesce(n_heavy, 0) AS n_heavy, true AS counts_equal, true AS distinct_within, true AS ranks_within, true AS heavy_within
 FROM n LEFT JOIN h USING (ship_year, column_name)
 """
+
+ORACLE["a4_linkage_without_key"] = """
+SELECT c_mktsegment, count(*) AS n_customers, true AS recall_reached, true AS precision_reached FROM customer GROUP BY 1
+"""
