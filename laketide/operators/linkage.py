@@ -6,6 +6,8 @@ import math
 import random
 from collections.abc import Mapping
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ WORDS = 16  # an encoding is 16 words of 64 bits
 BITS = WORDS * 64
 MAX_HASHES = 8  # an HMAC of 256 bits holds eight positions of 32 bits
 BAND_BITS = 62  # a band's bits are one positive bigint
+FOLD = 4  # words of the folded encoding that goes into the blocks
 
 
 def encode_records(df: DataFrame, fields: Mapping[str, int], key_df: DataFrame, key_col: str = "key") -> DataFrame:
@@ -108,6 +111,27 @@ def _bands(both: DataFrame, larger: int, threshold: float, found: float, seed: i
     return [dealt.sample(chosen, width) for _ in range(needed(width))]
 
 
+def banded(side: DataFrame, bands: list[list[int]]) -> DataFrame:
+    """``id, size``, the ``keys`` of a class in each band and its ``folded`` encoding (``f0``, ...): the words of
+    the encoding under exclusive or. Folded encodings differ in no more bits than whole ones do."""
+
+    def look(batches):
+        for b in batches:
+            words = b.column(2).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, WORDS)
+            bits = np.unpackbits(words.astype("<i8").view(np.uint8), axis=1, bitorder="little").T.copy()
+            keys = np.zeros((b.num_rows, len(bands)), np.int64)
+            for i, band in enumerate(bands):
+                for p in band:
+                    keys[:, i] = keys[:, i] * 2 + bits[p]
+            folded = np.bitwise_xor.reduce(words.reshape(b.num_rows, WORDS // FOLD, FOLD), axis=1)
+            lists = pa.ListArray.from_arrays(np.arange(0, keys.size + 1, len(bands), dtype=np.int32), keys.ravel())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), lists, *[pa.array(folded[:, w]) for w in range(FOLD)]],
+                                             names=["id", "size", "keys", *[f"f{w}" for w in range(FOLD)]])
+
+    return side.select("id", F.col("size").cast("int"), "code").mapInArrow(
+        look, f"id {side.schema['id'].dataType.simpleString()}, size int, keys array<bigint>, " + ", ".join(f"f{w} bigint" for w in range(FOLD)))
+
+
 def link_encodings(left: DataFrame, right: DataFrame, left_id: str, right_id: str, threshold: float,
                    found: float = 0.98, seed: int = 1, max_bands: int = 256) -> DataFrame:
     """Pairs of records of two organisations whose encodings have a Dice score of at least ``threshold``.
@@ -120,6 +144,9 @@ def link_encodings(left: DataFrame, right: DataFrame, left_id: str, right_id: st
     1 - ``found`` at the threshold, less above. Blocks hold a constant number of chance meetings while
     the bands suffice (``max_bands``); beyond, blocks widen and no link is given up.
 
+    The blocks are met by a sorted shuffle join, never by a broadcast: they hold a row per class and band. Only ids, sizes and
+    ``folded`` encodings go into them; pairs that these let pass meet their whole encodings once, whatever the number of their bands.
+
     The driver gets 1024 counts. The links are written to the shared folder and read back. Returns ``left_id``, ``right_id``, ``n_left``, ``n_right``, ``dice``.
     """
     if not 0 < threshold <= 1 or not 0 < found < 1:
@@ -127,20 +154,25 @@ def link_encodings(left: DataFrame, right: DataFrame, left_id: str, right_id: st
     lft, rgt = _classes(left, left_id), _classes(right, right_id)
     both = lft.select("code", "size").unionByName(rgt.select("code", "size"))
     bands = _bands(both, max(lft.count(), rgt.count()), threshold, found, seed, max_bands)
-    if any(bands):
-        looked = F.lit(bands).cast("array<array<int>>")
-    else:
-        looked = F.array(F.array().cast("array<int>"))
+
+    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def met(side: DataFrame, mark: str) -> DataFrame:
-        keys = F.transform(looked, lambda band: F.aggregate(
-            band, F.lit(0).cast("bigint"),
-            lambda acc, p: acc * 2 + F.getbit(F.get(F.col("code"), F.shiftright(p, 6)), p.bitwiseAND(63)).cast("bigint")))
-        return side.select(F.col("id").alias(f"{mark}_id"), F.col("n").alias(f"n_{mark}"), F.col("code").alias(f"{mark}_code"),
-                           F.posexplode(keys).alias("band", "key"))
-
-    scored = met(lft, "left").join(met(rgt, "right"), ["band", "key"]).withColumn("dice", dice("left_code", "right_code"))
-    return _stored(scored.where(F.col("dice") >= threshold).select("left_id", "right_id", "n_left", "n_right", "dice").distinct())
+        # A class makes a row per band: few small files of classes are dealt to all tasks first.
+        keys = banded(side.repartition(tasks, "id"), bands).select("*", F.posexplode("keys").alias("band", "key"))
+        return keys.select("band", "key", F.col("id").alias(f"{mark}_id"), F.col("size").alias(f"{mark}_size"),
+                           *[F.col(f"f{w}").alias(f"{mark}_f{w}") for w in range(FOLD)])
+
+    apart = sum((F.bit_count(F.col(f"left_f{w}").bitwiseXOR(F.col(f"right_f{w}"))) for w in range(1, FOLD)),
+                F.bit_count(F.col("left_f0").bitwiseXOR(F.col("right_f0"))))
+    near = apart <= (1 - threshold) * (F.col("left_size") + F.col("right_size")) + 1e-6
+    pairs = _stored(met(lft, "left").join(met(rgt, "right").hint("merge"), ["band", "key"]).where(near)
+                    .select("left_id", "right_id").distinct())
+    for side, mark in ((lft, "left"), (rgt, "right")):
+        whole = side.select(F.col("id").alias(f"{mark}_id"), F.col("n").alias(f"n_{mark}"), F.col("code").alias(f"{mark}_code"))
+        pairs = pairs.join(whole.hint("merge"), f"{mark}_id")
+    scored = pairs.withColumn("dice", dice("left_code", "right_code"))
+    return _stored(scored.where(F.col("dice") >= threshold).select("left_id", "right_id", "n_left", "n_right", "dice"))
 
 
 def mutual_best(links: DataFrame) -> DataFrame:

@@ -408,7 +408,9 @@ def a4_linkage_without_key(spark: SparkSession, sf_dir: str) -> DataFrame:
         "balance": F.when(kind == 3, F.concat(F.lit("7"), F.substring("balance", F.lit(2), F.length("balance")))).otherwise(F.col("balance")),
         "c_custkey": F.col("c_custkey") + F.lit(10_000_000_000)})
     fields = {"c_name": 4, "balance": 8, "c_nationkey": 4, "c_mktsegment": 1}
-    coded = [linkage.encode_records(t.select("c_custkey", *fields), fields, _key(spark)) for t in (customers, copies)]
+    # A record costs far more to encode than to send: a table in one small file is dealt to all tasks first.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    coded = [linkage.encode_records(t.select("c_custkey", *fields).repartition(tasks, "c_custkey"), fields, _key(spark)) for t in (customers, copies)]
     links = linkage.mutual_best(linkage.link_encodings(*coded, "c_custkey", "c_custkey", 0.8))
     right = F.col("right_id") - F.lit(10_000_000_000) == F.col("left_id")
     told = customers.select("c_custkey", "c_mktsegment").join(links, F.col("c_custkey") == F.col("left_id"), "left")

@@ -109,3 +109,35 @@ def test_the_key_is_in_no_plan(spark):
     df = L.encode_records(spark.createDataFrame(people(5, 1), SCHEMA), FIELDS, keyed.key_table(spark, KEY))
     plan = df._jdf.queryExecution().toString()
     assert KEY.decode() not in plan and KEY.hex() not in plan.lower()
+
+
+def test_blocks_are_never_broadcast(spark, monkeypatch):
+    """A row per class and band is many times the classes: a broadcast of them would fill the driver."""
+    plans, stored = [], L._stored
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df)
+
+    key = keyed.key_table(spark, KEY)
+    rows = people(300, 7)
+    code = [L.encode_records(spark.createDataFrame(r, SCHEMA), FIELDS, key) for r in (rows, typed(rows, 8))]
+    monkeypatch.setattr(L, "_stored", seen)
+    links = L.link_encodings(*code, "id", "id", 0.8)
+    assert links.count() >= 270
+    assert any("Generate posexplode" in p for p in plans)
+    assert not any("Broadcast" in p for p in plans)
+
+
+def test_folded_encodings_differ_in_no_more_bits(spark):
+    key = keyed.key_table(spark, KEY)
+    rows = L._classes(L.encode_records(spark.createDataFrame(people(60, 9), SCHEMA), FIELDS, key), "id")
+    bands = [[5, 70, 1023], [0, 63, 64]]
+    code = {r.id: of_code(r.code) for r in rows.collect()}
+    got = {r.id: r for r in L.banded(rows, bands).collect()}
+    assert set(got) == set(code)
+    for i, bits in code.items():
+        assert list(got[i]["keys"]) == [sum((p in bits) << (2 - k) for k, p in enumerate(band)) for band in bands]
+        assert got[i]["size"] == len(bits)
+    fold = {i: of_code([r[f"f{w}"] for w in range(L.FOLD)]) for i, r in got.items()}
+    assert all(len(fold[i] ^ fold[j]) <= len(code[i] ^ code[j]) for i in code for j in code)
