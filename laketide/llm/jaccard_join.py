@@ -398,6 +398,11 @@ def _linked(percent: int) -> Column:
     return 100 * F.col("overlap") >= percent * (F.col("size_a") + F.col("size_b") - F.col("overlap"))
 
 
+def _star_links(comp: DataFrame) -> DataFrame:
+    """A link of each point to its component: it takes the place of all links that made the component."""
+    return comp.where("doc_id != component_id").select(F.col("doc_id").alias("a"), F.col("component_id").alias("b"))
+
+
 def class_links(docs: DataFrame, n: int, percent: int, first_pairs: int = 4) -> DataFrame:
     """Links (a, b) that connect exactly the classes that are connected. ``docs``
     is one row a class: its key as ``doc_id``, and its text as ``shrink`` makes it."""
@@ -405,8 +410,7 @@ def class_links(docs: DataFrame, n: int, percent: int, first_pairs: int = 4) ->
     members = lists.select("doc_id").distinct()
     texts = written(docs.join(members.hint("merge"), "doc_id", "left_semi"), "jaccard-texts")
     known = written(compare(hub_pairs(lists, percent), texts, n), "jaccard-hubs")
-    links = known.where(_linked(percent)).select("a", "b")
-    comp = components(links)
+    comp = components(known.where(_linked(percent)).select("a", "b"))
     seen, found, tried, turn = known.select("a", "b"), 1, 1, 0
     while 8 * found > tried:  # a round costs less than all pairs as long as it links enough
         turn += 1
@@ -414,10 +418,9 @@ def class_links(docs: DataFrame, n: int, percent: int, first_pairs: int = 4) ->
         met = written(compare(chosen.distinct().join(seen.hint("merge"), ["a", "b"], "left_anti"), texts, n), "jaccard-met")
         new = met.where(_linked(percent)).select("a", "b")
         tried, found = met.agg(F.count(F.lit(1)), F.coalesce(F.sum(_linked(percent).cast("long")), F.lit(0))).first()
-        seen, links = seen.unionByName(met.select("a", "b")), links.unionByName(new)
+        seen = seen.unionByName(met.select("a", "b"))
         if found:
-            comp = components(new.unionByName(comp.where("doc_id != component_id")
-                                              .select(F.col("doc_id").alias("a"), F.col("component_id").alias("b"))))
+            comp = components(new.unionByName(_star_links(comp)))
 
     # Answers of a common hub bound the pair: |x & y| <= |h & y| + |x - h|.
     left = cross_pairs(lists, comp, percent).alias("p")
@@ -442,7 +445,7 @@ def class_links(docs: DataFrame, n: int, percent: int, first_pairs: int = 4) ->
             chosen = open_
         more = written(compare(chosen.select("a", "b"), texts, n), "jaccard-compared")
         found = more.where(_linked(percent)).select("a", "b")
-        links = written(links.unionByName(found), "jaccard-links")
+        links = written(found.unionByName(_star_links(comp)), "jaccard-links")
         if few:
             pairs = pairs.join(more.select("a", "b"), ["a", "b"], "left_anti")
             comp = components(links)

@@ -94,3 +94,19 @@ def test_components_of_long_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(200)] + [(1000, 1000 + i) for i in range(1, 300)] + [(5, 5)]
     got = dict(components(spark.createDataFrame(links, "a long, b long")).collect())
     assert got == {**{i: 0 for i in range(201)}, **{1000 + i: 1000 for i in range(300)}}
+
+
+def test_stars_take_no_further_step(spark, monkeypatch):
+    """Links that are stars already are written once; every step more is some ten exchanges for the driver to plan."""
+    from laketide.llm import components as K
+    names, written = [], K.written
+    monkeypatch.setattr(K, "written", lambda df, name: names.append(name) or written(df, name))
+    stars = spark.createDataFrame([(i, i // 10 * 10) for i in range(60)], "a long, b long")
+    assert {r.doc_id: r.component_id for r in components(stars).collect()} == {i: i // 10 * 10 for i in range(60)}
+    assert len(names) == 1
+    names.clear()
+    chain = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(50, 52), (52, 51), (51, 50), (60, 60)], "a long, b long")
+    want = {i: 0 for i in range(41)} | {50: 50, 51: 50, 52: 50}
+    assert {r.doc_id: r.component_id for r in components(chain).collect()} == want
+    assert len(names) > 2
+    assert components(chain.where("a < 0")).count() == 0
