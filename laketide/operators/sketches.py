@@ -127,14 +127,20 @@ def audit_figures(df: DataFrame, figures: DataFrame, by: Mapping[str, Column], c
     estimate = F.try_element_at("f_heavy", F.col("item"))
     heavy = F.col("k") >= share * F.col("n")
     excess = estimate - F.col("k")
-    measured = told.join(counts, again, "left").groupBy(*[f"g_{c}" for c in (*by, "column_name")]).agg(
-        *[F.first(c).alias(c) for c in ("n", "n_null", "numbers", "f_n", "f_n_null", "f_n_distinct", "f_quantiles", "f_count_error")],
-        F.first(F.size(F.map_keys("f_heavy"))).alias("listed"),
+    # The figures go to the values (a row per group and column), not the values to a few tasks by group: sums leave each task.
+    sums = counts.join(F.broadcast(told), again).groupBy(*[f"g_{c}" for c in (*by, "column_name")]).agg(
         F.count("item").alias("n_distinct"), F.count_if(F.col("item").isNotNull() & heavy).alias("n_heavy"),
         F.count_if(F.col("item").isNotNull() & heavy & estimate.isNull()).alias("missed"), F.count(estimate).alias("met"),
         F.min(excess).alias("least"), F.max(excess).alias("most"),
         *[F.sum(F.when(F.col("number") < F.col("f_quantiles")[i], F.col("k")).otherwise(0)).alias(f"below{i}") for i in range(len(quantiles))],
         *[F.sum(F.when(F.col("number") <= F.col("f_quantiles")[i], F.col("k")).otherwise(0)).alias(f"upto{i}") for i in range(len(quantiles))])
+    tally = [c for c in sums.columns if c not in ("least", "most") and not c.startswith("g_")]
+    sums = sums.withColumnsRenamed({f"g_{c}": f"s_{c}" for c in (*by, "column_name")})
+    same = F.lit(True)
+    for name in (*by, "column_name"):
+        same = same & F.col(f"g_{name}").eqNullSafe(F.col(f"s_{name}"))
+    measured = (told.join(sums, same, "left").withColumn("listed", F.size(F.map_keys("f_heavy")))
+                .withColumns({c: F.coalesce(c, F.lit(0)) for c in tally}))
     ranks = F.lit(True)
     for i, p in enumerate(quantiles):
         ranks = ranks & (F.col(f"below{i}") <= (p + RANK_ERROR) * F.col("numbers")) & (F.col(f"upto{i}") >= (p - RANK_ERROR) * F.col("numbers"))

@@ -90,3 +90,18 @@ def test_empty_table_and_parameters(spark):
     assert S.audit_figures(empty, S.merged_figures(sketches, year()), {"year": F.year("d")}, COLUMNS).count() == 0
     with pytest.raises(ValueError):
         S.merged_figures(sketches, year(), share=0.001)
+
+
+def test_values_are_not_dealt_to_tasks_by_group(spark):
+    """All values of a group and column in one task would grow with the table: the figures are sent to the values."""
+    rows = data(spark)
+    figures = S.merged_figures(S.sketch_partitions(rows, part(), COLUMNS), year())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        audit = S.audit_figures(rows, figures, {"year": F.year("d")}, COLUMNS)
+        plan = audit._jdf.queryExecution().executedPlan().toString()
+        flags = {(r.counts_equal, r.distinct_within, r.ranks_within, r.heavy_within) for r in audit.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plan
+    assert flags == {(True,) * 4}
