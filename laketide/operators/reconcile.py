@@ -1,7 +1,8 @@
 """R4 by rows: which rows two copies of a table do not share, found through fingerprints of key ranges.
 
 A fingerprint of any set of rows is (count, sum of row hashes, xor of other row hashes): it does
-not depend on order, and fingerprints of parts add up. The ranges of a key are compared level
+not depend on order, and fingerprints of parts add up. The sum is held as the sums of a hash's three pieces of
+at most 22 bits, which fit whole numbers for any table. The ranges of a key are compared level
 by level: a range whose fingerprints are equal is done, one that differs is cut into
 ``fan_out`` parts, until its parts hold few rows. Then, and only for those, keys are compared.
 A level's filter is on the key itself, so where the copies are stored by their keys Spark
@@ -33,7 +34,11 @@ def row_hashes(df: DataFrame, cols: Sequence[str]) -> tuple[Column, Column]:
 
 def _fingerprint(df: DataFrame, cols: Sequence[str]) -> list[Column]:
     a, b = row_hashes(df, cols)
-    return [F.count(F.lit(1)).alias("__n"), F.sum(a.cast("decimal(38,0)")).alias("__s"), F.bit_xor(b).alias("__x")]
+    pieces = (a.bitwiseAND(0x3FFFFF), F.shiftright(a, 22).bitwiseAND(0x3FFFFF), F.shiftright(a, 44))
+    return [F.count(F.lit(1)).alias("__n"), *[F.sum(p).alias(f"__s{i}") for i, p in enumerate(pieces)], F.bit_xor(b).alias("__x")]
+
+
+PARTS = ("__s0", "__s1", "__s2", "__x")
 
 
 def place(df: DataFrame, key: Sequence[str]) -> Column:
@@ -44,9 +49,29 @@ def place(df: DataFrame, key: Sequence[str]) -> Column:
     return F.when(F.col(key[0]).isNotNull(), F.xxhash64(*key))
 
 
+FEW = 8        # ranges that a filter names one by one
+CELLS = 3000   # about as many cells stand for more of them
+
+
+def _step(where: Column, first: int, last: int, width: int) -> Column:
+    """How many whole steps of ``width`` a place lies behind ``first`` (rounded to zero before it)."""
+    if last - first < 1 << 62:
+        return F.call_function("div", F.try_subtract(where, F.lit(first).cast("long")), F.lit(width).cast("long"))
+    return F.floor((where.cast("decimal(20,0)") - F.lit(first).cast("decimal(20,0)")) / F.lit(width).cast("decimal(20,0)")).cast("long")
+
+
 def _inside(where: Column, ranges: Sequence[Range], no_place: bool) -> Column:
-    parts = [where.between(lo, hi) for lo, hi in ranges] + ([where.isNull()] if no_place else [])
-    return reduce(lambda a, b: a | b, parts, F.lit(False))
+    """Every place in one of the ranges. Many comparisons a row would cost more than the row: beyond a few ranges, a
+    few wide ones reach the scan and one lookup among equal cells of the key follows, which lets no more pass than a
+    cell at each end of a range."""
+    parts = [where.between(lo, hi) for lo, hi in _joined(list(ranges), FEW)]
+    told = reduce(lambda a, b: a | b, parts, F.lit(False))
+    if len(ranges) > FEW:
+        width = max(1, -(-sum(hi - lo + 1 for lo, hi in ranges) // CELLS))
+        cell = lambda p: p // width if p >= 0 else -(-p // width)  # noqa: E731  # rounded to zero, as div does: no overflow
+        cells = {c for lo, hi in ranges for c in range(cell(lo), cell(hi) + 1)}
+        told = told & F.call_function("div", where, F.lit(width).cast("long")).isin(sorted(cells))
+    return told | where.isNull() if no_place else told
 
 
 def _joined(ranges: list[Range], most: int) -> list[Range]:
@@ -75,30 +100,27 @@ def differing_ranges(source: DataFrame, target: DataFrame, key: Sequence[str], f
         tables = [df.where(inside[n]).groupBy(part[n].alias("part")).agg(*_fingerprint(df, cols)).withColumn("side", F.lit(n))
                   for n, df in sides.items()]
         both = tables[0].unionByName(tables[1])
-        return (both.groupBy("part").agg(F.max("__n").alias("n"), F.count(F.lit(1)).alias("sides"), F.min("__n").alias("n0"),
-                                         F.min("__s").alias("s0"), F.max("__s").alias("s1"), F.min("__x").alias("x0"), F.max("__x").alias("x1"))
-                .where("sides < 2 OR n0 <> n OR s0 <> s1 OR x0 <> x1").select("part", "n").collect())
+        ends = [f(c).alias(f"{name}{c}") for c in PARTS for name, f in (("least", F.min), ("most", F.max))]
+        return (both.groupBy("part").agg(F.max("__n").alias("n"), F.count(F.lit(1)).alias("sides"), F.min("__n").alias("n0"), *ends)
+                .where("sides < 2 OR n0 <> n OR " + " OR ".join(f"least{c} <> most{c}" for c in PARTS)).select("part", "n").collect())
 
     at = {n: place(df, key) for n, df in sides.items()}
     ends = [df.agg(F.min(at[n]).alias("lo"), F.max(at[n]).alias("hi")).first() for n, df in sides.items()]
     lows, highs = [e.lo for e in ends if e.lo is not None], [e.hi for e in ends if e.hi is not None]
-    # Whether rows without a place differ is one part (null) of the first level.
-    first = {n: F.when(at[n].isNotNull(), F.lit(0)) for n in sides}
-    whole = {r.part for r in compare(first, {n: F.lit(True) for n in sides})}
-    no_place = None in whole
-    if not lows or 0 not in whole:
-        return [], no_place
-    open_, leaves = [(min(lows), max(highs))], []
-    while open_:
+    open_, leaves, no_place, first = ([(min(lows), max(highs))] if lows else []), [], False, True
+    while open_ or first:
         # All open ranges are cut alike: by the width that cuts the longest into `fan_out`.
-        width = max(1, -(-max(hi - lo + 1 for lo, hi in open_) // fan_out))
-        base = open_[0][0]
-        cut = lambda c: F.floor((c.cast("decimal(20,0)") - F.lit(base).cast("decimal(20,0)")) / F.lit(width).cast("decimal(20,0)"))
-        found = compare({n: cut(at[n]).cast("long") for n in sides}, {n: _inside(at[n], open_, False) for n in sides})
-        parts = [(max(lo, base + r.part * width), min(hi, base + (r.part + 1) * width - 1), r.n) for r in found for lo, hi in open_
-                 if lo <= base + (r.part + 1) * width - 1 and hi >= base + r.part * width]
+        width = max([1, *[-(-(hi - lo + 1) // fan_out) for lo, hi in open_]])
+        base = min((lo for lo, _ in open_), default=0)
+        cut = lambda c: _step(c, base, max(highs, default=0), width)  # noqa: B023, E731
+        # The first level reads all rows: those without a place are one part (null) of it.
+        found = compare({n: cut(at[n]) for n in sides}, {n: F.lit(True) if first else _inside(at[n], open_, False) for n in sides})
+        no_place = no_place or any(r.part is None for r in found)
+        parts = [(max(lo, base + r.part * width), min(hi, base + (r.part + 1) * width - 1), r.n) for r in found if r.part is not None
+                 for lo, hi in open_ if lo <= base + (r.part + 1) * width - 1 and hi >= base + r.part * width]
         leaves += [(lo, hi) for lo, hi, n in parts if n <= leaf_rows or width == 1]
         open_ = [(lo, hi) for lo, hi, n in parts if n > leaf_rows and width > 1]
+        first = False
         if len(open_) > max_ranges:
             leaves, open_ = leaves + open_, []
     return _joined(leaves, max_ranges), no_place
@@ -117,8 +139,8 @@ def reconcile_rows(source: DataFrame, target: DataFrame, key: Sequence[str], fan
     key, cols = list(key), sorted(source.columns)
     ranges, no_place = differing_ranges(source, target, key, fan_out, leaf_rows, max_ranges)
     per_key = [df.where(_inside(place(df, key), ranges, no_place)).groupBy(*key).agg(*_fingerprint(df, cols)) for df in (source, target)]
-    a = per_key[0].select(*key, F.col("__n").alias("n_source"), F.struct("__s", "__x").alias("was"))
-    b = per_key[1].select(*[F.col(k).alias(f"t_{k}") for k in key], F.col("__n").alias("n_target"), F.struct("__s", "__x").alias("now"))
+    a = per_key[0].select(*key, F.col("__n").alias("n_source"), F.struct(*PARTS).alias("was"))
+    b = per_key[1].select(*[F.col(k).alias(f"t_{k}") for k in key], F.col("__n").alias("n_target"), F.struct(*PARTS).alias("now"))
     met = a.join(b, reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"t_{k}")) for k in key]), "full_outer")
     both = {k: F.when(F.col("n_source").isNotNull(), F.col(k)).otherwise(F.col(f"t_{k}")).alias(k) for k in key}
     status = (F.when(F.col("n_target").isNull(), "lost").when(F.col("n_source").isNull(), "added")

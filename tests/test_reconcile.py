@@ -86,3 +86,21 @@ def test_many_ranges_are_joined_not_dropped():
     ranges = [(i * 10, i * 10 + i % 7) for i in range(50)]
     out = R._joined(ranges, 5)
     assert len(out) == 5 and all(any(lo >= a and hi <= b for a, b in out) for lo, hi in ranges)
+
+
+def test_many_ranges_are_one_lookup_and_lose_no_place(spark):
+    """Hundreds of comparisons a row cost more than the row: a filter's size does not grow with the ranges."""
+    from pyspark.sql import functions as F
+
+    from laketide.operators import reconcile as R
+    ranges = [(i * 1000, i * 1000 + i % 300) for i in range(-100, 100)]
+    df = spark.range(-101_000, 101_000)
+    got = {r.id for r in df.where(R._inside(F.col("id"), ranges, False)).collect()}
+    want = {p for lo, hi in ranges for p in range(lo, hi + 1)}
+    assert want <= got and len(got) < 1.3 * len(want)
+    plan = df.where(R._inside(F.col("id"), ranges, False))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(">=") <= 20
+    far = [((1 << 63) - 10 * i - 5, (1 << 63) - 10 * i - 2) for i in range(1, 30)] + [(-(1 << 63), -(1 << 63) + 3)]
+    ends = spark.createDataFrame([(p,) for lo, hi in far for p in (lo, hi)] + [(0,), (None,)], "id long")
+    assert ends.where(R._inside(F.col("id"), far, False)).count() >= 2 * len(far)
+    assert ends.where(R._inside(F.col("id"), far, True) & F.col("id").isNull()).count() == 1
