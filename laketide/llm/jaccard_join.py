@@ -31,6 +31,13 @@ an order that changes with the round, at most two rows an entry. The pair met
 most often is compared. Families of copies near the threshold become one
 component this way before step 4 looks at all pairs that are left.
 
+From the rounds on only lists of several components are read, and every owner
+has the parity prints of its sets: a bit tells whether an odd number of the
+whole set's grams falls on it. Bits in which two prints differ are never more
+than the grams in which the sets differ, so a pair with more of them than a link
+allows is skipped where it is met. What is left over is nearly always linked,
+and pairs that nearly always link do not outlive the rounds in numbers.
+
 Comparisons are dealt by hub and salt: a hub with many members is sent to
 several tasks. Components come from Spark joins over the links (see
 ``components``); nothing grows on the driver.
@@ -55,9 +62,11 @@ from laketide.llm.components import components
 from laketide.llm.exact_dedup import rice_decode, rice_encode
 from laketide.llm.exchange import pack, shrink, text_column, unpack
 
+PRINT_BITS = 256, 1 << 14  # least and most bits of a print; between them two or more a gram
 LEVELS = ((2, 5), (32, 8), (1024, 8))  # (occurrences, key bits left out of the bitmap): 16 + 2 + 2 MB
 KEY_SPACE = 1 << 32
 SALT_MEMBERS = 256
+ROUND_LINKS = 32  # a further round follows one that linked at least one of so many sets
 ANSWER = U64(0x2545F4914F6CDD1D)
 
 
@@ -250,6 +259,57 @@ def _pairs_table(owner, a, b, size_a, size_b) -> pa.Table:
                      "shared": pa.array(count.astype(np.int32))})
 
 
+def prints(texts: DataFrame, n: int) -> DataFrame:
+    """``doc_id, print`` of rows (doc_id, text): the parity of the number of grams on each bit. A print
+    has a power of two of bits, and folds to a shorter one as if made with fewer."""
+
+    def parity(batches):
+        for whole in batches:
+            for b in slices(whole):
+                doc, h = gram_sets(b.column(1), n)
+                cut = np.searchsorted(doc, np.arange(b.num_rows + 1))
+                out = []
+                for a, z in zip(cut[:-1], cut[1:]):
+                    bits = min(max(1 << int(2 * (z - a)).bit_length(), PRINT_BITS[0]), PRINT_BITS[1])
+                    odd = np.bincount((h[a:z] & U64(bits - 1)).astype(np.int64), minlength=bits) & 1
+                    out.append(np.packbits(odd.astype(np.uint8), bitorder="little").tobytes())
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], names=["doc_id", "print"])
+
+    return texts.mapInArrow(parity, "doc_id long, print binary")
+
+
+class _Prints:
+    """An owner's prints, those of one length in one array."""
+
+    def __init__(self, rows: pa.Table):
+        order = rows.column("doc_id").to_numpy().argsort()
+        raw = rows.column("print").take(pa.array(order)).to_pylist()
+        self.doc, self.words = rows.column("doc_id").to_numpy()[order], np.array([len(r) >> 3 for r in raw], np.int64)
+        self.row, self.by = np.zeros(len(raw), np.int64), {}
+        for w in np.unique(self.words).tolist():
+            at = np.flatnonzero(self.words == w)
+            self.row[at] = np.arange(len(at))
+            self.by[w] = np.frombuffer(b"".join(raw[i] for i in at), "<u8").reshape(len(at), w)
+
+    def _folded(self, k: np.ndarray, w: int) -> np.ndarray:
+        out = np.empty((len(k), w), U64)
+        for v in np.unique(self.words[k]).tolist():
+            at = np.flatnonzero(self.words[k] == v)
+            out[at] = np.bitwise_xor.reduce(self.by[v][self.row[k[at]]].reshape(len(at), v // w, w), axis=1)
+        return out
+
+    def alike(self, a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray, percent: int) -> np.ndarray:
+        """Pairs whose prints differ in no more bits than the sets of a link in grams."""
+        i, j = np.searchsorted(self.doc, a), np.searchsorted(self.doc, b)
+        most, ok = size_a + size_b - 2 * _needed(size_a, size_b, percent), np.ones(len(a), bool)
+        short = np.minimum(self.words[i], self.words[j])
+        for w in np.unique(short).tolist():
+            at, step = np.flatnonzero(short == w), max(1, (1 << 18) // w)
+            for k in (at[x:x + step] for x in range(0, len(at), step)):
+                ok[k] = np.bitwise_count(self._folded(i[k], w) ^ self._folded(j[k], w)).sum(axis=1, dtype=np.int64) <= most[k]
+        return ok
+
+
 PAIRS = "a long, b long, size_a int, size_b int, shared int"
 
 
@@ -275,12 +335,34 @@ def hub_pairs(lists: DataFrame, percent: int) -> DataFrame:
     return pairs.groupBy("a").agg(best.alias("x")).select("a", "x.*")
 
 
-def near_pairs(lists: DataFrame, comp: DataFrame, percent: int, turn: int) -> DataFrame:
+def open_lists(lists: DataFrame, comp: DataFrame) -> DataFrame:
+    """The lists that hold sets of several components: no other list gives a pair any more."""
+
+    def several(key, rows):
+        gram, c = rows.column("gram").to_numpy(), rows.column("component_id").to_numpy()
+        order = np.lexsort((c, gram))
+        gram, c = gram[order], c[order]
+        head = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
+        tail = np.append(head[1:], len(gram))
+        mixed = c[head] != c[tail - 1]
+        return rows.drop_columns(["component_id"]).take(pa.array(order[np.repeat(mixed, tail - head)]))
+
+    return _placed(lists, comp).select(*lists.columns, "component_id").groupBy("owner").applyInArrow(several, lists.schema)
+
+
+def _with_prints(lists: DataFrame, comp: DataFrame, shown: DataFrame):
+    """Each owner's list entries with their components, and its prints (owner, doc_id, print)."""
+    return _placed(lists, comp).groupBy("owner").cogroup(shown.groupBy("owner"))
+
+
+def near_pairs(lists: DataFrame, comp: DataFrame, shown: DataFrame, percent: int, turn: int) -> DataFrame:
     """For every class the set of another component it meets most often, when each list
     pairs an entry with one set of the list's largest component and one of the next
     component; ``turn`` changes these sets and the order of components."""
 
-    def near(key, rows):
+    def near(key, rows, pictures):
+        if not rows.num_rows:
+            return _pairs_table(None, *[np.zeros(0, np.int64)] * 4)
         salt = U64(turn) * ANSWER
         rows = rows.append_column("turn", pa.array((mix(rows.column("component_id").to_numpy().view(U64) + salt) >> U64(1)).view(np.int64)))
         rows = rows.append_column("place", pa.array((mix(rows.column("doc_id").to_numpy().view(U64) + salt) >> U64(1)).view(np.int64)))
@@ -306,9 +388,11 @@ def near_pairs(lists: DataFrame, comp: DataFrame, percent: int, turn: int) -> Da
         i, j = i[ok], j[ok]
         ok = e.reachable(i, j, percent)
         i, j = i[ok], j[ok]
+        ok = _Prints(pictures).alike(e.doc_id[i], e.doc_id[j], e.size[i], e.size[j], percent)
+        i, j = i[ok], j[ok]
         return _pairs_table(None, e.doc_id[i], e.doc_id[j], e.size[i], e.size[j])
 
-    pairs = (_placed(lists, comp).groupBy("owner").applyInArrow(near, PAIRS).groupBy("a", "b", "size_a", "size_b")
+    pairs = (_with_prints(lists, comp, shown).applyInArrow(near, PAIRS).groupBy("a", "b", "size_a", "size_b")
              .agg(F.sum("shared").alias("shared")))
     return pairs.groupBy("a").agg(F.max_by("b", F.struct("shared", -F.col("b"))).alias("b"))
 
@@ -323,11 +407,13 @@ def _enough(percent: int) -> Column:
     return F.col("shared") + behind >= F.ceil((F.col("size_a") + F.col("size_b")) * percent / (100 + percent))
 
 
-def cross_pairs(lists: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
+def cross_pairs(lists: DataFrame, comp: DataFrame, shown: DataFrame, percent: int) -> DataFrame:
     """Pairs of list members of different components that may still be linked."""
 
-    def cross(key, rows):
-        e = _Lists(rows, "size", "doc_id")
+    def cross(key, rows, pictures):
+        if not rows.num_rows:
+            return _pairs_table(None, *[np.zeros(0, np.int64)] * 4)
+        e, seen = _Lists(rows, "size", "doc_id"), _Prints(pictures)
         doc, size, c = e.doc_id, e.size, e.component_id
         mixed = np.minimum.reduceat(c, e.head) != np.maximum.reduceat(c, e.head)
         out_i, out_j = [], []
@@ -343,6 +429,8 @@ def cross_pairs(lists: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
                 j = j[(own[j] != own[i]) & ((own[j] == main) | (j > i))] + a
                 ii = np.full(len(j), i + a)
                 ok = e.reachable(ii, j, percent)
+                ii, j = ii[ok], j[ok]
+                ok = seen.alike(doc[ii], doc[j], size[ii], size[j], percent)
                 out_i.append(ii[ok])
                 out_j.append(j[ok])
         i = np.concatenate(out_i) if out_i else np.zeros(0, np.int64)
@@ -351,7 +439,7 @@ def cross_pairs(lists: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
         i, j = np.where(swap, j, i), np.where(swap, i, j)
         return _pairs_table(None, doc[i], doc[j], size[i], size[j])
 
-    return (_placed(lists, comp).groupBy("owner").applyInArrow(cross, PAIRS).groupBy("a", "b", "size_a", "size_b")
+    return (_with_prints(lists, comp, shown).applyInArrow(cross, PAIRS).groupBy("a", "b", "size_a", "size_b")
             .agg(F.sum("shared").cast("int").alias("shared")).where(_enough(percent)))
 
 
@@ -411,10 +499,13 @@ def class_links(docs: DataFrame, n: int, percent: int, first_pairs: int = 4) ->
     texts = written(docs.join(members.hint("merge"), "doc_id", "left_semi"), "jaccard-texts")
     known = written(compare(hub_pairs(lists, percent), texts, n), "jaccard-hubs")
     comp = components(known.where(_linked(percent)).select("a", "b"))
-    seen, found, tried, turn = known.select("a", "b"), 1, 1, 0
-    while 8 * found > tried:  # a round costs less than all pairs as long as it links enough
+    lists = written(open_lists(lists, comp), "jaccard-open")
+    shown = written(lists.select("owner", "doc_id").distinct().join(prints(texts, n), "doc_id"), "jaccard-prints")
+    seen, sets, turn = known.select("a", "b"), texts.count(), 0
+    found = tried = sets
+    while ROUND_LINKS * found > sets and 8 * found > tried:  # a round costs less than all pairs as long as it links enough
         turn += 1
-        chosen = near_pairs(lists, comp, percent, turn).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+        chosen = near_pairs(lists, comp, shown, percent, turn).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         met = written(compare(chosen.distinct().join(seen.hint("merge"), ["a", "b"], "left_anti"), texts, n), "jaccard-met")
         new = met.where(_linked(percent)).select("a", "b")
         tried, found = met.agg(F.count(F.lit(1)), F.coalesce(F.sum(_linked(percent).cast("long")), F.lit(0))).first()
@@ -423,7 +514,7 @@ def class_links(docs: DataFrame, n: int, percent: int, first_pairs: int = 4) ->
             comp = components(new.unionByName(_star_links(comp)))
 
     # Answers of a common hub bound the pair: |x & y| <= |h & y| + |x - h|.
-    left = cross_pairs(lists, comp, percent).alias("p")
+    left = cross_pairs(lists, comp, shown, percent).alias("p")
     hub = known.select(F.col("a").alias("k"), F.col("b").alias("hub"), F.col("overlap").alias("o"))
     hx, hy = hub.alias("hx"), hub.alias("hy")
     bound = F.least(F.col("hy.o") + F.col("p.size_a") - F.col("hx.o"), F.col("hx.o") + F.col("p.size_b") - F.col("hy.o"))
@@ -432,7 +523,7 @@ def class_links(docs: DataFrame, n: int, percent: int, first_pairs: int = 4) ->
              .where(~F.coalesce((F.col("hx.hub") == F.col("hy.hub")) & (bound < need), F.lit(False)))
              .select("p.*"))
     pairs = written(pairs.join(seen.hint("merge"), ["a", "b"], "left_anti"), "jaccard-pairs")
-    for few in (first_pairs, None):
+    for few in (first_pairs, None) if pairs.count() > sets else (None,):
         placed = pairs
         for side in ("a", "b"):
             placed = (placed.join(comp.select(F.col("doc_id").alias(side), F.col("component_id").alias(f"c{side}")), side, "left")

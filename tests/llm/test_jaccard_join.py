@@ -1,3 +1,4 @@
+import random
 from collections import defaultdict
 
 import pytest
@@ -110,3 +111,39 @@ def test_stars_take_no_further_step(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in components(chain).collect()} == want
     assert len(names) > 2
     assert components(chain.where("a < 0")).count() == 0
+
+
+def test_pairs_out_of_reach_are_skipped_in_the_lists(spark, brute, monkeypatch):
+    """Sixty versions of one text, each with one of two wordings at 24 places: most pairs share half of their
+    rare grams and are not similar."""
+    rng = random.Random(2)
+    rows = [(i, " ".join(f"v{j}" if j % 12 else f"v{j}-{rng.randrange(2)}" for j in range(288))) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    _, comp = expected(rows, brute["ws"], brute["lower"], 5, 80)
+    made, cross = [], J.cross_pairs
+    monkeypatch.setattr(J, "cross_pairs", lambda *a: made.append(cross(*a).count()) or cross(*a))
+    assert {r.doc_id: r.component_id for r in J.jaccard_join(df).collect()} == comp
+    assert 1 < len(set(comp.values())) < 60 and made[0] < 60
+
+
+def test_prints_never_hide_a_link(spark):
+    """Prints of all lengths, folded to the shorter one, differ in no more bits than the sets in grams."""
+    import numpy as np
+    import pyarrow as pa
+    rng = np.random.default_rng(3)
+    rows = []
+    for i, n in enumerate((1, 90, 100, 130, 240, 260, 1000, 1100, 7000, 9000)):
+        words = [f"w{x}" for x in rng.integers(0, 10 ** 6, n)]
+        swapped = [w if rng.random() > 0.02 else w + "x" for w in words]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(swapped + ["more"] * (n // 12)))]
+    made = J.prints(spark.createDataFrame(rows, "doc_id long, text string"), 5).collect()
+    doc, h = J.gram_sets(pa.array([t for _, t in rows]), 5)
+    grams = [set(h[doc == i].tolist()) for i in range(len(rows))]
+    seen = J._Prints(pa.table({"doc_id": [r[0] for r in made], "print": pa.array([bytes(r[1]) for r in made], pa.binary())}))
+    pairs = [(a, b) for a in range(len(rows)) for b in range(len(rows)) if a != b]
+    a, b = (np.array(x) for x in zip(*pairs))
+    sizes = np.array([len(g) for g in grams])
+    ok = seen.alike(a, b, sizes[a], sizes[b], 80)
+    linked = [100 * len(grams[x] & grams[y]) >= 80 * len(grams[x] | grams[y]) for x, y in pairs]
+    linked, near = np.array(linked), 100 * np.minimum(sizes[a], sizes[b]) >= 80 * np.maximum(sizes[a], sizes[b])
+    assert linked.any() and ok[linked].all() and (ok & near & ~linked).sum() < (near & ~linked).sum() / 3
