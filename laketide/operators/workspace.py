@@ -163,7 +163,8 @@ def exact_quantiles(freq: DataFrame, totals: Mapping[int, int], qs: Sequence[flo
     sketched quantiles of its values, the parts are counted, and the parts with
     the two ranks are the next stretch: about ``EDGES`` times shorter. The
     steps are the same at every size, only their number grows (with the
-    logarithm of the distinct count). All columns share each step; a step
+    logarithm of the distinct count). All columns share each step, targets of one
+    stretch read it once, and a value finds its part by halving the edges; a step
     sends the driver a few numbers per (column, q), and only a stretch of at
     most ``final_values`` values is ever sorted in one task.
     """
@@ -189,22 +190,28 @@ def exact_quantiles(freq: DataFrame, totals: Mapping[int, int], qs: Sequence[flo
     done: dict[tuple[int, int], tuple[float, float, int]] = {}
     probs = [k / EDGES for k in range(1, EDGES)]
     while stretch:
-        looks = inside(stretch).groupBy("i", "j").agg(
+        first_of: dict[tuple, tuple[int, int]] = {}
+        told_by = {t: first_of.setdefault((t[0], _same(s[0]), _same(s[1])), t) for t, s in stretch.items()}  # one target a stretch
+        looks = inside({t: stretch[t] for t in first_of.values()}).groupBy("i", "j").agg(
             F.count(F.lit(1)).alias("values"), F.percentile_approx("d", probs, 10_000).alias("edges")).collect()
         edges = {(r["i"], r["j"]): sorted({e for e in r["edges"] if e is not None}, key=_order) for r in looks}
-        small = {(r["i"], r["j"]) for r in looks if r["values"] <= final_values}
+        few = {(r["i"], r["j"]) for r in looks if r["values"] <= final_values}
+        small = {t for t in stretch if told_by[t] in few}
         done.update({t: stretch[t] for t in small})
         stretch = {t: s for t, s in stretch.items() if t not in small}
         if not stretch:
             break
-        cut = spark.createDataFrame([(*t, edges[t]) for t in stretch], f"ci int, cj int, edges array<{kind.simpleString()}>")
-        part = F.size(F.filter("edges", lambda e: e < F.col("d")))
-        counts = (inside(stretch).join(F.broadcast(cut), (F.col("i") == F.col("ci")) & (F.col("j") == F.col("cj")))
-                  .groupBy("i", "j", part.alias("part")).agg(F.sum("c").alias("c"), F.min("d").alias("lo"), F.max("d").alias("hi"))
+        open_ = {t: stretch[t] for t in {told_by[t] for t in stretch}}
+        cut = spark.createDataFrame([(*t, edges[t]) for t in open_], f"ci int, cj int, edges array<{kind.simpleString()}>")
+        placed = (inside(open_).join(F.broadcast(cut), (F.col("i") == F.col("ci")) & (F.col("j") == F.col("cj")))
+                  .withColumn("part", F.lit(0)))
+        for step in (1 << k for k in reversed(range(EDGES.bit_length()))):  # the number of edges below the value
+            placed = placed.withColumn("part", F.col("part") + F.when(F.get("edges", F.col("part") + (step - 1)) < F.col("d"), step).otherwise(0))
+        counts = (placed.groupBy("i", "j", "part").agg(F.sum("c").alias("c"), F.min("d").alias("lo"), F.max("d").alias("hi"))
                   .collect())
         for t in list(stretch):
             below, first, last = stretch[t][2], None, None
-            for r in sorted((r for r in counts if (r["i"], r["j"]) == t), key=lambda r: r["part"]):
+            for r in sorted((r for r in counts if (r["i"], r["j"]) == told_by[t]), key=lambda r: r["part"]):
                 if first is None and targets[t][0] < below + r["c"]:
                     first = (r["lo"], below)
                 if last is None and targets[t][1] < below + r["c"]:

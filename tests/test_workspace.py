@@ -181,3 +181,13 @@ def test_profile_keeps_every_digit(spark):
     assert got["k"]["max"] == float((1 << 63) - 1) and got["w"]["n_distinct"] == 2 and abs(got["w"]["mean"] / 7.5e36 - 1) < 1e-12
     assert workspace.value_kinds(spark.createDataFrame([], "a decimal(38,0), b decimal(38,30), c long"), ["a", "b", "c"]) == \
         {"a": "d", "b": "x", "c": "d"}
+
+
+def test_targets_of_one_stretch_share_its_reading(spark, monkeypatch):
+    """All three quartiles begin with the whole column: it is read for one of them, not for each."""
+    df = spark.range(5000).select((F.col("id") * 7919 % 5000).cast("double").alias("x"))
+    freq = workspace.value_counts(df, ["x"])
+    sides, create = [], type(spark).createDataFrame
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda self, rows, *a, **k: sides.append(len(rows)) or create(self, rows, *a, **k))
+    got = workspace.exact_quantiles(freq, {0: 5000}, (0.25, 0.5, 0.75), 500)
+    assert got == {0: [1249.75, 2499.5, 3749.25]} and sides[0] == 1
