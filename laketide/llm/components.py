@@ -9,18 +9,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from laketide.llm.common import written
+from laketide.llm.common import shuffles_go, written
 
 
 def _stars(links: DataFrame) -> DataFrame:
-    """One large-star and one small-star step over links (a > b)."""
+    """One large-star and one small-star step over links (a > b). A point's own new link comes from
+    the link to its least neighbour, so that each step is one join; copies go at the end."""
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    large = (both.where("b > a").join(least.hint("merge"), "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-             .unionByName(least.where("m < a").select("a", F.col("m").alias("b")))).distinct()
+    large = (both.join(least.hint("merge"), "a").where("b > a or b = m")
+             .select(F.greatest("a", "b").alias("a"), F.col("m").alias("b")))
     least = large.groupBy("a").agg(F.min("b").alias("m"))
-    return (large.join(least.hint("merge"), "a").where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-            .unionByName(least.select("a", F.col("m").alias("b")))).distinct()
+    return (large.join(least.hint("merge"), "a")
+            .select(F.when(F.col("b") > F.col("m"), F.col("b")).otherwise(F.col("a")).alias("a"), F.col("m").alias("b"))).distinct()
 
 
 def _moving(now: DataFrame) -> int:
@@ -28,7 +29,8 @@ def _moving(now: DataFrame) -> int:
     ends = now.select(F.col("a").alias("d"), F.lit(1).alias("n")).unionByName(now.select(F.col("b").alias("d"), F.lit(0).alias("n")))
     # Partial sums before the shuffle: a centre of many points costs its task little.
     told = ends.groupBy("d").agg(F.sum("n").alias("n"), F.min("n").alias("least"))
-    return told.where("n > 1 or n = 1 and least = 0").count()
+    with shuffles_go(now.sparkSession):
+        return told.where("n > 1 or n = 1 and least = 0").count()
 
 
 def components(links: DataFrame) -> DataFrame:

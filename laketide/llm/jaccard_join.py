@@ -38,8 +38,8 @@ than the grams in which the sets differ, so a pair with more of them than a link
 allows is skipped where it is met. What is left over is nearly always linked,
 and pairs that nearly always link do not outlive the rounds in numbers.
 
-Comparisons are dealt by hub and salt: a hub with many members is sent to
-several tasks. Components come from Spark joins over the links (see
+Comparisons are two merge joins with the texts: the rows of a hub with many
+members are cut into several tasks. Components come from Spark joins over the links (see
 ``components``); nothing grows on the driver.
 
 Defined cases. Null and empty texts, and texts without words, have an empty
@@ -57,7 +57,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from laketide.llm.common import (LOWER, NON_WHITE, NULL_ID, U64, documents, find_words, mix, owners_of, ready, real_id,
-                                 rolling, slices, text_buffer, word_hashes, written)
+                                 rolling, shuffles_go, slices, text_buffer, word_hashes, written)
 from laketide.llm.components import components
 from laketide.llm.exact_dedup import rice_decode, rice_encode
 from laketide.llm.exchange import pack, shrink, text_column, unpack
@@ -65,7 +65,6 @@ from laketide.llm.exchange import pack, shrink, text_column, unpack
 PRINT_BITS = 256, 1 << 14  # least and most bits of a print; between them two or more a gram
 LEVELS = ((2, 5), (32, 8), (1024, 8))  # (occurrences, key bits left out of the bitmap): 16 + 2 + 2 MB
 KEY_SPACE = 1 << 32
-SALT_MEMBERS = 256
 ROUND_LINKS = 32  # a further round follows one that linked at least one of so many sets
 ANSWER = U64(0x2545F4914F6CDD1D)
 
@@ -152,10 +151,11 @@ def frequency_levels(docs: DataFrame, n: int) -> list[np.ndarray]:
     got = (docs.mapInArrow(send, "owner int, n int, k int, code binary, counts binary").groupBy("owner")
            .applyInArrow(answer, "owner int, level int, bits binary"))
     levels = [np.zeros(owners * span >> (shift + 3), np.uint8) for _, shift in LEVELS]
-    for r in got.toLocalIterator():  # fixed size: the bitmaps together
-        _, shift = LEVELS[r["level"]]
-        at = r["owner"] * span >> (shift + 3)
-        levels[r["level"]][at:at + len(r["bits"])] = np.frombuffer(r["bits"], np.uint8)
+    with shuffles_go(docs.sparkSession):
+        got = got.toArrow()  # fixed size: the bitmaps together, in one job whatever the number of owners
+    for owner, level, bits in zip(got.column("owner").to_pylist(), got.column("level").to_pylist(), got.column("bits")):
+        at, bits = owner * span >> (LEVELS[level][1] + 3), np.frombuffer(bits.as_buffer(), np.uint8)
+        levels[level][at:at + len(bits)] = bits
     return levels
 
 
@@ -444,42 +444,29 @@ def cross_pairs(lists: DataFrame, comp: DataFrame, shown: DataFrame, percent: in
 
 
 def compare(pairs: DataFrame, texts: DataFrame, n: int) -> DataFrame:
-    """``a, b, size_a, size_b, overlap`` of pairs (a, b); ``b`` is the hub, dealt
-    with its members to as many tasks as they need."""
-    owners = owners_of(pairs.sparkSession)
-    hubs = (pairs.groupBy("b").count()
-            .select(F.col("b").alias("hub"), F.ceil(F.col("count") / SALT_MEMBERS).alias("salts")))
-    members = pairs.join(hubs, F.col("b") == F.col("hub")).select(
-        "hub", F.pmod(F.xxhash64("a"), F.col("salts")).alias("salt"), F.col("a").alias("doc_id"), F.lit(False).alias("is_hub"))
-    roles = members.unionByName(hubs.select("hub", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"),
-                                            F.col("hub").alias("doc_id"), F.lit(True).alias("is_hub")))
-
-    def overlap(key, rows):
-        out = [[] for _ in range(5)]
-        rows = rows.sort_by([("hub", "ascending"), ("salt", "ascending"), ("is_hub", "descending"), ("doc_id", "ascending")])
-        hub, salt = rows.column("hub").to_numpy(), rows.column("salt").to_numpy()
-        is_hub, ids = rows.column("is_hub").to_numpy(zero_copy_only=False), rows.column("doc_id").to_numpy()
-        current, now = None, None
-        at = 0
-        for b in rows.to_batches():
-            for part in slices(b, "text"):
-                doc, h = gram_sets(part.column(part.schema.get_field_index("text")), n)
-                cut = np.searchsorted(doc, np.arange(part.num_rows + 1))
-                for i in range(part.num_rows):
-                    s, r = h[cut[i]:cut[i + 1]], at + i
-                    if is_hub[r]:
-                        current, now = (hub[r], salt[r]), s
-                        continue
-                    if current != (hub[r], salt[r]):
-                        continue
-                    both = len(s) + len(now) - len(np.unique(np.concatenate([s, now])))
-                    for col, v in zip(out, (ids[r], hub[r], len(s), len(now), both)):
-                        col.append(int(v))
-                at += part.num_rows
-        return pa.table({c: pa.array(v, pa.int64()) for c, v in zip(("a", "b", "size_a", "size_b", "overlap"), out)})
-
-    return (roles.join(texts.hint("merge"), "doc_id").withColumn("task", F.pmod(F.xxhash64("hub", "salt"), F.lit(owners)))
-            .groupBy("task").applyInArrow(overlap, "a long, b long, size_a long, size_b long, overlap long"))
+    """``a, b, size_a, size_b, overlap`` of pairs (a, b); ``b`` is the hub. Two merge joins bring the
+    texts, one stage each; Spark cuts the rows of a hub with many members into several tasks."""
+    text_a = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
+    text_b = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+
+    def overlap(batches):
+        for whole in batches:
+            for part in slices(whole, "text_a"):
+                a, b = (part.column(c).to_numpy() for c in "ab")
+                new = np.concatenate([[True], b[1:] != b[:-1]])  # a hub's rows follow each other
+                doc, h = gram_sets(part.column("text_a"), n)
+                hub, g = gram_sets(part.column("text_b").filter(pa.array(new)), n)
+                cut, hub_cut = np.searchsorted(doc, np.arange(len(a) + 1)), np.searchsorted(hub, np.arange(new.sum() + 1))
+                at = np.cumsum(new) - 1
+                size, hub_size = np.diff(cut), np.diff(hub_cut)[at]
+                either = [len(np.unique(np.concatenate([h[cut[i]:cut[i + 1]], g[hub_cut[k]:hub_cut[k + 1]]])))
+                          for i, k in enumerate(at.tolist())]
+                cols = (a, b, size, hub_size, size + hub_size - np.array(either, np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols],
+                                                 names=["a", "b", "size_a", "size_b", "overlap"])
+
+    return (pairs.select("a", "b").join(text_a.hint("merge"), "a").join(text_b.hint("merge"), "b").select("a", "b", "text_a", "text_b")
+            .mapInArrow(overlap, "a long, b long, size_a long, size_b long, overlap long"))
 
 
 def _linked(percent: int) -> Column:

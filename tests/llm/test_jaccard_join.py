@@ -2,6 +2,7 @@ import random
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from laketide.llm import jaccard_join as J
 from laketide.llm.components import components
@@ -147,3 +148,61 @@ def test_prints_never_hide_a_link(spark):
     linked = [100 * len(grams[x] & grams[y]) >= 80 * len(grams[x] | grams[y]) for x, y in pairs]
     linked, near = np.array(linked), 100 * np.minimum(sizes[a], sizes[b]) >= 80 * np.maximum(sizes[a], sizes[b])
     assert linked.any() and ok[linked].all() and (ok & near & ~linked).sum() < (near & ~linked).sum() / 3
+
+
+def exchanges(df):
+    """Shuffles of the whole plan that Spark really makes."""
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return sum(line.strip(" :+-*").startswith("Exchange hashpartitioning") for line in plan.split("\n"))
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+    return {f for f in files.split("\n") if "/shuffle_" in f}
+
+
+def test_shuffles_behind_a_written_table_go(spark):
+    """Their files went when the driver collected its garbage, so those of many steps lay on the disk at once."""
+    import time
+
+    from laketide.llm import common
+    there, before = shuffle_files(spark), spark.conf.get(common.SHUFFLES_GO, "false")
+    kept = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    assert kept.collect() and shuffle_files(spark) - there  # the caller's own stay
+    there = shuffle_files(spark)
+    made = common.written(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "shuffles")
+    for _ in range(20):  # they are removed in the background
+        if not shuffle_files(spark) - there:
+            break
+        time.sleep(0.1)
+    assert not shuffle_files(spark) - there and made.count() == 7
+    assert spark.conf.get(common.SHUFFLES_GO, "false") == before and len(kept.collect()) == 7
+
+
+def test_levels_take_one_job_whatever_the_owners(spark):
+    """One job an owner before: its events and plans are the driver's memory and disk."""
+    rows = spark.createDataFrame([(i, f"a b c d e f{i % 5} g h i j") for i in range(40)], "doc_id long, text string")
+    context, key = spark.sparkContext, "spark.sql.adaptive.coalescePartitions.enabled"
+    context.setJobGroup("levels", "levels")
+    spark.conf.set(key, "false")
+    try:
+        levels = J.frequency_levels(rows, 5)
+    finally:
+        spark.conf.set(key, "true")
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert len(context.statusTracker().getJobIdsForGroup("levels")) <= 3 < J.owners_of(spark)
+    assert [int(x.any()) for x in levels] == [1, 1, 0]
+
+
+def test_steps_take_few_shuffles(spark):
+    """Every shuffle is a stage of all partitions, to plan for the driver and to keep on disk."""
+    from laketide.llm import components as K
+    texts = spark.createDataFrame([(i, f"a b c d e f g h i j k{i // 30} l m n o p q r s") for i in range(60)], "doc_id long, text string")
+    pairs = spark.createDataFrame([(i, 0, 15, 15, 1) for i in range(1, 60)], J.PAIRS)
+    found = J.compare(J.written(pairs, "pairs"), J.written(texts.mapInArrow(J.shrink, "doc_id long, text binary"), "texts"), 5)
+    assert {(r.a, r.b, r.size_a, r.size_b, r.overlap) for r in found.collect()} == {
+        (i, 0, 15, 15, 15 if i < 30 else 10) for i in range(1, 60)}
+    assert exchanges(found) == 3  # the second join's texts are the first one's
+    stars = K._stars(K.written(spark.createDataFrame([(i + 1, i) for i in range(40)], "a long, b long"), "links"))
+    assert len(stars.collect()) >= 40
+    assert exchanges(stars) == 5
