@@ -33,13 +33,17 @@ def _moving(now: DataFrame) -> int:
         return told.where("n > 1 or n = 1 and least = 0").count()
 
 
-def components(links: DataFrame) -> DataFrame:
-    """``doc_id, component_id`` for every document with a link (``a``, ``b``):
-    the smallest id reachable. Documents without links are not listed."""
+def points(links: DataFrame) -> DataFrame:
+    """``doc_id, component_id`` for every document with a link (``a``, ``b``) to a smaller one it can
+    reach; ``component_id`` is the smallest."""
     now = written(links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
                   "components")
     while _moving(now):
         now = written(_stars(now), "components")
-    centres = now.select(F.col("b").alias("doc_id")).distinct()
-    return (now.select(F.col("a").alias("doc_id"), F.col("b").alias("component_id"))
-            .unionByName(centres.select("doc_id", F.col("doc_id").alias("component_id"))))
+    return now.select(F.col("a").alias("doc_id"), F.col("b").alias("component_id"))
+
+
+def components(links: DataFrame) -> DataFrame:
+    """``points`` and the smallest documents themselves. Documents without links are not listed."""
+    now = points(links)
+    return now.unionByName(now.select(F.col("component_id").alias("doc_id"), "component_id").distinct())

@@ -40,7 +40,8 @@ and pairs that nearly always link do not outlive the rounds in numbers.
 
 Comparisons are two merge joins with the texts: the rows of a hub with many
 members are cut into several tasks. Components come from Spark joins over the links (see
-``components``); nothing grows on the driver.
+``components``). All joins are merge joins at every size: nothing grows on the
+driver, and no small table takes the way over it.
 
 Defined cases. Null and empty texts, and texts without words, have an empty
 set and no links. Fewer than n words make one gram of their own. A null
@@ -58,7 +59,7 @@ from pyspark.sql import functions as F
 
 from laketide.llm.common import (LOWER, NON_WHITE, NULL_ID, U64, documents, find_words, mix, owners_of, ready, real_id,
                                  rolling, shuffles_go, slices, text_buffer, word_hashes, written)
-from laketide.llm.components import components
+from laketide.llm.components import components, points
 from laketide.llm.exact_dedup import rice_decode, rice_encode
 from laketide.llm.exchange import pack, shrink, text_column, unpack
 
@@ -398,7 +399,7 @@ def near_pairs(lists: DataFrame, comp: DataFrame, shown: DataFrame, percent: int
 
 
 def _placed(lists: DataFrame, comp: DataFrame) -> DataFrame:
-    return lists.join(comp, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
+    return lists.join(comp.hint("merge"), "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
 
 
 def _enough(percent: int) -> Column:
@@ -475,7 +476,7 @@ def _linked(percent: int) -> Column:
 
 def _star_links(comp: DataFrame) -> DataFrame:
     """A link of each point to its component: it takes the place of all links that made the component."""
-    return comp.where("doc_id != component_id").select(F.col("doc_id").alias("a"), F.col("component_id").alias("b"))
+    return comp.select(F.col("doc_id").alias("a"), F.col("component_id").alias("b"))
 
 
 def class_links(docs: DataFrame, n: int, percent: int, first_pairs: int = 4) -> DataFrame:
@@ -485,9 +486,9 @@ def class_links(docs: DataFrame, n: int, percent: int, first_pairs: int = 4) ->
     members = lists.select("doc_id").distinct()
     texts = written(docs.join(members.hint("merge"), "doc_id", "left_semi"), "jaccard-texts")
     known = written(compare(hub_pairs(lists, percent), texts, n), "jaccard-hubs")
-    comp = components(known.where(_linked(percent)).select("a", "b"))
+    comp = points(known.where(_linked(percent)).select("a", "b"))
     lists = written(open_lists(lists, comp), "jaccard-open")
-    shown = written(lists.select("owner", "doc_id").distinct().join(prints(texts, n), "doc_id"), "jaccard-prints")
+    shown = written(lists.select("owner", "doc_id").distinct().join(prints(texts, n).hint("merge"), "doc_id"), "jaccard-prints")
     seen, sets, turn = known.select("a", "b"), texts.count(), 0
     found = tried = sets
     while ROUND_LINKS * found > sets and 8 * found > tried:  # a round costs less than all pairs as long as it links enough
@@ -498,7 +499,7 @@ def class_links(docs: DataFrame, n: int, percent: int, first_pairs: int = 4) ->
         tried, found = met.agg(F.count(F.lit(1)), F.coalesce(F.sum(_linked(percent).cast("long")), F.lit(0))).first()
         seen = seen.unionByName(met.select("a", "b"))
         if found:
-            comp = components(new.unionByName(_star_links(comp)))
+            comp = points(new.unionByName(_star_links(comp)))
 
     # Answers of a common hub bound the pair: |x & y| <= |h & y| + |x - h|.
     left = cross_pairs(lists, comp, shown, percent).alias("p")
@@ -506,14 +507,15 @@ def class_links(docs: DataFrame, n: int, percent: int, first_pairs: int = 4) ->
     hx, hy = hub.alias("hx"), hub.alias("hy")
     bound = F.least(F.col("hy.o") + F.col("p.size_a") - F.col("hx.o"), F.col("hx.o") + F.col("p.size_b") - F.col("hy.o"))
     need = F.ceil((F.col("p.size_a") + F.col("p.size_b")) * percent / (100 + percent))
-    pairs = (left.join(hx, F.col("p.a") == F.col("hx.k"), "left").join(hy, F.col("p.b") == F.col("hy.k"), "left")
+    pairs = (left.join(hx.hint("merge"), F.col("p.a") == F.col("hx.k"), "left").join(hy.hint("merge"), F.col("p.b") == F.col("hy.k"), "left")
              .where(~F.coalesce((F.col("hx.hub") == F.col("hy.hub")) & (bound < need), F.lit(False)))
              .select("p.*"))
     pairs = written(pairs.join(seen.hint("merge"), ["a", "b"], "left_anti"), "jaccard-pairs")
     for few in (first_pairs, None) if pairs.count() > sets else (None,):
         placed = pairs
         for side in ("a", "b"):
-            placed = (placed.join(comp.select(F.col("doc_id").alias(side), F.col("component_id").alias(f"c{side}")), side, "left")
+            of = comp.select(F.col("doc_id").alias(side), F.col("component_id").alias(f"c{side}"))
+            placed = (placed.join(of.hint("merge"), side, "left")
                       .withColumn(f"c{side}", F.coalesce(f"c{side}", side)))
         open_ = placed.where("ca != cb")
         if few:
@@ -526,7 +528,7 @@ def class_links(docs: DataFrame, n: int, percent: int, first_pairs: int = 4) ->
         links = written(found.unionByName(_star_links(comp)), "jaccard-links")
         if few:
             pairs = pairs.join(more.select("a", "b"), ["a", "b"], "left_anti")
-            comp = components(links)
+            comp = points(links)
     return links
 
 
@@ -542,13 +544,13 @@ def named_sets(rows: DataFrame, n: int, percent: int) -> DataFrame:
     speakers = written(rows.select(F.col("row_id").alias("doc_id"), "text").mapInArrow(shrink, "doc_id long, text binary")
                        .join(classes.select(F.col("key").alias("doc_id")).hint("merge"), "doc_id", "left_semi"), "jaccard-speakers")
     comp = written(components(class_links(speakers, n, percent)).select(F.col("doc_id").alias("key"), F.col("component_id").alias("c"))
-                   .join(classes.select("key", "class_id"), "key"), "jaccard-components")
+                   .join(classes.select("key", "class_id").hint("merge"), "key"), "jaccard-components")
     least = comp.groupBy("c").agg(F.min(F.struct("class_id", "key")).alias("x"))
-    named = (classes.join(comp.join(least, "c").select("key", "x"), "key", "left")
+    named = (classes.join(comp.join(least.hint("merge"), "c").select("key", "x").hint("merge"), "key", "left")
              .select("n", "e1", "e2", "class_id", F.coalesce("x.class_id", "class_id").alias("component_id"),
                      F.coalesce("x.key", "key").alias("first")))
     same = (F.col("n_shingles") == F.col("n")) & (F.col("d1") == F.col("e1")) & (F.col("d2") == F.col("e2"))
-    return sets.join(named, same, "left").select(
+    return sets.join(named.hint("merge"), same, "left").select(
         "row_id", "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
         F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("first", "row_id").alias("first"))
 
