@@ -76,3 +76,18 @@ def test_empty_and_one_class(spark, nothing, mixed):
     assert {r.score for r in Q.quality(mixed, none).collect()} == {0.5}
     ones = spark.createDataFrame([(i, 1) for i in range(50)], "doc_id long, quality int")
     assert {r.score for r in Q.quality(mixed, ones).collect()} == {0.5}
+
+
+def test_a_step_of_learning_is_no_query(spark):
+    """Each step was planned as a query of its own and broadcast the model and a scan's settings: garbage
+    that made the driver's heap grow."""
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    rows, marks = docs.select("doc_id", "text"), labels.selectExpr("doc_id", "quality mark").where("mark in (0, 1)")
+    store = spark._jsparkSession.sharedState().statusStore()
+    Q.ready(spark)
+    made = []
+    for steps in (1, 12):
+        before = store.executionsCount()
+        assert Q.learn(rows, marks, "mark", sample_rows=60, steps=steps) is not None
+        made.append(store.executionsCount() - before)
+    assert made[0] == made[1] <= 3
