@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import math
 import random
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from laketide.functions import keyed
 from laketide.session import scratch_path
@@ -19,6 +22,12 @@ BITS = WORDS * 64
 MAX_HASHES = 8  # an HMAC of 256 bits holds eight positions of 32 bits
 BAND_BITS = 62  # a band's bits are one positive bigint
 FOLD = 4  # words of the folded encoding that goes into the blocks
+SAMPLE = 2000  # encodings whose distances tell how many meet by chance
+PAIR_COST = 0.05  # of comparing two rows of a block; making, sending and sorting a row is 1
+ROUND_BANDS = 8  # bands whose rows are on disk together, more if they are few
+ROUND_ROWS = 16_000_000
+ROUND_PAIRS = 64_000_000  # pairs that meet their whole encodings together
+TASK_ROWS = 2_000_000
 
 
 def encode_records(df: DataFrame, fields: Mapping[str, int], key_df: DataFrame, key_col: str = "key") -> DataFrame:
@@ -29,31 +38,37 @@ def encode_records(df: DataFrame, fields: Mapping[str, int], key_df: DataFrame,
     taken from the HMAC of field and pair under the key of ``key_df``: without the key neither
     a field nor a pair of characters can be looked up. Similar fields set mostly the same bits. Null and empty
     fields set none. A narrow projection; the key reaches it as a scalar subquery, as in ``pseudonymise``.
+    Spark computes the HMACs; NumPy sets their bits, a batch of records at a time.
     """
     if not fields or not all(1 <= k <= MAX_HASHES for k in fields.values()):
         raise ValueError(f"fields need weights from 1 to {MAX_HASHES}")
     rows = df.withColumn("__pads", keyed.pads_of(key_df, key_col))
-    places = [_places(name, hashes) for name, hashes in fields.items()]
-    rows = rows.withColumn("__places", F.array_distinct(F.concat(*places)))
-    return rows.withColumn("code", F.array(*[_word(w) for w in range(WORDS)])).drop("__pads", "__places", *fields)
+    kept = [c for c in df.columns if c not in fields]
+    rows = rows.select(*kept, F.unhex(F.concat(*[_macs(name, hashes) for name, hashes in fields.items()])).alias("__macs"))
+
+    def coded(batches):
+        for b in batches:
+            macs = b.column(b.num_columns - 1).cast(pa.large_binary())
+            off = np.frombuffer(macs.buffers()[1], np.int64)[macs.offset:macs.offset + b.num_rows + 1]
+            raw = macs.buffers()[2]
+            places = (np.frombuffer(raw, np.uint8)[off[0]:off[-1]] if raw is not None else np.zeros(0, np.uint8)).view(">u4") % BITS
+            bits = np.zeros((b.num_rows, BITS), np.uint8)
+            bits[np.repeat(np.arange(b.num_rows), np.diff(off) // 4), places] = 1
+            words = np.packbits(bits, axis=1, bitorder="little").view("<i8")
+            codes = pa.ListArray.from_arrays(np.arange(0, words.size + 1, WORDS, dtype=np.int32), pa.array(words.ravel()))
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], codes], names=[*kept, "code"])
+
+    return rows.mapInArrow(coded, StructType([*df.select(*kept).schema, StructField("code", ArrayType(LongType()))]))
 
 
-def _places(name: str, hashes: int) -> Column:
-    """The bits a field sets, repeats included."""
+def _macs(name: str, hashes: int) -> Column:
+    """The places a field sets, 8 hexadecimal digits each (the place modulo 1024), repeats included."""
     text = F.coalesce(F.lower(F.trim(F.col(name).cast("string"))), F.lit(""))
     ended = F.concat(F.lit("\x02"), text, F.lit("\x03"))
     pairs = F.when(F.length(text) > 0, F.array_distinct(F.transform(
         F.sequence(F.lit(1), F.length(text) + 1), lambda i: F.substring(ended, i, F.lit(2)))))
-    macs = F.transform(pairs, lambda pair: keyed.token(pair, f"bloom:{name}", F.col("__pads")))
-    bits = F.transform(macs, lambda mac: F.array(*[
-        (F.conv(F.substring(mac, 8 * j + 1, 8), 16, 10).cast("bigint") % BITS).cast("int") for j in range(hashes)]))
-    return F.coalesce(F.flatten(bits), F.array().cast("array<int>"))
-
-
-def _word(w: int) -> Column:
-    one = F.lit(1).cast("bigint")
-    return F.aggregate(F.filter("__places", lambda p: F.shiftright(p, 6) == w), F.lit(0).cast("bigint"),
-                       lambda acc, p: acc.bitwiseOR(F.call_function("shiftleft", one, p.bitwiseAND(63))))
+    macs = F.transform(pairs, lambda pair: F.substring(keyed.token(pair, f"bloom:{name}", F.col("__pads")), 1, 8 * hashes))
+    return F.coalesce(F.array_join(macs, ""), F.lit(""))
 
 
 def _bits(code: str) -> Column:
@@ -62,32 +77,68 @@ def _bits(code: str) -> Column:
 
 def dice(a: str, b: str) -> Column:
     """Twice the common bits of two encodings by the sum of their bits; null if both are empty."""
-    common = sum((F.bit_count(F.col(a)[w].bitwiseAND(F.col(b)[w])) for w in range(1, WORDS)),
-                 F.bit_count(F.col(a)[0].bitwiseAND(F.col(b)[0])))
-    total = _bits(a) + _bits(b)
-    return F.when(total > 0, 2.0 * common / total)
+    def ones(words: Column) -> Column:
+        # Loops over the words: written out, they make a method too long for the JVM's compiler.
+        return F.aggregate(words, F.lit(0), lambda n, word: n + F.bit_count(word).cast("int"))
+
+    total = ones(F.col(a)) + ones(F.col(b))
+    return F.when(total > 0, 2.0 * ones(F.zip_with(a, b, lambda x, y: x.bitwiseAND(y))) / total)
+
+
+@contextmanager
+def _settings(spark: SparkSession, conf: Mapping[str, str]) -> Iterator[None]:
+    """Settings of the jobs started in here; the caller's own jobs keep theirs."""
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def _stored(df: DataFrame) -> DataFrame:
+    """Written to the shared folder and read back. The shuffle files behind it go with the job."""
     path = scratch_path(df.sparkSession, "linkage")
-    df.write.parquet(path)
+    with _settings(df.sparkSession, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _tasks(spark: SparkSession, rows: int) -> dict[str, str]:
+    """Shuffle partitions for so many rows: no task's share grows with the tables."""
+    return {"spark.sql.shuffle.partitions": str(max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // TASK_ROWS)))}
+
+
 def _classes(df: DataFrame, id_col: str) -> DataFrame:
     """One row per different encoding that is not empty: its smallest id, its records. Written: it is read several times."""
     rows = df.groupBy("code").agg(F.min(id_col).alias("id"), F.count(F.lit(1)).alias("n")).withColumn("size", _bits("code"))
     # The filter stands behind the write: before it, Spark would push it into the encoding and compute that once a word.
-    return _stored(rows).where("size > 0")
+    # The classes are read once a round of bands: they are dealt to all tasks here, not in each.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return _stored(rows.repartition(tasks, "id")).where("size > 0")
+
+
+def _sampled(both: DataFrame, n: int) -> np.ndarray:
+    """The bits of about ``SAMPLE`` encodings, taken by their hash: 256 KB for the driver whatever the tables hold."""
+    rows = both.where(F.pmod(F.xxhash64("code"), F.lit(max(1, n // SAMPLE))) == 0).select("code").limit(2 * SAMPLE).collect()
+    words = np.array([r.code for r in rows], "<i8").reshape(len(rows), WORDS)
+    return np.unpackbits(words.view(np.uint8), axis=1, bitorder="little").astype(np.float32)
 
 
-def _bands(both: DataFrame, larger: int, threshold: float, found: float, seed: int, max_bands: int) -> list[list[int]]:
-    """Places of the bits each band looks at, chosen from the 1024 counts of set bits.
+def _bands(lft: DataFrame, rgt: DataFrame, n_left: int, n_right: int, threshold: float, found: float, seed: int,
+           max_bands: int) -> list[list[int]]:
+    """Places of the bits each band looks at, chosen from the 1024 counts of set bits and the distances in a sample.
 
-    Bits that are set in nearly all or nearly no records tell nothing apart: the 512 most balanced serve. A band has as
-    many bits as make chance meetings about one a record; there are as many bands as let a pair at the threshold
-    meet with probability ``found``, if all its differing bits are among those 512.
+    Bits that are the same in all records tell nothing apart. Of the others as many serve, most balanced first, and a band
+    has as many of them, as cost least: a pair at the threshold differs in the same number of bits
+    wherever it is looked at, so the more bits serve, the rarer does a band hit one of these, and the wider a band can be.
+    There are as many bands as let a pair at the threshold meet with probability ``found``, if all its differing
+    bits are among those that serve. The cost is a row per class and band and the pairs that meet by chance, as
+    many as in the sample: bits that go together let far more meet than their shares tell.
     """
+    both = lft.select("code", "size").unionByName(rgt.select("code", "size"))
     counted = (both.select("size", F.posexplode("code").alias("w", "word")).groupBy("w")
                .agg(F.count(F.lit(1)).alias("n"), F.avg("size").alias("size"),
                     F.array(*[F.sum(F.getbit("word", F.lit(b)).cast("bigint")) for b in range(64)]).alias("set")).collect())
@@ -97,18 +148,36 @@ def _bands(both: DataFrame, larger: int, threshold: float, found: float, seed: i
     share = {r.w * 64 + b: s / n for r in counted for b, s in enumerate(r.set) if 0 < s < n}
     if not share:  # one encoding
         return [[]]
-    chosen = sorted(share, key=lambda p: (abs(share[p] - 0.5), p))[:BITS // 2]
-    chance = sum(share[p] ** 2 + (1 - share[p]) ** 2 for p in chosen) / len(chosen)
-    agree = max(0.5, 1 - 2 * size * (1 - threshold) / len(chosen))
-    width = min(BAND_BITS, len(chosen), math.ceil(math.log(max(2, larger)) / -math.log(min(0.999, chance))))
-
-    def needed(width: int) -> int:
-        return max(1, math.ceil(math.log(1 - found) / math.log1p(-min(0.999999, agree ** width))))
-
-    while width > 1 and needed(width) > max_bands:  # wider blocks rather than lost links
-        width -= 1
+    telling = sorted(share, key=lambda p: (abs(share[p] - 0.5), p))
+    sample = _sampled(both, n)
+    differing = 2 * size * (1 - threshold)
+
+    def needed(agree: float) -> int:
+        return max(1, math.ceil(math.log(1 - found) / math.log1p(-min(0.999999, agree)))) if agree > 0 else max_bands + 1
+
+    cheapest = None
+    for eighths in range(1, 9):
+        serving = telling[:-(-len(telling) * eighths // 8)]
+        bits, total = sample[:, serving], len(serving)
+        ones = bits.sum(axis=1)
+        apart = np.rint(ones[:, None] + ones[None, :] - 2 * bits @ bits.T).astype(int)[np.triu_indices(len(bits), 1)]
+        pairs = np.bincount(apart, minlength=total + 1) / max(1, len(apart))
+        pairs[0] = 0  # of equal encodings each side has one
+        agree, meet, far = 1.0, np.ones(total + 1), np.arange(total + 1)
+        for width in range(1, min(BAND_BITS, total) + 1):
+            left_over = total - width + 1  # bits that the band has not yet
+            agree *= max(0.0, left_over - differing) / left_over
+            meet *= np.maximum(0, left_over - far) / left_over
+            if needed(agree) > max_bands:  # wider blocks rather than lost links
+                break
+            cost = needed(agree) * (n_left + n_right + PAIR_COST * n_left * n_right * float(pairs @ meet))
+            if cheapest is None or cost < cheapest[0]:
+                cheapest = cost, serving, width, needed(agree)
+    if cheapest is None:  # pairs at the threshold have hardly a bit in common
+        return [[]]
+    _, serving, width, number = cheapest
     dealt = random.Random(seed)
-    return [dealt.sample(chosen, width) for _ in range(needed(width))]
+    return [dealt.sample(serving, width) for _ in range(number)]
 
 
 def banded(side: DataFrame, bands: list[list[int]]) -> DataFrame:
@@ -141,38 +210,55 @@ def link_encodings(left: DataFrame, right: DataFrame, left_id: str, right_id: st
     they hold (``n_left``, ``n_right``); the others have the same ``code``. Classes that agree on all bits of
     any of several bands are compared, exactly, where they meet; only links leave the join, and a link
     found in several bands is one row. Empty encodings link with nothing. Links are missed with a probability of at most about
-    1 - ``found`` at the threshold, less above. Blocks hold a constant number of chance meetings while
-    the bands suffice (``max_bands``); beyond, blocks widen and no link is given up.
+    1 - ``found`` at the threshold, less above. At most ``max_bands`` bands serve; beyond, blocks widen and no link is given up.
 
-    The blocks are met by a sorted shuffle join, never by a broadcast: they hold a row per class and band. Only ids, sizes and
-    ``folded`` encodings go into them; pairs that these let pass meet their whole encodings once, whatever the number of their bands.
+    The blocks are met by a sorted shuffle join, never by a broadcast: they hold a row per class and band. They are met in
+    rounds of a few bands, each of which leaves its pairs in the shared folder and frees its shuffle files, so that the disk holds a fixed
+    number of rows a class. Only ids, sizes and ``folded`` encodings go into the blocks; pairs that these let pass meet their
+    whole encodings once, whatever the number of their bands, a bounded number of pairs at a time.
 
-    The driver gets 1024 counts. The links are written to the shared folder and read back. Returns ``left_id``, ``right_id``, ``n_left``, ``n_right``, ``dice``.
+    The driver gets 1024 counts and a sample of encodings of fixed size. The links are written to the shared folder and
+    read back. Returns ``left_id``, ``right_id``, ``n_left``, ``n_right``, ``dice``.
     """
     if not 0 < threshold <= 1 or not 0 < found < 1:
         raise ValueError("threshold is over 0 and at most 1, found between 0 and 1")
+    spark = left.sparkSession
     lft, rgt = _classes(left, left_id), _classes(right, right_id)
-    both = lft.select("code", "size").unionByName(rgt.select("code", "size"))
-    bands = _bands(both, max(lft.count(), rgt.count()), threshold, found, seed, max_bands)
-
-    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_left, n_right = lft.count(), rgt.count()
+    bands = _bands(lft, rgt, n_left, n_right, threshold, found, seed, max_bands)
 
-    def met(side: DataFrame, mark: str) -> DataFrame:
-        # A class makes a row per band: few small files of classes are dealt to all tasks first.
-        keys = banded(side.repartition(tasks, "id"), bands).select("*", F.posexplode("keys").alias("band", "key"))
-        return keys.select("band", "key", F.col("id").alias(f"{mark}_id"), F.col("size").alias(f"{mark}_size"),
+    def met(side: DataFrame, mark: str, bands: list[list[int]]) -> DataFrame:
+        keys = banded(side, bands).select("*", F.posexplode("keys").alias("band", "key"))
+        # One number a block: its sort needs no second look.
+        return keys.select(F.xxhash64("band", "key").alias("block"), F.col("id").alias(f"{mark}_id"), F.col("size").alias(f"{mark}_size"),
                            *[F.col(f"f{w}").alias(f"{mark}_f{w}") for w in range(FOLD)])
 
     apart = sum((F.bit_count(F.col(f"left_f{w}").bitwiseXOR(F.col(f"right_f{w}"))) for w in range(1, FOLD)),
                 F.bit_count(F.col("left_f0").bitwiseXOR(F.col("right_f0"))))
     near = apart <= (1 - threshold) * (F.col("left_size") + F.col("right_size")) + 1e-6
-    pairs = _stored(met(lft, "left").join(met(rgt, "right").hint("merge"), ["band", "key"]).where(near)
-                    .select("left_id", "right_id").distinct())
-    for side, mark in ((lft, "left"), (rgt, "right")):
-        whole = side.select(F.col("id").alias(f"{mark}_id"), F.col("n").alias(f"n_{mark}"), F.col("code").alias(f"{mark}_code"))
-        pairs = pairs.join(whole.hint("merge"), f"{mark}_id")
-    scored = pairs.withColumn("dice", dice("left_code", "right_code"))
-    return _stored(scored.where(F.col("dice") >= threshold).select("left_id", "right_id", "n_left", "n_right", "dice"))
+    at_once = max(ROUND_BANDS, ROUND_ROWS // max(1, n_left + n_right))
+    rounds = []
+    for i in range(0, len(bands), at_once):
+        some = bands[i:i + at_once]
+        with _settings(spark, _tasks(spark, len(some) * (n_left + n_right))):
+            rounds.append(_stored(met(lft, "left", some).join(met(rgt, "right", some).hint("merge"), "block").where(near)
+                                  .select("left_id", "right_id").distinct()))
+    pairs = reduce(DataFrame.unionByName, rounds)
+    n_pairs = pairs.count()
+    parts = max(1, -(-n_pairs // ROUND_PAIRS))
+    links = []
+    for part in range(parts):
+        def mine(df: DataFrame) -> DataFrame:
+            return df.where(F.pmod(F.xxhash64("left_id"), F.lit(parts)) == part) if parts > 1 else df
+
+        scored = mine(pairs).distinct()
+        for side, mark in ((lft, "left"), (rgt, "right")):
+            whole = side.select(F.col("id").alias(f"{mark}_id"), F.col("n").alias(f"n_{mark}"), F.col("code").alias(f"{mark}_code"))
+            scored = scored.join((mine(whole) if mark == "left" else whole).hint("merge"), f"{mark}_id")
+        scored = scored.withColumn("dice", dice("left_code", "right_code"))
+        with _settings(spark, _tasks(spark, n_pairs // parts + n_left + n_right)):
+            links.append(_stored(scored.where(F.col("dice") >= threshold).select("left_id", "right_id", "n_left", "n_right", "dice")))
+    return reduce(DataFrame.unionByName, links)
 
 
 def mutual_best(links: DataFrame) -> DataFrame:

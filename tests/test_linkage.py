@@ -141,3 +141,43 @@ def test_folded_encodings_differ_in_no_more_bits(spark):
         assert got[i]["size"] == len(bits)
     fold = {i: of_code([r[f"f{w}"] for w in range(L.FOLD)]) for i, r in got.items()}
     assert all(len(fold[i] ^ fold[j]) <= len(code[i] ^ code[j]) for i in code for j in code)
+
+
+def test_blocks_are_met_in_rounds_of_few_bands(spark, monkeypatch):
+    """Rows of all bands at once, a row per class and band, fill the disk: jobs hold a fixed number of bands."""
+    made, banded = [], L.banded
+
+    def seen(side, bands):
+        made.append(len(bands))
+        return banded(side, bands)
+
+    key = keyed.key_table(spark, KEY)
+    rows = people(300, 7)
+    code = [L.encode_records(spark.createDataFrame(r, SCHEMA), FIELDS, key) for r in (rows, typed(rows, 8))]
+    monkeypatch.setattr(L, "banded", seen)
+    whole = sorted(map(tuple, L.link_encodings(*code, "id", "id", 0.8).collect()))
+    bands = sum(made) // 2
+    assert len(whole) >= 270
+    made.clear()
+    monkeypatch.setattr(L, "ROUND_ROWS", 0, raising=False)
+    monkeypatch.setattr(L, "ROUND_BANDS", 3, raising=False)
+    monkeypatch.setattr(L, "ROUND_PAIRS", 100, raising=False)
+    assert sorted(map(tuple, L.link_encodings(*code, "id", "id", 0.8).collect())) == whole
+    assert bands > 3 and sum(made) == 2 * bands and max(made) <= 3
+
+
+def test_every_telling_bit_serves_and_bands_reach_the_threshold(spark):
+    """A pair at the threshold differs in the same number of bits wherever it is looked at: the more serve, the fewer bands do."""
+    key = keyed.key_table(spark, KEY)
+    rows = L._classes(L.encode_records(spark.createDataFrame(people(2_000, 5), SCHEMA), FIELDS, key), "id")
+    n = rows.count()
+    bands = L._bands(rows, rows, 100 * n, 100 * n, 0.8, 0.98, 1, 256)
+    codes = [of_code(r.code) for r in rows.collect()]
+    telling = set.union(*codes) - set.intersection(*codes)
+    serving = {p for band in bands for p in band}
+    assert serving <= telling and len(serving) > 0.6 * len(telling) and len(bands) <= 256
+    differing = 2 * 0.2 * sum(map(len, codes)) / n
+    agree = 1.0
+    for i in range(len(bands[0])):
+        agree *= 1 - differing / (len(serving) - i)
+    assert 1 - (1 - agree) ** len(bands) >= 0.97
