@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+from bisect import bisect_left
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 from functools import reduce
@@ -20,7 +21,8 @@ from laketide.session import scratch_path
 WORDS = 16  # an encoding is 16 words of 64 bits
 BITS = WORDS * 64
 MAX_HASHES = 8  # an HMAC of 256 bits holds eight positions of 32 bits
-BAND_BITS = 62  # a band's bits are one positive bigint
+BAND_BITS = 62  # a band's looks are one positive bigint
+RUNS = (1, 4, 16)  # places that a look may go through
 FOLD = 4  # words of the folded encoding that goes into the blocks
 SAMPLE = 2000  # encodings whose distances tell how many meet by chance
 PAIR_COST = 0.05  # of comparing two rows of a block; making, sending and sorting a row is 1
@@ -120,80 +122,103 @@ def _classes(df: DataFrame, id_col: str) -> DataFrame:
     return _stored(rows.repartition(tasks, "id")).where("size > 0")
 
 
+def _bits_of(words: np.ndarray) -> np.ndarray:
+    """A row of 1024 bits for each encoding."""
+    return np.unpackbits(words.reshape(-1, WORDS).astype("<i8").view(np.uint8), axis=1, bitorder="little")
+
+
+def _set_bits(both: DataFrame) -> np.ndarray:
+    """In how many encodings each place is set."""
+
+    def counted(batches):
+        total = np.zeros(BITS, np.int64)
+        for b in batches:
+            total += _bits_of(b.column(0).flatten().to_numpy(zero_copy_only=False)).sum(axis=0, dtype=np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(BITS, dtype=np.int32)), pa.array(total)], names=["place", "n"])
+
+    rows = both.select("code").mapInArrow(counted, "place int, n bigint").groupBy("place").agg(F.sum("n").alias("n")).collect()
+    of = {r.place: r.n for r in rows}
+    return np.array([of.get(p, 0) for p in range(BITS)], np.int64)
+
+
 def _sampled(both: DataFrame, n: int) -> np.ndarray:
     """The bits of about ``SAMPLE`` encodings, taken by their hash: 256 KB for the driver whatever the tables hold."""
     rows = both.where(F.pmod(F.xxhash64("code"), F.lit(max(1, n // SAMPLE))) == 0).select("code").limit(2 * SAMPLE).collect()
-    words = np.array([r.code for r in rows], "<i8").reshape(len(rows), WORDS)
-    return np.unpackbits(words.view(np.uint8), axis=1, bitorder="little").astype(np.float32)
+    return _bits_of(np.array([r.code for r in rows], np.int64)).astype(np.float32)
 
 
 def _bands(lft: DataFrame, rgt: DataFrame, n_left: int, n_right: int, threshold: float, found: float, seed: int,
-           max_bands: int) -> list[list[int]]:
-    """Places of the bits each band looks at, chosen from the 1024 counts of set bits and the distances in a sample.
-
-    Bits that are the same in all records tell nothing apart. Of the others as many serve, most balanced first, and a band
-    has as many of them, as cost least: a pair at the threshold differs in the same number of bits
-    wherever it is looked at, so the more bits serve, the rarer does a band hit one of these, and the wider a band can be.
-    There are as many bands as let a pair at the threshold meet with probability ``found``, if all its differing
-    bits are among those that serve. The cost is a row per class and band and the pairs that meet by chance, as
-    many as in the sample: bits that go together let far more meet than their shares tell.
+           max_bands: int) -> tuple[list[list[int]], int]:
+    """The places each band looks at, and how many of them make a look; see ``banded``.
+
+    Bits that are the same in all records tell nothing apart; of the others all serve: a pair at the threshold differs in
+    as many bits however many serve, so the more do, the rarer does a look hit one of these. Two encodings agree on a look of
+    one place if they do not differ there. On a look of more they agree more seldom the less they have in common, as
+    most pairs do. There are as many bands as let pairs at the threshold meet with probability ``found``, on average over the
+    records of a sample, if all their differing bits are among those that serve. How long a look is and how many make a
+    band follows the cost: a row per class and band and the pairs that meet by chance, as many as in the
+    sample (bits that go together let far more meet than their shares tell).
     """
-    both = lft.select("code", "size").unionByName(rgt.select("code", "size"))
-    counted = (both.select("size", F.posexplode("code").alias("w", "word")).groupBy("w")
-               .agg(F.count(F.lit(1)).alias("n"), F.avg("size").alias("size"),
-                    F.array(*[F.sum(F.getbit("word", F.lit(b)).cast("bigint")) for b in range(64)]).alias("set")).collect())
-    if not counted:
-        return [[]]
-    n, size = counted[0].n, counted[0].size
-    share = {r.w * 64 + b: s / n for r in counted for b, s in enumerate(r.set) if 0 < s < n}
-    if not share:  # one encoding
-        return [[]]
-    telling = sorted(share, key=lambda p: (abs(share[p] - 0.5), p))
+    both = lft.select("code").unionByName(rgt.select("code"))
+    counts, n = _set_bits(both), n_left + n_right
+    telling = [p for p in range(BITS) if 0 < counts[p] < n]
+    if not telling:  # no encoding or one
+        return [[]], 1
     sample = _sampled(both, n)
-    differing = 2 * size * (1 - threshold)
+    differing = 2 * sample.sum(axis=1) * (1 - threshold)
+    bits = sample[:, telling]
+    ones = bits.sum(axis=1)
+    common = bits @ bits.T
+    either = ones[:, None] + ones[None, :] - common
+    other = common < either  # of equal encodings each side has one
 
-    def needed(agree: float) -> int:
-        return max(1, math.ceil(math.log(1 - found) / math.log1p(-min(0.999999, agree)))) if agree > 0 else max_bands + 1
+    def agreed(common: np.ndarray, either: np.ndarray, run: int) -> np.ndarray:
+        none = np.clip(1 - either / len(telling), 0, 1) ** run
+        return common / np.maximum(either, 1) * (1 - none) + none
+
+    def needed(agree: np.ndarray) -> int:
+        """Bands that find pairs at the threshold, one more than there may be if these do not do."""
+        return 1 + bisect_left(range(1, max_bands + 1), True, key=lambda number: bool(np.mean((1 - agree) ** number) <= 1 - found))
 
     cheapest = None
-    for eighths in range(1, 9):
-        serving = telling[:-(-len(telling) * eighths // 8)]
-        bits, total = sample[:, serving], len(serving)
-        ones = bits.sum(axis=1)
-        apart = np.rint(ones[:, None] + ones[None, :] - 2 * bits @ bits.T).astype(int)[np.triu_indices(len(bits), 1)]
-        pairs = np.bincount(apart, minlength=total + 1) / max(1, len(apart))
-        pairs[0] = 0  # of equal encodings each side has one
-        agree, meet, far = 1.0, np.ones(total + 1), np.arange(total + 1)
-        for width in range(1, min(BAND_BITS, total) + 1):
-            left_over = total - width + 1  # bits that the band has not yet
-            agree *= max(0.0, left_over - differing) / left_over
-            meet *= np.maximum(0, left_over - far) / left_over
-            if needed(agree) > max_bands:  # wider blocks rather than lost links
+    for run in (r for r in RUNS if r <= len(telling)):
+        per_look = agreed(np.maximum(0, ones - differing / 2), ones + differing / 2, run)
+        pairs, edges = np.histogram(agreed(common, either, run)[other], bins=2048, range=(0, 1))
+        pairs, middles = pairs / max(1, sample.shape[0] ** 2), (edges[1:] + edges[:-1]) / 2
+        for looks in range(1, int(BAND_BITS / math.log2(run + 1)) + 1):
+            number = needed(per_look ** looks)
+            if number > max_bands:  # wider blocks rather than lost links
                 break
-            cost = needed(agree) * (n_left + n_right + PAIR_COST * n_left * n_right * float(pairs @ meet))
+            cost = number * (n_left + n_right + PAIR_COST * n_left * n_right * float(pairs @ middles ** looks))
             if cheapest is None or cost < cheapest[0]:
-                cheapest = cost, serving, width, needed(agree)
+                cheapest = cost, run, looks, number
     if cheapest is None:  # pairs at the threshold have hardly a bit in common
-        return [[]]
-    _, serving, width, number = cheapest
+        return [[]], 1
+    _, run, looks, number = cheapest
     dealt = random.Random(seed)
-    return [dealt.sample(serving, width) for _ in range(number)]
+    return [[p for _ in range(looks) for p in dealt.sample(telling, run)] for _ in range(number)], run
 
 
-def banded(side: DataFrame, bands: list[list[int]]) -> DataFrame:
+def banded(side: DataFrame, bands: list[list[int]], run: int = 1) -> DataFrame:
     """``id, size``, the ``keys`` of a class in each band and its ``folded`` encoding (``f0``, ...): the words of
-    the encoding under exclusive or. Folded encodings differ in no more bits than whole ones do."""
+    the encoding under exclusive or. Folded encodings differ in no more bits than whole ones do.
+
+    A band is a list of places, each ``run`` of them one look: which of them is the first that is set, or that none is.
+    A look of one place is its bit."""
 
     def look(batches):
         for b in batches:
             words = b.column(2).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, WORDS)
-            bits = np.unpackbits(words.astype("<i8").view(np.uint8), axis=1, bitorder="little").T.copy()
-            keys = np.zeros((b.num_rows, len(bands)), np.int64)
+            bits = _bits_of(words).T.copy()
+            keys = np.zeros((len(bands), b.num_rows), np.int64)
             for i, band in enumerate(bands):
-                for p in band:
-                    keys[:, i] = keys[:, i] * 2 + bits[p]
+                for start in range(0, len(band), run):
+                    first = np.zeros(b.num_rows, np.uint8)  # a place counts the more the earlier it comes
+                    for late, p in enumerate(reversed(band[start:start + run]), 1):
+                        np.maximum(first, bits[p] * np.uint8(late), out=first)
+                    keys[i] = keys[i] * (run + 1) + first
             folded = np.bitwise_xor.reduce(words.reshape(b.num_rows, WORDS // FOLD, FOLD), axis=1)
-            lists = pa.ListArray.from_arrays(np.arange(0, keys.size + 1, len(bands), dtype=np.int32), keys.ravel())
+            lists = pa.ListArray.from_arrays(np.arange(0, keys.size + 1, len(bands), dtype=np.int32), keys.T.ravel())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), lists, *[pa.array(folded[:, w]) for w in range(FOLD)]],
                                              names=["id", "size", "keys", *[f"f{w}" for w in range(FOLD)]])
 
@@ -207,7 +232,7 @@ def link_encodings(left: DataFrame, right: DataFrame, left_id: str, right_id: st
 
     Neither side's fields nor the key are needed, only ids and ``code``. Equal encodings are one class, so copies of
     one record never meet each other in a block: a link names the smallest id of both classes and how many records
-    they hold (``n_left``, ``n_right``); the others have the same ``code``. Classes that agree on all bits of
+    they hold (``n_left``, ``n_right``); the others have the same ``code``. Classes that agree on all looks of
     any of several bands are compared, exactly, where they meet; only links leave the join, and a link
     found in several bands is one row. Empty encodings link with nothing. Links are missed with a probability of at most about
     1 - ``found`` at the threshold, less above. At most ``max_bands`` bands serve; beyond, blocks widen and no link is given up.
@@ -225,10 +250,10 @@ def link_encodings(left: DataFrame, right: DataFrame, left_id: str, right_id: st
     spark = left.sparkSession
     lft, rgt = _classes(left, left_id), _classes(right, right_id)
     n_left, n_right = lft.count(), rgt.count()
-    bands = _bands(lft, rgt, n_left, n_right, threshold, found, seed, max_bands)
+    bands, run = _bands(lft, rgt, n_left, n_right, threshold, found, seed, max_bands)
 
     def met(side: DataFrame, mark: str, bands: list[list[int]]) -> DataFrame:
-        keys = banded(side, bands).select("*", F.posexplode("keys").alias("band", "key"))
+        keys = banded(side, bands, run).select("*", F.posexplode("keys").alias("band", "key"))
         # One number a block: its sort needs no second look.
         return keys.select(F.xxhash64("band", "key").alias("block"), F.col("id").alias(f"{mark}_id"), F.col("size").alias(f"{mark}_size"),
                            *[F.col(f"f{w}").alias(f"{mark}_f{w}") for w in range(FOLD)])

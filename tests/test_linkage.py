@@ -147,9 +147,9 @@ def test_blocks_are_met_in_rounds_of_few_bands(spark, monkeypatch):
     """Rows of all bands at once, a row per class and band, fill the disk: jobs hold a fixed number of bands."""
     made, banded = [], L.banded
 
-    def seen(side, bands):
+    def seen(side, bands, *run):
         made.append(len(bands))
-        return banded(side, bands)
+        return banded(side, bands, *run)
 
     key = keyed.key_table(spark, KEY)
     rows = people(300, 7)
@@ -166,18 +166,34 @@ def test_blocks_are_met_in_rounds_of_few_bands(spark, monkeypatch):
     assert bands > 3 and sum(made) == 2 * bands and max(made) <= 3
 
 
-def test_every_telling_bit_serves_and_bands_reach_the_threshold(spark):
-    """A pair at the threshold differs in the same number of bits wherever it is looked at: the more serve, the fewer bands do."""
+def test_bands_reach_the_threshold_and_tell_strangers_apart(spark):
+    """Few and narrow blocks: looks go over all bits that differ between records, first set places tell more than bits."""
     key = keyed.key_table(spark, KEY)
-    rows = L._classes(L.encode_records(spark.createDataFrame(people(2_000, 5), SCHEMA), FIELDS, key), "id")
+    rows = L._classes(L.encode_records(spark.createDataFrame(people(1_500, 5), SCHEMA), FIELDS, key), "id")
     n = rows.count()
-    bands = L._bands(rows, rows, 100 * n, 100 * n, 0.8, 0.98, 1, 256)
-    codes = [of_code(r.code) for r in rows.collect()]
-    telling = set.union(*codes) - set.intersection(*codes)
+    bands, run = L._bands(rows, rows, n, n, 0.8, 0.98, 1, 256)
+    codes = {r.id: of_code(r.code) for r in rows.collect()}
+    keys = {r.id: r["keys"] for r in L.banded(rows, bands, run).collect()}
+    for i, bits in list(codes.items())[:50]:  # against plain Python
+        for key_of, band in zip(keys[i], bands):
+            plain = 0
+            for at in range(0, len(band), run):
+                look = band[at:at + run]
+                plain = plain * (run + 1) + max((run - k for k, p in enumerate(look) if p in bits), default=0)
+            assert plain == key_of
     serving = {p for band in bands for p in band}
-    assert serving <= telling and len(serving) > 0.6 * len(telling) and len(bands) <= 256
-    differing = 2 * 0.2 * sum(map(len, codes)) / n
-    agree = 1.0
-    for i in range(len(bands[0])):
-        agree *= 1 - differing / (len(serving) - i)
-    assert 1 - (1 - agree) ** len(bands) >= 0.97
+    telling = set.union(*codes.values()) - set.intersection(*codes.values())
+    assert serving <= telling and len(bands) <= 60
+    ids, r = list(codes), random.Random(4)
+    met = near = 0
+    for i in ids[:300]:  # the record with a fifth of its bits gone and as many others set: a pair at 0.8
+        gone = set(r.sample(sorted(codes[i] & telling), round(0.2 * len(codes[i]))))
+        more = set(r.sample(sorted(telling - codes[i]), round(0.2 * len(codes[i]))))
+        typo = codes[i] - gone | more
+        near += 1
+        met += any(key_of == sum((run + 1) ** (len(band) // run - 1 - at // run) * max(
+            (run - k for k, p in enumerate(band[at:at + run]) if p in typo), default=0) for at in range(0, len(band), run))
+            for key_of, band in zip(keys[i], bands))
+    assert met >= 0.95 * near
+    strangers = [(r.choice(ids), r.choice(ids)) for _ in range(4_000)]
+    assert sum(x == y for i, j in strangers if i != j for x, y in zip(keys[i], keys[j])) <= 0.05 * len(bands) * len(strangers)
